@@ -46,5 +46,13 @@ def alert_icon(index: Column, th: Thresholds = DEFAULTS) -> Column:
     )
 
 
+def severity_color(severity: Column) -> Column:
+    """Colour code of a severity; any other severity has the default colour."""
+    ladder = F
+    for name, color in s.SEVERITY_COLORS:
+        ladder = ladder.when(severity == name, color)
+    return ladder.otherwise(s.DEFAULT_SEVERITY_COLOR)
+
+
 def status_icon(is_anomaly: Column) -> Column:
     return F.when(is_anomaly, s.ICON_RED).otherwise(s.ICON_GREEN)

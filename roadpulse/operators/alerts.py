@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadpulse import settings
-from roadpulse.functions.bands import alert_icon
+from roadpulse.functions.bands import alert_icon, severity_color
 from roadpulse.functions.numeric import fixed_text
 from roadpulse.functions.times import instant, iso_text
 from roadpulse.operators.latest import latest_by
@@ -56,7 +56,7 @@ def latest_alerts(log: DataFrame, order: tuple[str, ...] = ("created_at",)) -> D
 
 
 def format_alerts(
-    alerts: DataFrame, corridors: DataFrame, colors: DataFrame, th: Thresholds = DEFAULTS
+    alerts: DataFrame, corridors: DataFrame, th: Thresholds = DEFAULTS
 ) -> DataFrame:
     """Text card of every alert: title, colour, fields and description.
 
@@ -71,10 +71,8 @@ def format_alerts(
         F.coalesce(iso_text(F.col("event_time")), F.lit("N/A")).alias("event_time"),
         "message",
     )
-    named = (
-        filled.join(names, "corridor_id", "left")
-        .join(colors, "severity", "left")
-        .withColumn("corridor_name", F.coalesce("corridor_name", "corridor_id"))
+    named = filled.join(names, "corridor_id", "left").withColumn(
+        "corridor_name", F.coalesce("corridor_name", "corridor_id")
     )
     return named.select(
         "corridor_id",
@@ -83,7 +81,7 @@ def format_alerts(
             F.lit(" Congestion Alert — "),
             F.col("corridor_name"),
         ).alias("title"),
-        F.coalesce("color", F.lit(settings.DEFAULT_SEVERITY_COLOR)).alias("color"),
+        severity_color(F.col("severity")).alias("color"),
         F.concat(
             F.lit("**"), F.col("corridor_name"), F.lit("**\n`"), F.col("corridor_id"), F.lit("`")
         ).alias("corridor_field"),

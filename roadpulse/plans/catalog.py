@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from roadpulse import settings
 from roadpulse.functions.numeric import round_exact
-from roadpulse.functions.times import iso_text
+from roadpulse.functions.times import iso_text, parse_weather_time
 from roadpulse.operators import alerts as al
 from roadpulse.operators import geometry, merge, quality, serving, vehicles, weather
 from roadpulse.operators.baselines import BASELINE_KEYS, BASELINE_VALUES, baselines
@@ -90,9 +90,9 @@ def _metrics(spark, sf_dir, since=None, until=None) -> DataFrame:
 
 
 def _weather_reports(spark, sf_dir) -> DataFrame:
-    """Weather reports through JSON encoding and decoding, with their event number."""
+    """Decoded weather reports with their event number; malformed times are null."""
     feed = replay.weather_feed(replay.events(spark, sf_dir))
-    return decode_feed(encode_feed(feed, "location", keep=("event_id",)), "weather", ("event_id",))
+    return feed.withColumn("event_time", parse_weather_time(F.col("event_time")))
 
 
 def _weather_metrics(spark, sf_dir) -> DataFrame:
@@ -391,7 +391,7 @@ def _alert_cards_query(spark, sf_dir):
     """Alert cards; corridors missing from the list show their id."""
     known = reference.monitored_corridors(spark).where(F.col("corridor_id") != "july26")
     built = al.build_alerts(_metrics(spark, sf_dir), AS_OF)
-    return al.format_alerts(built, known, reference.severity_colors(spark))
+    return al.format_alerts(built, known)
 
 
 @query("recent_alerts")

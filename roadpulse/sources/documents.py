@@ -11,16 +11,17 @@ from roadpulse import schemas
 def flatten_route_documents(documents: DataFrame, keep: tuple[str, ...] = ("corridor_id",)) -> DataFrame:
     """Travel time, free-flow time and length of the first route in each ``document``.
 
-    Documents without them, or with a zero time (no index or no speed), are dropped.
+    Documents without them, or with a zero time (no index or no speed), are dropped. The route
+    comes out of a generator, so each document is parsed once.
     """
-    summary = F.get(F.col("doc.routes"), 0)["summary"]
+    first = F.slice(F.from_json("document", schemas.ROUTE_DOCUMENT)["routes"], 1, 1)
     return (
-        documents.select(*keep, F.from_json("document", schemas.ROUTE_DOCUMENT).alias("doc"))
+        documents.select(*keep, F.inline(first))
         .select(
             *keep,
-            summary["travelTimeInSeconds"].alias("travel_time_sec"),
-            summary["noTrafficTravelTimeInSeconds"].alias("free_flow_sec"),
-            summary["lengthInMeters"].alias("length_m"),
+            F.col("summary.travelTimeInSeconds").alias("travel_time_sec"),
+            F.col("summary.noTrafficTravelTimeInSeconds").alias("free_flow_sec"),
+            F.col("summary.lengthInMeters").alias("length_m"),
         )
         .where(
             (F.col("travel_time_sec") != 0)
@@ -37,17 +38,15 @@ def flatten_weather_documents(
 
     Missing fields, or a missing block, stay null. The place is joined from ``locations``.
     """
-    current = F.col("doc.current")
-    rows = documents.select(
-        *keep, "location", F.from_json("document", schemas.WEATHER_DOCUMENT).alias("doc")
-    ).select(
+    document = F.from_json("document", schemas.WEATHER_DOCUMENT)
+    rows = documents.select(*keep, "location", F.inline(F.array(document))).select(
         *keep,
         "location",
-        current["time"].alias("event_time"),
-        current["temperature_2m"].alias("temperature_c"),
-        current["relative_humidity_2m"].alias("humidity_pct"),
-        current["precipitation"].alias("precipitation_mm"),
-        current["wind_speed_10m"].alias("wind_speed_kmh"),
-        current["weather_code"].alias("weather_code"),
+        F.col("current.time").alias("event_time"),
+        F.col("current.temperature_2m").alias("temperature_c"),
+        F.col("current.relative_humidity_2m").alias("humidity_pct"),
+        F.col("current.precipitation").alias("precipitation_mm"),
+        F.col("current.wind_speed_10m").alias("wind_speed_kmh"),
+        F.col("current.weather_code").alias("weather_code"),
     )
     return rows.join(locations, "location", "left")

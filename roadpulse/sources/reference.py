@@ -55,14 +55,6 @@ def weather_codes(spark: SparkSession) -> DataFrame:
     )
 
 
-def severity_colors(spark: SparkSession) -> DataFrame:
-    return _local(
-        spark,
-        settings.SEVERITY_COLORS,
-        [("severity", pa.string()), ("color", pa.int32())],
-    )
-
-
 def topic_names(spark: SparkSession, expected: list[str], existing: list[str]) -> DataFrame:
     """Expected topics, each marked whether the broker knows it."""
     return _local(

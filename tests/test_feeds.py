@@ -1,0 +1,146 @@
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from helpers import rows, with_times
+from roadpulse.operators.weather import clean_weather, describe_weather, weather_now
+from roadpulse.sources import reference
+from roadpulse.sources.documents import flatten_route_documents, flatten_weather_documents
+from roadpulse.sources.feeds import FeedSource, decode_feed, encode_feed, read_feed
+
+GOOD = {
+    "corridor_id": "ring_road", "corridor_name": "Ring Road", "city": "Cairo",
+    "travel_time_sec": 540, "free_flow_sec": 300, "congestion_index": 0.8, "speed_kmh": 23,
+    "distance_km": 18.5, "is_anomaly": False, "event_time": "2026-06-26T19:00:00Z",
+}
+
+
+def _decode(spark, kind, *values):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "offset long, value string")
+    binary = df.withColumn("value", F.col("value").cast("binary"))
+    return decode_feed(binary, kind, keep=("offset",)).orderBy("offset")
+
+
+def test_traffic_payload(spark):
+    row = with_times(_decode(spark, "traffic", json.dumps(GOOD)), "event_time").first()
+    assert row.asDict() == {"offset": 0, **GOOD, "speed_kmh": 23.0, "event_time": "2026-06-26 19:00:00"}
+
+
+@pytest.mark.parametrize("text", ["not json", "{}", "null", "[1, 2]", "", None, '{"corridor_id"'])
+def test_unreadable_payload_is_a_row_of_nulls(spark, text):
+    got = _decode(spark, "traffic", text).drop("offset").collect()
+    assert len(got) == 1 and all(v is None for v in got[0])
+
+
+def test_bad_fields_become_null_and_others_stay(spark):
+    cases = [
+        {**GOOD, "travel_time_sec": 540.0},
+        {**GOOD, "travel_time_sec": "7"},
+        {**GOOD, "congestion_index": "1.5"},
+        {**GOOD, "event_time": "yesterday"},
+    ]
+    got = _decode(spark, "traffic", *[json.dumps(c) for c in cases]).collect()
+    assert [r.travel_time_sec for r in got] == [None, None, 540, 540]
+    assert got[2].congestion_index is None and got[3].event_time is None
+    assert all(r.corridor_id == "ring_road" for r in got)
+
+
+def test_weather_and_vehicle_times(spark):
+    reports = _decode(
+        spark, "weather",
+        '{"location":"Cairo","event_time":"2026-06-23T14:00","weather_code":3}',
+        '{"location":"Cairo","event_time":"2026-06-23 14:00"}',
+        '{"event_time":"2026-06-23T14:00"}',
+    )
+    assert rows(with_times(reports, "event_time"), "offset", "event_time") == [
+        (0, "2026-06-23 14:00:00"), (1, None), (2, "2026-06-23 14:00:00"),
+    ]
+    assert clean_weather(reports).count() == 1
+    pings = _decode(
+        spark, "vehicle",
+        '{"vehicle_id":"a_v1","event_time":"2026-06-26T19:00:05Z","speed_kmh":12}',
+        '{"vehicle_id":"a_v1","event_time":"soon","speed_kmh":12}',
+    )
+    assert rows(with_times(pings, "event_time"), "offset", "event_time", "speed_kmh") == [
+        (0, "2026-06-26 19:00:05", 12.0), (1, None, 12.0),
+    ]
+
+
+def test_encode_keys_and_round_trip(spark):
+    event = spark.createDataFrame([("ring_road", 0.85, None)], "corridor_id string, congestion_index double, city string")
+    encoded = encode_feed(event, "corridor_id")
+    key, value = encoded.first()
+    assert key == "ring_road"
+    assert json.loads(value) == {"corridor_id": "ring_road", "congestion_index": 0.85}
+    back = decode_feed(encoded, "traffic").first()
+    assert (back.corridor_id, back.congestion_index, back.city) == ("ring_road", 0.85, None)
+
+
+def test_file_source_has_the_broker_columns(spark, home):
+    spark.createDataFrame([("k", "v")], "key string, value string").write.json(home)
+    stream = read_feed(spark, "traffic", FeedSource(format="json", path=home))
+    assert stream.isStreaming
+    assert stream.columns == ["topic", "key", "value", "partition", "offset", "timestamp"]
+
+
+def _route(travel, free, length):
+    return json.dumps({"routes": [{"summary": {
+        "travelTimeInSeconds": travel, "noTrafficTravelTimeInSeconds": free, "lengthInMeters": length,
+    }}]})
+
+
+def test_route_documents(spark):
+    two = json.loads(_route(1, 2, 3))
+    two["routes"].append({"summary": {"travelTimeInSeconds": 9}})
+    documents = {
+        "good": _route(540, 300, 5200), "first": json.dumps(two), "no_free": _route(540, 0, 1),
+        "no_travel": _route(0, 300, 1), "null_length": _route(540, 300, None),
+        "empty": '{"routes":[]}', "none": "{}", "broken": "#", "summary": '{"routes":[{}]}',
+    }
+    df = spark.createDataFrame(list(documents.items()), "corridor_id string, document string")
+    assert rows(flatten_route_documents(df), "*") == [("first", 1, 2, 3), ("good", 540, 300, 5200)]
+
+
+def test_weather_documents(spark):
+    current = {"time": "2026-06-23T14:00", "temperature_2m": 31.5, "relative_humidity_2m": 40,
+               "precipitation": 0, "wind_speed_10m": 7.5, "weather_code": 3}
+    df = spark.createDataFrame(
+        [("Cairo", json.dumps({"current": current})), ("Alexandria", "{}"), ("Giza", "{}")],
+        "location string, document string",
+    )
+    got = flatten_weather_documents(df, reference.weather_locations(spark))
+    assert rows(got, "location", "event_time", "temperature_c", "humidity_pct", "weather_code", "latitude") == [
+        ("Alexandria", None, None, None, None, 31.2001),
+        ("Cairo", "2026-06-23T14:00", 31.5, 40.0, 3, 30.0444),
+        ("Giza", None, None, None, None, None),
+    ]
+
+
+def test_weather_codes(spark):
+    df = spark.createDataFrame(
+        [("Cairo", 0), ("Cairo", 95), ("Cairo", 7), ("Cairo", None)],
+        "location string, weather_code int",
+    )
+    got = rows(describe_weather(df, reference.weather_codes(spark)), "weather_code", "description")
+    assert got == [(0, "Clear sky"), (7, "Unknown"), (95, "Thunderstorm"), (None, "Unknown")]
+
+
+def test_weather_now_is_latest_of_the_cities(spark):
+    df = spark.createDataFrame(
+        [("Cairo", "2024-01-01 10:00", 0), ("Cairo", "2024-01-01 11:00", 3), ("Giza", "2024-01-01 12:00", 1)],
+        "location string, event_time string, weather_code int",
+    ).withColumn("event_time", F.col("event_time").cast("timestamp"))
+    got = weather_now(df, reference.weather_codes(spark))
+    assert rows(got, "location", "description") == [("Cairo", "Overcast")]
+
+
+def test_corridor_defaults(spark):
+    df = spark.createDataFrame(
+        [("a", None, None, (1.0, 2.0), (3.0, 4.0)), ("b", "Bee", "Giza", (1.0, 2.0), (3.0, 4.0))],
+        "id string, name string, city string, start struct<lat:double,lon:double>, end struct<lat:double,lon:double>",
+    )
+    assert rows(reference.load_corridors(df), "*") == [
+        ("a", "a", "Cairo", 1.0, 2.0, 3.0, 4.0),
+        ("b", "Bee", "Giza", 1.0, 2.0, 3.0, 4.0),
+    ]

@@ -1,0 +1,94 @@
+from pyspark.sql import functions as F
+
+from helpers import rows, with_times
+from roadpulse.operators.baselines import baselines
+from roadpulse.operators.traffic import derive_traffic_metrics, flag_congestion, traffic_windows
+from roadpulse.operators.vehicles import flag_slow, vehicle_windows
+from roadpulse.sources import reference
+
+
+def _events(spark, data):
+    df = spark.createDataFrame(
+        data, "corridor_id string, event_time string, congestion_index double, speed_kmh double"
+    )
+    return df.withColumn("event_time", F.col("event_time").cast("timestamp"))
+
+
+def test_traffic_metrics_edges(spark):
+    df = spark.createDataFrame(
+        [
+            ("clamped", 200, 300, 5200),
+            ("plain", 540, 300, 5200),
+            ("limit", 750, 300, 5200),
+            ("above", 751, 300, 5200),
+            ("no_free", 540, 0, 5200),
+            ("no_travel", 0, 300, 5200),
+        ],
+        "corridor_id string, travel_time_sec int, free_flow_sec int, length_m int",
+    )
+    got = derive_traffic_metrics(df)
+    assert rows(got, "corridor_id", "congestion_index", "speed_kmh", "distance_km", "is_anomaly") == [
+        ("above", 1.5, 24.9, 5.2, True),
+        ("clamped", 0.0, 93.6, 5.2, False),
+        ("limit", 1.5, 25.0, 5.2, False),
+        ("no_free", None, 34.7, 5.2, None),
+        ("no_travel", 0.0, None, 5.2, False),
+        ("plain", 0.8, 34.7, 5.2, False),
+    ]
+
+
+def test_flags_are_strict_and_null_is_false(spark):
+    cases = [
+        (0.7, 15.0, False), (0.71, 15.0, True), (0.7, 14.9, True), (None, 14.0, True),
+        (0.9, None, True), (None, None, False), (0.5, None, False), (float("nan"), 50.0, True),
+    ]
+    df = spark.createDataFrame(cases, "i double, s double, want boolean")
+    assert df.where(flag_congestion(F.col("i"), F.col("s")) != F.col("want")).count() == 0
+    slow = spark.createDataFrame([(20.0, False), (19.9, True), (None, False)], "s double, want boolean")
+    assert slow.where(flag_slow(F.col("s")) != F.col("want")).count() == 0
+
+
+def test_windows_borders_labels_and_null_keys(spark):
+    events = _events(
+        spark,
+        [
+            ("a", "2024-01-01 00:09:59.999", 0.6, 40.0),
+            ("a", "2024-01-01 00:00:00", 0.8, 20.0),
+            ("a", "2024-01-01 00:10:00", 0.9, None),
+            (None, "2024-01-01 00:10:00", 0.9, 10.0),
+            ("a", None, 0.9, 10.0),
+        ],
+    )
+    got = with_times(traffic_windows(events), "event_time")
+    assert rows(got, "*") == [
+        ("a", "2024-01-01 00:10:00", 0, 0, 0.7, 30.0, False),
+        ("a", "2024-01-01 00:20:00", 0, 0, 0.9, None, True),
+    ]
+    speeds = with_times(vehicle_windows(events), "event_time")
+    assert rows(speeds, "*") == [
+        ("a", "2024-01-01 00:05:00", 20.0, False),
+        ("a", "2024-01-01 00:10:00", 40.0, False),
+        ("a", "2024-01-01 00:15:00", None, False),
+    ]
+
+
+def test_baselines(spark):
+    metrics = _events(
+        spark,
+        [
+            ("ring_road", "2024-01-24 00:00:00", 1.0, 30.0),  # at the cutoff, Wednesday
+            ("ring_road", "2024-01-23 23:59:59", 9.0, 30.0),  # before it
+            ("ring_road", "2024-01-28 10:05:00", 0.5, 30.0),  # Sunday
+            ("ring_road", "2024-01-28 10:55:00", 1.5, 30.0),
+            ("ring_road", "2024-01-29 10:00:00", 0.5, 30.0),  # Monday
+            ("ring_road", "2024-01-29 10:10:00", None, 30.0),
+            ("ring_road", "2024-01-29 10:20:00", 5.0, None),
+            ("elsewhere", "2024-01-29 10:20:00", 5.0, 30.0),
+        ],
+    )
+    got = baselines(metrics, reference.monitored_corridors(spark), "2024-01-31")
+    assert rows(with_times(got, "updated_at"), "*") == [
+        ("ring_road", 0, 10, 90.0, 1, "2024-01-31 00:00:00"),
+        ("ring_road", 2, 0, 120.0, 1, "2024-01-31 00:00:00"),
+        ("ring_road", 6, 10, 120.0, 2, "2024-01-31 00:00:00"),
+    ]
