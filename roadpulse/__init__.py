@@ -1,0 +1 @@
+"""Road corridor congestion analytics on Spark, in batch and streaming."""

@@ -1,22 +1,17 @@
-"""Averages and roundings that give the same double on every run and every cluster."""
+"""Averages and roundings that give the same double on every run and every cluster.
+
+The functions take a column name or SQL text and build one SQL expression: a rounding has
+some thirty operators, and assembling them one by one from the client is slower than running
+them.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# steady_avg adds whole numbers of 1e-9 units; beyond this size they leave 64 bits.
-_UNITS = 1e9
-_LIMIT = 9e9
-# Splits a double into two halves whose product with 10^digits is exact.
-_SPLIT = 134217729.0
-
-
-def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
 
-
-def steady_avg(c: Column | str) -> Column:
+def steady_avg(x: str) -> Column:
     """Mean that does not depend on the order in which tasks deliver rows.
 
     A plain ``avg`` of doubles changes in the last digits with the order of summation, so a
@@ -25,14 +20,29 @@ def steady_avg(c: Column | str) -> Column:
     holding values that do not fit (NaN, infinite, huge, or an overflowing sum) fall back to
     the plain mean, so no value is ever left out.
     """
-    x = _col(c).cast("double")
-    units = F.when(F.abs(x) < _LIMIT, F.floor(x * _UNITS + 0.5))
-    steady = F.try_divide(F.try_sum(units).cast("double") / _UNITS, F.count(x))
-    plain = F.try_divide(F.sum(x), F.count(x))
-    return F.coalesce(F.when(F.count(units) == F.count(x), steady), plain)
+    x = f"cast({x} AS double)"
+    # 9e9 units of 1e-9 are the most that fit into 64 bits
+    units = f"CASE WHEN abs({x}) < 9e9D THEN floor({x} * 1e9D + 0.5D) END"
+    steady = f"try_divide(cast(try_sum({units}) AS double) / 1e9D, count({x}))"
+    plain = f"try_divide(sum({x}), count({x}))"
+    return F.expr(f"coalesce(CASE WHEN count({units}) = count({x}) THEN {steady} END, {plain})")
+
+
+def _rounded(x: str, digits: int) -> str:
+    scale = f"{10**digits}D"
+    product = f"({x} * {scale})"
+    # 2^27 + 1 splits a double into halves whose products with the scale are exact
+    high = f"({x} * 134217729D - ({x} * 134217729D - {x}))"
+    error = f"(({high} * {scale} - {product}) + ({x} - {high}) * {scale})"
+    nearest = f"rint({product})"
+    step = (
+        f"CASE WHEN {product} - {nearest} = 0.5D AND {error} > 0D THEN 1D"
+        f" WHEN {product} - {nearest} = -0.5D AND {error} < 0D THEN -1D ELSE 0D END"
+    )
+    return f"(({nearest} + {step}) / {scale})"
 
 
-def round_exact(c: Column | str, digits: int) -> Column:
+def round_exact(x: str, digits: int) -> Column:
     """Round to at most six decimals by the exact binary value, ties to even.
 
     Spark's ``round`` works on the shortest decimal text (0.345 becomes 0.35 although the
@@ -40,25 +50,10 @@ def round_exact(c: Column | str, digits: int) -> Column:
     takes the product with 10^digits together with its rounding error and decides ties by
     the error. It costs a handful of double operations and no decimal objects.
     """
-    x = _col(c)
-    scale = float(10**digits)
-    product = x * scale
-    high = x * _SPLIT - (x * _SPLIT - x)
-    error = (high * scale - product) + (x - high) * scale
-    nearest = F.rint(product)
-    gap = product - nearest
-    step = (
-        F.when((gap == 0.5) & (error > 0), 1.0)
-        .when((gap == -0.5) & (error < 0), -1.0)
-        .otherwise(0.0)
-    )
-    return (nearest + step) / scale
+    return F.expr(_rounded(x, digits))
 
 
-def fixed_text(c: Column | str, digits: int) -> Column:
+def fixed_text(x: str, digits: int) -> Column:
     """Text with exactly ``digits`` decimals; null stays null."""
-    x = _col(c)
-    return F.coalesce(
-        round_exact(x, digits).try_cast(f"decimal(18,{digits})").cast("string"),
-        x.cast("string"),
-    )
+    fixed = f"try_cast({_rounded(x, digits)} AS decimal(18, {digits}))"
+    return F.expr(f"coalesce(cast({fixed} AS string), cast({x} AS string))")

@@ -31,7 +31,7 @@ def baselines(
             F.hour("event_time").alias("hour_of_day"),
         )
         .agg(
-            steady_avg((F.col("congestion_index") + 1.0) * 60.0).alias("avg_travel_time_sec"),
+            steady_avg("(congestion_index + 1) * 60").alias("avg_travel_time_sec"),
             F.count("*").alias("sample_count"),
         )
         .withColumn("updated_at", instant(as_of))

@@ -59,7 +59,7 @@ def vehicle_distribution(corridors: DataFrame, snapshot: DataFrame) -> DataFrame
     """Vehicles and their mean speed for every corridor, zero where there are none."""
     counts = snapshot.groupBy("corridor_id").agg(
         F.count("*").alias("vehicles"),
-        steady_avg(F.coalesce("speed_kmh", F.lit(0.0))).alias("avg_speed_kmh"),
+        steady_avg("coalesce(speed_kmh, 0D)").alias("avg_speed_kmh"),
     )
     return corridors.join(counts, "corridor_id", "left").select(
         "corridor_id",

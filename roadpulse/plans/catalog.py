@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from roadpulse import settings
+from roadpulse import schemas, settings
 from roadpulse.functions.numeric import round_exact
 from roadpulse.functions.times import iso_text, parse_weather_time
 from roadpulse.operators import alerts as al
@@ -101,19 +101,17 @@ def _weather_metrics(spark, sf_dir) -> DataFrame:
 
 
 def _listing(spark, sf_dir, table, key, name, step=1) -> DataFrame:
-    keys = spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    keys = spark.read.schema(getattr(schemas, table.upper())).parquet(f"{sf_dir}/{table}.parquet")
     return reference.load_corridors(replay.corridor_listing(keys, key, name, step))
 
 
 def _listing_target(spark, sf_dir) -> DataFrame:
     """A corridor table as an earlier load left it, with road lengths."""
-    keys = spark.read.parquet(f"{sf_dir}/part.parquet")
-    rows = replay.corridor_listing(keys.select("p_partkey", "p_name"), "p_partkey", "p_name", 2)
-    lengths = keys.select(
-        F.concat(F.lit("c"), (F.col("p_partkey") * 2).cast("string")).alias("corridor_id"),
-        F.col("p_size").cast("double").alias("distance_km"),
+    keys = spark.read.schema(schemas.PART).parquet(f"{sf_dir}/part.parquet")
+    rows = replay.corridor_listing(keys, "p_partkey", "p_name", 2, keep="p_size")
+    return reference.load_corridors(
+        rows, F.col("p_size").cast("double").alias("distance_km")
     )
-    return reference.load_corridors(rows).join(lengths, "corridor_id")
 
 
 # --- traffic, vehicles, weather ---------------------------------------------------------
@@ -500,8 +498,9 @@ def _slices(spark, sf_dir, kind):
 
 
 def _state_partitions(spark) -> int:
-    """State is keyed by corridor and window; one partition per core is plenty."""
-    return max(2, spark.sparkContext.defaultParallelism)
+    """State holds one row per corridor and open window, so one partition per core will do."""
+    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(configured, spark.sparkContext.defaultParallelism))
 
 
 def _run_traffic(spark, sf_dir, with_alerts=False):

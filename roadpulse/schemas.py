@@ -175,3 +175,9 @@ CONGESTION_BASELINES = T.StructType(
         T.StructField("updated_at", T.TimestampType()),
     ]
 )
+
+# Columns read from the general tables that feeds and corridor listings are derived from.
+EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, value double"
+SUPPLIER = "s_suppkey bigint, s_name string"
+CUSTOMER = "c_custkey bigint, c_name string"
+PART = "p_partkey bigint, p_name string, p_size int"

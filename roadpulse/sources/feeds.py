@@ -42,6 +42,15 @@ def read_feed(spark: SparkSession, kind: str, source: FeedSource) -> DataFrame:
     )
 
 
+def load_feed(spark: SparkSession, kind: str, source: FeedSource) -> DataFrame:
+    """The envelopes a feed holds now, as a batch."""
+    if source.format == "kafka":
+        options = {"subscribe": source.topic or settings.TOPICS[kind], **source.options}
+        return spark.read.format("kafka").options(**options).load()
+    reader = spark.read.format(source.format).schema(schemas.ENVELOPE).options(**source.options)
+    return reader.load(source.path)
+
+
 def decode_feed(envelopes: DataFrame, kind: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """Decode the JSON payload against the fixed schema and type its event time.
 

@@ -8,7 +8,7 @@ by its own threshold. Nothing in this package forces a broadcast, so a lookup th
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadpulse import settings
@@ -64,10 +64,11 @@ def topic_names(spark: SparkSession, expected: list[str], existing: list[str]) -
     )
 
 
-def load_corridors(listing: DataFrame) -> DataFrame:
+def load_corridors(listing: DataFrame, *extra: Column) -> DataFrame:
     """Corridor rows from a listing of ``id, name, city, start{lat,lon}, end{lat,lon}``.
 
-    A missing name becomes the id and a missing city the default city.
+    A missing name becomes the id and a missing city the default city. ``extra`` columns are
+    taken along.
     """
     return listing.select(
         F.col("id").alias("corridor_id"),
@@ -77,4 +78,5 @@ def load_corridors(listing: DataFrame) -> DataFrame:
         F.col("start.lon").alias("start_lon"),
         F.col("end.lat").alias("end_lat"),
         F.col("end.lon").alias("end_lon"),
+        *extra,
     )

@@ -10,47 +10,51 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse import settings
+from roadpulse import schemas, settings
 from roadpulse.functions.times import iso_seconds
 from roadpulse.operators.traffic import derive_traffic_metrics
 
 
-def _pick(values: list, index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), index + 1)
+def _pick(values: list, index: str) -> Column:
+    """The value at an index, as one SQL expression."""
+    items = ", ".join(
+        f"'{v}'" if isinstance(v, str) else f"{v}D" if isinstance(v, float) else f"{v}"
+        for v in values
+    )
+    return F.expr(f"element_at(array({items}), cast({index} AS int) + 1)")
 
 
 def events(
     spark: SparkSession, sf_dir: str, since: str | None = None, until: str | None = None
 ) -> DataFrame:
     """The event table; time bounds (inclusive, exclusive) reach the Parquet scan."""
-    df = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "ts", "user_id", "value")
+    df = spark.read.schema(schemas.EVENTS).parquet(f"{sf_dir}/events.parquet")
     if since:
         df = df.where(F.col("ts") >= F.lit(since).cast("timestamp_ntz"))
     if until:
         df = df.where(F.col("ts") < F.lit(until).cast("timestamp_ntz"))
-    return df.select(
+    return df.selectExpr(
         "event_id",
-        F.col("ts").cast("timestamp").alias("event_time"),
+        "cast(ts AS timestamp) AS event_time",
         "user_id",
-        F.floor(F.col("value") * 100 + 0.5).alias("cents"),
-        (F.col("user_id") % 6).cast("int").alias("ix"),
+        "floor(value * 100 + 0.5D) AS cents",
+        "cast(user_id % 6 AS int) AS ix",
     )
 
 
-def corridor_id(ix: Column) -> Column:
-    return _pick([c[0] for c in settings.CORRIDORS], ix)
+def corridor_id() -> Column:
+    return _pick([c[0] for c in settings.CORRIDORS], "ix")
 
 
 def route_times(ev: DataFrame) -> DataFrame:
     """Travel time, free-flow time and length per event; travel can beat free flow."""
-    length = _pick([round(c[7] * 1000) for c in settings.CORRIDORS], F.col("ix"))
-    free = F.expr("length_m * 3 div 50").cast("int")
-    travel = F.expr("free_flow_sec * (cents + 8000) div 10000").cast("int")
+    length = _pick([round(c[7] * 1000) for c in settings.CORRIDORS], "ix")
     return (
-        ev.withColumn("corridor_id", corridor_id(F.col("ix")))
-        .withColumn("length_m", length)
-        .withColumn("free_flow_sec", free)
-        .withColumn("travel_time_sec", travel)
+        ev.withColumns({"corridor_id": corridor_id(), "length_m": length})
+        .selectExpr("*", "cast(length_m * 3 div 50 AS int) AS free_flow_sec")
+        .selectExpr(
+            "*", "cast(free_flow_sec * (cents + 8000) div 10000 AS int) AS travel_time_sec"
+        )
     )
 
 
@@ -59,8 +63,8 @@ def traffic_feed(ev: DataFrame) -> DataFrame:
     named = route_times(ev).select(
         "event_id",
         "corridor_id",
-        _pick([c[1] for c in settings.CORRIDORS], F.col("ix")).alias("corridor_name"),
-        _pick([c[2] for c in settings.CORRIDORS], F.col("ix")).alias("city"),
+        _pick([c[1] for c in settings.CORRIDORS], "ix").alias("corridor_name"),
+        _pick([c[2] for c in settings.CORRIDORS], "ix").alias("city"),
         "travel_time_sec",
         "free_flow_sec",
         "length_m",
@@ -71,15 +75,12 @@ def traffic_feed(ev: DataFrame) -> DataFrame:
 
 def vehicle_pings(ev: DataFrame) -> DataFrame:
     """One vehicle ping per event, with its progress along the corridor."""
-    cid = corridor_id(F.col("ix"))
-    return ev.select(
+    return ev.withColumn("corridor_id", corridor_id()).selectExpr(
         "event_id",
-        F.concat(
-            cid, F.lit("_v"), (F.expr("user_id div 6") % 3 + 1).cast("string")
-        ).alias("vehicle_id"),
-        cid.alias("corridor_id"),
-        (F.lit(5.0) + (F.col("cents") % 4600) / F.lit(100.0)).alias("speed_kmh"),
-        ((F.col("event_id") % 1000) / F.lit(1000.0)).alias("progress"),
+        "concat(corridor_id, '_v', (user_id div 6) % 3 + 1) AS vehicle_id",
+        "corridor_id",
+        "5D + (cents % 4600) / 100D AS speed_kmh",
+        "(event_id % 1000) / 1000D AS progress",
         "event_time",
     )
 
@@ -89,19 +90,18 @@ def weather_feed(ev: DataFrame) -> DataFrame:
     codes = [c[0] for c in settings.WEATHER_CODES] + [99]
     good = F.date_format("event_time", settings.WEATHER_TIME_FORMAT)
     bad = F.date_format("event_time", "yyyy-MM-dd HH:mm")
-    north = F.col("user_id") % 2
     return ev.select(
         "event_id",
-        F.when(F.col("event_id") % 101 != 0, _pick(list(settings.WEATHER_CITIES), north.cast("int")))
+        F.when(F.col("event_id") % 101 != 0, _pick(list(settings.WEATHER_CITIES), "user_id % 2"))
         .alias("location"),
-        _pick([p[1] for p in settings.WEATHER_LOCATIONS], north.cast("int")).alias("latitude"),
-        _pick([p[2] for p in settings.WEATHER_LOCATIONS], north.cast("int")).alias("longitude"),
+        _pick([p[1] for p in settings.WEATHER_LOCATIONS], "user_id % 2").alias("latitude"),
+        _pick([p[2] for p in settings.WEATHER_LOCATIONS], "user_id % 2").alias("longitude"),
         F.when(F.col("event_id") % 97 == 0, bad).otherwise(good).alias("event_time"),
-        (F.lit(15.0) + (F.col("cents") % 2500) / F.lit(100.0)).alias("temperature_c"),
-        (F.col("event_id") % 100).cast("double").alias("humidity_pct"),
-        ((F.col("event_id") % 50) / F.lit(10.0)).alias("precipitation_mm"),
-        ((F.col("user_id") % 400) / F.lit(10.0)).alias("wind_speed_kmh"),
-        _pick(codes, (F.col("event_id") % 17).cast("int")).alias("weather_code"),
+        F.expr("15D + (cents % 2500) / 100D AS temperature_c"),
+        F.expr("cast(event_id % 100 AS double) AS humidity_pct"),
+        F.expr("(event_id % 50) / 10D AS precipitation_mm"),
+        F.expr("(user_id % 400) / 10D AS wind_speed_kmh"),
+        _pick(codes, "event_id % 17").alias("weather_code"),
     )
 
 
@@ -114,21 +114,25 @@ def as_payload(feed: DataFrame, kind: str) -> DataFrame:
     return feed
 
 
-def corridor_listing(keys: DataFrame, key: str, name: str, step: int = 1) -> DataFrame:
+def corridor_listing(
+    keys: DataFrame, key: str, name: str, step: int = 1, keep: str | None = None
+) -> DataFrame:
     """A corridor listing with one entry per row of a key table.
 
     ``step`` spaces the ids, so two listings of different steps overlap only in part. Every
     fifth name and every seventh city is missing.
     """
-    n = F.col(key)
-
-    def spread(base: float, factor: int) -> Column:
-        return F.lit(base) + ((n * factor) % 10000) / F.lit(10000.0)
 
-    return keys.select(
-        F.concat(F.lit("c"), (n * step).cast("string")).alias("id"),
-        F.when(n % 5 != 0, F.col(name)).alias("name"),
-        F.when(n % 7 != 0, F.lit("Alexandria")).alias("city"),
-        F.struct(spread(30.0, 37).alias("lat"), spread(31.0, 53).alias("lon")).alias("start"),
-        F.struct(spread(30.0, 71).alias("lat"), spread(31.0, 89).alias("lon")).alias("end"),
+    def point(lat_factor: int, lon_factor: int) -> str:
+        lat = f"30D + (({key} * {lat_factor}) % 10000) / 10000D"
+        lon = f"31D + (({key} * {lon_factor}) % 10000) / 10000D"
+        return f"named_struct('lat', {lat}, 'lon', {lon})"
+
+    return keys.selectExpr(
+        f"concat('c', {key} * {step}) AS id",
+        f"CASE WHEN {key} % 5 <> 0 THEN {name} END AS name",
+        f"CASE WHEN {key} % 7 <> 0 THEN 'Alexandria' END AS city",
+        f"{point(37, 53)} AS start",
+        f"{point(71, 89)} AS end",
+        *([keep] if keep else []),
     )

@@ -45,18 +45,20 @@ def upsert_sink(
 ) -> BatchSink:
     """Write each batch as one version of the table, then hand it to ``then``.
 
-    The batch is persisted only when it is read twice or brought into fewer files; one write
-    counts its rows as it goes. A failed write fails the batch, so the stream retries it.
+    The batch is persisted only when it is read twice; the write counts its rows as it goes.
+    ``files_per_batch`` shuffles the (already aggregated) rows into that many writers, which
+    leaves the state upstream fully parallel. A failed write fails the batch, so the stream
+    retries it.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        reuse = then is not None or files_per_batch is not None
+        reuse = then is not None
         rows = batch.persist() if reuse else batch
         try:
             seen = Observation()
             counted = rows.observe(seen, F.count(F.lit(1)).alias("rows"))
             if files_per_batch is not None:
-                counted = counted.coalesce(files_per_batch)
+                counted = counted.repartition(files_per_batch, *table.keys)
             write_version(counted, table, batch_version(batch_id), written_at)
             logger.info("batch %s: %s row(s) to %s", batch_id, seen.get.get("rows"), table.path)
             if then is not None:
