@@ -14,13 +14,15 @@ def _ends() -> tuple[Column, Column, Column, Column]:
     return F.col("start_lat"), F.col("start_lon"), F.col("end_lat"), F.col("end_lon")
 
 
+def _with_heading(corridors: DataFrame, *columns: str | Column) -> DataFrame:
+    """The given columns and the heading in degrees, one decimal."""
+    measured = corridors.select(*columns, bearing_deg(*_ends()).alias("bearing"))
+    return measured.withColumn("heading", round_exact("bearing", 1)).drop("bearing")
+
+
 def corridor_geometry(corridors: DataFrame) -> DataFrame:
-    """Straight length in km and heading in degrees, one decimal, per corridor."""
-    return corridors.select(
-        "corridor_id",
-        haversine_km(*_ends()).alias("length_km"),
-        bearing_deg(*_ends()).alias("bearing"),
-    ).select("corridor_id", "length_km", round_exact("bearing", 1).alias("heading"))
+    """Straight length in km and heading in degrees per corridor."""
+    return _with_heading(corridors, "corridor_id", haversine_km(*_ends()).alias("length_km"))
 
 
 def ping_positions(pings: DataFrame, corridors: DataFrame) -> DataFrame:
@@ -28,8 +30,8 @@ def ping_positions(pings: DataFrame, corridors: DataFrame) -> DataFrame:
 
     The trigonometry runs once per corridor, on the small side of the join.
     """
-    places = corridors.select("corridor_id", "start_lat", "start_lon", "end_lat", "end_lon").join(
-        corridor_geometry(corridors).select("corridor_id", "heading"), "corridor_id"
+    places = _with_heading(
+        corridors, "corridor_id", "start_lat", "start_lon", "end_lat", "end_lon"
     )
     placed = pings.join(places, "corridor_id").select(
         *pings.columns,

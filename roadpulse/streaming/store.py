@@ -10,6 +10,7 @@ that still reads correctly.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -91,16 +92,41 @@ def read_log(spark: SparkSession, table: UpsertTable) -> DataFrame:
     return spark.read.schema(table.stored).parquet(table.path)
 
 
+def _newest(log: DataFrame, table: UpsertTable) -> DataFrame:
+    return latest_by(log, table.keys, ["version", *[f.name for f in table.order]])
+
+
+def _folded(spark: SparkSession, table: UpsertTable) -> dict[str, int]:
+    """Dates that consist of nothing but one fold, with its version."""
+    folded = {}
+    for child in files.children(spark, table.path, "event_date="):
+        versions = files.children(spark, f"{table.path}/{child}", "version=")
+        if len(versions) == 1 and int(versions[0].split("=")[1]) % 2 == 1:
+            folded[child.split("=")[1]] = int(versions[0].split("=")[1])
+    return folded
+
+
 def read_table(spark: SparkSession, table: UpsertTable, since=None) -> DataFrame:
-    """The table as keyed rows, last write wins; ``since`` prunes date folders."""
+    """The table as keyed rows, last write wins; ``since`` prunes date folders.
+
+    Folded dates hold every key once and are read as they are; only the dates still open go
+    through the shuffle that finds the newest row per key.
+    """
+    folded = _folded(spark, table)
     log = read_log(spark, table)
     if since is not None:
         log = log.where(
             (F.col("event_date") >= F.to_date(instant(since)))
             & (F.col("event_time") >= instant(since))
         )
-    rows = latest_by(log, table.keys, ["version", *[f.name for f in table.order]])
-    return rows.select(*table.columns.names, "ingested_at")
+    columns = [*table.columns.names, "ingested_at"]
+    if not folded:
+        return _newest(log, table).select(*columns)
+    day = F.col("event_date").cast("string")
+    pairs = [(day == d) & (F.col("version") == v) for d, v in folded.items()]
+    closed = log.where(reduce(lambda a, b: a | b, pairs))
+    still_open = log.where(~day.isin(*folded))
+    return closed.select(*columns).unionByName(_newest(still_open, table).select(*columns))
 
 
 def batch_audit(log: DataFrame) -> DataFrame:
@@ -115,23 +141,20 @@ def batch_audit(log: DataFrame) -> DataFrame:
 def fold(spark: SparkSession, table: UpsertTable, closed_before) -> int:
     """Rewrite every closed date as one version and drop the versions it replaces.
 
-    Returns the number of dates rewritten. Only dates that no stream writes any more may be
-    closed. The driver sees one row per date.
+    Returns the number of dates rewritten. A stream may run beside it: whatever it adds later
+    has a higher version than the fold. Readers that started before may lose their files and
+    must run again. The driver sees one row per date.
     """
     log = read_log(spark, table).where(F.col("event_date") < F.to_date(instant(closed_before)))
     dates = (
         log.groupBy("event_date")
         .agg(F.max("version").alias("top"), F.min("version").alias("low"))
-        .where(F.col("top") != F.col("low"))
+        .where((F.col("top") != F.col("low")) | (F.col("top") % 2 == 0))
     ).collect()
     # An odd top version already holds its whole date; only leftovers remain to be dropped.
     todo = [r["event_date"] for r in dates if r["top"] % 2 == 0]
     if todo:
-        rows = latest_by(
-            log.where(F.col("event_date").isin(todo)),
-            table.keys,
-            ["version", *[f.name for f in table.order]],
-        ).drop("version")
+        rows = _newest(log.where(F.col("event_date").isin(todo)), table).drop("version")
         tops = (
             log.where(F.col("event_date").isin(todo))
             .groupBy("event_date")

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import rows, with_times
+from helpers import plan, rows, with_times
 from roadpulse import schemas
 from roadpulse.streaming import files, store
 
@@ -53,6 +53,24 @@ def _three_batches(spark, table):
         store.write_version(_speeds(spark, data), table, store.batch_version(batch))
 
 
+def test_folded_dates_are_read_without_a_shuffle(spark, home):
+    table = store.vehicle_table(home)
+    _three_batches(spark, table)
+    before = _state(spark, table)
+    assert plan(store.read_table(spark, table)).count("Window [") > 0
+    store.fold(spark, table, "2024-01-20")
+    assert _state(spark, table) == before
+    closed = store.read_table(spark, table, since="2024-01-01")
+    physical = plan(closed).split("== Physical Plan ==")[1]
+    folds, still_open = physical.split("FileScan")[1:3]
+    assert "Exchange" not in physical.split("FileScan")[0]
+    assert "PartitionFilters: [" in folds and "NOT" in still_open
+    # a date that was folded and then written again is open again
+    store.write_version(_speeds(spark, [("a", "2024-01-09 00:05", 50.0, True)]), table, 6)
+    assert ("a", "2024-01-09 00:05:00", 50.0) in _state(spark, table)
+    assert len(_state(spark, table)) == len(before)
+
+
 def _versions(spark, table, day):
     return [int(v.split("=")[1]) for v in files.children(spark, f"{table.path}/event_date={day}", "version=")]
 
