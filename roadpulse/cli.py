@@ -12,7 +12,6 @@ import logging
 
 from pyspark.sql import SparkSession
 
-from roadpulse.operators.latest import latest_by
 from roadpulse.operators.merge import expire
 from roadpulse.plans import daily, report
 from roadpulse.session import build_session
@@ -103,13 +102,15 @@ def run_report(spark: SparkSession, args, tables: Tables) -> None:
         _corridors(spark, tables),
         store.read_live(spark, tables.congestion, args.as_of),
         store.read_live(spark, tables.weather, args.as_of),
-        latest_by(pings, ["vehicle_id"], ["event_time", "offset"]),
+        pings,
         log.select(*tables.alerts.columns.names),
         args.as_of,
+        ping_order=("offset",),
     )
     for name, frame in frames.items():
         print(f"== {name}")
         frame.show(100, truncate=False)
+    spark.catalog.clearCache()
 
 
 def parser() -> argparse.ArgumentParser:

@@ -24,10 +24,15 @@ def live_report(
     alert_log: DataFrame,
     as_of=None,
     th: Thresholds = DEFAULTS,
+    ping_order: tuple[str, ...] = (),
 ) -> dict[str, DataFrame]:
-    """Every part of the live report as a frame."""
-    latest = serving.latest_per_corridor(metrics, corridors)
-    snapshot = vehicles.vehicle_snapshot(pings, as_of, th)
+    """Every part of the live report as a frame.
+
+    Several parts share the newest metrics and the vehicle snapshot, which hold one row per
+    corridor and vehicle; both are persisted, spilling to disk, until the caller clears them.
+    """
+    latest = serving.latest_per_corridor(metrics, corridors).persist()
+    snapshot = vehicles.vehicle_snapshot(pings, as_of, th, ping_order).persist()
     newest = al.recent_alerts(alert_log, th=th)
     return {
         "kpis": serving.kpi_summary(corridors, latest),
