@@ -6,7 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadpulse import settings
-from roadpulse.functions.bands import alert_icon, severity_color
+from roadpulse.functions.bands import (
+    alert_icon,
+    congestion_band,
+    congestion_color,
+    severity_color,
+)
 from roadpulse.functions.numeric import fixed_text
 from roadpulse.functions.times import instant, iso_text
 from roadpulse.operators.latest import latest_by
@@ -58,7 +63,7 @@ def latest_alerts(log: DataFrame, order: tuple[str, ...] = ("created_at",)) -> D
 def format_alerts(
     alerts: DataFrame, corridors: DataFrame, th: Thresholds = DEFAULTS
 ) -> DataFrame:
-    """Text card of every alert: title, colour, fields and description.
+    """Text card of every alert: title, colour, band, fields and description.
 
     Missing fields take their defaults, and an unlisted corridor shows its id.
     """
@@ -82,6 +87,8 @@ def format_alerts(
             F.col("corridor_name"),
         ).alias("title"),
         severity_color(F.col("severity")).alias("color"),
+        congestion_band(F.col("congestion_index"), th).alias("band"),
+        congestion_color(F.col("congestion_index"), th).alias("band_color"),
         F.concat(
             F.lit("**"), F.col("corridor_name"), F.lit("**\n`"), F.col("corridor_id"), F.lit("`")
         ).alias("corridor_field"),
@@ -92,6 +99,24 @@ def format_alerts(
     )
 
 
+def card_messages(cards: DataFrame, footer: str = settings.CARD_FOOTER) -> DataFrame:
+    """Cards as JSON documents for a chat channel; a card without description has no such key."""
+    fields = F.array(
+        *[
+            F.struct(F.lit(label).alias("name"), F.col(c).alias("value"), F.lit(line).alias("inline"))
+            for c, label, line in settings.CARD_FIELDS
+        ]
+    )
+    card = F.struct(
+        "title",
+        "color",
+        fields.alias("fields"),
+        F.struct(F.lit(footer).alias("text")).alias("footer"),
+        "description",
+    )
+    return cards.select(F.col("corridor_id").alias("key"), F.to_json(card).alias("value"))
+
+
 def recent_alerts(alerts: DataFrame, n: int | None = None, th: Thresholds = DEFAULTS) -> DataFrame:
     """The newest alerts by creation, then by window and corridor."""
     return alerts.orderBy(

@@ -460,6 +460,7 @@ def oracle_sql() -> dict[str, str]:
         [CORRIDORS, *ALERTS],
         f"SELECT a.corridor_id, {level} || ' Congestion Alert — ' || coalesce(c.name, a.corridor_id) AS title,"
         f" cast({dict(settings.SEVERITY_COLORS)['high']} AS INTEGER) AS color,"
+        f" {_band('a.congestion_index', _BANDS)} AS band, {_band('a.congestion_index', _COLORS)} AS band_color,"
         " '**' || coalesce(c.name, a.corridor_id) || '**' || chr(10) || '`' || a.corridor_id || '`' AS corridor_field,"
         f" '**' || {_text('a.congestion_index', 2)} || '**' AS index_field,"
         f" '**' || {_text('a.speed_kmh', 1)} || '** km/h' AS speed_field,"

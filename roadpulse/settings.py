@@ -120,3 +120,13 @@ DEFAULT_SEVERITY_COLOR = 0xFF4444
 BAND_SEVERE, BAND_MODERATE, BAND_LIGHT, BAND_FREE = "Severe", "Moderate", "Light", "Free Flow"
 COLOR_RED, COLOR_ORANGE, COLOR_YELLOW, COLOR_GREEN = "#FF4444", "#FFA500", "#FFD700", "#00D4AA"
 ICON_RED, ICON_ORANGE, ICON_YELLOW, ICON_GREEN = "🔴", "🟠", "🟡", "🟢"
+
+# --- Fixed values: labels of an alert card's fields, and whether they share a line ---
+
+CARD_FIELDS = (
+    ("corridor_field", "🛣️ Corridor", True),
+    ("index_field", "📊 Congestion Index", True),
+    ("speed_field", "🏎️ Speed", True),
+    ("time_field", "⏰ Event Time", False),
+)
+CARD_FOOTER = "Congestion Intelligence"

@@ -16,7 +16,7 @@ class FeedSource:
     """Where a feed comes from.
 
     ``kafka`` needs ``options={"kafka.bootstrap.servers": ...}`` and the connector on the
-    classpath. ``json`` reads envelope lines landed under ``path``.
+    classpath. Any file format (``json``, ``parquet``) reads envelopes landed under ``path``.
     """
 
     format: str = "kafka"

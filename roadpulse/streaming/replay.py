@@ -29,7 +29,7 @@ def replay(
     start: Callable[[SparkSession, FeedSource], object],
     state_partitions: int | None = None,
 ) -> None:
-    """Land each slice as JSON lines and let the job catch up with it, then stop it.
+    """Land each slice of envelopes and let the job catch up with it, then stop it.
 
     Every slice restarts the job from its checkpoint. State partitions are fixed by the first
     start, so they are set on a session of their own.
@@ -40,6 +40,6 @@ def replay(
     if state_partitions:
         session.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
     for rows in slices:
-        rows.write.mode("append").json(feed_path)
-        query = start(session, FeedSource(format="json", path=feed_path))
+        rows.write.mode("append").parquet(feed_path)
+        query = start(session, FeedSource(format="parquet", path=feed_path))
         query.awaitTermination()

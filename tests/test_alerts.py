@@ -72,6 +72,25 @@ def test_cards_levels_colors_and_defaults(spark):
         ),
         reference.monitored_corridors(spark),
     )
+    assert rows(cards, "corridor_id", "band", "band_color") == [
+        ("elsewhere", "Moderate", "#FFA500"), ("july26", "Severe", "#FF4444"),
+        ("ring_road", "Severe", "#FF4444"), ("unknown", "Free Flow", "#00D4AA"),
+    ]
+    messages = {r.key: json.loads(r.value) for r in al.card_messages(cards).collect()}
+    assert messages["ring_road"] == {
+        "title": "🟠 Congestion Alert — Ring Road",
+        "color": 0xFF4444,
+        "fields": [
+            {"name": "🛣️ Corridor", "value": "**Ring Road**\n`ring_road`", "inline": True},
+            {"name": "📊 Congestion Index", "value": "**0.85**", "inline": True},
+            {"name": "🏎️ Speed", "value": "**12.2** km/h", "inline": True},
+            {"name": "⏰ Event Time", "value": "`2026-06-26T19:00:00Z`", "inline": False},
+        ],
+        "footer": {"text": "Congestion Intelligence"},
+        "description": "m",
+    }
+    assert "description" not in messages["july26"]
+    cards = cards.drop("band", "band_color")
     assert {r.corridor_id: tuple(r)[1:] for r in cards.collect()} == {
         "ring_road": (
             "🟠 Congestion Alert — Ring Road", 0xFF4444, "**Ring Road**\n`ring_road`", "**0.85**",
