@@ -12,9 +12,11 @@ import logging
 
 from pyspark.sql import SparkSession
 
+from roadpulse.functions.times import before
 from roadpulse.operators.merge import expire
 from roadpulse.plans import daily, report
 from roadpulse.session import build_session
+from roadpulse.settings import DEFAULTS
 from roadpulse.sources import reference
 from roadpulse.sources.feeds import FeedSource, decode_feed, load_feed
 from roadpulse.streaming import jobs, store
@@ -89,7 +91,9 @@ def run_daily(spark: SparkSession, args, tables: Tables) -> None:
 
 def run_check(spark: SparkSession, args, tables: Tables) -> bool:
     checks = report.check_tables(
-        store.read_log(spark, tables.congestion), store.read_log(spark, tables.weather), args.as_of
+        store.read_newest_day(spark, tables.congestion),
+        store.read_newest_day(spark, tables.weather),
+        args.as_of,
     )
     return report.log_states(checks, "table_name")
 
@@ -100,8 +104,9 @@ def run_report(spark: SparkSession, args, tables: Tables) -> None:
     frames = report.live_report(
         spark,
         _corridors(spark, tables),
-        store.read_live(spark, tables.congestion, args.as_of),
-        store.read_live(spark, tables.weather, args.as_of),
+        store.read_newest(spark, tables.congestion, "corridor_id", args.as_of),
+        store.read_table(spark, tables.congestion, before(args.as_of, hours=DEFAULTS.trend_hours), args.as_of),
+        store.read_newest(spark, tables.weather, "location", args.as_of),
         pings,
         log.select(*tables.alerts.columns.names),
         args.as_of,

@@ -27,10 +27,15 @@ def describe_weather(metrics: DataFrame, codes: DataFrame) -> DataFrame:
 
 
 def weather_now(
-    metrics: DataFrame, codes: DataFrame, cities: tuple[str, ...] = settings.WEATHER_CITIES
+    metrics: DataFrame,
+    codes: DataFrame,
+    cities: tuple[str, ...] = settings.WEATHER_CITIES,
+    tie_breaks: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Latest report of each of the given cities, described."""
-    latest = latest_by(
-        metrics.where(F.col("location").isin(*cities)), ["location"], ["event_time"]
-    )
-    return describe_weather(latest, codes)
+    """Latest report of each of the given cities, described.
+
+    Reports need not be collapsed by key before; ``tie_breaks`` order those of the same time.
+    """
+    of_cities = metrics.where(F.col("location").isin(*cities))
+    latest = latest_by(of_cities, ["location"], ["event_time", *tie_breaks])
+    return describe_weather(latest.drop(*tie_breaks), codes)

@@ -95,9 +95,8 @@ def _weather_reports(spark, sf_dir) -> DataFrame:
     return feed.withColumn("event_time", parse_weather_time(F.col("event_time")))
 
 
-def _weather_metrics(spark, sf_dir) -> DataFrame:
-    clean = weather.clean_weather(_weather_reports(spark, sf_dir), keep=("event_id",))
-    return latest_by(clean, ["location", "event_time"], ["event_id"]).drop("event_id")
+def _weather_rows(spark, sf_dir) -> DataFrame:
+    return weather.clean_weather(_weather_reports(spark, sf_dir), keep=("event_id",))
 
 
 def _listing(spark, sf_dir, table, key, name, step=1) -> DataFrame:
@@ -138,7 +137,8 @@ def _vehicle_windows_query(spark, sf_dir):
 @query("weather_clean")
 def _weather_clean_query(spark, sf_dir):
     """Weather table rows; of equal keys the later report wins."""
-    return _weather_metrics(spark, sf_dir)
+    rows = _weather_rows(spark, sf_dir)
+    return latest_by(rows, ["location", "event_time"], ["event_id"]).drop("event_id")
 
 
 # --- decode, encode, documents ----------------------------------------------------------
@@ -332,7 +332,9 @@ def _trend_series_query(spark, sf_dir):
 @query("weather_now")
 def _weather_now_query(spark, sf_dir):
     """Latest weather per city with its description."""
-    return weather.weather_now(_weather_metrics(spark, sf_dir), reference.weather_codes(spark))
+    return weather.weather_now(
+        _weather_rows(spark, sf_dir), reference.weather_codes(spark), tie_breaks=("event_id",)
+    )
 
 
 def _snapshot(spark, sf_dir) -> DataFrame:
@@ -463,7 +465,7 @@ def _table_freshness_query(spark, sf_dir):
     """State of the congestion and weather tables."""
     tables = {
         "congestion_metrics": _metrics(spark, sf_dir),
-        "weather_metrics": weather.clean_weather(_weather_reports(spark, sf_dir)),
+        "weather_metrics": _weather_rows(spark, sf_dir),
     }
     return quality.table_freshness(tables, AS_OF)
 

@@ -66,7 +66,7 @@ def recalculate_baselines(
     Returns the number recomputed. Stored baselines that got no new samples stay.
     """
     since = before(as_of, days=th.baseline_days)
-    live = store.read_live(spark, metrics, as_of, since, th)
+    live = store.read_table(spark, metrics, since, as_of, th)
     seen = Observation()
     fresh = baselines(live, corridors, as_of, th).observe(seen, F.count(F.lit(1)).alias("rows"))
     merged = merge_by_key(read_baselines(spark, path), fresh, BASELINE_KEYS, BASELINE_VALUES)

@@ -18,8 +18,9 @@ logger = logging.getLogger("roadpulse.report")
 def live_report(
     spark: SparkSession,
     corridors: DataFrame,
-    metrics: DataFrame,
-    weather_metrics: DataFrame,
+    newest_metrics: DataFrame,
+    recent_metrics: DataFrame,
+    newest_weather: DataFrame,
     pings: DataFrame,
     alert_log: DataFrame,
     as_of=None,
@@ -28,21 +29,22 @@ def live_report(
 ) -> dict[str, DataFrame]:
     """Every part of the live report as a frame.
 
-    Several parts share the newest metrics and the vehicle snapshot, which hold one row per
+    ``newest_*`` need only hold the newest row per corridor or city, and ``recent_metrics`` only
+    the hours of the trend. Several parts share the newest metrics and the vehicle snapshot, which hold one row per
     corridor and vehicle; both are persisted, spilling to disk, until the caller clears them.
     """
-    latest = serving.latest_per_corridor(metrics, corridors).persist()
+    latest = serving.latest_per_corridor(newest_metrics, corridors).persist()
     snapshot = vehicles.vehicle_snapshot(pings, as_of, th, ping_order).persist()
     newest = al.recent_alerts(alert_log, th=th)
     return {
         "kpis": serving.kpi_summary(corridors, latest),
         "corridor_status": serving.corridor_status(corridors, latest, th),
         "map_extent": geometry.map_extent(corridors, th),
-        "weather": weather.weather_now(weather_metrics, reference.weather_codes(spark)),
+        "weather": weather.weather_now(newest_weather, reference.weather_codes(spark)),
         "vehicles_tracked": vehicles.vehicles_tracked(snapshot),
         "vehicle_markers": vehicles.vehicle_markers(snapshot, th),
         "vehicle_distribution": vehicles.vehicle_distribution(corridors, snapshot),
-        "trends": serving.trend_series(metrics, corridors, as_of, th),
+        "trends": serving.trend_series(recent_metrics, corridors, as_of, th),
         "alerts": al.format_alerts(newest, corridors, th),
     }
 

@@ -106,11 +106,15 @@ def _folded(spark: SparkSession, table: UpsertTable) -> dict[str, int]:
     return folded
 
 
-def read_table(spark: SparkSession, table: UpsertTable, since=None) -> DataFrame:
-    """The table as keyed rows, last write wins; ``since`` prunes date folders.
+def read_table(
+    spark: SparkSession, table: UpsertTable, since=None, live_at=None, th: Thresholds = DEFAULTS
+) -> DataFrame:
+    """The table as keyed rows, last write wins.
 
-    Folded dates hold every key once and are read as they are; only the dates still open go
-    through the shuffle that finds the newest row per key.
+    ``since`` prunes date folders; ``live_at`` leaves out rows past retention at that moment,
+    before the newest are sought, since a key's older writes expire first. Folded dates hold
+    every key once and are read as they are; only the dates still open go through the shuffle
+    that finds the newest row per key.
     """
     folded = _folded(spark, table)
     log = read_log(spark, table)
@@ -119,6 +123,8 @@ def read_table(spark: SparkSession, table: UpsertTable, since=None) -> DataFrame
             (F.col("event_date") >= F.to_date(instant(since)))
             & (F.col("event_time") >= instant(since))
         )
+    if live_at is not None:
+        log = expire(log, live_at, th)
     columns = [*table.columns.names, "ingested_at"]
     if not folded:
         return _newest(log, table).select(*columns)
@@ -129,6 +135,30 @@ def read_table(spark: SparkSession, table: UpsertTable, since=None) -> DataFrame
     return closed.select(*columns).unionByName(_newest(still_open, table).select(*columns))
 
 
+def read_newest(
+    spark: SparkSession,
+    table: UpsertTable,
+    entity: str,
+    live_at=None,
+    th: Thresholds = DEFAULTS,
+) -> DataFrame:
+    """The newest row of every entity, straight from the log: one row per task is shuffled."""
+    log = read_log(spark, table)
+    if live_at is not None:
+        log = expire(log, live_at, th)
+    order = ["event_time", "version", *[f.name for f in table.order]]
+    return latest_by(log, [entity], order).select(*table.columns.names)
+
+
+def read_newest_day(spark: SparkSession, table: UpsertTable) -> DataFrame:
+    """The log of the newest date that has rows, which also holds the newest event time."""
+    log = read_log(spark, table)
+    for child in reversed(files.children(spark, table.path, "event_date=")):
+        if files.has_children(spark, f"{table.path}/{child}", "version="):
+            return log.where(F.col("event_date").cast("string") == child.split("=")[1])
+    return log
+
+
 def batch_audit(log: DataFrame) -> DataFrame:
     """Rows written per batch, counted from the stored versions."""
     return (
@@ -186,18 +216,14 @@ def drop_expired(
     )
     dropped = 0
     for r in old.toLocalIterator():
-        files.delete(spark, f"{table.path}/event_date={r['event_date']}/version={r['version']}")
+        folder = f"{table.path}/event_date={r['event_date']}"
+        files.delete(spark, f"{folder}/version={r['version']}")
+        if not files.children(spark, folder):
+            files.delete(spark, folder)
         dropped += 1
     return dropped
 
 
-def read_live(
-    spark: SparkSession, table: UpsertTable, as_of, since=None, th: Thresholds = DEFAULTS
-) -> DataFrame:
-    """The table without expired rows."""
-    return expire(read_table(spark, table, since), as_of, th).drop("ingested_at")
-
-
 def publish_snapshot(spark: SparkSession, df: DataFrame, path: str) -> int:
     """Write a small whole table as its next snapshot, beside the one it may derive from."""
     number = 1 + max(_snapshots(spark, path), default=-1)

@@ -117,11 +117,31 @@ def test_retention_drops_whole_versions(spark, home):
     new = _speeds(spark, [("a", "2024-01-01 00:05", 11.0, True)])
     store.write_version(old, table, 0, written_at="2024-01-01")
     store.write_version(new, table, 2, written_at="2024-01-10")
-    assert store.read_live(spark, table, "2024-01-30").count() == 2
-    assert rows(store.read_live(spark, table, "2024-02-05"), "corridor_id", "avg_speed_kmh") == [("a", 11.0)]
+    assert store.read_table(spark, table, live_at="2024-01-30").count() == 2
+    live = store.read_table(spark, table, live_at="2024-02-05")
+    assert rows(live, "corridor_id", "avg_speed_kmh") == [("a", 11.0)]
+    assert store.read_newest(spark, table, "corridor_id", live_at="2024-02-05").count() == 1
     assert store.drop_expired(spark, table, "2024-01-30") == 0
     assert store.drop_expired(spark, table, "2024-02-05") == 1
     assert _versions(spark, table, "2024-01-01") == [2]
+    assert store.drop_expired(spark, table, "2024-03-05") == 1
+    assert files.children(spark, table.path, "event_date=") == []
+    assert store.read_table(spark, table).count() == 0
+
+
+def test_newest_rows_and_day(spark, home):
+    table = store.vehicle_table(home)
+    assert store.read_newest_day(spark, table).count() == 0
+    _three_batches(spark, table)
+    newest = with_times(store.read_newest(spark, table, "corridor_id"), "event_time")
+    assert rows(newest, "corridor_id", "event_time", "avg_speed_kmh") == [
+        ("a", "2024-01-09 00:05:00", 12.0), ("only0", "2024-01-01 00:05:00", 10.0),
+        ("only1", "2024-01-01 00:05:00", 11.0), ("only2", "2024-01-01 00:05:00", 12.0),
+    ]
+    day = store.read_newest_day(spark, table)
+    assert rows(day.select("event_date").distinct().withColumn("event_date", F.col("event_date").cast("string")), "*") == [
+        ("2024-01-09",)
+    ]
 
 
 def test_snapshots(spark, home):
