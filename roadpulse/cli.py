@@ -9,10 +9,11 @@ from __future__ import annotations
 
 import argparse
 import logging
+from datetime import timedelta
 
 from pyspark.sql import SparkSession
 
-from roadpulse.functions.times import before
+from roadpulse.functions.times import moment
 from roadpulse.operators.merge import expire
 from roadpulse.plans import daily, report
 from roadpulse.session import build_session
@@ -45,11 +46,12 @@ class Tables:
 
 
 def _source(args, kind: str) -> FeedSource:
+    extra = dict(option.split("=", 1) for option in args.option)
     if args.bootstrap:
-        return FeedSource(options={"kafka.bootstrap.servers": args.bootstrap})
+        return FeedSource(options={"kafka.bootstrap.servers": args.bootstrap, **extra})
     if not args.feeds:
         raise SystemExit("give --bootstrap for a broker or --feeds for landed files")
-    return FeedSource(format="json", path=f"{args.feeds.rstrip('/')}/{kind}")
+    return FeedSource(format="json", path=f"{args.feeds.rstrip('/')}/{kind}", options=extra)
 
 
 def _corridors(spark: SparkSession, tables: Tables):
@@ -59,6 +61,8 @@ def _corridors(spark: SparkSession, tables: Tables):
 
 def run_stream(spark: SparkSession, args, tables: Tables) -> None:
     trigger = {"availableNow": True} if args.once else None
+    if args.every:
+        trigger = {"processingTime": args.every}
     common = {"trigger": trigger, "files_per_batch": args.files_per_batch}
     source, checkpoint = _source(args, args.kind), tables.checkpoint(args.kind)
     if args.kind == "traffic":
@@ -100,16 +104,17 @@ def run_check(spark: SparkSession, args, tables: Tables) -> bool:
 
 def run_report(spark: SparkSession, args, tables: Tables) -> None:
     pings = decode_feed(load_feed(spark, "vehicle", _source(args, "vehicle")), "vehicle", ("offset",))
-    log = expire(store.read_log(spark, tables.alerts), args.as_of)
+    now = moment(args.as_of)
+    log = expire(store.read_log(spark, tables.alerts), now)
     frames = report.live_report(
         spark,
         _corridors(spark, tables),
-        store.read_newest(spark, tables.congestion, "corridor_id", args.as_of),
-        store.read_table(spark, tables.congestion, before(args.as_of, hours=DEFAULTS.trend_hours), args.as_of),
-        store.read_newest(spark, tables.weather, "location", args.as_of),
+        store.read_newest(spark, tables.congestion, "corridor_id", now),
+        store.read_table(spark, tables.congestion, now - timedelta(hours=DEFAULTS.trend_hours), now),
+        store.read_newest(spark, tables.weather, "location", now),
         pings,
         log.select(*tables.alerts.columns.names),
-        args.as_of,
+        now,
         ping_order=("offset",),
     )
     for name, frame in frames.items():
@@ -125,10 +130,18 @@ def parser() -> argparse.ArgumentParser:
     top.add_argument("--as-of", default=None, help="moment in UTC; default now")
     top.add_argument("--bootstrap", default=None, help="broker addresses")
     top.add_argument("--feeds", default=None, help="root folder of landed feeds")
+    top.add_argument(
+        "--option",
+        action="append",
+        default=[],
+        metavar="KEY=VALUE",
+        help="option of the feed source, such as maxOffsetsPerTrigger=1000000",
+    )
     commands = top.add_subparsers(dest="command", required=True)
     stream = commands.add_parser("stream", help="run one streaming job")
     stream.add_argument("kind", choices=["traffic", "vehicle", "weather"])
     stream.add_argument("--once", action="store_true", help="catch up, then stop")
+    stream.add_argument("--every", default=None, help="trigger interval, such as '10 seconds'")
     stream.add_argument("--files-per-batch", type=int, default=None)
     stream.add_argument("--alert-topic", default=None)
     stream.add_argument("--alert-path", default=None)

@@ -10,22 +10,27 @@ from pyspark.sql import functions as F
 from roadpulse import settings
 
 
+def moment(value: datetime | str | None = None) -> datetime:
+    """A moment as an aware datetime; naive moments are UTC, None is now."""
+    if value is None:
+        return datetime.now(timezone.utc)
+    if isinstance(value, str):
+        value = datetime.fromisoformat(value)
+    return value if value.tzinfo else value.replace(tzinfo=timezone.utc)
+
+
 def instant(value: datetime | str | Column | None = None) -> Column:
     """A timestamp column from a moment; naive moments are UTC, None is now."""
     if value is None:
         return F.current_timestamp()
     if isinstance(value, Column):
         return value
-    if isinstance(value, str):
-        value = datetime.fromisoformat(value)
-    if value.tzinfo is None:
-        value = value.replace(tzinfo=timezone.utc)
-    return F.lit(value)
+    return F.lit(moment(value))
 
 
-def before(moment: datetime | str | Column | None, **span: int) -> Column:
-    """``moment`` minus days, hours, mins or secs."""
-    return instant(moment) - F.make_dt_interval(**{k: F.lit(v) for k, v in span.items()})
+def before(value: datetime | str | Column | None, **span: int) -> Column:
+    """A moment minus days, hours, mins or secs."""
+    return instant(value) - F.make_dt_interval(**{k: F.lit(v) for k, v in span.items()})
 
 
 def parse_iso(c: Column) -> Column:

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import logging
+from datetime import timedelta
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadpulse import schemas
-from roadpulse.functions.times import before
+from roadpulse.functions.times import instant, moment
 from roadpulse.operators.baselines import BASELINE_KEYS, BASELINE_VALUES, baselines
 from roadpulse.operators.merge import CORRIDOR_UPDATES, insert_if_absent, merge_by_key
 from roadpulse.settings import DEFAULTS, Thresholds
@@ -65,13 +66,13 @@ def recalculate_baselines(
 
     Returns the number recomputed. Stored baselines that got no new samples stay.
     """
-    since = before(as_of, days=th.baseline_days)
-    live = store.read_table(spark, metrics, since, as_of, th)
-    seen = Observation()
-    fresh = baselines(live, corridors, as_of, th).observe(seen, F.count(F.lit(1)).alias("rows"))
+    now = moment(as_of)
+    since = now - timedelta(days=th.baseline_days)
+    live = store.read_table(spark, metrics, since, now, th)
+    fresh = baselines(live, corridors, now, th)
     merged = merge_by_key(read_baselines(spark, path), fresh, BASELINE_KEYS, BASELINE_VALUES)
     store.publish_snapshot(spark, _as(merged, schemas.CONGESTION_BASELINES), path)
-    written = int(seen.get.get("rows", 0))
+    written = read_baselines(spark, path).where(F.col("updated_at") == instant(now)).count()
     logger.info("recalculated %s baseline row(s)", written)
     return written
 
@@ -84,5 +85,5 @@ def tidy(
     Every kept row of a folded date keeps its own write time, so retention is unaffected.
     """
     dropped = store.drop_expired(spark, table, as_of, th)
-    folded = store.fold(spark, table, before(as_of, days=1))
+    folded = store.fold(spark, table, moment(as_of) - timedelta(days=1))
     return folded, dropped

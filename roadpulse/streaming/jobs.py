@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from roadpulse.operators.traffic import traffic_windows
@@ -25,7 +26,8 @@ def _start(
 ) -> StreamingQuery:
     """Start a job. ``trigger`` is passed on; none means as fast as possible.
 
-    Batch numbers restart with a fresh checkpoint and would replace older versions, so a
+    The rows of every batch are counted as they pass and appear in the query's progress under
+    ``observedMetrics``. Batch numbers restart with a fresh checkpoint and would replace older versions, so a
     table that has rows must come with the checkpoint that wrote them.
     """
     spark = rows.sparkSession
@@ -33,8 +35,9 @@ def _start(
         spark, f"{checkpoint}/offsets"
     ):
         raise ValueError(f"{table.path} holds rows but checkpoint {checkpoint} is new")
+    counted = rows.observe("batch", F.count(F.lit(1)).alias("rows"))
     writer = (
-        rows.writeStream.foreachBatch(sink)
+        counted.writeStream.foreachBatch(sink)
         .outputMode(mode)
         .option("checkpointLocation", checkpoint)
     )

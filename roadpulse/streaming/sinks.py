@@ -6,8 +6,7 @@ import logging
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from roadpulse.operators.alerts import alert_messages, build_alerts
 from roadpulse.streaming.store import UpsertTable, batch_version, write_version
@@ -45,8 +44,7 @@ def upsert_sink(
 ) -> BatchSink:
     """Write each batch as one version of the table, then hand it to ``then``.
 
-    The batch is persisted only when it is read twice; the write counts its rows as it goes.
-    ``files_per_batch`` shuffles the (already aggregated) rows into that many writers, which
+    The batch is persisted only when it is read twice. ``files_per_batch`` shuffles the (already aggregated) rows into that many writers, which
     leaves the state upstream fully parallel. A failed write fails the batch, so the stream
     retries it.
     """
@@ -55,12 +53,11 @@ def upsert_sink(
         reuse = then is not None
         rows = batch.persist() if reuse else batch
         try:
-            seen = Observation()
-            counted = rows.observe(seen, F.count(F.lit(1)).alias("rows"))
+            placed = rows
             if files_per_batch is not None:
-                counted = counted.repartition(files_per_batch, *table.keys)
-            write_version(counted, table, batch_version(batch_id), written_at)
-            logger.info("batch %s: %s row(s) to %s", batch_id, seen.get.get("rows"), table.path)
+                placed = rows.repartition(files_per_batch, *table.keys)
+            write_version(placed, table, batch_version(batch_id), written_at)
+            logger.info("batch %s written to %s", batch_id, table.path)
             if then is not None:
                 then(rows, batch_id)
         finally:

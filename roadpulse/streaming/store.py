@@ -10,6 +10,7 @@ that still reads correctly.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import timezone
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from roadpulse import schemas
-from roadpulse.functions.times import before, instant
+from roadpulse.functions.times import before, instant, moment
 from roadpulse.operators.latest import latest_by
 from roadpulse.operators.merge import expire
 from roadpulse.settings import DEFAULTS, Thresholds
@@ -85,24 +86,45 @@ def write_version(rows: DataFrame, table: UpsertTable, version: int, written_at=
     ).parquet(table.path)
 
 
-def read_log(spark: SparkSession, table: UpsertTable) -> DataFrame:
-    """Every stored row with its version; an absent table is empty."""
-    if not files.has_children(spark, table.path, "event_date="):
+def _days(
+    spark: SparkSession, table: UpsertTable, since=None, until=None
+) -> list[str]:
+    """Dates that have a folder, from ``since`` on and before the date of ``until``."""
+    days = [c.split("=")[1] for c in files.children(spark, table.path, "event_date=")]
+    first = moment(since).astimezone(timezone.utc).date().isoformat() if since else ""
+    end = moment(until).astimezone(timezone.utc).date().isoformat() if until else "9999"
+    return [d for d in days if first <= d < end]
+
+
+def read_log(
+    spark: SparkSession, table: UpsertTable, days: list[str] | None = None
+) -> DataFrame:
+    """Every stored row with its version; an absent table is empty.
+
+    With ``days``, only those date folders are listed and read.
+    """
+    if days is None:
+        days = _days(spark, table)
+    if not days:
         return spark.createDataFrame([], table.stored)
-    return spark.read.schema(table.stored).parquet(table.path)
+    return (
+        spark.read.schema(table.stored)
+        .option("basePath", table.path)
+        .parquet(*[f"{table.path}/event_date={d}" for d in days])
+    )
 
 
 def _newest(log: DataFrame, table: UpsertTable) -> DataFrame:
     return latest_by(log, table.keys, ["version", *[f.name for f in table.order]])
 
 
-def _folded(spark: SparkSession, table: UpsertTable) -> dict[str, int]:
-    """Dates that consist of nothing but one fold, with its version."""
+def _folded(spark: SparkSession, table: UpsertTable, days: list[str]) -> dict[str, int]:
+    """Those of the dates that consist of nothing but one fold, with its version."""
     folded = {}
-    for child in files.children(spark, table.path, "event_date="):
-        versions = files.children(spark, f"{table.path}/{child}", "version=")
+    for day in days:
+        versions = files.children(spark, f"{table.path}/event_date={day}", "version=")
         if len(versions) == 1 and int(versions[0].split("=")[1]) % 2 == 1:
-            folded[child.split("=")[1]] = int(versions[0].split("=")[1])
+            folded[day] = int(versions[0].split("=")[1])
     return folded
 
 
@@ -111,18 +133,16 @@ def read_table(
 ) -> DataFrame:
     """The table as keyed rows, last write wins.
 
-    ``since`` prunes date folders; ``live_at`` leaves out rows past retention at that moment,
+    ``since`` limits the date folders that are listed; ``live_at`` leaves out rows past retention at that moment,
     before the newest are sought, since a key's older writes expire first. Folded dates hold
     every key once and are read as they are; only the dates still open go through the shuffle
     that finds the newest row per key.
     """
-    folded = _folded(spark, table)
-    log = read_log(spark, table)
+    days = _days(spark, table, since)
+    folded = _folded(spark, table, days)
+    log = read_log(spark, table, days)
     if since is not None:
-        log = log.where(
-            (F.col("event_date") >= F.to_date(instant(since)))
-            & (F.col("event_time") >= instant(since))
-        )
+        log = log.where(F.col("event_time") >= instant(since))
     if live_at is not None:
         log = expire(log, live_at, th)
     columns = [*table.columns.names, "ingested_at"]
@@ -152,11 +172,10 @@ def read_newest(
 
 def read_newest_day(spark: SparkSession, table: UpsertTable) -> DataFrame:
     """The log of the newest date that has rows, which also holds the newest event time."""
-    log = read_log(spark, table)
-    for child in reversed(files.children(spark, table.path, "event_date=")):
-        if files.has_children(spark, f"{table.path}/{child}", "version="):
-            return log.where(F.col("event_date").cast("string") == child.split("=")[1])
-    return log
+    for day in reversed(_days(spark, table)):
+        if files.has_children(spark, f"{table.path}/event_date={day}", "version="):
+            return read_log(spark, table, [day])
+    return read_log(spark, table, [])
 
 
 def batch_audit(log: DataFrame) -> DataFrame:
@@ -169,13 +188,13 @@ def batch_audit(log: DataFrame) -> DataFrame:
 
 
 def fold(spark: SparkSession, table: UpsertTable, closed_before) -> int:
-    """Rewrite every closed date as one version and drop the versions it replaces.
+    """Rewrite every date before that of ``closed_before`` as one version; drop the others.
 
     Returns the number of dates rewritten. A stream may run beside it: whatever it adds later
     has a higher version than the fold. Readers that started before may lose their files and
     must run again. The driver sees one row per date.
     """
-    log = read_log(spark, table).where(F.col("event_date") < F.to_date(instant(closed_before)))
+    log = read_log(spark, table, _days(spark, table, until=closed_before))
     dates = (
         log.groupBy("event_date")
         .agg(F.max("version").alias("top"), F.min("version").alias("low"))
