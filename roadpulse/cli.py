@@ -23,11 +23,13 @@ from roadpulse.sources.feeds import FeedSource, decode_feed, load_feed
 from roadpulse.streaming import jobs, store
 from roadpulse.streaming.sinks import AlertChannel
 
-# State outgrows executor memory with many corridors; this provider keeps it on disk.
+# State outgrows executor memory with many corridors; this provider keeps it on disk and
+# checkpoints only what a batch changed.
 STREAM_CONF = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-    )
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
@@ -142,7 +144,7 @@ def parser() -> argparse.ArgumentParser:
     stream.add_argument("kind", choices=["traffic", "vehicle", "weather"])
     stream.add_argument("--once", action="store_true", help="catch up, then stop")
     stream.add_argument("--every", default=None, help="trigger interval, such as '10 seconds'")
-    stream.add_argument("--files-per-batch", type=int, default=None)
+    stream.add_argument("--files-per-batch", type=int, default=8)
     stream.add_argument("--alert-topic", default=None)
     stream.add_argument("--alert-path", default=None)
     commands.add_parser("daily", help="refresh corridors and baselines, tidy tables")

@@ -61,7 +61,7 @@ def start_traffic(
     """Windowed congestion metrics, upserted as windows change, with alerts per change."""
     events = decode_feed(read_feed(spark, "traffic", source), "traffic")
     rows = traffic_windows(events.withWatermark("event_time", th.watermarks["traffic"]), th)
-    then = alert_sink(alerts, channel, now) if alerts else None
+    then = alert_sink(alerts, channel, now, files_per_batch) if alerts else None
     return _start(
         rows, upsert_sink(table, then, files_per_batch, now), table, checkpoint, "update", trigger
     )

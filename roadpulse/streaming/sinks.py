@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 
+from roadpulse.functions.times import moment
 from roadpulse.operators.alerts import alert_messages, build_alerts
 from roadpulse.streaming.store import UpsertTable, batch_version, write_version
 
@@ -20,7 +21,8 @@ BatchSink = Callable[[DataFrame, int], None]
 class AlertChannel:
     """Where alert messages (key, JSON value) go after the alert log has them.
 
-    ``kafka`` sends to a topic; any file format writes one folder per batch under ``path``.
+    ``kafka`` sends to a topic, and a replayed batch sends again; any file format writes one
+    folder per batch under ``path``, which a replay replaces.
     """
 
     format: str = "json"
@@ -56,7 +58,7 @@ def upsert_sink(
             placed = rows
             if files_per_batch is not None:
                 placed = rows.repartition(files_per_batch, *table.keys)
-            write_version(placed, table, batch_version(batch_id), written_at)
+            write_version(placed, table, batch_version(batch_id), moment(written_at))
             logger.info("batch %s written to %s", batch_id, table.path)
             if then is not None:
                 then(rows, batch_id)
@@ -68,18 +70,25 @@ def upsert_sink(
 
 
 def alert_sink(
-    table: UpsertTable, channel: AlertChannel | None = None, created_at=None
+    table: UpsertTable,
+    channel: AlertChannel | None = None,
+    created_at=None,
+    files_per_batch: int | None = None,
 ) -> BatchSink:
     """Log an alert for every anomalous row of the batch, then pass it to the channel.
 
     The channel only gets what the log has. Failures are logged and do not fail the batch;
-    the metrics are already stored by then.
+    the metrics are already stored by then, and the batch is persisted, so writing fewer files
+    does not slow the state down.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        alerts = build_alerts(batch, created_at)
+        now = moment(created_at)  # the log and the channel carry the same time
+        alerts = build_alerts(batch, now)
+        if files_per_batch is not None:
+            alerts = alerts.coalesce(files_per_batch)
         try:
-            write_version(alerts, table, batch_version(batch_id), created_at)
+            write_version(alerts, table, batch_version(batch_id), now)
         except Exception:
             logger.exception("batch %s: alert log failed", batch_id)
             return

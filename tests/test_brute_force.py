@@ -1,0 +1,146 @@
+"""Random small feeds against plain Python."""
+
+import json
+import math
+import random
+from collections import defaultdict
+from datetime import datetime, timedelta
+from fractions import Fraction
+
+import pytest
+from pyspark.sql import functions as F
+
+from helpers import with_times
+from roadpulse.operators.baselines import baselines
+from roadpulse.operators.latest import latest_by
+from roadpulse.operators.quality import reconcile
+from roadpulse.operators.serving import latest_per_corridor
+from roadpulse.operators.traffic import traffic_windows
+from roadpulse.operators.vehicles import vehicle_windows
+from roadpulse.sources import reference
+from roadpulse.sources.feeds import FeedSource, decode_feed
+from roadpulse.streaming import jobs, store
+
+BASE = datetime(2024, 1, 1)
+IDS = ["ring_road", "july26", "salah_salem", "elsewhere", None]
+VALUES = [0.0, 0.1, 0.2, 0.35, 0.7, 0.71, 1.5, 14.9, 15.0, 15.1, 20.0, None]
+
+
+def _events(seed, n, minutes):
+    rnd = random.Random(seed)
+    return [
+        (
+            i,
+            rnd.choice(IDS),
+            None if rnd.random() < 0.03 else BASE + timedelta(seconds=rnd.randrange(minutes * 60)),
+            rnd.choice(VALUES),
+            rnd.choice(VALUES),
+        )
+        for i in range(n)
+    ]
+
+
+def _frame(spark, events):
+    data = [(i, c, None if t is None else str(t), x, s) for i, c, t, x, s in events]
+    df = spark.createDataFrame(data, "n long, corridor_id string, t string, congestion_index double, speed_kmh double")
+    return df.withColumn("event_time", F.col("t").cast("timestamp")).drop("t")
+
+
+def _mean(values):
+    """The exact mean of the decimal values, as the nearest double."""
+    known = [Fraction(str(v)) for v in values if v is not None]
+    return float(sum(known) / len(known)) if known else None
+
+
+def _groups(events, minutes):
+    groups = defaultdict(list)
+    for _, corridor, t, x, s in events:
+        if corridor is not None and t is not None:
+            start = t - timedelta(seconds=(t - BASE).seconds % (minutes * 60))
+            groups[corridor, start + timedelta(minutes=minutes)].append((x, s))
+    return groups
+
+
+def _close(a, b):
+    return a is b if a is None or b is None else math.isclose(a, b, rel_tol=1e-12, abs_tol=1e-12)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_windows(spark, seed):
+    events = _events(seed, 1500, 300)
+    frame = _frame(spark, events).repartition(5)
+    got = {
+        (r.corridor_id, datetime.fromisoformat(r.event_time)): r
+        for r in with_times(traffic_windows(frame), "event_time").collect()
+    }
+    want = _groups(events, 10)
+    assert got.keys() == want.keys()
+    for key, members in want.items():
+        index, speed = _mean([m[0] for m in members]), _mean([m[1] for m in members])
+        assert _close(got[key].congestion_index, index) and _close(got[key].speed_kmh, speed)
+        flag = (index is not None and index > 0.7) or (speed is not None and speed < 15)
+        assert got[key].is_anomaly == flag
+    slow = {
+        (r.corridor_id, datetime.fromisoformat(r.event_time)): (r.avg_speed_kmh, r.is_anomaly)
+        for r in with_times(vehicle_windows(frame), "event_time").collect()
+    }
+    for key, members in _groups(events, 5).items():
+        speed = _mean([m[1] for m in members])
+        assert _close(slow[key][0], speed) and slow[key][1] == (speed is not None and speed < 20)
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_baselines_of_rows(spark, seed):
+    events = _events(seed + 10, 3000, 10 * 24 * 60)
+    as_of, known = BASE + timedelta(days=10), {"ring_road", "july26", "salah_salem"}
+    want = defaultdict(list)
+    for _, corridor, t, x, s in events:
+        if corridor in known and t and t >= as_of - timedelta(days=7) and x is not None and s is not None:
+            want[corridor, t.weekday(), t.hour].append((1 + Fraction(str(x))) * 60)
+    got = baselines(_frame(spark, events), reference.monitored_corridors(spark), as_of).collect()
+    assert {(r.corridor_id, r.day_of_week, r.hour_of_day) for r in got} == set(want)
+    for r in got:
+        values = want[r.corridor_id, r.day_of_week, r.hour_of_day]
+        assert r.sample_count == len(values)
+        assert math.isclose(r.avg_travel_time_sec, float(sum(values) / len(values)), rel_tol=1e-12)
+
+
+def test_latest(spark):
+    events = _events(42, 2000, 60)
+    frame = _frame(spark, events).repartition(7)
+    best = {}
+    for event in events:
+        key, order = event[1], (event[2] is not None, event[2] or BASE, event[0])
+        if key not in best or order > best[key][0]:
+            best[key] = (order, event[0])
+    got = {r.corridor_id: r.n for r in latest_by(frame, ["corridor_id"], ["event_time", "n"]).collect()}
+    assert got == {k: v[1] for k, v in best.items()}
+
+    windows = traffic_windows(frame)
+    newest = latest_per_corridor(windows, reference.monitored_corridors(spark))
+    by_row = latest_by(windows, ["corridor_id"], ["event_time"]).where("corridor_id <> 'elsewhere'")
+    assert newest.join(by_row, ["corridor_id", "event_time"]).count() == newest.count() == 3
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_stream_of_shuffled_slices(spark, home, seed):
+    """Rows may arrive out of order inside a slice and up to the watermark across slices."""
+    rnd = random.Random(seed)
+    events = [e for e in _events(seed + 20, 400, 120) if e[2] is not None]
+    # arrival lags event time by less than the watermark delay
+    events.sort(key=lambda e: e[2] + timedelta(seconds=rnd.randrange(290)))
+    payloads = [
+        (json.dumps({"corridor_id": c, "event_time": t.strftime("%Y-%m-%dT%H:%M:%SZ"), "congestion_index": x, "speed_kmh": s}),)
+        for _, c, t, x, s in events
+    ]
+    table = store.congestion_table(f"{home}/metrics")
+    cuts = sorted(rnd.sample(range(1, len(payloads)), 2))
+    for part in (payloads[: cuts[0]], payloads[cuts[0] : cuts[1]], payloads[cuts[1] :]):
+        spark.createDataFrame(part, "value string").coalesce(1).write.mode("append").json(f"{home}/feed")
+        jobs.start_traffic(
+            spark, FeedSource(format="json", path=f"{home}/feed"), table, f"{home}/checkpoint",
+            trigger={"availableNow": True}, files_per_batch=1,
+        ).awaitTermination()
+    batch = traffic_windows(decode_feed(spark.createDataFrame(payloads, "value string"), "traffic"))
+    result = reconcile(batch, store.read_table(spark, table).drop("ingested_at"), ["corridor_id", "event_time"], 0.0)
+    assert result.count() > 20 and result.where("not matched").count() == 0

@@ -112,8 +112,8 @@ def test_disk_state_store(spark, home):
     """The provider the command line sets keeps the same results."""
     from test_streaming import Traffic, _event, _land as land
 
-    key, value = next(iter(cli.STREAM_CONF.items()))
-    spark.conf.set(key, value)
+    for key, value in cli.STREAM_CONF.items():
+        spark.conf.set(key, value)
     try:
         job = Traffic(spark, home)
         land(spark, job.feed, [_event(m, 0.4) for m in range(15)])
@@ -122,4 +122,5 @@ def test_disk_state_store(spark, home):
         job.run()
         assert [v[2] for v in job.values()] == [0.4, 0.6, 0.8]
     finally:
-        spark.conf.unset(key)
+        for key in cli.STREAM_CONF:
+            spark.conf.unset(key)
