@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from roadpulse.functions.bands import congestion_band, congestion_color, status_icon
 from roadpulse.functions.numeric import steady_avg
 from roadpulse.functions.times import before, instant
+from roadpulse.operators.latest import newest_values
 from roadpulse.settings import DEFAULTS, Thresholds
 
 _KNOWN = ["corridor_id"]
@@ -46,18 +47,9 @@ def latest_per_corridor(metrics: DataFrame, corridors: DataFrame) -> DataFrame:
     aggregate over fixed-width columns finds it: no sort, and one row per corridor and task in
     the shuffle.
     """
-    t = F.col("event_time")
-    newest = (
-        metrics.join(corridors.select("corridor_id"), _KNOWN, "left_semi")
-        .groupBy("corridor_id")
-        .agg(
-            F.max(t).alias("event_time"),
-            F.max_by("congestion_index", t).alias("congestion_index"),
-            F.max_by("speed_kmh", t).alias("speed_kmh"),
-            F.max_by("is_anomaly", t).alias("is_anomaly"),
-        )
-    )
-    return fill_metric_defaults(newest)
+    shown = ["corridor_id", "event_time", "congestion_index", "speed_kmh", "is_anomaly"]
+    known = metrics.select(*shown).join(corridors.select("corridor_id"), _KNOWN, "left_semi")
+    return fill_metric_defaults(newest_values(known, _KNOWN, "event_time"))
 
 
 def corridor_status(

@@ -15,7 +15,7 @@ from roadpulse.functions.times import iso_text, parse_weather_time
 from roadpulse.operators import alerts as al
 from roadpulse.operators import geometry, merge, quality, serving, vehicles, weather
 from roadpulse.operators.baselines import BASELINE_KEYS, BASELINE_VALUES, baselines
-from roadpulse.operators.latest import latest_by
+from roadpulse.operators.latest import newest_values
 from roadpulse.operators.traffic import traffic_windows
 from roadpulse.session import configure, workspace
 from roadpulse.sources import reference, replay
@@ -138,7 +138,7 @@ def _vehicle_windows_query(spark, sf_dir):
 def _weather_clean_query(spark, sf_dir):
     """Weather table rows; of equal keys the later report wins."""
     rows = _weather_rows(spark, sf_dir)
-    return latest_by(rows, ["location", "event_time"], ["event_id"]).drop("event_id")
+    return newest_values(rows, ["location", "event_time"], "event_id").drop("event_id")
 
 
 # --- decode, encode, documents ----------------------------------------------------------

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from roadpulse import schemas
 from roadpulse.functions.times import before, instant, moment
-from roadpulse.operators.latest import latest_by
+from roadpulse.operators.latest import has_fixed_width, latest_by, newest_values
 from roadpulse.operators.merge import expire
 from roadpulse.settings import DEFAULTS, Thresholds
 from roadpulse.streaming import files
@@ -115,6 +115,8 @@ def read_log(
 
 
 def _newest(log: DataFrame, table: UpsertTable) -> DataFrame:
+    if not table.order and has_fixed_width(table.stored, table.keys):
+        return newest_values(log, table.keys, "version")
     return latest_by(log, table.keys, ["version", *[f.name for f in table.order]])
 
 

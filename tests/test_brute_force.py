@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from helpers import with_times
 from roadpulse.operators.baselines import baselines
-from roadpulse.operators.latest import latest_by
+from roadpulse.operators.latest import latest_by, newest_values
 from roadpulse.operators.quality import reconcile
 from roadpulse.operators.serving import latest_per_corridor
 from roadpulse.operators.traffic import traffic_windows
@@ -116,6 +116,10 @@ def test_latest(spark):
     got = {r.corridor_id: r.n for r in latest_by(frame, ["corridor_id"], ["event_time", "n"]).collect()}
     assert got == {k: v[1] for k, v in best.items()}
 
+    by_hash = newest_values(frame, ["corridor_id"], "n")
+    by_sort = latest_by(frame, ["corridor_id"], ["n"])
+    assert by_hash.exceptAll(by_sort).count() == by_sort.exceptAll(by_hash).count() == 0
+
     windows = traffic_windows(frame)
     newest = latest_per_corridor(windows, reference.monitored_corridors(spark))
     by_row = latest_by(windows, ["corridor_id"], ["event_time"]).where("corridor_id <> 'elsewhere'")

@@ -57,7 +57,7 @@ def test_folded_dates_are_read_without_a_shuffle(spark, home):
     table = store.vehicle_table(home)
     _three_batches(spark, table)
     before = _state(spark, table)
-    assert plan(store.read_table(spark, table)).count("Window [") > 0
+    assert "partial_max_by" in plan(store.read_table(spark, table))
     store.fold(spark, table, "2024-01-20")
     assert _state(spark, table) == before
     closed = store.read_table(spark, table, since="2024-01-01")
