@@ -70,8 +70,8 @@ def run_stream(spark: SparkSession, args, tables: Tables) -> None:
     if args.kind == "traffic":
         channel = None
         if args.alert_topic:
-            options = {"kafka.bootstrap.servers": args.bootstrap, "topic": args.alert_topic}
-            channel = AlertChannel(format="kafka", options=options)
+            options = {"kafka.bootstrap.servers": args.bootstrap}
+            channel = AlertChannel(format="kafka", topic=args.alert_topic, options=options)
         elif args.alert_path:
             channel = AlertChannel(path=args.alert_path)
         query = jobs.start_traffic(

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 
 from roadpulse.functions.times import moment
 from roadpulse.operators.alerts import alert_messages, build_alerts
+from roadpulse.sources.feeds import write_feed
 from roadpulse.streaming.store import UpsertTable, batch_version, write_version
 
 logger = logging.getLogger("roadpulse.sinks")
@@ -27,11 +28,12 @@ class AlertChannel:
 
     format: str = "json"
     path: str | None = None
+    topic: str | None = None
     options: dict[str, str] = field(default_factory=dict)
 
     def send(self, messages: DataFrame, batch_id: int) -> None:
         if self.format == "kafka":
-            messages.write.format("kafka").options(**self.options).save()
+            write_feed(messages, self.topic, self.options)
             return
         messages.write.mode("overwrite").format(self.format).options(**self.options).save(
             f"{self.path}/version={batch_version(batch_id)}"
@@ -46,9 +48,9 @@ def upsert_sink(
 ) -> BatchSink:
     """Write each batch as one version of the table, then hand it to ``then``.
 
-    The batch is persisted only when it is read twice. ``files_per_batch`` shuffles the (already aggregated) rows into that many writers, which
-    leaves the state upstream fully parallel. A failed write fails the batch, so the stream
-    retries it.
+    The batch is persisted only when it is read twice. ``files_per_batch`` shuffles the
+    (already aggregated) rows into that many writers, which leaves the state upstream fully
+    parallel. A failed write fails the batch, so the stream retries it.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:

@@ -14,13 +14,14 @@ from roadpulse.operators.traffic import traffic_windows
 @contextmanager
 def settings(spark, **conf):
     keys = {k.replace("__", "."): v for k, v in conf.items()}
+    before = {k: spark.conf.get(k, None) for k in keys}
     for k, v in keys.items():
         spark.conf.set(k, v)
     try:
         yield
     finally:
-        for k in keys:
-            spark.conf.unset(k)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 SMALL_SKEW = {
