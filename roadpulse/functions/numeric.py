@@ -16,8 +16,9 @@ def steady_avg(x: str) -> Column:
 
     A plain ``avg`` of doubles changes in the last digits with the order of summation, so a
     retried task could move a mean across a threshold. Here values are summed as 64-bit
-    integers in units of 1e-9, which keeps the hash aggregate on primitive buffers. Groups
-    holding values that do not fit (NaN, infinite, huge, or an overflowing sum) fall back to
+    integers in units of 1e-9, which keeps the hash aggregate on primitive buffers. Feed
+    values have at most six decimals, so their mean is exact; finer values are first rounded
+    to nine decimals, which moves a mean by less than 1e-9. Groups holding values that do not fit (NaN, infinite, huge, or an overflowing sum) fall back to
     the plain mean, so no value is ever left out.
     """
     x = f"cast({x} AS double)"

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadpulse import schemas, settings
-from roadpulse.operators.latest import latest_by
+from roadpulse.operators.latest import newest_values
 
 
 def clean_weather(reports: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -27,15 +27,11 @@ def describe_weather(metrics: DataFrame, codes: DataFrame) -> DataFrame:
 
 
 def weather_now(
-    metrics: DataFrame,
-    codes: DataFrame,
-    cities: tuple[str, ...] = settings.WEATHER_CITIES,
-    tie_breaks: tuple[str, ...] = (),
+    metrics: DataFrame, codes: DataFrame, cities: tuple[str, ...] = settings.WEATHER_CITIES
 ) -> DataFrame:
     """Latest report of each of the given cities, described.
 
-    Reports need not be collapsed by key before; ``tie_breaks`` order those of the same time.
+    ``metrics`` holds one row per location and time, as the table does.
     """
     of_cities = metrics.where(F.col("location").isin(*cities))
-    latest = latest_by(of_cities, ["location"], ["event_time", *tie_breaks])
-    return describe_weather(latest.drop(*tie_breaks), codes)
+    return describe_weather(newest_values(of_cities, ["location"], "event_time"), codes)

@@ -99,6 +99,12 @@ def _weather_rows(spark, sf_dir) -> DataFrame:
     return weather.clean_weather(_weather_reports(spark, sf_dir), keep=("event_id",))
 
 
+def _weather_table(spark, sf_dir) -> DataFrame:
+    """Weather rows by location and time; the later report wins."""
+    rows = _weather_rows(spark, sf_dir)
+    return newest_values(rows, ["location", "event_time"], "event_id").drop("event_id")
+
+
 def _listing(spark, sf_dir, table, key, name, step=1) -> DataFrame:
     keys = spark.read.schema(getattr(schemas, table.upper())).parquet(f"{sf_dir}/{table}.parquet")
     return reference.load_corridors(replay.corridor_listing(keys, key, name, step))
@@ -137,8 +143,7 @@ def _vehicle_windows_query(spark, sf_dir):
 @query("weather_clean")
 def _weather_clean_query(spark, sf_dir):
     """Weather table rows; of equal keys the later report wins."""
-    rows = _weather_rows(spark, sf_dir)
-    return newest_values(rows, ["location", "event_time"], "event_id").drop("event_id")
+    return _weather_table(spark, sf_dir)
 
 
 # --- decode, encode, documents ----------------------------------------------------------
@@ -332,9 +337,7 @@ def _trend_series_query(spark, sf_dir):
 @query("weather_now")
 def _weather_now_query(spark, sf_dir):
     """Latest weather per city with its description."""
-    return weather.weather_now(
-        _weather_rows(spark, sf_dir), reference.weather_codes(spark), tie_breaks=("event_id",)
-    )
+    return weather.weather_now(_weather_table(spark, sf_dir), reference.weather_codes(spark))
 
 
 def _snapshot(spark, sf_dir) -> DataFrame:
