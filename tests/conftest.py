@@ -10,7 +10,7 @@ sys.path.insert(0, os.path.join(ROOT, "tests"))
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
+def spark():
     from roadpulse.session import configure
 
     builder = (
@@ -19,7 +19,6 @@ def spark(tmp_path_factory):
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "4g")
-        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
     )
     session = configure(builder.getOrCreate())
     session.sparkContext.setLogLevel("ERROR")

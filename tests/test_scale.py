@@ -2,6 +2,7 @@
 
 from contextlib import contextmanager
 
+import pytest
 from pyspark.sql import functions as F
 
 from helpers import plan, rows
@@ -9,6 +10,7 @@ from roadpulse.operators.geometry import ping_positions
 from roadpulse.operators.latest import latest_by
 from roadpulse.operators.serving import scan_metrics
 from roadpulse.operators.traffic import traffic_windows
+from roadpulse.session import workspace
 
 
 @contextmanager
@@ -89,3 +91,18 @@ def test_hot_window_is_combined_before_the_shuffle(spark):
     assert rows(windows, "congestion_index", "speed_kmh") == [(0.45, 30.0)]
     text = plan(windows).split("== Physical Plan ==")[1]
     assert "partial_" in text and "SortAggregate" not in text
+
+
+class _Session:
+    """What ``workspace`` asks a session for."""
+
+    def __init__(self, master, folder):
+        self.sparkContext = type("Context", (), {"master": master})
+        self.conf = type("Conf", (), {"get": staticmethod(lambda key, default: folder or default)})
+
+
+def test_work_folders_lie_where_the_session_says():
+    assert workspace(_Session("yarn", "/shared/"), "x").startswith("/shared/roadpulse/x-")
+    assert workspace(_Session("local[2]", None), "x")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        workspace(_Session("yarn", None), "x")
