@@ -3,10 +3,10 @@
 The items are indexed by word; the impact of a word in an item is its BM25 weight as a part of
 the least score the item must reach, so that one is the threshold for every item. Training
 texts are cut into overlapping passages, long enough to hold any item whole, and every passage
-is a query. Passages are thrown out in three steps, none of which loses an item above the
-threshold: by the largest impacts of their words, by the largest impacts in each block of
-items, and by the exact scores of the blocks that are left. What is retrieved is verified word
-by word against the item's question and answer.
+is a query. Pairs are thrown out in three steps, none of which loses an item above the
+threshold: by what the item's rarer words in the passage and all its commoner ones come to, by
+the largest impacts in the item's block, and by the exact scores of the blocks that are left.
+What is retrieved is verified word by word against the item's question and answer.
 
 The index of a block of items goes to all tasks; its size is bounded by ``block_items``, and
 more items than that are searched block after block.
@@ -25,11 +25,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadpulse.llm.common import texts
-from roadpulse.llm.words import word_hashes
+from roadpulse.llm.words import distinct, word_hashes
 
 K1, B = 1.2, 0.75
 # Items that are bounded and scored together.
 LANE = 32
+# Impacts of the commoner words of an item that may come without postings; the least score of
+# every item is one, less what rounding may take.
+OTHERS = 0.35
+SURE = 1 - 1e-4
 _SENTENCE = re.compile(r"(?<=[.?!])\s+|\n+")
 
 
@@ -49,11 +53,18 @@ class Index:
     """Items of one block: vocabulary, impacts, bounds, and the words to verify."""
 
     ids: list[int]
-    vocabulary: np.ndarray  # sorted word hashes
-    impact: np.ndarray  # word x item, as a part of the item's least score
-    lane_most: np.ndarray  # word x lane of items
-    most: np.ndarray  # word
-    essential: np.ndarray  # word: the others together cannot reach the threshold
+    item_at: np.ndarray  # words of each item: where they begin,
+    item_words: np.ndarray  # their sorted hashes
+    item_worth: np.ndarray  # and their impacts, as parts of the item's least score
+    lane_words: np.ndarray  # sorted hashes of all words, once for each lane they occur in,
+    lane_most: np.ndarray  # and their largest impact there
+    lane_at: np.ndarray  # where each lane begins
+    key_words: np.ndarray  # sorted hashes of the words that are rare for some item
+    gate: np.ndarray  # whether a key word begins with these bits
+    cuts: np.ndarray  # postings of the key words: where they begin,
+    posted: np.ndarray  # their items
+    worth: np.ndarray  # and impacts
+    rest: np.ndarray  # sum of the impacts of each item's other words
     questions: list[np.ndarray]
     answers: list[np.ndarray]
     passage: int  # words of the longest item
@@ -67,30 +78,43 @@ class Index:
         said, said_at = word_hashes([a for _, a in split])
         sizes = np.diff(begins)
         # items of like length share a lane, which keeps the lane's bounds close
-        order = [i for i in np.argsort(sizes, kind="stable") if sizes[i]]
+        order = [i for i in np.argsort(sizes, kind="stable").tolist() if sizes[i]]
         if not order:
             return None
-        vocabulary = np.unique(hashes)
-        counts = np.zeros((len(vocabulary), len(order)), np.float32)
-        for column, i in enumerate(order):
-            words, n = np.unique(hashes[begins[i] : begins[i + 1]], return_counts=True)
-            counts[np.searchsorted(vocabulary, words), column] = n
-        lengths = sizes[order].astype(np.float32)
-        df = (counts > 0).sum(axis=1)
-        idf = np.log(1 + (len(order) - df + 0.5) / (df + 0.5)).astype(np.float32)
+        vocabulary, word = np.unique(hashes, return_inverse=True)
+        column_of = np.full(len(items), -1)
+        column_of[order] = np.arange(len(order))
+        column = column_of[np.repeat(np.arange(len(items)), sizes)]
+        code, counts = np.unique(column * len(vocabulary) + word, return_counts=True)
+        column, word = np.divmod(code, len(vocabulary))
+        df = np.bincount(word)
+        idf = np.log(1 + (len(order) - df + 0.5) / (df + 0.5))
+        lengths = sizes[order]
         damp = K1 * (1 - B + B * lengths / lengths.mean())
-        weight = idf[:, None] * counts * (K1 + 1) / (counts + damp)
-        impact = weight / (least * weight.sum(axis=0))
-        lanes = -(-len(order) // LANE)
-        padded = np.zeros((len(vocabulary), lanes * LANE), np.float32)
-        padded[:, : len(order)] = impact
-        lane_most = padded.reshape(len(vocabulary), lanes, LANE).max(axis=2)
-        most = lane_most.max(axis=1)
-        rising = np.argsort(most)
-        essential = np.ones(len(vocabulary), bool)
-        essential[rising[np.cumsum(most[rising]) < 1 - 1e-4]] = False
+        weight = idf[word] * counts * (K1 + 1) / (counts + damp[column])
+        impact = weight / (least * np.bincount(column, weight))[column]
+        # from the commonest word of each item on, words are left out of the postings for as
+        # long as their impacts come to no more than OTHERS
+        falling = np.lexsort((-df[word], column))
+        sums = np.cumsum(impact[falling])
+        item_at = np.searchsorted(column, np.arange(len(order) + 1))
+        before = np.concatenate([[0], sums])[item_at[:-1]]
+        key = np.zeros(len(code), bool)
+        key[falling] = sums - before[column] > OTHERS
+        rows, place = np.unique(word[key], return_inverse=True)
+        by_word = np.argsort(place, kind="stable")
+        gate = np.zeros(1 << 16, bool)
+        gate[(vocabulary[rows] >> np.uint64(48)).astype(np.int64)] = True
+        lane_code, where = np.unique((column // LANE) * len(vocabulary) + word, return_inverse=True)
+        lane_most = np.zeros(len(lane_code))
+        np.maximum.at(lane_most, where, impact)
+        lane, lane_word = np.divmod(lane_code, len(vocabulary))
         return cls(
-            [items[i][0] for i in order], vocabulary, padded, lane_most, most, essential,
+            [items[i][0] for i in order], item_at, vocabulary[word], impact,
+            vocabulary[lane_word], lane_most, np.searchsorted(lane, np.arange(lane[-1] + 2)),
+            vocabulary[rows], gate, np.searchsorted(place[by_word], np.arange(len(rows) + 1)),
+            column[key][by_word], impact[key][by_word],
+            np.bincount(column, np.where(key, 0, impact)),
             [asked[asked_at[i] : asked_at[i + 1]] for i in order],
             [said[said_at[i] : said_at[i + 1]] for i in order],
             int(lengths.max()),
@@ -102,45 +126,37 @@ class Index:
         Passages of a text start every ``passage`` words and are twice as long, so every run of
         words as long as an item lies whole inside one of them.
         """
-        size = self.passage
-        term = np.minimum(np.searchsorted(self.vocabulary, hashes), len(self.vocabulary) - 1)
-        at = np.flatnonzero(self.vocabulary[term] == hashes)
+        at = np.flatnonzero(self.gate[(hashes >> np.uint64(48)).astype(np.int64)])
+        place = np.minimum(np.searchsorted(self.key_words, hashes[at]), len(self.key_words) - 1)
+        right = self.key_words[place] == hashes[at]
+        at, place = at[right], place[right]
         if not len(at):
             return []
-        term = term[at]
         text = np.searchsorted(begins, at, side="right") - 1
-        step = (at - begins[text]) // size
-        # numbers of passages rise with the text and the step; each word lies in two of them
-        first = np.concatenate([[0], np.cumsum(-(-np.diff(begins) // size) + 1)])[text]
-        here = first + step
+        step = (at - begins[text]) // self.passage
+        # passages are numbered through; a word lies in that of its step and in the one before
+        base = np.concatenate([[0], np.cumsum(np.diff(begins) // self.passage + 1)])
+        number = base[text] + step
         later = step > 0
-        windows = np.concatenate([here, here[later] - 1])
-        pairs = np.unique(windows * len(self.vocabulary) + np.concatenate([term, term[later]]))
-        window, term = np.divmod(pairs, len(self.vocabulary))
-        starts = dict(zip(here.tolist(), (begins[text] + step * size).tolist()))
-        bound = np.bincount(window, self.most[term])
-        hopeful = np.zeros(len(bound), bool)
-        hopeful[window[self.essential[term]]] = True
-        hopeful &= bound >= 1 - 1e-4
-        keep = hopeful[window]
-        window, term = window[keep], term[keep]
-        if not len(window):
-            return []
-        cuts = np.flatnonzero(np.diff(window, prepend=-1))
-        names = window[cuts]
+        pairs = np.concatenate([number, number[later] - 1]) * len(self.key_words) + np.concatenate([place, place[later]])
+        number, place = np.divmod(distinct(pairs), len(self.key_words))
+        many = self.cuts[place + 1] - self.cuts[place]
+        each = np.repeat(self.cuts[place] - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum())
+        code, row = np.unique(np.repeat(number, many) * len(self.rest) + self.posted[each], return_inverse=True)
+        held = np.bincount(row, self.worth[each])
+        hopeful = code[held + self.rest[code % len(self.rest)] >= SURE]
         found = []
-        bounds = np.add.reduceat(self.lane_most[term], cuts, axis=0)
-        ends = np.append(cuts[1:], len(term))
-        for row, lane in zip(*np.nonzero(bounds >= 1 - 1e-4)):
-            words = term[cuts[row] : ends[row]]
-            scores = self.impact[words, lane * LANE : (lane + 1) * LANE].sum(axis=0)
-            for column in np.flatnonzero(scores >= 1 - 1e-4):
-                name = int(names[row])
-                # a passage that no word begins starts one step before the next one
-                begin = starts.get(name)
-                if begin is None:
-                    begin = starts[name + 1] - size
-                found.append((begin, int(lane * LANE + column), float(scores[column])))
+        for number, item in zip(*(x.tolist() for x in np.divmod(hopeful, len(self.rest)))):
+            text = int(np.searchsorted(base, number, side="right") - 1)
+            start = int(begins[text] + (number - base[text]) * self.passage)
+            words = distinct(hashes[start : min(start + 2 * self.passage, int(begins[text + 1]))])
+            lane = slice(*self.lane_at[item // LANE : item // LANE + 2].tolist())
+            if _sum_of(words, self.lane_words[lane], self.lane_most[lane]) < SURE:
+                continue
+            one = slice(*self.item_at[item : item + 2].tolist())
+            score = _sum_of(words, self.item_words[one], self.item_worth[one])
+            if score >= SURE:
+                found.append((start, item, score))
         return found
 
     def overlap(self, words: np.ndarray, item: int) -> tuple[float, float]:
@@ -148,6 +164,12 @@ class Index:
         return _held(words, self.questions[item], 5), _held(words, self.answers[item], 3)
 
 
+def _sum_of(words: np.ndarray, listed: np.ndarray, worth: np.ndarray) -> float:
+    """Sum over the listed words that are among the sorted words."""
+    at = np.minimum(np.searchsorted(words, listed), len(words) - 1)
+    return float(worth[words[at] == listed].sum())
+
+
 def _held(passage: np.ndarray, part: np.ndarray, n: int) -> float:
     n = min(n, len(part))
     if not n:
@@ -163,7 +185,7 @@ def find_leaks(
     items: DataFrame,
     least: float = 0.6,
     overlap: float = 0.6,
-    block_items: int = 4096,
+    block_items: int = 20_000,
 ) -> DataFrame:
     """doc_id, text_key, item_id, score, question_overlap, answer_overlap, first_word.
 

@@ -88,6 +88,12 @@ def shingles(hashes: np.ndarray, n: int = SHINGLE) -> np.ndarray:
     return mix(total)
 
 
+def distinct(x: np.ndarray) -> np.ndarray:
+    """Sorted distinct values; for short arrays of integers faster than np.unique."""
+    x = np.sort(x)
+    return x[np.concatenate([[True], x[1:] != x[:-1]])] if len(x) else x
+
+
 def shingle_sets(texts: list[str], n: int = SHINGLE) -> list[np.ndarray]:
     """Sorted distinct shingles of each text.
 
@@ -98,7 +104,7 @@ def shingle_sets(texts: list[str], n: int = SHINGLE) -> list[np.ndarray]:
     sets = []
     for low, high in zip(begins[:-1].tolist(), begins[1:].tolist()):
         if high - low >= n:
-            sets.append(np.unique(whole[low : high - n + 1]))
+            sets.append(distinct(whole[low : high - n + 1]))
         elif high > low:
             sets.append(shingles(hashes[low:high], high - low))
         else:
