@@ -250,14 +250,14 @@ def _sorted_tasks(df: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, threshold: float = 0.8, recall: float = 0.9999) -> DataFrame:
-    """doc_id, text_key, class_id, text_id, n_links and leader of every row.
+    """doc_id, text_key, class_key, class_id, text_id and n_links of every row.
 
     text_id is the smallest doc_id among the rows with the same text, class_id the smallest
     among all rows joined by links. n_links counts the other texts whose shingle sets have a
     Jaccard similarity of at least ``threshold``; copies of a text count once and are no links.
     A pair at the threshold is found with probability ``recall``, more similar ones more
-    surely; every link is verified exactly. ``leader`` marks rows that carry the class_id (all
-    rows of a class whose ids are null).
+    surely; every link is verified exactly. class_key is a name of the class of its own, for
+    classes that share an id or have none.
 
     Null texts are empty. Texts without words are linked with nothing; texts of fewer than five
     words only with texts of the same words. Repeated rows are copies. Null ids belong to
@@ -310,31 +310,31 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, recall: float = 0.9
     )
     of_text = stored(of_text, "texts")
     names = stored(of_text.groupBy("top").agg(F.min("text_id").alias("class_id")), "names")
-    of_text = stored(of_text.join(names, "top").select("node", "class_id", "n_links"), "named")
+    of_text = of_text.join(names, "top").select("node", F.col("top").alias("class_key"), "class_id", "n_links")
+    of_text = stored(of_text, "named")
     return members.drop("nodes").join(of_text, "node").select(
-        "doc_id", "text_key", "class_id", "text_id", "n_links",
-        F.col("doc_id").eqNullSafe(F.col("class_id")).alias("leader"),
+        "doc_id", "text_key", "class_key", "class_id", "text_id", "n_links"
     )
 
 
 def keep_one(docs: DataFrame, threshold: float = 0.8, recall: float = 0.9999) -> DataFrame:
-    """One row of each class, all columns: the one with the smallest doc_id.
+    """One row of each class, all columns: the one with the smallest doc_id, then text_key.
 
-    If several rows of a class carry that id, one of those with the smallest text_key stays.
+    A null id stays only where all ids of the class are null.
     """
     found = near_duplicates(docs, threshold, recall)
-    kept = found.filter("leader").groupBy("class_id", "doc_id", "n_links").agg(F.min("text_key").alias("text_key"))
-    kept = kept.groupBy("class_id", "doc_id").agg(F.min("text_key").alias("text_key"))
-    key, present, ident = (fresh(docs, n) for n in ("_key", "_present", "_ident"))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
+    kept = found.groupBy("class_key").agg(F.min(order).alias("first"))
+    key, none, ident = (fresh(docs, n) for n in ("_key", "_none", "_ident"))
     marked = (
         docs.withColumn(key, text_key(docs["text"]))
-        .withColumn(present, docs["doc_id"].isNotNull())
+        .withColumn(none, docs["doc_id"].isNull())
         .withColumn(ident, F.coalesce(docs["doc_id"].cast("long"), F.lit(0)))
     )
     kept = kept.select(
-        F.col("text_key").alias(key),
-        F.col("doc_id").isNotNull().alias(present),
-        F.coalesce("doc_id", F.lit(0)).alias(ident),
+        F.col("first.text_key").alias(key),
+        F.col("first.none").alias(none),
+        F.coalesce("first.doc_id", F.lit(0)).alias(ident),
     )
-    same = [key, present, ident]
+    same = [key, none, ident]
     return marked.dropDuplicates(same).join(kept, same, "left_semi").drop(*same)
