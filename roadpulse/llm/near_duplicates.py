@@ -26,7 +26,7 @@ from roadpulse.llm.words import SHINGLE, mix, shingle_sets
 TREES = 14
 DEPTH = 8
 # Members of a run that are compared with one another in one task.
-CHUNK = 128
+CHUNK = 256
 # Shingles that are compared at a time.
 _COLUMNS = 4096
 
@@ -94,7 +94,7 @@ _TASK = ["run", "tree", "chunk", "other"]
 
 
 def _whole_tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """Sorted batches as tables that end where a task ends; a task has at most two chunks."""
+    """Sorted batches as tables that end where a task ends; a task has at most two chunks of about CHUNK rows."""
     held: list[pa.RecordBatch] = []
     for batch in batches:
         if not batch.num_rows:
