@@ -294,7 +294,8 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, recall: float = 0.9
         asked.select("node").distinct().join(heads.select("node", F.col("doc_id").alias("d"), F.col("text_key").alias("k")), "node"),
         "wanted",
     )
-    loaded = signed.join(wanted, signed["doc_id"].eqNullSafe(wanted["d"]) & (signed["text_key"] == wanted["k"]))
+    # always by a shuffle: the wanted texts are a share of all, however few the rows are
+    loaded = signed.join(wanted.hint("merge"), signed["doc_id"].eqNullSafe(wanted["d"]) & (signed["text_key"] == wanted["k"]))
     loaded = loaded.groupBy("node").agg(F.first("text").alias("text"))
     full = asked.join(loaded, "node").join(facts, "node")
     verified = _sorted_tasks(full.select(*_TASK, "node", "own", "n_shingles", "nodes", "text"))
