@@ -249,10 +249,15 @@ def _sample(docs: DataFrame, labels: DataFrame) -> list[tuple[int, int, str]]:
     # rows whose document is not in the table would waste places of the sample
     present = docs.select(F.col("doc_id").alias("present")).filter("present IS NOT NULL").distinct()
     marked = stored(marked.join(present, F.col("doc_id") == F.col("present"), "left_semi"), "labels")
-    picked = None
-    for label in (0, 1):
-        part = marked.filter(F.col("label") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
-        picked = part if picked is None else picked.unionByName(part)
+    sizes = {r["label"]: r["count"] for r in marked.groupBy("label").count().collect()}
+    picked = marked.limit(0)
+    for label, size in sorted(sizes.items()):
+        # a share of the hashes with about twice the sample, so that little is left to order
+        share = min(1.0, (2 * SAMPLE + 200) / size)
+        drawn = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)) + 1
+        part = marked.filter((F.col("label") == label) & drawn)
+        part = part.orderBy(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)), "doc_id").limit(SAMPLE)
+        picked = picked.unionByName(part)
     rows = docs.join(F.broadcast(picked), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
     return sorted((r["doc_id"], r["label"], r["text"]) for r in rows.collect())
 
