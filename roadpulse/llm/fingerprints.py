@@ -38,8 +38,8 @@ def words(text: str) -> str:
 def anchors(text: str) -> str:
     """SQL for the anchors of a text: 32-bit hashes of its closed syncmers, in text order.
 
-    A text of one to K - 1 words has one anchor, the hash of all its words; a text without
-    words has none.
+    A text of one to K - 1 words, or (of a few more) without any closed syncmer, has one anchor,
+    the hash of all its words; a text without words has none.
     """
     runs = K - S + 1
     inner = ", ".join(f"s[i + {j}]" for j in range(1, runs - 1))
@@ -47,9 +47,10 @@ def anchors(text: str) -> str:
     value = f"hash(s[i], s[i + 2], s[i + {runs - 1}])"
     mers = f"transform(filter(sequence(0, size(s) - {runs}), i -> {taken}), i -> {value})"
     pairs = "zip_with(slice(w, 1, size(w) - 1), slice(w, 2, size(w) - 1), (a, b) -> xxhash64(a, b))"
+    some = "if(size(m) = 0, array(hash(w)), m)"
     body = (
         f"CASE WHEN size(w) = 0 THEN cast(array() AS array<int>)"
-        f" WHEN size(w) < {K} THEN array(hash(w)) ELSE {_let('s', pairs, mers)} END"
+        f" WHEN size(w) < {K} THEN array(hash(w)) ELSE {_let('m', _let('s', pairs, mers), some)} END"
     )
     return _let("w", words(text), body)
 

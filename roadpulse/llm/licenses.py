@@ -169,15 +169,20 @@ def scan_licenses(docs: DataFrame, notices: list[tuple[str, str]] | None = None)
     and repeated rows come out as they are; further columns are left out.
     """
     base = F.col("verified") & F.col("base")
-    sure = F.struct("start", "stop", "share", "label", "base")
-    better = "exists(sure, o -> o.start < s.stop AND s.start < o.stop AND o.share > s.share AND o.label <> s.label)"
-    best = f"filter(sure, s -> s.base OR NOT {better})"
-    found = _bands(docs, notices).groupBy("doc_id", "text_key", "n_words").agg(
+    # no verified span of a notice is longer than this, so only near ones can overlap
+    longest = int(max(row[3] + GRAM - 1 for row in template_grams(notices)) * LONGEST)
+    near = Window.partitionBy("doc_id", "text_key").orderBy("start").rangeBetween(-longest, longest)
+    sure = F.when(F.col("verified"), F.struct("start", "stop", "share", "label"))
+    better = "exists(near, o -> o.start < stop AND start < o.stop AND o.share > share AND o.label <> label)"
+    bands = _bands(docs, notices).withColumn("near", F.collect_list(sure).over(near))
+    kept = F.col("verified") & (F.col("base") | ~F.expr(better))
+    label = lambda ok: F.array_join(F.array_sort(F.collect_set(F.when(ok, F.col("label")))), ",")
+    found = bands.withColumn("kept", kept).groupBy("doc_id", "text_key", "n_words").agg(
         F.sum(base.cast("long")).alias("n_base"),
         F.min(F.when(base, F.col("start"))).alias("first_word"),
         F.max(F.when(base, F.col("start"))).alias("last_word"),
-        F.array_join(F.array_sort(F.collect_set(F.when(base, F.col("label")))), ",").alias("base_labels"),
-        F.collect_list(F.when(F.col("verified"), sure)).alias("sure"),
+        label(base).alias("base_labels"),
+        label(F.col("kept")).alias("labels"),
         F.max(F.when(F.col("template") < 0, 0.0).otherwise(F.col("share"))).alias("score"),
         F.max(F.when(F.col("template") < 0, F.col("votes"))).alias("copies"),
     )
@@ -188,7 +193,7 @@ def scan_licenses(docs: DataFrame, notices: list[tuple[str, str]] | None = None)
         "first_word",
         "last_word",
         "base_labels",
-        F.expr(f"array_join(array_sort(array_distinct(transform({best}, s -> s.label))), ',')").alias("labels"),
+        "labels",
         "score",
         F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy"),
     ).drop("copy")
