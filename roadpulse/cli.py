@@ -14,7 +14,6 @@ from datetime import timedelta
 from pyspark.sql import SparkSession
 
 from roadpulse.functions.times import moment
-from roadpulse.operators.merge import expire
 from roadpulse.plans import daily, report
 from roadpulse.session import build_session
 from roadpulse.settings import DEFAULTS
@@ -80,7 +79,7 @@ def run_stream(spark: SparkSession, args, tables: Tables) -> None:
     elif args.kind == "vehicle":
         query = jobs.start_vehicles(spark, source, tables.vehicles, checkpoint, **common)
     else:
-        query = jobs.start_weather(spark, source, tables.weather, checkpoint, **common)
+        query = jobs.start_weather(spark, source, tables.weather, checkpoint, trigger)
     query.awaitTermination()
 
 
@@ -107,7 +106,7 @@ def run_check(spark: SparkSession, args, tables: Tables) -> bool:
 def run_report(spark: SparkSession, args, tables: Tables) -> None:
     pings = decode_feed(load_feed(spark, "vehicle", _source(args, "vehicle")), "vehicle", ("offset",))
     now = moment(args.as_of)
-    log = expire(store.read_log(spark, tables.alerts), now)
+    log = store.read_log(spark, tables.alerts)
     frames = report.live_report(
         spark,
         _corridors(spark, tables),
@@ -121,7 +120,7 @@ def run_report(spark: SparkSession, args, tables: Tables) -> None:
     )
     for name, frame in frames.items():
         print(f"== {name}")
-        frame.show(100, truncate=False)
+        frame.show(frame.count(), truncate=False)
     spark.catalog.clearCache()
 
 
@@ -144,7 +143,7 @@ def parser() -> argparse.ArgumentParser:
     stream.add_argument("kind", choices=["traffic", "vehicle", "weather"])
     stream.add_argument("--once", action="store_true", help="catch up, then stop")
     stream.add_argument("--every", default=None, help="trigger interval, such as '10 seconds'")
-    stream.add_argument("--files-per-batch", type=int, default=8)
+    stream.add_argument("--files-per-batch", type=int, default=None)
     stream.add_argument("--alert-topic", default=None)
     stream.add_argument("--alert-path", default=None)
     commands.add_parser("daily", help="refresh corridors and baselines, tidy tables")
@@ -155,6 +154,8 @@ def parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> int:
     args = parser().parse_args(argv)
+    if getattr(args, "alert_topic", None) and not args.bootstrap:
+        parser().error("--alert-topic needs --bootstrap")
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(name)s %(message)s")
     conf = STREAM_CONF if args.command == "stream" else None
     spark = build_session(f"roadpulse-{args.command}", args.master, conf)

@@ -15,18 +15,27 @@ def steady_avg(x: str) -> Column:
     """Mean that does not depend on the order in which tasks deliver rows.
 
     A plain ``avg`` of doubles changes in the last digits with the order of summation, so a
-    retried task could move a mean across a threshold. Here values are summed as 64-bit
-    integers in units of 1e-9, which keeps the hash aggregate on primitive buffers. Feed
-    values have at most six decimals, so their mean is exact; finer values are first rounded
-    to nine decimals, which moves a mean by less than 1e-9. Groups holding values that do not fit (NaN, infinite, huge, or an overflowing sum) fall back to
-    the plain mean, so no value is ever left out.
+    retried task could move a mean across a threshold. Here values are summed exactly in units
+    of 1e-9, whatever the size of the group. Values below 10,000 are 64-bit units, summed in two
+    limbs: the low 20 bits and the rest, each with room for about 10^12 rows, so the hash
+    aggregate keeps primitive buffers. Larger ones, up to 1e20, are summed as decimals of 38
+    digits. Feed values have at most six decimals, so their mean is exact; finer values are
+    rounded to nine decimals, which moves a mean by less than 1e-9. A group that holds values
+    beyond 1e20, infinite ones or NaN has the plain mean; that depends on the values, never on
+    how many there are.
     """
     x = f"cast({x} AS double)"
-    # 9e9 units of 1e-9 are the most that fit into 64 bits
-    units = f"CASE WHEN abs({x}) < 9e9D THEN floor({x} * 1e9D + 0.5D) END"
-    steady = f"try_divide(cast(try_sum({units}) AS double) / 1e9D, count({x}))"
+    units = f"CASE WHEN abs({x}) < 1e4D THEN floor({x} * 1e9D + 0.5D) END"
+    large = f"CASE WHEN abs({x}) >= 1e4D AND abs({x}) < 1e20D THEN cast({x} AS decimal(38, 9)) END"
+    whole = lambda limb: f"coalesce(cast(sum({limb}) AS decimal(38, 0)), 0)"
+    low, rest = whole(f"{units} & 1048575"), whole(f"shiftright({units}, 20)")
+    exact = (
+        f"cast(cast({rest} * 1048576 + {low} AS decimal(38, 0))"
+        f" + coalesce(cast(sum({large}) * 1000000000 AS decimal(38, 0)), 0) AS double) / 1e9D"
+    )
     plain = f"try_divide(sum({x}), count({x}))"
-    return F.expr(f"coalesce(CASE WHEN count({units}) = count({x}) THEN {steady} END, {plain})")
+    held = f"count({units}) + count({large}) = count({x})"
+    return F.expr(f"coalesce(CASE WHEN {held} THEN try_divide({exact}, count({x})) END, {plain})")
 
 
 def _rounded(x: str, digits: int) -> str:
@@ -56,5 +65,5 @@ def round_exact(x: str, digits: int) -> Column:
 
 def fixed_text(x: str, digits: int) -> Column:
     """Text with exactly ``digits`` decimals; null stays null."""
-    fixed = f"try_cast({_rounded(x, digits)} AS decimal(18, {digits}))"
+    fixed = f"try_cast({_rounded(x, digits)} AS decimal(38, {digits}))"
     return F.expr(f"coalesce(cast({fixed} AS string), cast({x} AS string))")

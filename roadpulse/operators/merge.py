@@ -8,20 +8,32 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadpulse.functions.times import before
+from roadpulse.operators.latest import latest_by
 from roadpulse.settings import DEFAULTS, Thresholds
 
 CORRIDOR_UPDATES = ["name", "city", "start_lat", "start_lon", "end_lat", "end_lon"]
 
 
+def one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
+    """The greatest row of every key by ``order``, then by the other columns as they stand."""
+    others = [c for c in df.columns if c not in keys and c not in order]
+    return latest_by(df, keys, [*order, *others])
+
+
 def merge_by_key(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], update_cols: Sequence[str]
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    update_cols: Sequence[str],
+    order: Sequence[str] = (),
 ) -> DataFrame:
     """Upsert ``source`` into ``target``.
 
     Existing rows take only ``update_cols`` from the source and keep their other columns; new
     rows are inserted with whatever columns the source has; rows the source does not mention
-    stay as they are.
+    stay as they are. Of several source rows with one key, the greatest by ``order`` counts.
     """
+    source = one_per_key(source, keys, order)
     kept = [c for c in target.columns if c not in keys]
     given = [c for c in source.columns if c not in keys]
     old = target.select(*keys, F.struct(*kept).alias("_old"))
@@ -41,9 +53,14 @@ def merge_by_key(
     return merged.select(*keys, *[value(c) for c in kept])
 
 
-def insert_if_absent(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Target rows, and those source rows whose key the target lacks."""
-    fresh = source.join(target.select(*keys), list(keys), "left_anti")
+def insert_if_absent(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], order: Sequence[str] = ()
+) -> DataFrame:
+    """Target rows, and one source row for every key that the target lacks.
+
+    Of several source rows with one key, the greatest by ``order`` is inserted.
+    """
+    fresh = one_per_key(source, keys, order).join(target.select(*keys), list(keys), "left_anti")
     return target.unionByName(fresh, allowMissingColumns=True)
 
 

@@ -503,9 +503,8 @@ def _slices(spark, sf_dir, kind):
 
 
 def _state_partitions(spark) -> int:
-    """State holds one row per corridor and open window, so one partition per core will do."""
-    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, min(configured, spark.sparkContext.defaultParallelism))
+    """State partitions of the job, fixed by its first start: those of the session."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def _run_traffic(spark, sf_dir, with_alerts=False):
@@ -523,7 +522,6 @@ def _run_traffic(spark, sf_dir, with_alerts=False):
             alerts=log if with_alerts else None,
             channel=channel if with_alerts else None,
             trigger={"availableNow": True},
-            files_per_batch=4,
             now=AS_OF,
         )
 
@@ -566,7 +564,7 @@ def _stream_vehicle_windows_query(spark, sf_dir):
     def start(session, source):
         return jobs.start_vehicles(
             session, source, table, f"{home}/checkpoint",
-            trigger={"availableNow": True}, files_per_batch=4, now=AS_OF,
+            trigger={"availableNow": True}, now=AS_OF,
         )
 
     run_replay(

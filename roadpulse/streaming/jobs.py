@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -23,18 +25,20 @@ def _start(
     checkpoint: str,
     mode: str,
     trigger: dict | None,
+    logs: Sequence[str] = (),
 ) -> StreamingQuery:
     """Start a job. ``trigger`` is passed on; none means as fast as possible.
 
     The rows of every batch are counted as they pass and appear in the query's progress under
     ``observedMetrics``. Batch numbers restart with a fresh checkpoint and would replace older versions, so a
-    table that has rows must come with the checkpoint that wrote them.
+    table, alert log or channel folder (``logs``) that has rows must come with the checkpoint
+    that wrote them.
     """
     spark = rows.sparkSession
-    if files.has_children(spark, table.path, "event_date=") and not files.has_children(
-        spark, f"{checkpoint}/offsets"
-    ):
-        raise ValueError(f"{table.path} holds rows but checkpoint {checkpoint} is new")
+    if not files.has_children(spark, f"{checkpoint}/offsets"):
+        for path, prefix in [(table.path, "event_date="), *((p, k) for p in logs for k in ("event_date=", "version="))]:
+            if files.has_children(spark, path, prefix):
+                raise ValueError(f"{path} holds rows but checkpoint {checkpoint} is new")
     counted = rows.observe("batch", F.count(F.lit(1)).alias("rows"))
     writer = (
         counted.writeStream.foreachBatch(sink)
@@ -62,8 +66,10 @@ def start_traffic(
     events = decode_feed(read_feed(spark, "traffic", source), "traffic")
     rows = traffic_windows(events.withWatermark("event_time", th.watermarks["traffic"]), th)
     then = alert_sink(alerts, channel, now, files_per_batch) if alerts else None
+    logs = [alerts.path] if alerts else []
+    logs += [channel.path] if alerts and channel and channel.path else []
     return _start(
-        rows, upsert_sink(table, then, files_per_batch, now), table, checkpoint, "update", trigger
+        rows, upsert_sink(table, then, files_per_batch, now), table, checkpoint, "update", trigger, logs
     )
 
 
@@ -91,14 +97,16 @@ def start_weather(
     table: UpsertTable,
     checkpoint: str,
     trigger: dict | None = None,
-    files_per_batch: int | None = None,
     now=None,
     th: Thresholds = DEFAULTS,
 ) -> StreamingQuery:
-    """Cleaned weather reports, appended; of equal keys the later offset wins on reading."""
+    """Cleaned weather reports, appended; of equal keys the later offset wins on reading.
+
+    The tasks that read a batch write it; nothing is shuffled.
+    """
     reports = decode_feed(read_feed(spark, "weather", source), "weather", keep=("offset",))
     watermarked = reports.withWatermark("event_time", th.watermarks["weather"])
     rows = clean_weather(watermarked, keep=("offset",))
     return _start(
-        rows, upsert_sink(table, None, files_per_batch, now), table, checkpoint, "append", trigger
+        rows, upsert_sink(table, None, None, now), table, checkpoint, "append", trigger
     )

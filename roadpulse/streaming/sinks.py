@@ -79,9 +79,9 @@ def alert_sink(
 ) -> BatchSink:
     """Log an alert for every anomalous row of the batch, then pass it to the channel.
 
-    The channel only gets what the log has. Failures are logged and do not fail the batch;
-    the metrics are already stored by then, and the batch is persisted, so writing fewer files
-    does not slow the state down.
+    The channel only gets what the log has. A failed log fails the batch: Spark repeats it, and
+    the version replaces itself. A failed channel is logged and does not fail the batch. The
+    batch is persisted, so writing fewer files does not slow the state down.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -89,11 +89,7 @@ def alert_sink(
         alerts = build_alerts(batch, now)
         if files_per_batch is not None:
             alerts = alerts.coalesce(files_per_batch)
-        try:
-            write_version(alerts, table, batch_version(batch_id), now)
-        except Exception:
-            logger.exception("batch %s: alert log failed", batch_id)
-            return
+        write_version(alerts, table, batch_version(batch_id), now)
         if channel is None:
             return
         try:

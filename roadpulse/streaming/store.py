@@ -92,8 +92,8 @@ def _days(
     """Dates that have a folder, from ``since`` on and before the date of ``until``."""
     days = [c.split("=")[1] for c in files.children(spark, table.path, "event_date=")]
     first = moment(since).astimezone(timezone.utc).date().isoformat() if since else ""
-    end = moment(until).astimezone(timezone.utc).date().isoformat() if until else "9999"
-    return [d for d in days if first <= d < end]
+    end = moment(until).astimezone(timezone.utc).date().isoformat() if until else None
+    return [d for d in days if first <= d and (end is None or d < end)]
 
 
 def read_log(

@@ -7,9 +7,10 @@ import pytest
 import __spark_entry__ as driver
 import oracle_check
 from helpers import plan
+from roadpulse.plans import catalog, oracle
 
 SF_DIR = os.environ.get("ROADPULSE_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, SQL = driver.queries(), driver.oracle_sql()
+QUERIES, SQL = catalog.queries(), oracle.oracle_sql()
 BATCH = [n for n in QUERIES if not n.startswith("stream_") and n != "batch_audit"]
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
@@ -22,6 +23,7 @@ def duck():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(driver.queries()) and set(SQL) <= set(driver.oracle_sql())
 
 
 @pytest.mark.parametrize("name", QUERIES)

@@ -173,7 +173,7 @@ def test_a_replayed_batch_replaces_its_alerts(spark, home):
     assert len(logged) == 1
 
 
-def test_alert_failures_do_not_fail_the_batch(spark, home, monkeypatch):
+def test_a_failed_log_fails_the_batch_and_a_failed_channel_does_not(spark, home, monkeypatch):
     table = store.congestion_table(f"{home}/metrics")
     log = store.alert_table(f"{home}/alerts")
 
@@ -192,8 +192,12 @@ def test_alert_failures_do_not_fail_the_batch(spark, home, monkeypatch):
             sent.append(batch_id)
 
     bad_log = store.alert_table("nofs://nowhere/alerts")
-    upsert_sink(table, alert_sink(bad_log, Recorder(), NOW))(_batch(spark), 1)
-    assert store.read_log(spark, table).count() == 2 and sent == []  # nothing sent without the log
+    with pytest.raises(Exception):
+        upsert_sink(table, alert_sink(bad_log, Recorder(), NOW))(_batch(spark), 1)
+    assert sent == []  # nothing sent without the log
+    upsert_sink(table, alert_sink(log, Recorder(), NOW))(_batch(spark), 1)  # the batch again
+    assert sent == [1]
+    assert store.read_log(spark, table).count() == store.read_log(spark, log).count() == 2
 
 
 def test_metric_failures_fail_the_batch(spark):
