@@ -10,16 +10,19 @@ from __future__ import annotations
 import argparse
 import logging
 from datetime import timedelta
+from functools import reduce
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from roadpulse.functions.times import moment
 from roadpulse.plans import daily, report
+from roadpulse.schemas import ENVELOPE
 from roadpulse.session import build_session
-from roadpulse.settings import DEFAULTS
+from roadpulse.settings import DEFAULTS, TOPICS
 from roadpulse.sources import reference
 from roadpulse.sources.feeds import FeedSource, decode_feed, load_feed
-from roadpulse.streaming import jobs, store
+from roadpulse.streaming import files, jobs, store
 from roadpulse.streaming.sinks import AlertChannel
 
 # State outgrows executor memory with many corridors; this provider keeps it on disk and
@@ -100,7 +103,30 @@ def run_check(spark: SparkSession, args, tables: Tables) -> bool:
         store.read_newest_day(spark, tables.weather),
         args.as_of,
     )
-    return report.log_states(checks, "table_name")
+    healthy = report.log_states(checks, "table_name")
+    if args.with_feeds:
+        seen, existing = _landed(spark, args)
+        feeds = report.check_feeds(spark, seen, existing, args.as_of)
+        healthy &= report.log_states(feeds, "topic")
+    return healthy
+
+
+def _landed(spark: SparkSession, args):
+    """Places and times of the messages of all feeds, and the topics there are.
+
+    A broker is asked for its three topics, and fails for one it does not have.
+    """
+    seen, existing = [], []
+    for kind, topic in TOPICS.items():
+        source = _source(args, kind)
+        if source.path and not files.exists(spark, source.path):
+            continue
+        existing.append(topic)
+        envelopes = load_feed(spark, kind, source)
+        seen.append(envelopes.select(F.lit(topic).alias("topic"), "partition", "offset", "timestamp"))
+    if not seen:
+        return spark.createDataFrame([], ENVELOPE), existing
+    return reduce(DataFrame.unionByName, seen), existing
 
 
 def run_report(spark: SparkSession, args, tables: Tables) -> None:
@@ -147,7 +173,8 @@ def parser() -> argparse.ArgumentParser:
     stream.add_argument("--alert-topic", default=None)
     stream.add_argument("--alert-path", default=None)
     commands.add_parser("daily", help="refresh corridors and baselines, tidy tables")
-    commands.add_parser("check", help="check table freshness")
+    check = commands.add_parser("check", help="check freshness of tables")
+    check.add_argument("--with-feeds", action="store_true", help="check the feeds' message times too")
     commands.add_parser("report", help="print the live report")
     return top
 

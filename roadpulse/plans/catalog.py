@@ -403,6 +403,21 @@ def _recent_alerts_query(spark, sf_dir):
     return al.recent_alerts(al.build_alerts(_metrics(spark, sf_dir), AS_OF))
 
 
+@query("latest_alerts")
+def _latest_alerts_query(spark, sf_dir):
+    """The last raise of every window of a log in which the hours up to noon raised twice."""
+    built = al.build_alerts(_metrics(spark, sf_dir), _minus(AS_OF, days=1))
+    again = al.build_alerts(_metrics(spark, sf_dir).where(F.hour("event_time") < 12), AS_OF)
+    return al.latest_alerts(built.unionByName(again))
+
+
+@query("alert_card_messages")
+def _alert_card_messages_query(spark, sf_dir):
+    """Alert cards as the JSON documents of a chat channel."""
+    built = al.build_alerts(_metrics(spark, sf_dir), AS_OF)
+    return al.card_messages(al.format_alerts(built, reference.monitored_corridors(spark)))
+
+
 # --- maintenance ------------------------------------------------------------------------
 
 
@@ -550,9 +565,10 @@ def _stream_alerts_query(spark, sf_dir):
 
 @query("batch_audit")
 def _batch_audit_query(spark, sf_dir):
-    """Rows the traffic job wrote per batch."""
+    """Rows the traffic job wrote per batch, read after all its dates were folded."""
     table, _ = _run_traffic(spark, sf_dir)
-    return store.batch_audit(store.read_log(spark, table))
+    store.fold(spark, table, "9999-01-01")
+    return store.lasting_audit(spark, table)
 
 
 @query("stream_vehicle_windows")

@@ -456,8 +456,7 @@ def oracle_sql() -> dict[str, str]:
         "a.congestion_index",
         settings.ICON_YELLOW,
     )
-    sql["alert_cards"] = _query(
-        [CORRIDORS, *ALERTS],
+    cards = (
         f"SELECT a.corridor_id, {level} || ' Congestion Alert — ' || coalesce(c.name, a.corridor_id) AS title,"
         f" cast({dict(settings.SEVERITY_COLORS)['high']} AS INTEGER) AS color,"
         f" {_band('a.congestion_index', _BANDS)} AS band, {_band('a.congestion_index', _COLORS)} AS band_color,"
@@ -465,7 +464,23 @@ def oracle_sql() -> dict[str, str]:
         f" '**' || {_text('a.congestion_index', 2)} || '**' AS index_field,"
         f" '**' || {_text('a.speed_kmh', 1)} || '** km/h' AS speed_field,"
         " '`' || strftime(a.event_time, '%Y-%m-%dT%H:%M:%SZ') || '`' AS time_field, a.message AS description"
-        " FROM alerts a LEFT JOIN corridors c ON a.corridor_id = c.corridor_id AND c.corridor_id <> 'july26'",
+        " FROM alerts a LEFT JOIN corridors c ON a.corridor_id = c.corridor_id"
+    )
+    sql["alert_cards"] = _query([CORRIDORS, *ALERTS], f"{cards} AND c.corridor_id <> 'july26'")
+    fields = ", ".join(
+        f"{{'name': '{label}', 'value': {column}, 'inline': {str(line).lower()}}}"
+        for column, label, line in settings.CARD_FIELDS
+    )
+    sql["alert_card_messages"] = _query(
+        [CORRIDORS, *ALERTS, ("cards", cards)],
+        "SELECT corridor_id AS key, cast(to_json({'title': title, 'color': color, 'fields': "
+        f"[{fields}], 'footer': {{'text': '{settings.CARD_FOOTER}'}}, 'description': description}}) AS VARCHAR)"
+        " AS value FROM cards",
+    )
+    sql["latest_alerts"] = _query(
+        ALERTS,
+        f"SELECT * REPLACE (CASE WHEN hour(event_time) < 12 THEN {_AS_OF}"
+        f" ELSE {_AS_OF} - INTERVAL '1 day' END AS created_at) FROM alerts",
     )
     sql["recent_alerts"] = _query(
         ALERTS,

@@ -6,6 +6,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from roadpulse import schemas, settings
 from roadpulse.functions.times import parse_iso, parse_weather_time
@@ -51,15 +52,26 @@ def load_feed(spark: SparkSession, kind: str, source: FeedSource) -> DataFrame:
     return reader.load(source.path)
 
 
-def decode_feed(envelopes: DataFrame, kind: str, keep: tuple[str, ...] = ()) -> DataFrame:
+def decode_feed(
+    envelopes: DataFrame,
+    kind: str,
+    keep: tuple[str, ...] = (),
+    fields: tuple[str, ...] | None = None,
+) -> DataFrame:
     """Decode the JSON payload against the fixed schema and type its event time.
 
     Malformed payloads give rows of nulls and malformed times give null times; the operators
     downstream drop rows without keys. ``keep`` carries envelope columns along. The fields
-    come out of a generator, so filters on them stay above it and the text is parsed once.
+    come out of a generator, so filters on them stay above it and the text is parsed once;
+    since the planner cannot prune them there, ``fields`` names those that are wanted.
     """
-    payload = F.from_json(F.col("value").cast("string"), schemas.FEEDS[kind])
+    schema = schemas.FEEDS[kind]
+    if fields is not None:
+        schema = T.StructType([schema[name] for name in fields])
+    payload = F.from_json(F.col("value").cast("string"), schema)
     decoded = envelopes.select(*keep, F.inline(F.array(payload)))
+    if "event_time" not in schema.names:
+        return decoded
     if kind == "traffic":
         return decoded.withColumn("event_time", parse_iso(F.col("event_time")))
     if kind == "weather":

@@ -17,6 +17,10 @@ from roadpulse.streaming import files
 from roadpulse.streaming.sinks import AlertChannel, BatchSink, alert_sink, upsert_sink
 from roadpulse.streaming.store import UpsertTable
 
+# Payload fields that the window jobs read.
+TRAFFIC_FIELDS = ("corridor_id", "event_time", "congestion_index", "speed_kmh")
+VEHICLE_FIELDS = ("corridor_id", "event_time", "speed_kmh")
+
 
 def _start(
     rows: DataFrame,
@@ -63,7 +67,7 @@ def start_traffic(
     th: Thresholds = DEFAULTS,
 ) -> StreamingQuery:
     """Windowed congestion metrics, upserted as windows change, with alerts per change."""
-    events = decode_feed(read_feed(spark, "traffic", source), "traffic")
+    events = decode_feed(read_feed(spark, "traffic", source), "traffic", fields=TRAFFIC_FIELDS)
     rows = traffic_windows(events.withWatermark("event_time", th.watermarks["traffic"]), th)
     then = alert_sink(alerts, channel, now, files_per_batch) if alerts else None
     logs = [alerts.path] if alerts else []
@@ -84,7 +88,7 @@ def start_vehicles(
     th: Thresholds = DEFAULTS,
 ) -> StreamingQuery:
     """Windowed vehicle speed per corridor, upserted as windows change."""
-    pings = decode_feed(read_feed(spark, "vehicle", source), "vehicle")
+    pings = decode_feed(read_feed(spark, "vehicle", source), "vehicle", fields=VEHICLE_FIELDS)
     rows = vehicle_windows(pings.withWatermark("event_time", th.watermarks["vehicle"]), th)
     return _start(
         rows, upsert_sink(table, None, files_per_batch, now), table, checkpoint, "update", trigger

@@ -32,11 +32,12 @@ def replay(
     """Land each slice of envelopes and let the job catch up with it, then stop it.
 
     Every slice restarts the job from its checkpoint. State partitions are fixed by the first
-    start, so they are set on a session of their own.
+    start, so they are set on a session of their own, which otherwise has the caller's settings.
     """
     session = spark.newSession()
-    for key in ("spark.sql.session.timeZone", "spark.sql.adaptive.enabled"):
-        session.conf.set(key, spark.conf.get(key))
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            session.conf.set(key, value)
     if state_partitions:
         session.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
     for rows in slices:

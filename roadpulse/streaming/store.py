@@ -182,11 +182,37 @@ def read_newest_day(spark: SparkSession, table: UpsertTable) -> DataFrame:
 
 def batch_audit(log: DataFrame) -> DataFrame:
     """Rows written per batch, counted from the stored versions."""
-    return (
-        log.where(F.col("version") % 2 == 0)
-        .groupBy((F.col("version") / 2).cast("long").alias("batch_id"))
-        .agg(F.count("*").alias("rows_written"))
-    )
+    return _per_batch(_version_counts(log))
+
+
+def lasting_audit(spark: SparkSession, table: UpsertTable) -> DataFrame:
+    """Rows written per batch, with those that folding and retention have removed since."""
+    counts = _version_counts(read_log(spark, table))
+    if files.has_children(spark, _audit_path(table), "part-"):
+        counts = counts.unionByName(spark.read.schema(counts.schema).parquet(_audit_path(table)))
+    # a version is counted again when maintenance died between counting and removing it
+    once = counts.groupBy("event_date", "version").agg(F.max("rows_written").alias("rows_written"))
+    return _per_batch(once)
+
+
+def _audit_path(table: UpsertTable) -> str:
+    return f"{table.path}.audit"
+
+
+def _version_counts(log: DataFrame) -> DataFrame:
+    """Rows of every batch and date; folds are not batches."""
+    written = log.where(F.col("version") % 2 == 0).groupBy("event_date", "version")
+    return written.agg(F.count("*").alias("rows_written"))
+
+
+def _per_batch(counts: DataFrame) -> DataFrame:
+    batch = (F.col("version") / 2).cast("long").alias("batch_id")
+    return counts.groupBy(batch).agg(F.sum("rows_written").alias("rows_written"))
+
+
+def _keep_counts(table: UpsertTable, log: DataFrame) -> None:
+    """Add the counts of versions that are about to go to the audit."""
+    _version_counts(log).write.mode("append").parquet(_audit_path(table))
 
 
 def fold(spark: SparkSession, table: UpsertTable, closed_before) -> int:
@@ -205,6 +231,7 @@ def fold(spark: SparkSession, table: UpsertTable, closed_before) -> int:
     # An odd top version already holds its whole date; only leftovers remain to be dropped.
     todo = [r["event_date"] for r in dates if r["top"] % 2 == 0]
     if todo:
+        _keep_counts(table, log.where(F.col("event_date").isin(todo)))
         rows = _newest(log.where(F.col("event_date").isin(todo)), table).drop("version")
         tops = (
             log.where(F.col("event_date").isin(todo))
@@ -235,6 +262,10 @@ def drop_expired(
         .agg(F.max("ingested_at").alias("written"))
         .where(F.col("written") <= before(as_of, days=th.retention_days))
     )
+    batches = old.where(F.col("version") % 2 == 0)
+    if not batches.isEmpty():
+        same = ["event_date", "version"]
+        _keep_counts(table, read_log(spark, table).join(batches.select(*same), same, "left_semi"))
     dropped = 0
     for r in old.toLocalIterator():
         folder = f"{table.path}/event_date={r['event_date']}"

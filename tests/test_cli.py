@@ -124,3 +124,17 @@ def test_disk_state_store(spark, home):
     finally:
         for key in cli.STREAM_CONF:
             spark.conf.unset(key)
+
+
+def test_check_of_landed_feeds(spark, home):
+    args = cli.parser().parse_args(["--tables", home, "--feeds", f"{home}/feeds", "check", "--with-feeds"])
+    seen, existing = cli._landed(spark, args)
+    assert (seen.count(), existing) == (0, [])
+    sent = [(0, 1, "2024-01-01 10:00:00"), (0, 2, "2024-01-01 11:50:00"), (1, 1, "2024-01-01 09:00:00")]
+    landed = spark.createDataFrame(sent, "partition int, offset long, t string")
+    landed.withColumn("timestamp", F.col("t").cast("timestamp")).write.json(f"{home}/feeds/weather")
+    seen, existing = cli._landed(spark, args)
+    checks = report.check_feeds(spark, seen, existing, "2024-01-01 12:00:00")
+    assert rows(checks, "topic", "status") == [
+        ("traffic_events", "missing"), ("vehicle_position_events", "missing"), ("weather_events", "healthy"),
+    ]

@@ -144,3 +144,14 @@ def test_corridor_defaults(spark):
         ("a", "a", "Cairo", 1.0, 2.0, 3.0, 4.0),
         ("b", "Bee", "Giza", 1.0, 2.0, 3.0, 4.0),
     ]
+
+
+def test_only_the_wanted_fields_are_parsed(spark):
+    from roadpulse.streaming.jobs import TRAFFIC_FIELDS
+
+    sent = [('{"corridor_id": "a", "event_time": "2024-03-01T08:00:00Z", "speed_kmh": 21.5, "city": 7}',), ("[",)]
+    envelopes = spark.createDataFrame(sent, "value string")
+    few = decode_feed(envelopes, "traffic", fields=TRAFFIC_FIELDS)
+    assert few.columns == list(TRAFFIC_FIELDS)
+    assert rows(few, *TRAFFIC_FIELDS) == rows(decode_feed(envelopes, "traffic"), *TRAFFIC_FIELDS)
+    assert "city" not in few._jdf.queryExecution().toString()

@@ -156,3 +156,19 @@ def test_snapshots(spark, home):
     spark.range(1).write.parquet(f"{home}/snapshot=9")
     files.delete(spark, f"{home}/snapshot=9/_SUCCESS")
     assert store.read_snapshot(spark, home, schema).count() == 2
+
+
+def test_audit_outlives_folding_and_retention(spark, home):
+    table = store.vehicle_table(f"{home}/speeds")
+    assert store.lasting_audit(spark, table).count() == 0
+    _three_batches(spark, table)
+    want = [(0, 3), (1, 3), (2, 3)]
+    assert rows(store.lasting_audit(spark, table), "*") == want
+    assert store.fold(spark, table, "2024-01-05") == 1
+    assert rows(store.lasting_audit(spark, table), "*") == want
+    # a fold that dies after counting counts again
+    store._keep_counts(table, store.read_log(spark, table))
+    assert rows(store.lasting_audit(spark, table), "*") == want
+    store.drop_expired(spark, table, "2100-01-01")
+    assert store.read_log(spark, table).count() == 0
+    assert rows(store.lasting_audit(spark, table), "*") == want
