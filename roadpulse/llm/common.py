@@ -7,6 +7,8 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructType
 
 from roadpulse.session import configure, workspace
 
@@ -53,13 +55,15 @@ def map_texts(
     """
     (key,) = [c for c in df.columns if c != text]
     full = f"{key} {df.schema[key].dataType.simpleString()}, {schema}"
-    names = [x.split()[0] for x in schema.split(", ")]
+    # stated types: batches without any element would otherwise be of another type
+    kinds = {f.name: to_arrow_type(f.dataType) for f in StructType.fromDDL(schema)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(batch.schema.get_field_index(key))
             made = fn(ids, batch.column(batch.schema.get_field_index(text)).to_pylist())
-            yield pa.RecordBatch.from_arrays([ids, *(pa.array(made[n]) for n in names)], [key, *names])
+            columns = [pa.array(made[n], kind) for n, kind in kinds.items()]
+            yield pa.RecordBatch.from_arrays([ids, *columns], [key, *kinds])
 
     return df.mapInArrow(run, full)
 

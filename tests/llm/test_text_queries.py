@@ -281,3 +281,17 @@ def test_pipeline_keeps_odd_rows(spark, odd, none):
         if name in ("toxicity", "decontamination", "secrets"):
             assert out.count() == len(ODD)
         assert stage(spark, none, SF_DIR).count() == 0
+
+
+def test_blocks_without_secrets_go_beside_blocks_with_some(spark, monkeypatch):
+    """Batches of one task have one type, whether or not a batch holds a secret."""
+    from roadpulse.llm import common, secrets
+
+    monkeypatch.setattr(common, "BATCH_ROWS", 1)
+    common.prepare(spark)
+    said = ["plain", "password = hunter2hunter2", "", "AKIA" + "A" * 16, None, "plain"]
+    docs = spark.createDataFrame(list(enumerate(said)), "doc_id bigint, text string").coalesce(1)
+    found = secrets.digest(secrets.find_secrets(docs)).orderBy("doc_id").collect()
+    assert [(r["n_assign"], r["n_access"]) for r in found] == [(0, 0), (1, 0), (0, 0), (0, 1), (0, 0), (0, 0)]
+    monkeypatch.undo()
+    common.prepare(spark)
