@@ -18,23 +18,13 @@ from pyspark.sql import functions as F
 from roadpulse.functions.times import moment
 from roadpulse.plans import daily, report
 from roadpulse.schemas import ENVELOPE
-from roadpulse.session import build_session
+from roadpulse.session import STREAM_CONF, build_session
 from roadpulse.settings import DEFAULTS, TOPICS
 from roadpulse.sources import reference
 from roadpulse.sources.feeds import FeedSource, decode_feed, load_feed
 from roadpulse.streaming import files, jobs, store
 from roadpulse.streaming.sinks import AlertChannel
 
-# State outgrows executor memory with many corridors; this provider keeps it on disk and
-# checkpoints only what a batch changed.
-STREAM_CONF = {
-    "spark.sql.streaming.stateStore.providerClass": (
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-    ),
-    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
-}
-
-
 class Tables:
     def __init__(self, root: str):
         self.root = root.rstrip("/")
@@ -133,10 +123,11 @@ def run_report(spark: SparkSession, args, tables: Tables) -> None:
     pings = decode_feed(load_feed(spark, "vehicle", _source(args, "vehicle")), "vehicle", ("offset",))
     now = moment(args.as_of)
     log = store.read_log(spark, tables.alerts)
+    corridors = _corridors(spark, tables)
     frames = report.live_report(
         spark,
-        _corridors(spark, tables),
-        store.read_newest(spark, tables.congestion, "corridor_id", now),
+        corridors,
+        store.read_newest(spark, tables.congestion, "corridor_id", now, known=corridors),
         store.read_table(spark, tables.congestion, now - timedelta(hours=DEFAULTS.trend_hours), now),
         store.read_newest(spark, tables.weather, "location", now),
         pings,

@@ -14,7 +14,7 @@ from roadpulse.plans.catalog import AS_OF, SLICE_BOUNDS
 
 
 def _avg(x: str) -> str:
-    return f"(sum(cast(floor({x} * 1e9 + 0.5) AS BIGINT))::DOUBLE / 1e9 / count({x}))"
+    return f"(sum(cast({x} AS DECIMAL(28, 9)))::DOUBLE / count({x}))"
 
 
 def _round(x: str, digits: int) -> str:

@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadpulse import settings
+from roadpulse.session import STREAM_CONF
 from roadpulse.sources.feeds import FeedSource, encode_feed
 from roadpulse.sources.replay import as_payload
+from roadpulse.streaming import files
 
 FEED_KEYS = {"traffic": "corridor_id", "weather": "location", "vehicle": "vehicle_id"}
 
@@ -32,15 +34,19 @@ def replay(
     """Land each slice of envelopes and let the job catch up with it, then stop it.
 
     Every slice restarts the job from its checkpoint. State partitions are fixed by the first
-    start, so they are set on a session of their own, which otherwise has the caller's settings.
+    start, so they are set on a session of their own, which otherwise has the caller's settings
+    and keeps state as the command line's jobs do. The landed slices are removed at the end.
     """
     session = spark.newSession()
     for key, value in spark.conf.getAll.items():
         if spark.conf.isModifiable(key):
             session.conf.set(key, value)
+    for key, value in STREAM_CONF.items():
+        session.conf.set(key, value)
     if state_partitions:
         session.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
     for rows in slices:
         rows.write.mode("append").parquet(feed_path)
         query = start(session, FeedSource(format="parquet", path=feed_path))
         query.awaitTermination()
+    files.delete(spark, feed_path)

@@ -124,12 +124,18 @@ def _folded(spark: SparkSession, table: UpsertTable, days: list[str]) -> dict[st
     """Those of the dates that consist of nothing but one fold, with its version."""
     folded = {}
     for day in days:
-        versions = files.children(spark, f"{table.path}/event_date={day}", "version=")
-        if len(versions) == 1 and int(versions[0].split("=")[1]) % 2 == 1:
-            folded[day] = int(versions[0].split("=")[1])
+        versions = _versions(spark, table, day)
+        if len(versions) == 1 and versions[0] % 2 == 1:
+            folded[day] = versions[0]
     return folded
 
 
+def _versions(spark: SparkSession, table: UpsertTable, day: str) -> list[int]:
+    """Versions that one date holds, by the names of their folders."""
+    found = files.children(spark, f"{table.path}/event_date={day}", "version=")
+    return [int(name.split("=")[1]) for name in found]
+
+
 def read_table(
     spark: SparkSession, table: UpsertTable, since=None, live_at=None, th: Thresholds = DEFAULTS
 ) -> DataFrame:
@@ -163,11 +169,26 @@ def read_newest(
     entity: str,
     live_at=None,
     th: Thresholds = DEFAULTS,
+    known: DataFrame | None = None,
 ) -> DataFrame:
-    """The newest row of every entity, straight from the log: one row per task is shuffled."""
-    log = read_log(spark, table)
-    if live_at is not None:
-        log = expire(log, live_at, th)
+    """The newest row of every entity, straight from the log: one row per task is shuffled.
+
+    With ``known`` (a list of entities, repeated or not) only their newest rows are sought: the
+    newest date is read, then two, four and so on until every known entity has been met, or all
+    dates are read. Other entities come out if they are among the dates read.
+    """
+    days = _days(spark, table)[::-1]
+    span = len(days) if known is None else 1
+    while True:
+        log = read_log(spark, table, days[:span])
+        if live_at is not None:
+            log = expire(log, live_at, th)
+        if span >= len(days):
+            break
+        met = log.where(F.col("event_time").isNotNull()).select(entity)
+        if known.select(entity).join(met, entity, "left_anti").isEmpty():
+            break
+        span *= 2
     order = ["event_time", "version", *[f.name for f in table.order]]
     return latest_by(log, [entity], order).select(*table.columns.names)
 
@@ -220,35 +241,31 @@ def fold(spark: SparkSession, table: UpsertTable, closed_before) -> int:
 
     Returns the number of dates rewritten. A stream may run beside it: whatever it adds later
     has a higher version than the fold. Readers that started before may lose their files and
-    must run again. The driver sees one row per date.
+    must run again. What is to do follows from the folders' names; only dates to be rewritten
+    are read.
     """
-    log = read_log(spark, table, _days(spark, table, until=closed_before))
-    dates = (
-        log.groupBy("event_date")
-        .agg(F.max("version").alias("top"), F.min("version").alias("low"))
-        .where((F.col("top") != F.col("low")) | (F.col("top") % 2 == 0))
-    ).collect()
+    held = {
+        day: _versions(spark, table, day) for day in _days(spark, table, until=closed_before)
+    }
+    tops = {day: max(versions) for day, versions in held.items() if versions}
     # An odd top version already holds its whole date; only leftovers remain to be dropped.
-    todo = [r["event_date"] for r in dates if r["top"] % 2 == 0]
+    todo = {day: top + 1 for day, top in tops.items() if top % 2 == 0}
     if todo:
-        _keep_counts(table, log.where(F.col("event_date").isin(todo)))
-        rows = _newest(log.where(F.col("event_date").isin(todo)), table).drop("version")
-        tops = (
-            log.where(F.col("event_date").isin(todo))
-            .groupBy("event_date")
-            .agg((F.max("version") + 1).alias("version"))
+        log = read_log(spark, table, list(todo))
+        _keep_counts(table, log)
+        folds = F.create_map(*[F.lit(x) for pair in todo.items() for x in pair])
+        rows = _newest(log, table).withColumn(
+            "version", folds[F.col("event_date").cast("string")].cast("long")
         )
-        rows.join(tops, "event_date").select(*table.stored.names).hint(
+        rows.select(*table.stored.names).hint(
             "rebalance", "event_date"
         ).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
             "event_date", "version"
         ).parquet(table.path)
-    for r in dates:
-        keep = r["top"] + (1 if r["top"] % 2 == 0 else 0)
-        folder = f"{table.path}/event_date={r['event_date']}"
-        for child in files.children(spark, folder, "version="):
-            if int(child.rsplit("=", 1)[1]) < keep:
-                files.delete(spark, f"{folder}/{child}")
+    for day, top in tops.items():
+        for version in held[day]:
+            if version < todo.get(day, top):
+                files.delete(spark, f"{table.path}/event_date={day}/version={version}")
     return len(todo)
 
 
@@ -277,9 +294,15 @@ def drop_expired(
 
 
 def publish_snapshot(spark: SparkSession, df: DataFrame, path: str) -> int:
-    """Write a small whole table as its next snapshot, beside the one it may derive from."""
-    number = 1 + max(_snapshots(spark, path), default=-1)
+    """Write a small whole table as its next snapshot, beside the one it may derive from.
+
+    Older ones than that are removed; whoever still reads the one before is not disturbed.
+    """
+    complete = _snapshots(spark, path)
+    number = 1 + max(complete, default=-1)
     df.write.mode("overwrite").parquet(f"{path}/snapshot={number}")
+    for old in sorted(complete)[:-1]:
+        files.delete(spark, f"{path}/snapshot={old}")
     return number
 
 

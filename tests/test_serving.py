@@ -114,6 +114,15 @@ def test_snapshot_lives_sixty_seconds(spark):
     assert vehicles.vehicle_snapshot(pings.limit(0), "2024-01-01").count() == 0
 
 
+def test_snapshot_reads_the_feed_once(spark, home):
+    _pings(spark, PINGS).write.parquet(home)
+    snapshot = vehicles.vehicle_snapshot(spark.read.parquet(home), "2024-01-01 10:00:40", tie_breaks=("n",))
+    assert rows(snapshot, "vehicle_id", "n") == [("v1", 3), ("v2", 4), ("v3", 5), ("v4", 6), ("v5", 7)]
+    snapshot.collect()
+    # the second use of the shuffle, and with it of the scan, is the first one's result
+    assert "ReusedExchange" in snapshot._jdf.queryExecution().executedPlan().toString()
+
+
 def test_markers_and_distribution(spark):
     snapshot = vehicles.vehicle_snapshot(_pings(spark, PINGS), "2024-01-01 10:00:40", tie_breaks=("n",))
     assert rows(vehicles.vehicle_markers(snapshot), "vehicle_id", "speed_kmh", "color") == [

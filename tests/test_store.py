@@ -144,6 +144,33 @@ def test_newest_rows_and_day(spark, home):
     ]
 
 
+def test_newest_rows_of_known_entities_read_only_the_dates_they_need(spark, home, monkeypatch):
+    table = store.vehicle_table(home)
+    for n, day in enumerate(["2024-01-01", "2024-01-05", "2024-01-08", "2024-01-09"]):
+        late = [("a", f"{day} 00:05", float(n), True)] + [("b", f"{day} 00:05", float(n), True)] * (n == 2)
+        store.write_version(_speeds(spark, late + [("old", f"{day} 00:05", 1.0, True)] * (n == 0)), table, 2 * n)
+    read, original = [], store.read_log
+
+    def listed(spark, table, days=None):
+        read.append(days)
+        return original(spark, table, days)
+
+    monkeypatch.setattr(store, "read_log", listed)
+
+    def newest(*known):
+        read.clear()
+        frame = spark.createDataFrame([(k,) for k in known], "corridor_id string")
+        return rows(store.read_newest(spark, table, "corridor_id", known=frame), "corridor_id", "avg_speed_kmh")
+
+    assert newest("a") == [("a", 3.0)] and read == [["2024-01-09"]]
+    assert newest("a", "b", "b") == [("a", 3.0), ("b", 2.0)] and len(read) == 2
+    assert newest("b", "never") == [("a", 3.0), ("b", 2.0), ("old", 1.0)] and len(read[-1]) == 4
+    # dates that are folded are not read again
+    assert store.fold(spark, table, "2024-01-09") == 3
+    read.clear()
+    assert store.fold(spark, table, "2024-01-09") == 0 and read == []
+
+
 def test_snapshots(spark, home):
     schema = schemas.CONGESTION_BASELINES
     assert store.read_snapshot(spark, home, schema).count() == 0
@@ -152,6 +179,10 @@ def test_snapshots(spark, home):
         row = spark.createDataFrame([("a", 0, n, 1.0, None, 1, None)], schema)
         assert store.publish_snapshot(spark, current.unionByName(row), home) == n - 1
     assert store.read_snapshot(spark, home, schema).count() == 2
+    # the last two stay
+    last = store.read_snapshot(spark, home, schema)
+    assert store.publish_snapshot(spark, last, home) == 2
+    assert files.children(spark, home, "snapshot=") == ["snapshot=1", "snapshot=2"]
     # an unfinished snapshot is not read
     spark.range(1).write.parquet(f"{home}/snapshot=9")
     files.delete(spark, f"{home}/snapshot=9/_SUCCESS")
