@@ -7,6 +7,10 @@ whose postings are cut into blocks of examples with the largest weight each term
 query visits blocks in the order of their bounds and stops when no block can hold a nearer
 example, so its neighbours are exact. Neighbours vote by similarity; the votes are calibrated on
 the sample, each example without itself. The nearest examples come out as evidence.
+
+The sample is drawn from each class on its own, so every example stands for as many labelled
+rows as its class has for each sampled one: in the vote, the calibration and the prior. Scores
+thus are chances in the labelled rows, whatever share of a class was sampled.
 """
 
 from __future__ import annotations
@@ -191,20 +195,23 @@ def vector_of(counts: dict[int, int], idf: np.ndarray) -> dict[int, float]:
     return {t: w / size for t, w in raw.items()} if size else {}
 
 
-def vote(near: list[tuple[float, int]], labels: np.ndarray) -> float:
-    """Share of the neighbours' similarity that belongs to label 1."""
-    total = sum(s for s, _ in near)
-    return sum(s for s, p in near if labels[p]) / total
+def vote(near: list[tuple[float, int]], labels: np.ndarray, stands_for: tuple[float, float] = (1.0, 1.0)) -> float:
+    """Share of the neighbours' similarity that belongs to label 1, an example counting by its label."""
+    total = sum(s * stands_for[labels[p]] for s, p in near)
+    return sum(s * stands_for[1] for s, p in near if labels[p]) / total
 
 
 class Calibration:
     """Share of label 1 by vote: pooled so that it never falls as the vote rises."""
 
-    def __init__(self, votes: list[float], labels: list[int], prior: float) -> None:
+    def __init__(
+        self, votes: list[float], labels: list[int], prior: float, stands_for: tuple[float, float] = (1.0, 1.0)
+    ) -> None:
         edges = np.linspace(0, 1, BINS + 1)
         place = np.minimum((np.array(votes) * BINS).astype(int), BINS - 1) if votes else np.zeros(0, int)
-        hits = np.bincount(place, np.array(labels, float), BINS) if votes else np.zeros(BINS)
-        sizes = np.bincount(place, minlength=BINS).astype(float)
+        weights = np.array([stands_for[x] for x in labels], float)
+        hits = np.bincount(place, weights * np.array(labels, float), BINS) if votes else np.zeros(BINS)
+        sizes = np.bincount(place, weights, BINS) if votes else np.zeros(BINS)
         # one case of doubt in every bin: its own middle
         pools: list[list[float]] = []
         for i in range(BINS):
@@ -229,16 +236,20 @@ class Model:
     idf: np.ndarray
     examples: Examples
     calibration: Calibration
+    stands_for: tuple[float, float] = (1.0, 1.0)  # labelled rows for each example of label 0 and 1
     evidence: int = 3
 
     def score(self, counts: dict[int, int]) -> tuple[float, list[int]]:
         near = self.examples.nearest(vector_of(counts, self.idf), NEIGHBOURS)
-        said = vote(near, self.examples.labels) if near else None
+        said = vote(near, self.examples.labels, self.stands_for) if near else None
         return self.calibration.score(said), [self.examples.ids[p] for _, p in near[: self.evidence]]
 
 
-def _sample(docs: DataFrame, labels: DataFrame) -> list[tuple[int, int, str]]:
-    """(doc_id, label, text) of up to SAMPLE training rows of each class, by a hash of doc_id."""
+def _sample(docs: DataFrame, labels: DataFrame) -> tuple[list[tuple[int, int, str]], dict[int, int]]:
+    """(doc_id, label, text) of up to SAMPLE training rows of each class, by a hash of doc_id.
+
+    With it comes the number of training rows of each class.
+    """
     marked = (
         labels.select(labels["doc_id"].cast("long").alias("doc_id"), labels["toxic"].cast("int").alias("label"))
         .filter("doc_id IS NOT NULL AND label IN (0, 1)")
@@ -259,7 +270,7 @@ def _sample(docs: DataFrame, labels: DataFrame) -> list[tuple[int, int, str]]:
         part = part.orderBy(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)), "doc_id").limit(SAMPLE)
         picked = picked.unionByName(part)
     rows = docs.join(F.broadcast(picked), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
-    return sorted((r["doc_id"], r["label"], r["text"]) for r in rows.collect())
+    return sorted((r["doc_id"], r["label"], r["text"]) for r in rows.collect()), sizes
 
 
 def _features(rows: DataFrame, terms: list[str]) -> DataFrame:
@@ -285,7 +296,9 @@ def _features(rows: DataFrame, terms: list[str]) -> DataFrame:
 def fit(docs: DataFrame, labels: DataFrame) -> tuple[Model, DataFrame]:
     """The model, and the term counts of every row of ``docs`` (written to the shared folder)."""
     rows = texts(docs).select("doc_id", F.xxhash64("text").alias("text_key"), "text")
-    sample = _sample(rows.select("doc_id", "text"), labels)
+    sample, sizes = _sample(rows.select("doc_id", "text"), labels)
+    drawn = Counter(label for _, label, _ in sample)
+    stands_for = tuple(sizes[x] / drawn[x] if drawn[x] else 1.0 for x in (0, 1))
     terms = choose_terms([t for _, x, t in sample if x], [t for _, x, t in sample if not x])
     features = stored(_features(rows, terms), "toxicity")
     df = np.zeros(len(terms))
@@ -297,16 +310,16 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[Model, DataFrame]:
     marks = [label for _, label, _ in sample]
     examples = Examples.build(vectors, marks, [i for i, _, _ in sample], len(terms))
     place_of = {i: p for p, i in enumerate(examples.ids)}
-    votes, known, blank = [], [], [0, 0]
+    votes, known, blank = [], [], [0.0, 0.0]
     for (i, label, _), vector in zip(sample, vectors):
         near = examples.nearest(vector, NEIGHBOURS, but=place_of[i])
         if near:
-            votes.append(vote(near, examples.labels))
+            votes.append(vote(near, examples.labels, stands_for))
             known.append(label)
         else:
-            blank[label] += 1
+            blank[label] += stands_for[label]
     prior = (blank[1] + 0.1) / (sum(blank) + 1)
-    return Model(idf, examples, Calibration(votes, known, prior)), features
+    return Model(idf, examples, Calibration(votes, known, prior, stands_for), stands_for), features
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:

@@ -256,6 +256,25 @@ def test_toxicity_on_odd_rows(spark, odd, none):
     assert toxicity.toxicity(none, labels).count() == 0
 
 
+def test_toxicity_scores_are_chances_however_much_was_sampled(spark, monkeypatch):
+    """Seven clean texts to a toxic one; a word is in all toxic and in a seventh of the clean ones."""
+    def said(i):
+        word = "scum" if i % 8 < 2 else "nice" if i % 8 < 7 else ""
+        return f"text a{i} {word} word b{i % 7}" if word else "..."
+
+    def scores(n, sample):
+        monkeypatch.setattr(toxicity, "SAMPLE", sample)
+        docs = _docs(spark, [(i, said(i), "s") for i in range(n)])
+        got = toxicity.toxicity(docs, _labels(spark, [(i, 0, int(i % 8 == 0)) for i in range(n)])).collect()
+        return {k: {r["score"] for r in got if r["doc_id"] % 8 == k} for k in (1, 3, 7)}
+
+    whole, cut, larger = scores(1600, 5000), scores(1600, 60), scores(6400, 240)
+    for made in (whole, cut, larger):
+        assert all(len(found) == 1 for found in made.values())
+        assert 0.35 < max(made[1]) < 0.65  # half of the texts with the word are toxic
+        assert max(made[3]) < 0.1 and max(made[7]) < 0.1
+
+
 def test_pipeline_stages(spark):
     docs = table(spark, SF_DIR, "documents")
     for name, stage in corpus_pipeline.STAGES:
