@@ -8,8 +8,10 @@ threshold: by what the item's rarer words in the passage and all its commoner on
 the largest impacts in the item's block, and by the exact scores of the blocks that are left.
 What is retrieved is verified word by word against the item's question and answer.
 
-The index of a block of items goes to all tasks; its size is bounded by ``block_items``, and
-more items than that are searched block after block.
+The index of a block of items goes to all tasks; its size is bounded by ``block_items`` and
+``block_bytes``, and more items than that are searched block after block. What scores depend on
+(document frequencies, number and mean length of the items, the passages' length) is counted
+once over all items, so that blocks do not change them.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadpulse.llm.common import texts
+from roadpulse.llm.common import stored, texts
 from roadpulse.llm.words import distinct, word_hashes
 
 K1, B = 1.2, 0.75
@@ -48,6 +50,26 @@ def question_and_answer(text: str) -> tuple[str, str]:
     return " ".join(parts[:-1]), parts[-1]
 
 
+@dataclass
+class Whole:
+    """What an index needs to know of all items, not only of its own."""
+
+    items: int  # items that have words
+    mean: float  # their mean number of words
+    longest: int  # words of the longest
+    words: np.ndarray  # sorted hashes of words, those of the index's items at least,
+    df: np.ndarray  # and in how many items each occurs
+
+    @classmethod
+    def of(cls, items: list[tuple[int, str]]) -> Whole:
+        hashes, begins = word_hashes([t for _, t in items])
+        sizes = np.diff(begins)
+        each = [distinct(hashes[a:b]) for a, b in zip(begins[:-1], begins[1:])]
+        words, df = np.unique(np.concatenate([*each, hashes[:0]]), return_counts=True)
+        held = sizes[sizes > 0]
+        return cls(len(held), float(held.mean()) if len(held) else 0.0, int(sizes.max(initial=0)), words, df)
+
+
 @dataclass
 class Index:
     """Items of one block: vocabulary, impacts, bounds, and the words to verify."""
@@ -67,11 +89,15 @@ class Index:
     rest: np.ndarray  # sum of the impacts of each item's other words
     questions: list[np.ndarray]
     answers: list[np.ndarray]
-    passage: int  # words of the longest item
+    passage: int  # words of the longest of all items
 
     @classmethod
-    def build(cls, items: list[tuple[int, str]], least: float) -> Index | None:
-        """Index of the items that have words; None if there are none."""
+    def build(cls, items: list[tuple[int, str]], least: float, whole: Whole | None = None) -> Index | None:
+        """Index of the items that have words; None if there are none.
+
+        ``whole`` tells of all items where these are a block of them.
+        """
+        whole = whole or Whole.of(items)
         hashes, begins = word_hashes([t for _, t in items])
         split = [question_and_answer(t) for _, t in items]
         asked, asked_at = word_hashes([q for q, _ in split])
@@ -87,10 +113,10 @@ class Index:
         column = column_of[np.repeat(np.arange(len(items)), sizes)]
         code, counts = np.unique(column * len(vocabulary) + word, return_counts=True)
         column, word = np.divmod(code, len(vocabulary))
-        df = np.bincount(word)
-        idf = np.log(1 + (len(order) - df + 0.5) / (df + 0.5))
+        df = whole.df[np.searchsorted(whole.words, vocabulary)]
+        idf = np.log(1 + (whole.items - df + 0.5) / (df + 0.5))
         lengths = sizes[order]
-        damp = K1 * (1 - B + B * lengths / lengths.mean())
+        damp = K1 * (1 - B + B * lengths / whole.mean)
         weight = idf[word] * counts * (K1 + 1) / (counts + damp[column])
         impact = weight / (least * np.bincount(column, weight))[column]
         # from the commonest word of each item on, words are left out of the postings for as
@@ -117,7 +143,7 @@ class Index:
             np.bincount(column, np.where(key, 0, impact)),
             [asked[asked_at[i] : asked_at[i + 1]] for i in order],
             [said[said_at[i] : said_at[i + 1]] for i in order],
-            int(lengths.max()),
+            whole.longest,
         )
 
     def search(self, hashes: np.ndarray, begins: np.ndarray) -> list[tuple[int, int, float]]:
@@ -186,6 +212,7 @@ def find_leaks(
     least: float = 0.6,
     overlap: float = 0.6,
     block_items: int = 20_000,
+    block_bytes: int = 64 << 20,
 ) -> DataFrame:
     """doc_id, text_key, item_id, score, question_overlap, answer_overlap, first_word.
 
@@ -194,13 +221,17 @@ def find_leaks(
     answer's 3-grams stand in that passage (shorter parts are compared whole). The passage with
     the best overlap counts, the first one on ties; first_word is where it begins. Null and
     empty texts, items without words and null items match nothing; null ids and repeated rows
-    of documents come out as they are; items that share an id are items of their own.
+    of documents come out as they are; items that share an id are items of their own, unless
+    their texts are equal too: these are one item.
     """
     spark = docs.sparkSession
     parts = items.select(items["item_id"].cast("long").alias("item_id"), items["text"].cast("string").alias("text"))
-    parts = parts.filter("text IS NOT NULL")
-    blocks = -(-parts.count() // block_items)
+    parts = parts.filter("text IS NOT NULL").distinct()
+    size = parts.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()
+    blocks = max(-(-size["n"] // block_items), -(-size["bytes"] // block_bytes))
     numbered = parts.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(max(blocks, 1))))
+    numbered = stored(numbered, "items")
+    facts, counted = _count_words(numbered)
     schema = (
         "doc_id bigint, text_key bigint, item_id bigint, score double, "
         "question_overlap double, answer_overlap double, first_word bigint"
@@ -209,7 +240,11 @@ def find_leaks(
     found = []
     for block in range(blocks):
         listed = [tuple(r) for r in numbered.filter(F.col("block") == block).select("item_id", "text").collect()]
-        index = Index.build(sorted(listed, key=lambda r: (r[0] is None, r)), least)
+        known = counted.filter(F.col("block") == block).select("word", "df").toArrow()
+        words = known.column("word").to_numpy().view(np.uint64)
+        rank = np.argsort(words)
+        whole = Whole(*facts, words[rank], known.column("df").to_numpy()[rank])
+        index = Index.build(sorted(listed, key=lambda r: (r[0] is None, r)), least, whole)
         if index is None:
             continue
         sent = spark.sparkContext.broadcast(index)
@@ -219,6 +254,31 @@ def find_leaks(
     return reduce(DataFrame.unionAll, found)
 
 
+def _count_words(numbered: DataFrame) -> tuple[tuple[int, float, int], DataFrame]:
+    """Number, mean and greatest length of the items that have words; and block, word and df.
+
+    df counts the items of all blocks; there is a row for each block and word that it holds.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes, begins = word_hashes(batch.column(1).to_pylist())
+            each = [distinct(hashes[a:b]).view(np.int64) for a, b in zip(begins[:-1], begins[1:])]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(np.diff(begins), pa.int64()), pa.array(each, pa.list_(pa.int64()))],
+                ["block", "size", "words"],
+            )
+
+    cut = numbered.select("block", "text").mapInArrow(run, "block bigint, size bigint, words array<bigint>")
+    cut = stored(cut.filter("size > 0"), "item-words")
+    sums = cut.agg(F.count("*").alias("n"), F.sum("size").alias("all"), F.max("size").alias("most")).first()
+    facts = (sums["n"], sums["all"] / sums["n"], sums["most"]) if sums["n"] else (0, 0.0, 0)
+    held = cut.select("block", F.explode("words").alias("word")).groupBy("block", "word").agg(F.count("*").alias("c"))
+    held = stored(held, "block-words")
+    df = held.groupBy("word").agg(F.sum("c").alias("df"))
+    return facts, stored(held.join(df, "word").select("block", "word", "df"), "word-counts")
+
+
 def _matcher(sent, overlap: float):
     names = ["doc_id", "text_key", "item_id", "score", "question_overlap", "answer_overlap", "first_word"]
     kinds = [pa.int64()] * 3 + [pa.float64()] * 3 + [pa.int64()]

@@ -240,6 +240,20 @@ def test_leaks(spark, odd, none):
     assert decontamination.find_leaks(odd, items.limit(0)).count() == decontamination.find_leaks(none, items).count() == 0
 
 
+def test_leaks_do_not_depend_on_blocks(spark):
+    rows = [(i, f"what is the name of river {'long ' * (i % 4)} number{i % 5} in land{i}? it is called r{i} s{i % 3}") for i in range(12)]
+    items = spark.createDataFrame([*rows, rows[0], (0, "another text under one id, which is one more item")], "item_id bigint, text string")
+    docs = _docs(spark, [(i, f"before that {t} " + f"and w{i} " * 30, "a") for i, t in rows])
+    columns = ["doc_id", "item_id", "score", "question_overlap", "answer_overlap", "first_word"]
+    found = [
+        sorted(tuple(r) for r in decontamination.find_leaks(docs, items, **bound).select(columns).collect())
+        for bound in ({}, {"block_items": 1}, {"block_items": 5}, {"block_bytes": 200})
+    ]
+    assert len(found[0]) >= 12 and {(i, i) for i in range(12)} <= {r[:2] for r in found[0]}
+    assert all(made == found[0] for made in found)
+    assert len({r[:2] for r in found[0]}) == len(found[0])
+
+
 def test_toxicity_learns_and_leaves_clean_texts_alone(spark):
     docs = [(i, f"text {i} has a{i} {['idiot', 'scum'][i % 2] if i % 5 == 0 else 'nice'} word b{i % 7} c{i % 11}", "s") for i in range(600)]
     labels = _labels(spark, [(i, 0, int(i % 5 == 0)) for i in range(600)] + [(3, 0, None), (None, 0, 1), (9999, 0, 1)])
