@@ -6,7 +6,8 @@ texts are cut into overlapping passages, long enough to hold any item whole, and
 is a query. Pairs are thrown out in three steps, none of which loses an item above the
 threshold: by what the item's rarer words in the passage and all its commoner ones come to, by
 the largest impacts in the item's block, and by the exact scores of the blocks that are left.
-What is retrieved is verified word by word against the item's question and answer.
+What is retrieved is verified word by word against the item: its question and its answer, or the
+whole of it, or a long question alone, whose answer a text may leave out.
 
 The index of a block of items goes to all tasks; its size is bounded by ``block_items`` and
 ``block_bytes``, and more items than that are searched block after block. What scores depend on
@@ -36,6 +37,8 @@ LANE = 32
 # every item is one, less what rounding may take.
 OTHERS = 0.35
 SURE = 1 - 1e-4
+# A question of so many words is a leak without its answer.
+LONG_QUESTION = 8
 _SENTENCE = re.compile(r"(?<=[.?!])\s+|\n+")
 
 
@@ -87,6 +90,8 @@ class Index:
     posted: np.ndarray  # their items
     worth: np.ndarray  # and impacts
     rest: np.ndarray  # sum of the impacts of each item's other words
+    part: np.ndarray  # the least score as a part of that of the whole item; below one for long questions
+    texts: list[np.ndarray]
     questions: list[np.ndarray]
     answers: list[np.ndarray]
     passage: int  # words of the longest of all items
@@ -118,7 +123,14 @@ class Index:
         lengths = sizes[order]
         damp = K1 * (1 - B + B * lengths / whole.mean)
         weight = idf[word] * counts * (K1 + 1) / (counts + damp[column])
-        impact = weight / (least * np.bincount(column, weight))[column]
+        # a long question is looked for by what its own words come to
+        asking = [asked[asked_at[i] : asked_at[i + 1]] for i in order]
+        alone = np.array([len(q) >= LONG_QUESTION for q in asking])
+        inside = np.repeat(np.arange(len(order)), [len(q) for q in asking])
+        pairs = inside * len(vocabulary) + np.searchsorted(vocabulary, np.concatenate(asking))
+        full = np.bincount(column, weight)
+        part = np.where(alone, np.bincount(column, weight * np.isin(code, pairs)) / full, 1.0)
+        impact = weight / (least * part * full)[column]
         # from the commonest word of each item on, words are left out of the postings for as
         # long as their impacts come to no more than OTHERS
         falling = np.lexsort((-df[word], column))
@@ -141,7 +153,9 @@ class Index:
             vocabulary[rows], gate, np.searchsorted(place[by_word], np.arange(len(rows) + 1)),
             column[key][by_word], impact[key][by_word],
             np.bincount(column, np.where(key, 0, impact)),
-            [asked[asked_at[i] : asked_at[i + 1]] for i in order],
+            part,
+            [hashes[begins[i] : begins[i + 1]] for i in order],
+            asking,
             [said[said_at[i] : said_at[i + 1]] for i in order],
             whole.longest,
         )
@@ -189,6 +203,14 @@ class Index:
         """Shares of the question's and the answer's runs of words that stand in the passage."""
         return _held(words, self.questions[item], 5), _held(words, self.answers[item], 3)
 
+    def leaked(self, words: np.ndarray, item: int, score: float, asked: float, said: float, overlap: float) -> bool:
+        """Whether the passage holds the item, or its question if that is long."""
+        if len(self.questions[item]) >= LONG_QUESTION and asked >= overlap:
+            return True
+        if score < SURE:
+            return False
+        return min(asked, said) >= overlap or _held(words, self.texts[item], 5) >= overlap
+
 
 def _sum_of(words: np.ndarray, listed: np.ndarray, worth: np.ndarray) -> float:
     """Sum over the listed words that are among the sorted words."""
@@ -218,7 +240,9 @@ def find_leaks(
 
     One row per text and item that it leaks: BM25 of a passage is at least ``least`` of the
     item's score against itself, and at least ``overlap`` of the question's 5-grams and of the
-    answer's 3-grams stand in that passage (shorter parts are compared whole). The passage with
+    answer's 3-grams, or of the whole item's 5-grams, stand in that passage (shorter parts are
+    compared whole). A question of LONG_QUESTION words also counts alone, by its own score and
+    5-grams; score is then below one where the answer is missed. The passage with
     the best overlap counts, the first one on ties; first_word is where it begins. Null and
     empty texts, items without words and null items match nothing; null ids and repeated rows
     of documents come out as they are; items that share an id are items of their own, unless
@@ -293,7 +317,8 @@ def _matcher(sent, overlap: float):
                 text = int(np.searchsorted(begins, start, side="right") - 1)
                 stop = min(start + 2 * index.passage, int(begins[text + 1]))
                 asked, said = index.overlap(hashes[start:stop], item)
-                if min(asked, said) >= overlap:
+                score *= float(index.part[item])
+                if index.leaked(hashes[start:stop], item, score, asked, said, overlap):
                     made = (asked + said, -start, score, asked, said)
                     best[text, item] = max(best.get((text, item), made), made)
             out = [

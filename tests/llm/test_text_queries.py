@@ -240,6 +240,23 @@ def test_leaks(spark, odd, none):
     assert decontamination.find_leaks(odd, items.limit(0)).count() == decontamination.find_leaks(none, items).count() == 0
 
 
+def test_leaks_without_the_answer(spark):
+    short = "Name the old river of that land? Er."
+    asked = "Which of the seven old rivers of that country runs north past the castle?"
+    long_answer = " It is the one that " + " ".join(f"answer{i}" for i in range(30)) + "."
+    texts_ = [
+        (1, "Some one told me, and I quote: name THE old river of that land, and so on.", "a"),
+        (2, f"before {asked} " + "after " * 200, "a"),
+        (3, "the seven old rivers of another country run south past many a castle", "a"),
+        (4, "an old river with a name", "a"),
+    ]
+    items = spark.createDataFrame([(1, "Who knows? Er."), (2, asked + " Er."), (3, asked + long_answer), (4, short)], "item_id bigint, text string")
+    got = decontamination.find_leaks(_docs(spark, texts_), items).collect()
+    by = {(r["doc_id"], r["item_id"]): r for r in got}
+    assert set(by) == {(1, 4), (2, 2), (2, 3)}
+    assert all(by[k]["question_overlap"] == 1 and by[k]["answer_overlap"] == 0 for k in [(2, 2), (2, 3)])
+
+
 def test_leaks_do_not_depend_on_blocks(spark):
     rows = [(i, f"what is the name of river {'long ' * (i % 4)} number{i % 5} in land{i}? it is called r{i} s{i % 3}") for i in range(12)]
     items = spark.createDataFrame([*rows, rows[0], (0, "another text under one id, which is one more item")], "item_id bigint, text string")
