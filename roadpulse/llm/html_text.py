@@ -3,9 +3,10 @@
 The text of a page is cut into blocks, each with its root-to-leaf tag path. Per path the text
 length, the punctuation and the share of link text are added up over its blocks. Length per
 block and punctuation per block are fused into one ratio, which is smoothed along the page and
-compared with a multiple of its spread. Paths above the threshold are content; the element that
-holds most of their text is the article, and its remaining blocks (headings, short paragraphs,
-list items) stay unless they are mostly links.
+compared with a multiple of its spread. Paths above the threshold are content. The page's
+<article> is the article if it holds most of their text, else the innermost element that holds
+all of it. Its remaining blocks (headings, short paragraphs, list items) stay; without an <article>,
+those before the first and after the last block of content stay unless they are mostly links.
 
 Paths that the page itself marks as navigation, notices, adverts, forms, comments and the like
 have ratio zero.
@@ -265,8 +266,9 @@ def main_text(page: str | None, spread: float = 0.5, share: float = 0.6, links:
     """The article of one page: blocks in page order, joined by one newline.
 
     ``spread`` times the standard deviation of the smoothed ratios is the threshold; the article
-    is the innermost element with ``share`` of the content's weight; a block with more than ``links``
-    of its text in links is no part of it unless its path is content.
+    is the <article> with ``share`` of the content's text, or else the innermost element with all of
+    it, whose beginning and end are its first and last block that are not more than ``links`` of
+    their text in links, or content.
     """
     if not page:
         return ""
@@ -297,7 +299,7 @@ def main_text(page: str | None, spread: float = 0.5, share: float = 0.6, links:
     elements = tree.elements
     for b in blocks:
         if b.path in content:
-            elements[b.owner].mass += len(b.text) * (1 + len(_PUNCT.findall(b.text)))
+            elements[b.owner].mass += len(b.text)
     children: dict[int, list[int]] = {}
     for i in range(len(elements) - 1, 0, -1):
         elements[elements[i].parent].mass += elements[i].mass
@@ -307,20 +309,28 @@ def main_text(page: str | None, spread: float = 0.5, share: float = 0.6, links:
     whole = elements[0].mass
     while elements[root].tag != "article":
         best = max(children.get(root, []), key=lambda i: elements[i].mass, default=-1)
-        if best < 0 or elements[best].mass < share * whole:
+        if best < 0 or elements[best].tag not in BLOCK:
             break
-        if elements[best].tag not in BLOCK:
+        if elements[best].mass < whole:
             break
         root = best
+    main = max((i for i, e in enumerate(elements) if e.tag == "article" and e.mass), key=lambda i: elements[i].mass, default=-1)
+    if main >= 0 and elements[main].mass >= share * whole:
+        root = main
     inside = [False] * len(elements)
     inside[root] = True
     for i in range(root + 1, len(elements)):
         inside[i] = inside[elements[i].parent]
-    kept = [
-        b.text
-        for b in blocks
-        if inside[b.owner] and (b.path in content or b.link <= links * len(b.text))
-    ]
+    own = [b for b in blocks if inside[b.owner]]
+    if elements[root].tag == "article":
+        kept = [b.text for b in own]
+    else:
+        at = [i for i, b in enumerate(own) if b.path in content] or [len(own)]
+        kept = [
+            b.text
+            for i, b in enumerate(own)
+            if at[0] <= i <= at[-1] or b.link <= links * len(b.text)
+        ]
     if not any(inside[b.owner] and b.tag == "h1" for b in blocks):
         title = [b.text for b in blocks if b.tag == "h1" and b.owner < root]
         kept = title[-1:] + kept

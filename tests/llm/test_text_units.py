@@ -43,6 +43,27 @@ def test_div_page_without_marks():
     assert main_text(page % long) == f"Head\n{long.strip()}\nShort."
 
 
+def test_all_content_of_a_page_without_article():
+    long = "A long sentence, with words, and signs, of which there are many. " * 45
+    short = "A paragraph of its own, with some words and a few signs. " * 5
+    parts = [long, short + "One.", short + "Two.", short + "Three."]
+    page = "<body><main><section><p>%s</p></section><section><p>%s</p><p>%s</p><p>%s</p></section></main></body>"
+    assert main_text(page % tuple(parts)).split("\n") == [" ".join(p.split()) for p in parts]
+    items = [f"Item {i}, as long as a paragraph, with signs, and more words, and so on." for i in range(40)]
+    listed = "".join(f"<li>{i}</li>" for i in items)
+    page = f"<body><div><div><p>{short}Before.</p></div><ul>{listed}</ul><div><p>{short}After.</p></div></div></body>"
+    assert main_text(page).split("\n") == [short + "Before.", *items, short + "After."]
+
+
+def test_linked_blocks_of_an_article_stay():
+    long = "A long sentence, with words, and signs. " * 5
+    body = f"<p>{long}</p><h2><a href=1>A linked heading</a></h2><ul><li><a href=2>A linked item</a></li></ul><p>{long}</p>"
+    want = [long.strip(), "A linked heading", "A linked item", long.strip()]
+    assert main_text(f"<body><article>{body}</article></body>").split("\n") == want
+    nav = "<div><a href=1>one</a> <a href=2>two</a></div>"
+    assert main_text(f"<body>{nav}<div>{nav}{body}{nav}</div>{nav}</body>").split("\n") == want
+
+
 def test_secrets_equal_full_scans():
     rng = random.Random(5)
     parts = ["password=abcdef", "SECRET: 'xyz12345'", "api_key=ab", "AKIA" + "A1" * 8, "AKIA12", "deadbeef" * 3,
