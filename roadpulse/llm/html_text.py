@@ -9,7 +9,8 @@ all of it. Its remaining blocks (headings, short paragraphs, list items) stay; w
 those before the first and after the last block of content stay unless they are mostly links.
 
 Paths that the page itself marks as navigation, notices, adverts, forms, comments and the like
-have ratio zero.
+have ratio zero. Words in class, id or role do not mark an element that wraps the page's <main>,
+or its only <article>, or nearly all text that is not marked otherwise.
 """
 
 from __future__ import annotations
@@ -70,6 +71,8 @@ class _Element:
     path: int
     outside: bool
     article: bool
+    hard: bool = False  # outside by its tag or because it is hidden,
+    soft: bool = False  # by a mark word of its own
     mass: float = 0.0
 
 
@@ -87,7 +90,8 @@ class _Block:
 class _Page:
     """Elements, paths and blocks of one page, found in one pass over its tags."""
 
-    def __init__(self) -> None:
+    def __init__(self, wrappers: frozenset[int] = frozenset()) -> None:
+        self.wrappers = wrappers  # elements whose mark words say nothing
         self.elements = [_Element("", -1, 0, False, False)]
         self.paths: dict[tuple[int, str], int] = {}
         self.blocks: list[_Block] = []
@@ -156,10 +160,12 @@ class _Page:
         if tag in VOID:
             return
         up = self.elements[self.open[-1]]
-        label, marked = _label(tag, attrs, up.article)
+        label, hard, soft = _label(tag, attrs, up.article)
+        soft = soft and len(self.elements) not in self.wrappers
+        marked = hard or soft
         path = self.paths.setdefault((up.path, label), len(self.paths) + 1)
         article = not marked and (up.article or tag in ("article", "main"))
-        self.elements.append(_Element(tag, self.open[-1], path, up.outside or marked, article))
+        self.elements.append(_Element(tag, self.open[-1], path, up.outside or marked, article, hard, soft))
         me = len(self.elements) - 1
         if tag in SCOPE:
             self.scopes.append(len(self.open))
@@ -185,8 +191,9 @@ class _Page:
         self._close_to(depth)
 
 
-def _label(tag: str, attrs: str, in_article: bool) -> tuple[str, bool]:
-    """Step of the path for a start tag, and whether it opens something outside the article."""
+def _label(tag: str, attrs: str, in_article: bool) -> tuple[str, bool, bool]:
+    """Step of the path for a start tag, and whether its tag or state, or a word marks it as outside."""
+    soft = False
     marked = tag in OUTSIDE or (tag == "header" and not in_article)
     label = tag
     if attrs:
@@ -199,14 +206,14 @@ def _label(tag: str, attrs: str, in_article: bool) -> tuple[str, bool]:
             else:
                 words = {w.lower() for w in _WORDS.findall(value)}
                 if tag not in ("html", "body") and name != "style":
-                    marked |= bool(words & MARKS) or (not in_article and bool(words & TOP_MARKS))
+                    soft |= bool(words & MARKS) or (not in_article and bool(words & TOP_MARKS))
                 if name == "class":
                     label = f"{tag}.{value}"
-    return label, marked
+    return label, marked, soft
 
 
-def _parse(page: str) -> _Page:
-    made = _Page()
+def _parse(page: str, wrappers: frozenset[int] = frozenset()) -> _Page:
+    made = _Page(wrappers)
     i, n = 0, len(page)
     while i < n:
         at = page.find("<", i)
@@ -251,9 +258,53 @@ def _parse(page: str) -> _Page:
         else:
             made.text("<")
             i = at + 1
+    for b in made.blocks:
+        b.text = " ".join("".join(b.parts).split())
     return made
 
 
+def _wrappers(tree: _Page) -> frozenset[int]:
+    """Elements with a mark word that hold the page's content all the same.
+
+    These hold every <main>, or the only <article> and half of the text, or half of the text with
+    next to none unmarked beside it. What a marked element holds counts only once no element
+    around it is marked, so comments in a wrapper stay marked.
+    """
+    elements = tree.elements
+    if not any(e.soft for e in elements):
+        return frozenset()
+    near, hidden = [0] * len(elements), [False] * len(elements)
+    for i, e in enumerate(elements[1:], 1):
+        near[i] = i if e.hard or e.soft else near[e.parent]
+        hidden[i] = e.hard or hidden[e.parent]
+    mass, free = [0] * len(elements), [0] * len(elements)
+    for b in tree.blocks:
+        if not hidden[b.owner]:
+            prose = max(len(b.text) - b.link, 0)
+            mass[b.owner] += prose
+            free[near[b.owner]] += prose
+    mains, articles = ([i for i, e in enumerate(elements) if e.tag == t and not hidden[i]] for t in ("main", "article"))
+    anchors = mains or articles
+    holds = [0] * len(elements)
+    for i in anchors:
+        holds[i] = 1
+    for i in range(len(elements) - 1, 0, -1):
+        mass[elements[i].parent] += mass[i]
+        holds[elements[i].parent] += holds[i]
+    found: set[int] = set()
+    unmarked = free[0]
+    for i, e in enumerate(elements):
+        outer = near[e.parent] if i else 0
+        if not e.soft or hidden[i] or outer and outer not in found:
+            continue
+        most = 2 * mass[i] >= mass[0] and mass[i]
+        whole = bool(anchors) and holds[i] == len(anchors)
+        if whole and (mains or most and len(articles) == 1) or most and 10 * unmarked < mass[i]:
+            found.add(i)
+            unmarked += free[i]
+    return frozenset(found)
+
+
 def _smooth(values: list[float]) -> list[float]:
     """Weights 1, 2, 1 over neighbouring blocks."""
     n = len(values)
@@ -273,11 +324,9 @@ def main_text(page: str | None, spread: float = 0.5, share: float = 0.6, links:
     if not page:
         return ""
     tree = _parse(page)
-    blocks = []
-    for b in tree.blocks:
-        b.text = " ".join("".join(b.parts).split())
-        if b.text and not b.outside:
-            blocks.append(b)
+    if wrappers := _wrappers(tree):
+        tree = _parse(page, wrappers)
+    blocks = [b for b in tree.blocks if b.text and not b.outside]
     if not blocks:
         return ""
     totals: dict[int, list[float]] = {}

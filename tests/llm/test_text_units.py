@@ -64,6 +64,23 @@ def test_linked_blocks_of_an_article_stay():
     assert main_text(f"<body>{nav}<div>{nav}{body}{nav}</div>{nav}</body>").split("\n") == want
 
 
+def test_a_wrapper_named_by_a_mark_word_keeps_its_page():
+    long = "A long sentence, with words, and signs. " * 5
+    said = f"<p>{long}</p><p>Short.</p>"
+    side = "<div class='sidebar'><p>Other stories, of which there are many, all of them good.</p></div>"
+    talk = f"<div id='comments'><p>{long}</p><p>{long}</p><p>{long}</p></div>"
+    want = f"{long.strip()}\nShort."
+    for page in (
+        f"<div class='page with-sidebar'><article>{said}</article>{side}{talk}</div>",
+        f"<main class='no-sidebar'>{said}{side}</main>{talk}",
+        f"<div id='search-results'><div class='hasBanner'><div>{said}</div>{side}</div></div>",
+        f"<div class='page with-sidebar'><div>{said}</div>{side}{talk}</div>",
+        f"<div><div>{said}</div>{talk}{side}</div>",
+    ):
+        assert main_text(f"<html><body class='page'><nav><a href=1>Home</a></nav>{page}</body></html>") == want
+    assert main_text(f"<body><div class='sidebar' hidden><main>{said}</main></div></body>") == ""
+
+
 def test_secrets_equal_full_scans():
     rng = random.Random(5)
     parts = ["password=abcdef", "SECRET: 'xyz12345'", "api_key=ab", "AKIA" + "A1" * 8, "AKIA12", "deadbeef" * 3,
