@@ -7,9 +7,9 @@ log odds are combined by weights that a gate picks, by whether the longest conte
 seen; the weights adapt after every decision. The result is refined by a table of its own,
 which adapts as well. The sum over all decisions is the log probability of the text.
 
-Texts are scored in stretches that advance together, one decision a step. The contexts reach
-across stretches, and the weights start anew in each, so a text has the same score wherever and
-with whatever it is scored.
+Texts advance together, one decision a step, each with weights and a refining table of its own
+from its first decision to its last, so a text has the same score wherever and with whatever it is
+scored. Tasks take texts by length, so that those that advance together end together.
 """
 
 from __future__ import annotations
@@ -33,10 +33,11 @@ SLOTS = 1 << SLOT_BITS
 # Counts travel in rows of so many slots, and so many tables are added up by one task.
 CHUNK = 1 << 15
 FAN_IN = 64
-STRETCH = 768
-# Bytes that are scored at a time, and symbols that are looked up at a time.
+# Bytes that are counted and that are scored at a time; symbols and steps that are looked up at a time.
 BLOCK = 3 << 19
+SCORE_BLOCK = 1 << 22
 PIECE = 1 << 14
+WINDOW = 512
 START_WEIGHT = np.float32(0.4)
 RATE = np.float32(0.015)
 REFINE_BUCKETS = 24
@@ -208,64 +209,71 @@ def score(made: Decisions, odds: np.ndarray) -> np.ndarray:
     """log10 probability of each text."""
     orders = len(made.slots)
     text_first = made.begins[made.text_begins]
-    sizes = np.diff(text_first)
-    per_text = -(-sizes // STRETCH)
-    text = np.repeat(np.arange(len(sizes)), per_text)
-    nth = np.arange(len(text)) - np.repeat(np.concatenate([[0], np.cumsum(per_text)[:-1]]), per_text)
-    first = text_first[text] + nth * STRETCH
-    length = np.minimum(text_first[text + 1] - first, STRETCH)
+    length = np.diff(text_first)
     rank = np.argsort(-length, kind="stable")
-    first, length, text = first[rank], length[rank], text[rank]
-    lanes, steps = len(first), int(length[0])
-    # step by lane; what lies beyond a stretch is never used
-    at = np.minimum(first[:, None] + np.arange(steps), len(made.bits) - 1)
-    said = np.ones((steps, lanes), np.float32)
-    inputs = [np.ascontiguousarray(odds[o][made.slots[o][at]].T) for o in range(orders)]
-    bits = np.ascontiguousarray(made.bits[at].T).astype(np.float32)
-    gate = (inputs[-1] != 0).astype(np.float32)
-    active = np.searchsorted(-length, -np.arange(steps), side="left")
-    # weights where the gate is shut, and what is added to them where it is open
-    shut = [np.full(lanes, START_WEIGHT) for _ in range(orders)]
-    more = [np.zeros(lanes, np.float32) for _ in range(orders)]
+    first, length = text_first[:-1][rank], length[rank]
+    lanes = len(first)
+    # weights where the gate is open, then those where it is shut; the inputs of the others are zero
+    weights = np.full((2 * orders, lanes), START_WEIGHT)
     middle = (np.arange(REFINE_BUCKETS, dtype=np.float32) - REFINE_BUCKETS / 2 + 0.5) / 2
     refined = np.tile(1 / (1 + np.exp(-middle)), lanes)
     row = np.arange(lanes, dtype=np.int32) * REFINE_BUCKETS
-    for s in range(steps):
-        n = active[s]
-        bit, open_ = bits[s, :n], gate[s, :n]
-        x = [i[s, :n] for i in inputs]
-        dot = (shut[0][:n] + more[0][:n] * open_) * x[0]
-        for o in range(1, orders):
-            dot += (shut[o][:n] + more[o][:n] * open_) * x[o]
-        np.clip(dot, -12, 12, out=dot)
-        p = np.exp(-dot)
-        p += 1
-        np.reciprocal(p, out=p)
-        error = bit - p
-        error *= RATE
+    half, top = np.float32(REFINE_BUCKETS / 2), np.float32(REFINE_BUCKETS - 1)
+    low, high, one, none, two = (np.float32(v) for v in (-12, 12, 1, 0, 2))
+    three, quarter = np.float32(3), np.float32(0.25)
+    total = np.zeros(lanes)
+    for begin in range(0, int(length[0]) if lanes else 0, WINDOW):
+        n = int(np.searchsorted(-length, -begin, side="left"))
+        steps = min(WINDOW, int(length[0]) - begin)
+        # step by lane; what lies beyond a text is never used
+        at = np.minimum(first[:n] + np.arange(begin, begin + steps)[:, None], len(made.bits) - 1)
+        bits = made.bits[at].astype(np.float32)
+        inputs = np.empty((steps, 2 * orders, n), np.float32)
         for o in range(orders):
-            change = error * x[o]
-            opened = change * open_
-            more[o][:n] += opened
-            change -= opened
-            shut[o][:n] += change
-            more[o][:n] -= change
-        dot *= 2
-        dot += REFINE_BUCKETS / 2
-        bucket = np.clip(dot, 0, REFINE_BUCKETS - 1).astype(np.int32)
-        bucket += row[:n]
-        known = refined.take(bucket)
-        p *= 3
-        p += known
-        p *= np.float32(0.25)
-        refined[bucket] = known + (bit - known) * REFINE_RATE
-        # the chance of what came: p for one, 1 - p for zero
-        p -= 1
-        p += bit
-        np.abs(p, out=p)
-        np.maximum(p, np.float32(1e-12), out=said[s, :n])
-    total = np.log(said, out=said).sum(axis=0, dtype=np.float64) / np.log(10)
-    return np.bincount(text, total, minlength=len(sizes))
+            inputs[:, o] = odds[o][made.slots[o][at]]
+        gate = (inputs[:, orders - 1] != 0)[:, None]
+        np.multiply(inputs[:, :orders], ~gate, out=inputs[:, orders:])
+        inputs[:, :orders] *= gate
+        said = np.ones((steps, n), np.float32)
+        active = np.searchsorted(-length, -np.arange(begin, begin + steps), side="left").tolist()
+        for s in range(steps):
+            if active[s] != n:
+                n = active[s]
+            x, bit, w = inputs[s, :, :n], bits[s, :n], weights[:, :n]
+            dot = np.add.reduce(w * x, 0)
+            np.maximum(dot, low, out=dot)
+            np.minimum(dot, high, out=dot)
+            p = np.negative(dot)
+            np.exp(p, out=p)
+            p += one
+            np.reciprocal(p, out=p)
+            error = bit - p
+            error *= RATE
+            w += x * error
+            dot *= two
+            dot += half
+            np.maximum(dot, none, out=dot)
+            np.minimum(dot, top, out=dot)
+            bucket = dot.astype(np.int32)
+            bucket += row[:n]
+            known = refined.take(bucket)
+            p *= three
+            p += known
+            np.multiply(p, quarter, out=said[s, :n])
+            change = bit - known
+            change *= REFINE_RATE
+            change += known
+            refined[bucket] = change
+        # the chance of what came: p for one, 1 - p for zero; one beyond a text's end
+        said -= 1
+        said += bits
+        np.abs(said, out=said)
+        np.maximum(said, np.float32(1e-12), out=said)
+        said[np.arange(begin, begin + steps)[:, None] >= length[: said.shape[1]]] = 1
+        total[: said.shape[1]] += np.log(said).sum(axis=0, dtype=np.float64)
+    scores = np.empty(lanes)
+    scores[rank] = total / np.log(10)
+    return scores
 
 
 def blocks(encoded: list[bytes], most: int = BLOCK) -> Iterator[tuple[int, int]]:
@@ -427,7 +435,9 @@ def score_texts(docs: DataFrame) -> DataFrame:
                 n_common.append(len(found))
                 said.append(sum(found))
                 rare.append([t.decode() for t in tokens if t not in logs] if len(found) < len(tokens) else [])
-            for begin, end in blocks(encoded):
+            # blocks of like size, as a narrow one takes as many steps
+            held = sum(len(e) + 1 for e in encoded)
+            for begin, end in blocks(encoded, -(-held // max(1, -(-held // SCORE_BLOCK)))):
                 scores.append(score(decisions(encoded[begin:end], code), odds))
             yield pa.RecordBatch.from_arrays(
                 [
@@ -445,7 +455,9 @@ def score_texts(docs: DataFrame) -> DataFrame:
         "doc_id bigint, held_out boolean, n_bytes bigint, n_tokens bigint, n_common bigint, "
         "common_score double, score double, rare array<string>"
     )
-    scored = rows.select("doc_id", "text", "held_out").mapInArrow(run, schema)
+    # the longest first: what is left over at the end of a task is short
+    by_length = rows.select("doc_id", "text", "held_out").sortWithinPartitions(F.octet_length("text").desc())
+    scored = by_length.mapInArrow(run, schema)
     scored = stored(scored.withColumn("row", F.monotonically_increasing_id()), "scores")
     # the tokens that are not among the commonest: each text's are counted, then joined by token
     rest = scored.select("row", F.explode("rare").alias("token")).join(counts, "token")

@@ -207,6 +207,34 @@ def test_a_text_scores_the_same_in_any_company():
     assert np.allclose(together, alone, rtol=1e-5) and (together < 0).all()
 
 
+def test_a_text_is_learnt_from_its_first_decision_to_its_last():
+    rng = random.Random(3)
+    texts = [bytes(rng.choices(b"ab cd", k=k)) for k in (2500, 0, 7, 900)]
+    code = mixing_model.Code.of_tokens([(b"abc", 9), (b"", 3)], 9)
+    counts = np.zeros((len(mixing_model.ORDERS), mixing_model.SLOTS, 2), np.uint32)
+    mixing_model.count(mixing_model.decisions([b"ab ab cd abcd" * 9], code), counts)
+    odds = mixing_model.log_odds(counts)
+    got = mixing_model.score(mixing_model.decisions(texts, code), odds)
+    buckets = mixing_model.REFINE_BUCKETS
+    for text, score in zip(texts, got):
+        made = mixing_model.decisions([text], code)
+        weights = [[0.4] * len(made.slots) for _ in range(2)]
+        refined = [1 / (1 + math.exp(-(i - buckets / 2 + 0.5) / 2)) for i in range(buckets)]
+        want = 0.0
+        for d, bit in enumerate(made.bits.tolist()):
+            x = [float(odds[o][slot[d]]) for o, slot in enumerate(made.slots)]
+            w = weights[x[-1] != 0]
+            dot = max(-12.0, min(12.0, sum(a * b for a, b in zip(w, x))))
+            p = 1 / (1 + math.exp(-dot))
+            for o in range(len(x)):
+                w[o] += (bit - p) * float(mixing_model.RATE) * x[o]
+            bucket = int(max(0, min(buckets - 1, dot * 2 + buckets / 2)))
+            p = (3 * p + refined[bucket]) / 4
+            refined[bucket] += (bit - refined[bucket]) * float(mixing_model.REFINE_RATE)
+            want += math.log10(max(p if bit else 1 - p, 1e-12))
+        assert score == pytest.approx(want, rel=1e-4)
+
+
 def test_decisions_give_a_distribution():
     """The chances of all single bytes and of the end alone add up to one."""
     code = mixing_model.Code(np.arange(1, 258))
