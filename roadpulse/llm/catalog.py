@@ -5,9 +5,11 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from roadpulse.llm import (
+    centroids,
     decontamination,
     fingerprints,
     html_text,
@@ -16,6 +18,8 @@ from roadpulse.llm import (
     mixing_model,
     near_duplicates,
     oracle,
+    packing,
+    periodic_runs,
     secrets,
     token_counts,
     toxicity,
@@ -23,6 +27,7 @@ from roadpulse.llm import (
 from roadpulse.llm.common import table
 
 VOCABULARY = os.environ.get("ROADPULSE_VOCABULARY", "/opt/tokenizers/word_bpe_49k.json")
+PACKING_VOCABULARY = os.environ.get("ROADPULSE_PACKING_VOCABULARY") or public_tokenizers.path("byte_bpe_50k.json")
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -99,6 +104,24 @@ def _toxicity(spark, sf_dir):
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("text_key")
 
 
+@query("op11_packing")
+def _packing(spark, sf_dir):
+    """Pieces of every document and their places in sequences of 1024 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents"), PACKING_VOCABULARY, with_ids=False)
+
+
+@query("op12_runs")
+def _runs(spark, sf_dir):
+    """The longest periodic run of every document, and hashes of all runs and of what they leave."""
+    return periodic_runs.digest(table(spark, sf_dir, "documents"))
+
+
+@query("op13_clusters")
+def _clusters(spark, sf_dir):
+    """The cluster of every usable vector after five rounds."""
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
