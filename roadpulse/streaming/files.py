@@ -30,3 +30,27 @@ def has_children(spark: SparkSession, path: str, prefix: str = "") -> bool:
 def delete(spark: SparkSession, path: str) -> None:
     fs, target = _open(spark, path)
     fs.delete(target, True)
+
+
+def rename(spark: SparkSession, source: str, target: str) -> bool:
+    """Move a file or folder to a name that is free; false when the name is taken."""
+    fs, old = _open(spark, source)
+    new = spark._jvm.org.apache.hadoop.fs.Path(target)
+    if fs.exists(new):
+        return False
+    fs.mkdirs(new.getParent())
+    return fs.rename(old, new)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file under a name that readers see only when it is complete."""
+    fs, target = _open(spark, path)
+    part = spark._jvm.org.apache.hadoop.fs.Path(target.getParent(), f"_{target.getName()}.part")
+    out = fs.create(part, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    if fs.exists(target):
+        fs.delete(target, False)
+    fs.rename(part, target)

@@ -5,15 +5,19 @@ partition overwrite, so a replayed batch replaces itself and nothing else. Readi
 row of the highest version per key, which is last-write-wins. Folding a closed date rewrites
 it as an odd version above everything it folds, so a fold that dies half-way leaves a table
 that still reads correctly.
+
+Every version leaves one small record in ``<path>.ledger``: its rows, its dates, and the range
+of its write times, observed while it was written. The audit, retention, the newest alerts and
+the delivery of alerts are planned from these records instead of from the data.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import timezone
+from datetime import datetime, timedelta, timezone
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,7 +26,10 @@ from roadpulse.functions.times import before, instant, moment
 from roadpulse.operators.latest import has_fixed_width, latest_by, newest_values
 from roadpulse.operators.merge import expire
 from roadpulse.settings import DEFAULTS, Thresholds
-from roadpulse.streaming import files
+from roadpulse.streaming import files, records
+
+
+EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 
 
 @dataclass(frozen=True)
@@ -33,6 +40,12 @@ class UpsertTable:
     columns: T.StructType
     keys: tuple[str, ...]
     order: tuple[T.StructField, ...] = ()
+    # a log keeps every row of every version instead of the newest row per key
+    keeps_all: bool = False
+
+    @property
+    def ledger(self) -> str:
+        return f"{self.path}.ledger"
 
     @property
     def stored(self) -> T.StructType:
@@ -66,7 +79,25 @@ def weather_table(path: str) -> UpsertTable:
 
 def alert_table(path: str) -> UpsertTable:
     """The alert log: every raise of a batch is kept, so it is read with ``read_log``."""
-    return UpsertTable(path, schemas.CONGESTION_ALERTS, ("corridor_id", "event_time"))
+    return UpsertTable(
+        path,
+        schemas.CONGESTION_ALERTS,
+        ("corridor_id", "event_time"),
+        (T.StructField("raised_in", T.LongType()),),
+        keeps_all=True,
+    )
+
+
+# One record per version and, for folds, per date; ``dates`` are all dates it has rows of.
+LEDGER = T.StructType(
+    [
+        T.StructField("version", T.LongType()),
+        T.StructField("rows_written", T.LongType()),
+        T.StructField("dates", T.ArrayType(T.DateType())),
+        T.StructField("first_written", T.TimestampType()),
+        T.StructField("last_written", T.TimestampType()),
+    ]
+)
 
 
 def batch_version(batch_id: int) -> int:
@@ -74,18 +105,51 @@ def batch_version(batch_id: int) -> int:
 
 
 def write_version(rows: DataFrame, table: UpsertTable, version: int, written_at=None) -> None:
-    """Write rows as one version, replacing that version wherever the rows fall."""
-    data = table.columns.names + [f.name for f in table.order]
-    rows.select(
+    """Write rows as one version, replacing that version wherever the rows fall.
+
+    Rows of a log also carry the version they were first written in, which folding keeps.
+    """
+    spark, now = rows.sparkSession, moment(written_at)
+    data = table.columns.names + [f.name for f in table.order if f.name != "raised_in"]
+    raised = [F.lit(version).cast("long").alias("raised_in")] if table.keeps_all else []
+    seen = Observation()
+    placed = rows.select(
         *data,
-        instant(written_at).alias("ingested_at"),
+        *raised,
+        instant(now).alias("ingested_at"),
         F.to_date("event_time").alias("event_date"),
         F.lit(version).cast("long").alias("version"),
-    ).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+    ).observe(seen, F.count(F.lit(1)).alias("n"), F.collect_set("event_date").alias("dates"))
+    _overwrite(placed, table)
+    found = seen.get
+    # also without rows: a replay may have fewer than what it replaces
+    _record(spark, table, version, found.get("n", 0), found.get("dates") or [], now, now, now)
+
+
+def _overwrite(placed: DataFrame, table: UpsertTable) -> None:
+    placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
         "event_date", "version"
     ).parquet(table.path)
 
 
+def _record(spark, table: UpsertTable, version: int, n: int, dates, first, last, at) -> None:
+    days = sorted(str(d) for d in dates)
+    name = f"version-{version:012d}" + (f"-{days[0]}" if version % 2 else "")
+    record = {
+        "version": version,
+        "rows_written": n,
+        "dates": days,
+        "first_written": first.astimezone(timezone.utc).isoformat(),
+        "last_written": last.astimezone(timezone.utc).isoformat(),
+    }
+    records.write(spark, table.ledger, name, record, at)
+
+
+def read_ledger(spark: SparkSession, table: UpsertTable) -> DataFrame:
+    """What every version holds or held, folds included; removed versions keep their record."""
+    return records.read(spark, table.ledger, LEDGER)
+
+
 def _days(
     spark: SparkSession, table: UpsertTable, since=None, until=None
 ) -> list[str]:
@@ -97,21 +161,45 @@ def _days(
 
 
 def read_log(
-    spark: SparkSession, table: UpsertTable, days: list[str] | None = None
+    spark: SparkSession, table: UpsertTable, days: list[str] | None = None, above: int | None = None
 ) -> DataFrame:
     """Every stored row with its version; an absent table is empty.
 
-    With ``days``, only those date folders are listed and read.
+    With ``days``, only those date folders are listed and read; ``above`` reads rows of later
+    versions only. Rows of a log that was folded have the version they were first written in.
     """
     if days is None:
         days = _days(spark, table)
     if not days:
         return spark.createDataFrame([], table.stored)
-    return (
+    log = (
         spark.read.schema(table.stored)
         .option("basePath", table.path)
         .parquet(*[f"{table.path}/event_date={d}" for d in days])
     )
+    if above is not None:
+        log = log.where(F.col("version") > above)
+    if not table.keeps_all:
+        return log
+    for day, fold_version in _half_folded(spark, table, days).items():
+        here = F.col("event_date") == F.lit(day).cast("date")
+        log = log.where(~here | (F.col("version") >= fold_version))
+    log = log.withColumn("version", F.coalesce("raised_in", "version"))
+    return log if above is None else log.where(F.col("version") > above)
+
+
+def _half_folded(spark: SparkSession, table: UpsertTable, days: list[str]) -> dict[str, int]:
+    """Dates that hold a fold beside versions it took up, with the fold's version.
+
+    A fold appears as a whole, so what lies below it is there twice.
+    """
+    found = {}
+    for day in days:
+        versions = _versions(spark, table, day)
+        fold_version = max((v for v in versions if v % 2), default=-1)
+        if any(v < fold_version for v in versions):
+            found[day] = fold_version
+    return found
 
 
 def _newest(log: DataFrame, table: UpsertTable) -> DataFrame:
@@ -207,16 +295,23 @@ def batch_audit(log: DataFrame) -> DataFrame:
 
 
 def lasting_audit(spark: SparkSession, table: UpsertTable) -> DataFrame:
-    """Rows written per batch, with those that folding and retention have removed since."""
-    counts = _version_counts(read_log(spark, table))
+    """Rows written per batch, by the records of the ledger: no data is read.
+
+    Batches of a table from before it had a ledger are counted once and recorded.
+    """
+    complete_ledger(spark, table)
+    batches = read_ledger(spark, table).where((F.col("version") % 2 == 0) & (F.col("rows_written") > 0))
+    counts = batches.select("version", "rows_written")
     if files.has_children(spark, _audit_path(table), "part-"):
-        counts = counts.unionByName(spark.read.schema(counts.schema).parquet(_audit_path(table)))
-    # a version is counted again when maintenance died between counting and removing it
-    once = counts.groupBy("event_date", "version").agg(F.max("rows_written").alias("rows_written"))
-    return _per_batch(once)
+        # a version is counted again when maintenance died between counting and removing it
+        old = spark.read.schema("event_date date, version bigint, rows_written bigint").parquet(_audit_path(table))
+        once = old.groupBy("event_date", "version").agg(F.max("rows_written").alias("rows_written"))
+        counts = counts.unionByName(once.drop("event_date").join(counts, "version", "left_anti"))
+    return _per_batch(counts)
 
 
 def _audit_path(table: UpsertTable) -> str:
+    """Counts that folding and retention kept before there was a ledger."""
     return f"{table.path}.audit"
 
 
@@ -232,17 +327,54 @@ def _per_batch(counts: DataFrame) -> DataFrame:
 
 
 def _keep_counts(table: UpsertTable, log: DataFrame) -> None:
-    """Add the counts of versions that are about to go to the audit."""
+    """Add the counts of versions to the audit of a table without ledger."""
     _version_counts(log).write.mode("append").parquet(_audit_path(table))
 
 
+def complete_ledger(spark: SparkSession, table: UpsertTable, days: list[str] | None = None) -> int:
+    """Record versions that are there without a record; returns how many records it added.
+
+    That happens to folds that died before they were recorded and to tables from before the
+    ledger. Folder names are compared with the records; only versions without one are read.
+    """
+    days = _days(spark, table) if days is None else days
+    held = [(day, version) for day in days for version in _versions(spark, table, day)]
+    if not held:
+        return 0
+    known = read_ledger(spark, table).select("version", F.explode(F.col("dates").cast("array<string>")).alias("day"))
+    missing = spark.createDataFrame(held, "day string, version bigint").join(known, ["version", "day"], "left_anti")
+    lacking = {(r["day"], r["version"]) for r in missing.collect()}
+    # a batch has one record for all its dates, a fold one for each
+    batches = {version for _, version in lacking if version % 2 == 0}
+    wanted = [p for p in held if p in lacking or p[1] in batches]
+    if not wanted:
+        return 0
+    stats = (
+        spark.read.schema(table.stored)
+        .option("basePath", table.path)
+        .parquet(*[f"{table.path}/event_date={d}/version={v}" for d, v in wanted])
+        .groupBy("version", F.when(F.col("version") % 2 == 1, F.col("event_date")).alias("fold_date"))
+        .agg(
+            F.count("*").alias("n"),
+            F.collect_set("event_date").alias("dates"),
+            F.min("ingested_at").alias("first"),
+            F.max("ingested_at").alias("last"),
+        )
+    )
+    found = stats.withColumns({c: F.unix_micros(c) for c in ("first", "last")}).collect()
+    for r in found:
+        first, last = (EPOCH + timedelta(microseconds=r[c]) for c in ("first", "last"))
+        _record(spark, table, r["version"], r["n"], r["dates"], first, last, moment())
+    return len(found)
+
+
 def fold(spark: SparkSession, table: UpsertTable, closed_before) -> int:
     """Rewrite every date before that of ``closed_before`` as one version; drop the others.
 
     Returns the number of dates rewritten. A stream may run beside it: whatever it adds later
     has a higher version than the fold. Readers that started before may lose their files and
     must run again. What is to do follows from the folders' names; only dates to be rewritten
-    are read.
+    are read. A log keeps all its rows, in files of even size.
     """
     held = {
         day: _versions(spark, table, day) for day in _days(spark, table, until=closed_before)
@@ -251,17 +383,13 @@ def fold(spark: SparkSession, table: UpsertTable, closed_before) -> int:
     # An odd top version already holds its whole date; only leftovers remain to be dropped.
     todo = {day: top + 1 for day, top in tops.items() if top % 2 == 0}
     if todo:
+        complete_ledger(spark, table, list(todo))
         log = read_log(spark, table, list(todo))
-        _keep_counts(table, log)
         folds = F.create_map(*[F.lit(x) for pair in todo.items() for x in pair])
-        rows = _newest(log, table).withColumn(
-            "version", folds[F.col("event_date").cast("string")].cast("long")
-        )
-        rows.select(*table.stored.names).hint(
-            "rebalance", "event_date"
-        ).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-            "event_date", "version"
-        ).parquet(table.path)
+        rows = log if table.keeps_all else _newest(log, table)
+        rows = rows.withColumn("version", folds[F.col("event_date").cast("string")].cast("long"))
+        _overwrite(rows.select(*table.stored.names).hint("rebalance", "event_date"), table)
+        complete_ledger(spark, table, list(todo))
     for day, top in tops.items():
         for version in held[day]:
             if version < todo.get(day, top):
@@ -272,20 +400,19 @@ def fold(spark: SparkSession, table: UpsertTable, closed_before) -> int:
 def drop_expired(
     spark: SparkSession, table: UpsertTable, as_of, th: Thresholds = DEFAULTS
 ) -> int:
-    """Delete version folders whose newest write is past retention; returns how many."""
-    old = (
-        read_log(spark, table)
-        .groupBy("event_date", "version")
-        .agg(F.max("ingested_at").alias("written"))
-        .where(F.col("written") <= before(as_of, days=th.retention_days))
-    )
-    batches = old.where(F.col("version") % 2 == 0)
-    if not batches.isEmpty():
-        same = ["event_date", "version"]
-        _keep_counts(table, read_log(spark, table).join(batches.select(*same), same, "left_semi"))
+    """Delete version folders whose newest write is past retention; returns how many.
+
+    Which those are follows from the ledger and the folders' names: no data is read.
+    """
+    days = _days(spark, table)
+    complete_ledger(spark, table, days)
+    past = F.col("last_written") <= before(as_of, days=th.retention_days)
+    old = read_ledger(spark, table).where(past).select("version", F.explode(F.col("dates").cast("array<string>")).alias("day"))
     dropped = 0
-    for r in old.toLocalIterator():
-        folder = f"{table.path}/event_date={r['event_date']}"
+    for r in old.where(F.col("day").isin(*days)).toLocalIterator():
+        folder = f"{table.path}/event_date={r['day']}"
+        if r["version"] not in _versions(spark, table, r["day"]):
+            continue
         files.delete(spark, f"{folder}/version={r['version']}")
         if not files.children(spark, folder):
             files.delete(spark, folder)
@@ -293,6 +420,27 @@ def drop_expired(
     return dropped
 
 
+def newest_log_rows(spark: SparkSession, table: UpsertTable, n: int) -> DataFrame:
+    """Rows of a log among which are its ``n`` last written ones.
+
+    The ledger says in which versions these are, so only the dates of the newest few versions
+    are read. A log whose ledger has fewer rows than that is read whole.
+    """
+    written = read_ledger(spark, table).where((F.col("version") % 2 == 0) & (F.col("rows_written") > 0))
+    newest = written.orderBy(F.desc("last_written"), F.desc("version")).limit(n)
+    total, cutoff = 0, None
+    for r in newest.select("rows_written", F.unix_micros("last_written").alias("at")).collect():
+        total += r["rows_written"]
+        if total >= n:
+            cutoff = F.lit(EPOCH + timedelta(microseconds=r["at"]))
+            break
+    if cutoff is None:
+        return read_log(spark, table)
+    days = written.where(F.col("last_written") >= cutoff).select(F.explode(F.col("dates").cast("array<string>")).alias("day"))
+    found = sorted(r["day"] for r in days.distinct().collect())
+    return read_log(spark, table, found).where(F.col("ingested_at") >= cutoff)
+
+
 def publish_snapshot(spark: SparkSession, df: DataFrame, path: str) -> int:
     """Write a small whole table as its next snapshot, beside the one it may derive from.
 
