@@ -1,8 +1,9 @@
 """Command line: streaming jobs, daily maintenance, checks and the live report.
 
 Tables live under one root folder: ``congestion_metrics``, ``vehicle_speed_metrics``,
-``weather_metrics``, ``congestion_alerts``, ``corridors`` and ``congestion_baselines``;
-checkpoints under ``<root>/_checkpoints``.
+``weather_metrics``, ``congestion_alerts``, ``vehicle_snapshot``, ``corridors`` and
+``congestion_baselines``; rejected documents under ``document_rejects`` and checkpoints under
+``<root>/_checkpoints``.
 """
 
 from __future__ import annotations
@@ -22,8 +23,10 @@ from roadpulse.session import STREAM_CONF, build_session
 from roadpulse.settings import DEFAULTS, TOPICS
 from roadpulse.sources import reference
 from roadpulse.sources.feeds import FeedSource, decode_feed, load_feed
-from roadpulse.streaming import files, jobs, store
-from roadpulse.streaming.sinks import AlertChannel
+from roadpulse.streaming import files, jobs, newest, store
+from roadpulse.streaming.documents import FEED_OF, DocumentSink
+from roadpulse.streaming.outbox import AlertChannel, Outbox
+from roadpulse.streaming.progress import BatchAudit, batches_folder
 
 class Tables:
     def __init__(self, root: str):
@@ -32,6 +35,8 @@ class Tables:
         self.vehicles = store.vehicle_table(f"{self.root}/vehicle_speed_metrics")
         self.weather = store.weather_table(f"{self.root}/weather_metrics")
         self.alerts = store.alert_table(f"{self.root}/congestion_alerts")
+        self.snapshot = f"{self.root}/vehicle_snapshot"
+        self.rejects = f"{self.root}/document_rejects"
         self.corridors = f"{self.root}/corridors"
         self.baselines = f"{self.root}/congestion_baselines"
 
@@ -53,27 +58,65 @@ def _corridors(spark: SparkSession, tables: Tables):
     return reference.monitored_corridors(spark) if listed.isEmpty() else listed
 
 
+def _channel(args) -> AlertChannel | None:
+    if args.alert_topic:
+        options = {"kafka.bootstrap.servers": args.bootstrap}
+        return AlertChannel(format="kafka", topic=args.alert_topic, options=options)
+    return AlertChannel(path=args.alert_path) if args.alert_path else None
+
+
+def _documents(spark: SparkSession, args, tables: Tables, kind: str) -> tuple[FeedSource, DocumentSink]:
+    """Where documents of a kind are landed, and where their feed rows and rejects go."""
+    if not args.documents:
+        raise SystemExit("give --documents for the landed documents")
+    source = FeedSource(format="json", path=f"{args.documents.rstrip('/')}/{kind}")
+    lookup = _corridors(spark, tables) if kind == "route" else reference.weather_locations(spark)
+    rejects, feed = f"{tables.rejects}/{kind}", FEED_OF[kind]
+    if args.bootstrap:
+        options = {"kafka.bootstrap.servers": args.bootstrap}
+        return source, DocumentSink(lookup, rejects, topic=TOPICS[feed], options=options)
+    return source, DocumentSink(lookup, rejects, _source(args, feed).path)
+
+
 def run_stream(spark: SparkSession, args, tables: Tables) -> None:
     trigger = {"availableNow": True} if args.once else None
     if args.every:
         trigger = {"processingTime": args.every}
-    common = {"trigger": trigger, "files_per_batch": args.files_per_batch}
-    source, checkpoint = _source(args, args.kind), tables.checkpoint(args.kind)
+    checkpoint = tables.checkpoint(args.kind)
+    audited = {
+        "traffic": tables.congestion.path, "vehicle": tables.vehicles.path, "weather": tables.weather.path,
+    }.get(args.kind, f"{tables.root}/{args.kind}")
+    audit = BatchAudit(spark, batches_folder(audited))
+    common = {"trigger": trigger, "audit": audit}
     if args.kind == "traffic":
-        channel = None
-        if args.alert_topic:
-            options = {"kafka.bootstrap.servers": args.bootstrap}
-            channel = AlertChannel(format="kafka", topic=args.alert_topic, options=options)
-        elif args.alert_path:
-            channel = AlertChannel(path=args.alert_path)
         query = jobs.start_traffic(
-            spark, source, tables.congestion, checkpoint, tables.alerts, channel, **common
-        )
+            spark, _source(args, "traffic"), tables.congestion, checkpoint, tables.alerts, _channel(args),
+            files_per_batch=args.files_per_batch, keep_newest=True, **common,
+        )
     elif args.kind == "vehicle":
-        query = jobs.start_vehicles(spark, source, tables.vehicles, checkpoint, **common)
+        query = jobs.start_vehicles(
+            spark, _source(args, "vehicle"), tables.vehicles, checkpoint,
+            files_per_batch=args.files_per_batch, **common,
+        )
+    elif args.kind == "snapshot":
+        query = jobs.start_vehicle_snapshot(
+            spark, _source(args, "vehicle"), tables.snapshot, checkpoint, **common
+        )
+    elif args.kind == "weather":
+        query = jobs.start_weather(
+            spark, _source(args, "weather"), tables.weather, checkpoint, keep_newest=True, **common
+        )
     else:
-        query = jobs.start_weather(spark, source, tables.weather, checkpoint, trigger)
+        kind = args.kind.removesuffix("-documents")
+        source, sink = _documents(spark, args, tables, kind)
+        query = jobs.start_documents(spark, kind, source, sink, checkpoint, **common)
     query.awaitTermination()
+    audit.wait()
+
+
+def run_deliver(spark: SparkSession, args, tables: Tables) -> None:
+    """Send what the alert channel has missed, without waiting for another batch."""
+    Outbox(tables.alerts, _channel(args)).deliver(spark)
 
 
 def run_daily(spark: SparkSession, args, tables: Tables) -> None:
@@ -81,10 +124,11 @@ def run_daily(spark: SparkSession, args, tables: Tables) -> None:
         daily.seed_corridors(spark, reference.monitored_corridors(spark), tables.corridors)
     listing = reference.monitored_corridors(spark).drop("distance_km")
     daily.refresh_corridors(spark, listing, tables.corridors)
+    for table in (tables.congestion, tables.vehicles, tables.weather, tables.alerts):
+        daily.tidy(spark, table, args.as_of)
+    daily.add_baseline_parts(spark, tables.congestion)
     corridors = daily.read_corridors(spark, tables.corridors)
     daily.recalculate_baselines(spark, tables.congestion, corridors, tables.baselines, args.as_of)
-    for table in (tables.congestion, tables.vehicles, tables.weather):
-        daily.tidy(spark, table, args.as_of)
 
 
 def run_check(spark: SparkSession, args, tables: Tables) -> bool:
@@ -119,28 +163,45 @@ def _landed(spark: SparkSession, args):
     return reduce(DataFrame.unionByName, seen), existing
 
 
+def _pings(spark: SparkSession, args, tables: Tables) -> DataFrame:
+    """The snapshot job's table if there is one, else the whole vehicle feed."""
+    kept = newest.read(spark, tables.snapshot, jobs.PING)
+    if kept is not None:
+        return kept
+    return decode_feed(load_feed(spark, "vehicle", _source(args, "vehicle")), "vehicle", ("offset",))
+
+
 def run_report(spark: SparkSession, args, tables: Tables) -> None:
-    pings = decode_feed(load_feed(spark, "vehicle", _source(args, "vehicle")), "vehicle", ("offset",))
     now = moment(args.as_of)
-    log = store.read_log(spark, tables.alerts)
     corridors = _corridors(spark, tables)
+    alerts = store.newest_log_rows(spark, tables.alerts, DEFAULTS.recent_alerts)
     frames = report.live_report(
         spark,
         corridors,
         store.read_newest(spark, tables.congestion, "corridor_id", now, known=corridors),
         store.read_table(spark, tables.congestion, now - timedelta(hours=DEFAULTS.trend_hours), now),
         store.read_newest(spark, tables.weather, "location", now),
-        pings,
-        log.select(*tables.alerts.columns.names),
+        _pings(spark, args, tables),
+        alerts.select(*tables.alerts.columns.names),
         now,
         ping_order=("offset",),
     )
     for name, frame in frames.items():
         print(f"== {name}")
-        frame.show(frame.count(), truncate=False)
+        if args.output:
+            frame.write.mode("overwrite").json(f"{args.output.rstrip('/')}/{name}")
+        else:
+            _print(frame)
     spark.catalog.clearCache()
 
 
+def _print(frame: DataFrame) -> None:
+    """Print all rows, computed once and fetched one partition at a time."""
+    print("\t".join(frame.columns))
+    for row in frame.toLocalIterator():
+        print("\t".join("" if v is None else str(v).replace("\n", " ") for v in row))
+
+
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="roadpulse", description=__doc__)
     top.add_argument("--tables", required=True, help="root folder of the tables")
@@ -148,6 +209,7 @@ def parser() -> argparse.ArgumentParser:
     top.add_argument("--as-of", default=None, help="moment in UTC; default now")
     top.add_argument("--bootstrap", default=None, help="broker addresses")
     top.add_argument("--feeds", default=None, help="root folder of landed feeds")
+    top.add_argument("--documents", default=None, help="root folder of landed API documents")
     top.add_argument(
         "--option",
         action="append",
@@ -157,16 +219,20 @@ def parser() -> argparse.ArgumentParser:
     )
     commands = top.add_subparsers(dest="command", required=True)
     stream = commands.add_parser("stream", help="run one streaming job")
-    stream.add_argument("kind", choices=["traffic", "vehicle", "weather"])
+    kinds = ["traffic", "vehicle", "weather", "snapshot", "route", "weather-documents"]
+    stream.add_argument("kind", choices=kinds)
     stream.add_argument("--once", action="store_true", help="catch up, then stop")
     stream.add_argument("--every", default=None, help="trigger interval, such as '10 seconds'")
     stream.add_argument("--files-per-batch", type=int, default=None)
-    stream.add_argument("--alert-topic", default=None)
-    stream.add_argument("--alert-path", default=None)
+    deliver = commands.add_parser("deliver", help="send alerts the channel has missed")
+    for command in (stream, deliver):
+        command.add_argument("--alert-topic", default=None)
+        command.add_argument("--alert-path", default=None)
     commands.add_parser("daily", help="refresh corridors and baselines, tidy tables")
     check = commands.add_parser("check", help="check freshness of tables")
     check.add_argument("--with-feeds", action="store_true", help="check the feeds' message times too")
-    commands.add_parser("report", help="print the live report")
+    shown = commands.add_parser("report", help="print the live report")
+    shown.add_argument("--output", default=None, help="folder to write the report's parts to instead")
     return top
 
 
@@ -174,12 +240,16 @@ def main(argv: list[str] | None = None) -> int:
     args = parser().parse_args(argv)
     if getattr(args, "alert_topic", None) and not args.bootstrap:
         parser().error("--alert-topic needs --bootstrap")
+    if args.command == "deliver" and not (args.alert_topic or args.alert_path):
+        parser().error("give --alert-topic or --alert-path")
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(name)s %(message)s")
     conf = STREAM_CONF if args.command == "stream" else None
     spark = build_session(f"roadpulse-{args.command}", args.master, conf)
     tables = Tables(args.tables)
     if args.command == "stream":
         run_stream(spark, args, tables)
+    elif args.command == "deliver":
+        run_deliver(spark, args, tables)
     elif args.command == "daily":
         run_daily(spark, args, tables)
     elif args.command == "check":

@@ -24,18 +24,46 @@ def steady_avg(x: str) -> Column:
     beyond 1e20, infinite ones or NaN has the plain mean; that depends on the values, never on
     how many there are.
     """
+    parts = steady_parts(x)
+    return _mean({name: f"coalesce({part}, 0)" if name in _LIMBS else part for name, part in parts.items()})
+
+
+# Sums of limbs, which are zero where no value fits them.
+_LIMBS = ("low", "rest", "large")
+
+
+def steady_parts(x: str) -> dict[str, str]:
+    """The aggregates that ``steady_avg`` is made of, as SQL by name.
+
+    They can be stored per part of a group, under their names with a prefix, and give the same
+    mean when ``steady_avg_of_parts`` adds them up.
+    """
     x = f"cast({x} AS double)"
     units = f"CASE WHEN abs({x}) < 1e4D THEN floor({x} * 1e9D + 0.5D) END"
     large = f"CASE WHEN abs({x}) >= 1e4D AND abs({x}) < 1e20D THEN cast({x} AS decimal(38, 9)) END"
-    whole = lambda limb: f"coalesce(cast(sum({limb}) AS decimal(38, 0)), 0)"
-    low, rest = whole(f"{units} & 1048575"), whole(f"shiftright({units}, 20)")
-    exact = (
-        f"cast(cast({rest} * 1048576 + {low} AS decimal(38, 0))"
-        f" + coalesce(cast(sum({large}) * 1000000000 AS decimal(38, 0)), 0) AS double) / 1e9D"
+    return {
+        "low": f"cast(sum({units} & 1048575) AS decimal(38, 0))",
+        "rest": f"cast(sum(shiftright({units}, 20)) AS decimal(38, 0))",
+        "large": f"sum({large})",
+        "exact": f"count({units}) + count({large})",
+        "n": f"count({x})",
+        "plain": f"sum({x})",
+    }
+
+
+def steady_avg_of_parts(prefix: str) -> Column:
+    """The mean over the parts of a group, whose columns are named ``prefix`` and part."""
+    added = {name: f"sum({prefix}{name})" for name in steady_parts("0")}
+    return _mean({n: f"coalesce({sql}, 0)" if n in _LIMBS else sql for n, sql in added.items()})
+
+
+def _mean(part: dict[str, str]) -> Column:
+    total = (
+        f"cast(cast({part['rest']} * 1048576 + {part['low']} AS decimal(38, 0))"
+        f" + cast({part['large']} * 1000000000 AS decimal(38, 0)) AS double) / 1e9D"
     )
-    plain = f"try_divide(sum({x}), count({x}))"
-    held = f"count({units}) + count({large}) = count({x})"
-    return F.expr(f"coalesce(CASE WHEN {held} THEN try_divide({exact}, count({x})) END, {plain})")
+    mean = f"CASE WHEN {part['exact']} = {part['n']} THEN try_divide({total}, {part['n']}) END"
+    return F.expr(f"coalesce({mean}, try_divide({part['plain']}, {part['n']}))")
 
 
 def _rounded(x: str, digits: int) -> str:

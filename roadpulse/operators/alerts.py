@@ -42,16 +42,17 @@ def build_alerts(metrics: DataFrame, created_at=None) -> DataFrame:
     )
 
 
-def alert_messages(alerts: DataFrame) -> DataFrame:
-    """Alerts as key and JSON value, times as UTC text."""
+def alert_messages(alerts: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Alerts as key and JSON value, times as UTC text; ``keep`` carries columns beside it."""
     payload = alerts.withColumns(
         {
             "event_time": iso_text(F.col("event_time")),
             "created_at": iso_text(F.col("created_at")),
         }
     )
+    inside = [c for c in alerts.columns if c not in keep]
     return payload.select(
-        F.col("corridor_id").alias("key"), F.to_json(F.struct("*")).alias("value")
+        *keep, F.col("corridor_id").alias("key"), F.to_json(F.struct(*inside)).alias("value")
     )
 
 

@@ -17,19 +17,24 @@ from roadpulse.operators import geometry, merge, quality, serving, vehicles, wea
 from roadpulse.operators.baselines import BASELINE_KEYS, BASELINE_VALUES, baselines
 from roadpulse.operators.latest import newest_values
 from roadpulse.operators.traffic import traffic_windows
+from roadpulse.plans import daily
 from roadpulse.session import configure, workspace
 from roadpulse.sources import reference, replay
 from roadpulse.sources.documents import flatten_route_documents, flatten_weather_documents
-from roadpulse.sources.feeds import decode_feed, encode_feed
+from roadpulse.sources.feeds import decode_alerts, decode_feed, encode_feed
 from roadpulse.streaming import jobs, store
-from roadpulse.streaming.replay import envelopes
+from roadpulse.streaming.documents import DocumentSink
+from roadpulse.streaming.outbox import AlertChannel
+from roadpulse.streaming.progress import BatchAudit, batches_folder, read_batches
+from roadpulse.streaming.replay import FailingChannel, envelopes
 from roadpulse.streaming.replay import replay as run_replay
-from roadpulse.streaming.sinks import AlertChannel
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 # The events end late on 2024-01-30; queries read the tables as of the midnight after.
 AS_OF = "2024-01-31 00:00:00"
+# Events up to here come a second time, too late, where late rows are counted.
+LATE_UNTIL = "2024-01-02 00:00:00"
 # Moments at which the streaming jobs are stopped and restarted, inside their windows.
 SLICE_BOUNDS = (None, "2024-01-08 00:03:00", "2024-01-16 12:03:00", "2024-01-24 06:03:00", None)
 
@@ -447,6 +452,16 @@ def _baseline_orphans_query(spark, sf_dir):
     return merge.orphan_rows(_baselines(spark, sf_dir, AS_OF), listed, ["corridor_id"])
 
 
+@query("baseline_parts")
+def _baseline_parts_query(spark, sf_dir):
+    """Baselines of a stored table, from parts of its folded dates and rows of the others."""
+    table = store.congestion_table(f"{workspace(spark, 'baselines')}/metrics")
+    store.write_version(_metrics(spark, sf_dir), table, 0, AS_OF)
+    store.fold(spark, table, _minus(AS_OF, days=1))
+    daily.add_baseline_parts(spark, table, _minus(AS_OF, days=7))
+    return daily.stored_baselines(spark, table, reference.monitored_corridors(spark), AS_OF)
+
+
 @query("retention_filter")
 def _retention_filter_query(spark, sf_dir):
     """Traffic rows still within thirty days of their writing on 2024-02-15."""
@@ -522,53 +537,96 @@ def _state_partitions(spark) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _run_traffic(spark, sf_dir, with_alerts=False):
+def _run_traffic(spark, sf_dir, channel=None, keep_newest=False, late=None):
+    """Run the traffic job over the slices, one restart per slice; ``late`` rows come last.
+
+    Alerts are logged when there is a ``channel``, a function of the job's folder.
+    """
     home = workspace(spark, "traffic")
     table = store.congestion_table(f"{home}/metrics")
     log = store.alert_table(f"{home}/alerts")
-    channel = AlertChannel(path=f"{home}/messages")
+    audits = []
 
     def start(session, source):
+        audits.append(BatchAudit(session, batches_folder(table.path)))
         return jobs.start_traffic(
             session,
             source,
             table,
             f"{home}/checkpoint",
-            alerts=log if with_alerts else None,
-            channel=channel if with_alerts else None,
+            alerts=log if channel else None,
+            channel=channel(home) if channel else None,
             trigger={"availableNow": True},
             now=AS_OF,
+            keep_newest=keep_newest,
+            audit=audits[-1],
         )
 
-    run_replay(
-        spark, _slices(spark, sf_dir, "traffic"), f"{home}/feed", start, _state_partitions(spark)
-    )
-    return table, log
+    slices = list(_slices(spark, sf_dir, "traffic"))
+    if late is not None:
+        slices.append(envelopes(late, "traffic"))
+    run_replay(spark, slices, f"{home}/feed", start, _state_partitions(spark))
+    for audit in audits:
+        audit.wait()
+    return table, log, home
+
+
+def _messages(home: str) -> AlertChannel:
+    return AlertChannel(path=f"{home}/messages")
 
 
 @query("stream_traffic_windows")
 def _stream_traffic_windows_query(spark, sf_dir):
     """Final state of the traffic job after several restarts."""
-    table, _ = _run_traffic(spark, sf_dir)
+    table, _, _ = _run_traffic(spark, sf_dir)
     return store.read_table(spark, table).drop("ingested_at")
 
 
 @query("stream_alerts")
 def _stream_alerts_query(spark, sf_dir):
-    """Every alert the traffic job raised; a window raises again when it changes."""
-    _, log = _run_traffic(spark, sf_dir, with_alerts=True)
+    """Every alert the traffic job raised, its log folded; a window raises again when it changes."""
+    _, log, _ = _run_traffic(spark, sf_dir, channel=_messages)
+    store.fold(spark, log, "2024-01-20")
     rows = store.read_log(spark, log)
     return rows.select(
         (F.col("version") / 2).cast("long").alias("batch_id"), *log.columns.names
     )
 
 
+@query("alert_delivery")
+def _alert_delivery_query(spark, sf_dir):
+    """Every logged alert and how often its channel got it, when the channel's first two sends failed."""
+    _, log, home = _run_traffic(spark, sf_dir, channel=lambda h: FailingChannel(path=f"{h}/messages", failures=2))
+    got = decode_alerts(spark.read.schema("version bigint, key string, value string").json(f"{home}/messages"))
+    sent = got.groupBy("version", "corridor_id", "event_time").agg(F.count("*").alias("times_sent"))
+    logged = store.read_log(spark, log).select("version", "corridor_id", "event_time", "message")
+    both = logged.join(sent, ["version", "corridor_id", "event_time"], "full_outer")
+    return both.select(
+        (F.col("version") / 2).cast("long").alias("batch_id"), "corridor_id", "event_time", "message",
+        F.coalesce("times_sent", F.lit(0)).alias("times_sent"),
+    )
+
+
+@query("stream_latest_per_corridor")
+def _stream_latest_per_corridor_query(spark, sf_dir):
+    """Newest metric row per corridor from the table that every batch is merged into."""
+    table, _, _ = _run_traffic(spark, sf_dir, keep_newest=True)
+    rows = store.read_newest(spark, table, "corridor_id")
+    return serving.latest_per_corridor(rows, reference.monitored_corridors(spark))
+
+
 @query("batch_audit")
 def _batch_audit_query(spark, sf_dir):
-    """Rows the traffic job wrote per batch, read after all its dates were folded."""
-    table, _ = _run_traffic(spark, sf_dir)
+    """What the traffic job read, wrote and dropped per batch, the first day coming again last.
+
+    Rows written are told by the run itself and by the table's ledger, after all was folded.
+    """
+    again = replay.traffic_feed(replay.events(spark, sf_dir, until=LATE_UNTIL))
+    table, _, _ = _run_traffic(spark, sf_dir, late=again)
     store.fold(spark, table, "9999-01-01")
-    return store.lasting_audit(spark, table)
+    recorded = store.lasting_audit(spark, table).withColumnRenamed("rows_written", "rows_recorded")
+    batches = read_batches(spark, table.path).where("rows_read > 0")
+    return batches.join(recorded, "batch_id", "left").na.fill(0, ["rows_recorded"])
 
 
 @query("stream_vehicle_windows")
@@ -603,3 +661,66 @@ def _stream_weather_clean_query(spark, sf_dir):
 
     run_replay(spark, _slices(spark, sf_dir, "weather"), f"{home}/feed", start)
     return store.read_table(spark, table).drop("ingested_at")
+
+
+@query("stream_vehicle_snapshot")
+def _stream_vehicle_snapshot_query(spark, sf_dir):
+    """The vehicle snapshot of the job's table after several restarts."""
+    home = workspace(spark, "snapshot")
+
+    def start(session, source):
+        return jobs.start_vehicle_snapshot(
+            session, source, f"{home}/snapshot", f"{home}/checkpoint", trigger={"availableNow": True}
+        )
+
+    run_replay(spark, _slices(spark, sf_dir, "vehicle"), f"{home}/feed", start)
+    newest = replay.events(spark, sf_dir).agg(F.max("event_time")).scalar()
+    return jobs.live_snapshot(spark, f"{home}/snapshot", newest).withColumnRenamed("offset", "event_id")
+
+
+# --- landed documents -------------------------------------------------------------------
+
+
+def _route_documents(spark, sf_dir, since=None, until=None) -> DataFrame:
+    """Answers of a routing service for every event, some of them flawed."""
+    times = replay.route_times(replay.events(spark, sf_dir, since, until))
+    n = F.col("event_id")
+    summary = F.struct(
+        F.when(n % 103 == 0, 0).otherwise(F.col("travel_time_sec")).alias("travelTimeInSeconds"),
+        F.when(n % 101 == 0, 0).otherwise(F.col("free_flow_sec")).alias("noTrafficTravelTimeInSeconds"),
+        F.when(n % 79 != 0, F.col("length_m")).alias("lengthInMeters"),
+    )
+    full = F.to_json(F.struct(F.array(F.struct(summary.alias("summary"))).alias("routes")))
+    return times.select(
+        F.when(n % 83 == 0, "elsewhere").otherwise(F.col("corridor_id")).alias("key"),
+        F.col("event_time").alias("fetched_at"),
+        F.when(n % 97 == 0, '{"routes":[]}').when(n % 89 == 0, F.concat(F.lit("#"), full)).otherwise(full).alias("document"),
+    )
+
+
+def _run_documents(spark, sf_dir) -> str:
+    home = workspace(spark, "documents")
+
+    def start(session, source):
+        sink = DocumentSink(reference.monitored_corridors(spark), f"{home}/rejects", f"{home}/traffic")
+        return jobs.start_documents(
+            session, "route", source, sink, f"{home}/checkpoint", trigger={"availableNow": True}
+        )
+
+    slices = (_route_documents(spark, sf_dir, a, b) for a, b in zip(SLICE_BOUNDS, SLICE_BOUNDS[1:]))
+    run_replay(spark, slices, f"{home}/landed", start)
+    return home
+
+
+@query("document_rejects")
+def _document_rejects_query(spark, sf_dir):
+    """Landed route documents that gave no feed row, with the reason."""
+    rejects = spark.read.parquet(f"{_run_documents(spark, sf_dir)}/rejects")
+    return rejects.select("key", "fetched_at", "reason")
+
+
+@query("document_feed")
+def _document_feed_query(spark, sf_dir):
+    """The traffic feed that the landed route documents became, decoded."""
+    landed = spark.read.schema(schemas.ENVELOPE).json(f"{_run_documents(spark, sf_dir)}/traffic")
+    return decode_feed(landed, "traffic")

@@ -7,7 +7,7 @@ derived from events, and the arithmetic of rounding and averaging) is kept in pi
 from __future__ import annotations
 
 from roadpulse import settings
-from roadpulse.plans.catalog import AS_OF, SLICE_BOUNDS
+from roadpulse.plans.catalog import AS_OF, LATE_UNTIL, SLICE_BOUNDS
 
 
 # --- arithmetic -------------------------------------------------------------------------
@@ -489,6 +489,7 @@ def oracle_sql() -> dict[str, str]:
 
     keys = "corridor_id, day_of_week, hour_of_day"
     sql["baselines"] = _query(BASELINES, "SELECT * FROM fresh")
+    sql["baseline_parts"] = sql["baselines"]
     sql["baseline_merge"] = _query(
         [*BASELINES, *_baselines("stale", f"({_AS_OF} - INTERVAL '7 days')")],
         f"SELECT {keys}, avg_travel_time_sec, sample_count, updated_at FROM fresh UNION ALL"
@@ -553,8 +554,48 @@ def oracle_sql() -> dict[str, str]:
         f" {_text('congestion_index', 2)} || ', speed ' || {_text('speed_kmh', 1)} || ' km/h' AS message, event_time,"
         f" {_AS_OF} AS created_at FROM raised",
     )
+    window = "time_bucket(INTERVAL '10 minutes', event_time)"
     sql["batch_audit"] = _query(
-        STREAM_STEPS,
-        f"SELECT {_BATCH}, count(*) AS rows_written FROM steps GROUP BY 1",
+        [
+            *STREAM_STEPS,
+            ("reads", f"SELECT {_SLICE} AS slice, count(*) AS rows_read FROM traffic GROUP BY 1"),
+            ("writes", "SELECT slice, count(*) AS rows_written FROM steps GROUP BY 1"),
+        ],
+        f"SELECT {_BATCH}, rows_read, rows_written, 0::BIGINT AS late_keys, rows_written AS rows_recorded"
+        " FROM reads JOIN writes USING (slice) UNION ALL"
+        f" SELECT cast({2 * len(SLICE_BOUNDS) - 2} AS BIGINT), count(*), 0, count(DISTINCT (corridor_id, {window})), 0"
+        f" FROM traffic WHERE event_time < TIMESTAMP '{LATE_UNTIL}'",
+    )
+    sql["alert_delivery"] = _query(
+        [*STREAM_STEPS, ("raised", "SELECT * FROM flagged WHERE is_anomaly")],
+        f"SELECT {_BATCH}, corridor_id, event_time, 'High congestion on ' || corridor_id || ': index ' ||"
+        f" {_text('congestion_index', 2)} || ', speed ' || {_text('speed_kmh', 1)} || ' km/h' AS message,"
+        " 1::BIGINT AS times_sent FROM raised",
+    )
+    sql["stream_latest_per_corridor"] = sql["latest_per_corridor"]
+    sql["stream_vehicle_snapshot"] = _query(
+        [
+            *PINGS,
+            *PLACES,
+            (
+                "newest_pings",
+                f"SELECT * REPLACE ({whole} AS event_time) FROM pings QUALIFY row_number() OVER"
+                f" (PARTITION BY vehicle_id ORDER BY {whole} DESC, event_id DESC) = 1",
+            ),
+        ],
+        "SELECT event_id, vehicle_id, corridor_id, latitude, longitude, speed_kmh, heading, progress_pct, event_time"
+        f" FROM ({_placed('newest_pings')})",
+    )
+    flaws = ((83, "unknown key"), (97, "no route"), (89, "not json"), (79, "missing value"),
+             (103, "zero travel time"), (101, "zero free flow"))
+    reason = "CASE " + " ".join(f"WHEN event_id % {n} = 0 THEN '{text}'" for n, text in flaws) + " END"
+    sql["document_rejects"] = _query(
+        [EV, TIMES, ("judged", f"SELECT *, {reason} AS reason FROM times")],
+        "SELECT CASE WHEN reason = 'unknown key' THEN 'elsewhere' ELSE corridor_id END AS key,"
+        " event_time AS fetched_at, reason FROM judged WHERE reason IS NOT NULL",
+    )
+    sql["document_feed"] = _query(
+        TRAFFIC_FEED,
+        f"SELECT {', '.join(payload)}, travel_time_sec, {whole} AS event_time FROM traffic WHERE {reason} IS NULL",
     )
     return sql

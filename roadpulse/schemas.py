@@ -60,6 +60,15 @@ ENVELOPE = T.StructType(
     ]
 )
 
+# Landed answers of the routing and weather services: what was asked for, when, and the text.
+LANDED_DOCUMENT = T.StructType(
+    [
+        T.StructField("key", T.StringType()),
+        T.StructField("fetched_at", T.TimestampType()),
+        T.StructField("document", T.StringType()),
+    ]
+)
+
 ROUTE_DOCUMENT = T.StructType(
     [
         T.StructField(
@@ -176,6 +185,22 @@ CONGESTION_BASELINES = T.StructType(
     ]
 )
 
+# What one date adds to the baselines; see ``baseline_parts``.
+BASELINE_PARTS = T.StructType(
+    [
+        T.StructField("corridor_id", T.StringType()),
+        T.StructField("day_of_week", T.IntegerType()),
+        T.StructField("hour_of_day", T.IntegerType()),
+        T.StructField("estimate_low", T.DecimalType(38, 0)),
+        T.StructField("estimate_rest", T.DecimalType(38, 0)),
+        T.StructField("estimate_large", T.DecimalType(38, 9)),
+        T.StructField("estimate_exact", T.LongType()),
+        T.StructField("estimate_n", T.LongType()),
+        T.StructField("estimate_plain", T.DoubleType()),
+        T.StructField("sample_count", T.LongType()),
+    ]
+)
+
 # Columns read from the general tables that feeds and corridor listings are derived from.
 EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, value double"
 SUPPLIER = "s_suppkey bigint, s_name string"

@@ -79,6 +79,13 @@ def decode_feed(
     return decoded
 
 
+def decode_alerts(messages: DataFrame) -> DataFrame:
+    """Alert messages of a channel as rows again, other columns beside them."""
+    payload = F.from_json("value", schemas.CONGESTION_ALERTS)
+    kept = [c for c in messages.columns if c not in ("key", "value")]
+    return messages.select(*kept, F.inline(F.array(payload)))
+
+
 def encode_feed(events: DataFrame, key: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """Key and JSON value of every event, ready for a topic.
 

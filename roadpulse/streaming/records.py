@@ -26,26 +26,40 @@ def write(spark: SparkSession, folder: str, name: str, record: dict, at) -> None
     files.write_text(spark, f"{folder}/{name}.json", text + "\n")
 
 
-def _all(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame | None:
+def _all(
+    spark: SparkSession, folder: str, schema: T.StructType, above: str | None = None
+) -> DataFrame | None:
     stored = T.StructType([*schema.fields, T.StructField("name", T.StringType()), _WRITTEN])
-    found = files.children(spark, folder)
-    singles = [f"{folder}/{n}" for n in found if n.endswith(".json") and not n.startswith("_")]
-    packs = [f"{folder}/{n}" for n in found if n.startswith("pack-")]
+    singles, packs = [], []
+    for found in files.children(spark, folder):
+        # a pack is named after the last record it holds
+        name = found.removesuffix(".json").removeprefix("pack-")
+        if found.startswith("_") or (above is not None and name <= above):
+            continue
+        if found.endswith(".json"):
+            singles.append(f"{folder}/{found}")
+        elif files.exists(spark, f"{folder}/{found}/_SUCCESS"):
+            packs.append(f"{folder}/{found}")
     frames = []
     if singles:
         frames.append(spark.read.schema(stored).json(singles))
-    packs = [p for p in packs if files.exists(spark, f"{p}/_SUCCESS")]
     if packs:
         frames.append(spark.read.schema(stored).parquet(*packs))
     if not frames:
         return None
+    if not packs:
+        return frames[0]
     everything = frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1])
+    if above is not None:
+        everything = everything.where(everything["name"] > above)
     return latest_by(everything, ["name"], ["recorded_at"])
 
 
-def read(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
-    """One row per record name; an absent folder is empty."""
-    found = _all(spark, folder, schema)
+def read(
+    spark: SparkSession, folder: str, schema: T.StructType, above: str | None = None
+) -> DataFrame:
+    """One row per record name, of names after ``above`` only; an absent folder is empty."""
+    found = _all(spark, folder, schema, above)
     return spark.createDataFrame([], schema) if found is None else found.select(*schema.names)
 
 
@@ -59,7 +73,9 @@ def pack(spark: SparkSession, folder: str, schema: T.StructType) -> int:
     singles = [n for n in before if n.endswith(".json") and not n.startswith("_")]
     if not singles:
         return 0
-    _all(spark, folder, schema).coalesce(1).write.parquet(f"{folder}/pack-{uuid.uuid4().hex}")
+    last = max(n.removesuffix(".json").removeprefix("pack-") for n in before)
+    last = last.split("~")[0] + "~" + uuid.uuid4().hex
+    _all(spark, folder, schema).coalesce(1).write.parquet(f"{folder}/pack-{last}")
     for name in before:
         files.delete(spark, f"{folder}/{name}")
     return len(singles)

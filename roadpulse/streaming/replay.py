@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,22 @@ from roadpulse.session import STREAM_CONF
 from roadpulse.sources.feeds import FeedSource, encode_feed
 from roadpulse.sources.replay import as_payload
 from roadpulse.streaming import files
+from roadpulse.streaming.outbox import AlertChannel
+
+@dataclass(frozen=True)
+class FailingChannel(AlertChannel):
+    """A channel whose first ``failures`` sends fail; attempts are counted beside its path."""
+
+    failures: int = 0
+
+    def send(self, messages: DataFrame, batch_id: int) -> None:
+        spark, tried = messages.sparkSession, f"{self.path}.attempts"
+        attempt = len(files.children(spark, tried)) + 1
+        files.write_text(spark, f"{tried}/{attempt}", "")
+        if attempt <= self.failures:
+            raise OSError(f"attempt {attempt}: the channel is down")
+        super().send(messages, batch_id)
+
 
 FEED_KEYS = {"traffic": "corridor_id", "weather": "location", "vehicle": "vehicle_id"}
 

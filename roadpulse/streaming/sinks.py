@@ -4,50 +4,30 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable
-from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 
 from roadpulse.functions.times import moment
-from roadpulse.operators.alerts import alert_messages, build_alerts
-from roadpulse.sources.feeds import write_feed
-from roadpulse.streaming.store import UpsertTable, batch_version, write_version
+from roadpulse.operators.alerts import build_alerts
+from roadpulse.streaming.outbox import AlertChannel, Outbox
+from roadpulse.streaming.store import UpsertTable, advance_newest, batch_version, write_version
 
 logger = logging.getLogger("roadpulse.sinks")
 
 BatchSink = Callable[[DataFrame, int], None]
 
 
-@dataclass(frozen=True)
-class AlertChannel:
-    """Where alert messages (key, JSON value) go after the alert log has them.
-
-    ``kafka`` sends to a topic, and a replayed batch sends again; any file format writes one
-    folder per batch under ``path``, which a replay replaces.
-    """
-
-    format: str = "json"
-    path: str | None = None
-    topic: str | None = None
-    options: dict[str, str] = field(default_factory=dict)
-
-    def send(self, messages: DataFrame, batch_id: int) -> None:
-        if self.format == "kafka":
-            write_feed(messages, self.topic, self.options)
-            return
-        messages.write.mode("overwrite").format(self.format).options(**self.options).save(
-            f"{self.path}/version={batch_version(batch_id)}"
-        )
-
-
 def upsert_sink(
     table: UpsertTable,
     then: BatchSink | None = None,
     files_per_batch: int | None = None,
     written_at=None,
+    keep_newest: bool = False,
 ) -> BatchSink:
     """Write each batch as one version of the table, then hand it to ``then``.
 
+    ``keep_newest`` also merges it into the table of newest rows, from the files just written.
+
     The batch is persisted only when it is read twice. ``files_per_batch`` shuffles the
     (already aggregated) rows into that many writers, which leaves the state upstream fully
     parallel. A failed write fails the batch, so the stream retries it.
@@ -61,6 +41,8 @@ def upsert_sink(
             if files_per_batch is not None:
                 placed = rows.repartition(files_per_batch, *table.keys)
             write_version(placed, table, batch_version(batch_id), moment(written_at))
+            if keep_newest:
+                advance_newest(rows.sparkSession, table, batch_version(batch_id))
             logger.info("batch %s written to %s", batch_id, table.path)
             if then is not None:
                 then(rows, batch_id)
@@ -77,11 +59,12 @@ def alert_sink(
     created_at=None,
     files_per_batch: int | None = None,
 ) -> BatchSink:
-    """Log an alert for every anomalous row of the batch, then pass it to the channel.
+    """Log an alert for every anomalous row of the batch, then deliver what the channel lacks.
 
     The channel only gets what the log has. A failed log fails the batch: Spark repeats it, and
-    the version replaces itself. A failed channel is logged and does not fail the batch. The
-    batch is persisted, so writing fewer files does not slow the state down.
+    the version replaces itself. A failed channel is logged and does not fail the batch; its
+    messages go with the next batch. The batch is persisted, so writing fewer files does not
+    slow the state down.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -93,7 +76,7 @@ def alert_sink(
         if channel is None:
             return
         try:
-            channel.send(alert_messages(alerts), batch_id)
+            Outbox(table, channel).deliver(batch.sparkSession, batch_version(batch_id))
         except Exception:
             logger.exception("batch %s: alert channel failed", batch_id)
 

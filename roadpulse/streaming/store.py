@@ -26,7 +26,7 @@ from roadpulse.functions.times import before, instant, moment
 from roadpulse.operators.latest import has_fixed_width, latest_by, newest_values
 from roadpulse.operators.merge import expire
 from roadpulse.settings import DEFAULTS, Thresholds
-from roadpulse.streaming import files, records
+from roadpulse.streaming import files, newest, records
 
 
 EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
@@ -134,7 +134,7 @@ def _overwrite(placed: DataFrame, table: UpsertTable) -> None:
 
 def _record(spark, table: UpsertTable, version: int, n: int, dates, first, last, at) -> None:
     days = sorted(str(d) for d in dates)
-    name = f"version-{version:012d}" + (f"-{days[0]}" if version % 2 else "")
+    name = _record_name(version) + (f"-{days[0]}" if version % 2 else "")
     record = {
         "version": version,
         "rows_written": n,
@@ -145,9 +145,22 @@ def _record(spark, table: UpsertTable, version: int, n: int, dates, first, last,
     records.write(spark, table.ledger, name, record, at)
 
 
-def read_ledger(spark: SparkSession, table: UpsertTable) -> DataFrame:
-    """What every version holds or held, folds included; removed versions keep their record."""
-    return records.read(spark, table.ledger, LEDGER)
+def _record_name(version: int) -> str:
+    return f"version-{version:012d}"
+
+
+def read_ledger(spark: SparkSession, table: UpsertTable, above: int | None = None) -> DataFrame:
+    """What every version (or every later one) holds or held, folds included.
+
+    Removed versions keep their record.
+    """
+    ledger = records.read(spark, table.ledger, LEDGER, None if above is None else _record_name(above))
+    return ledger if above is None else ledger.where(F.col("version") > above)
+
+
+def pack_ledger(spark: SparkSession, table: UpsertTable) -> int:
+    """Put the ledger's records into one file; returns how many single ones there were."""
+    return records.pack(spark, table.ledger, LEDGER)
 
 
 def _days(
@@ -218,6 +231,16 @@ def _folded(spark: SparkSession, table: UpsertTable, days: list[str]) -> dict[st
     return folded
 
 
+def days_held(spark: SparkSession, table: UpsertTable, since=None) -> list[str]:
+    """Dates that have rows, from the date of ``since`` on."""
+    return _days(spark, table, since)
+
+
+def folded_days(spark: SparkSession, table: UpsertTable, since=None) -> dict[str, int]:
+    """Dates that consist of one fold and nothing else, with its version."""
+    return _folded(spark, table, _days(spark, table, since))
+
+
 def _versions(spark: SparkSession, table: UpsertTable, day: str) -> list[int]:
     """Versions that one date holds, by the names of their folders."""
     found = files.children(spark, f"{table.path}/event_date={day}", "version=")
@@ -225,16 +248,21 @@ def _versions(spark: SparkSession, table: UpsertTable, day: str) -> list[int]:
 
 
 def read_table(
-    spark: SparkSession, table: UpsertTable, since=None, live_at=None, th: Thresholds = DEFAULTS
+    spark: SparkSession,
+    table: UpsertTable,
+    since=None,
+    live_at=None,
+    th: Thresholds = DEFAULTS,
+    days: list[str] | None = None,
 ) -> DataFrame:
     """The table as keyed rows, last write wins.
 
-    ``since`` limits the date folders that are listed; ``live_at`` leaves out rows past retention at that moment,
-    before the newest are sought, since a key's older writes expire first. Folded dates hold
-    every key once and are read as they are; only the dates still open go through the shuffle
-    that finds the newest row per key.
+    ``since`` limits the date folders that are listed, and ``days`` names those to read;
+    ``live_at`` leaves out rows past retention at that moment, before the newest are sought,
+    since a key's older writes expire first. Folded dates hold every key once and are read as
+    they are; only the dates still open go through the shuffle that finds the newest row per key.
     """
-    days = _days(spark, table, since)
+    days = _days(spark, table, since) if days is None else days
     folded = _folded(spark, table, days)
     log = read_log(spark, table, days)
     if since is not None:
@@ -251,6 +279,41 @@ def read_table(
     return closed.select(*columns).unionByName(_newest(still_open, table).select(*columns))
 
 
+def _newest_schema(table: UpsertTable) -> T.StructType:
+    return T.StructType([f for f in table.stored.fields if f.name != "event_date"])
+
+
+def _newest_folder(table: UpsertTable) -> str:
+    return f"{table.path}.newest"
+
+
+def _newest_order(table: UpsertTable) -> list[str]:
+    return ["event_time", "version", *[f.name for f in table.order]]
+
+
+def rows_above(spark: SparkSession, table: UpsertTable, version: int) -> DataFrame:
+    """Rows of the log from versions after ``version``; only dates the ledger names are read."""
+    later = read_ledger(spark, table, version).where(
+        (F.col("version") % 2 == 0) & (F.col("rows_written") > 0)
+    )
+    days = later.select(F.explode(F.col("dates").cast("array<string>")).alias("day")).distinct().collect()
+    return read_log(spark, table, sorted(r["day"] for r in days), above=version)
+
+
+def advance_newest(spark: SparkSession, table: UpsertTable, version: int) -> None:
+    """Bring the table of newest rows per entity up to a version that was just written.
+
+    The entity is the first of the table's keys. The first call takes the whole log, later ones
+    only what was written since the snapshot below ``version``.
+    """
+    folder = _newest_folder(table)
+    below = [v for v in newest.versions(spark, folder) if v < version]
+    rows = rows_above(spark, table, below[-1]) if below else read_log(spark, table)
+    rows = rows.where((F.col("version") <= version) | (F.col("version") % 2 == 1))
+    changed = rows.where(F.col("event_time").isNotNull()).select(*_newest_schema(table).names)
+    newest.merge(folder, changed, [table.keys[0]], _newest_order(table), version)
+
+
 def read_newest(
     spark: SparkSession,
     table: UpsertTable,
@@ -259,12 +322,17 @@ def read_newest(
     th: Thresholds = DEFAULTS,
     known: DataFrame | None = None,
 ) -> DataFrame:
-    """The newest row of every entity, straight from the log: one row per task is shuffled.
+    """The newest row of every entity.
 
-    With ``known`` (a list of entities, repeated or not) only their newest rows are sought: the
-    newest date is read, then two, four and so on until every known entity has been met, or all
-    dates are read. Other entities come out if they are among the dates read.
+    With a table of newest rows that is read, together with what the log has got since; only
+    entities whose newest row is past retention are sought in the log. Without one the log is
+    read: all of it, or with ``known`` (a list of entities, repeated or not) the newest date,
+    then two, four and so on until every known entity has been met, or all dates are read. Other
+    entities come out if they are among the rows read.
     """
+    held = newest.versions(spark, _newest_folder(table)) if entity == table.keys[0] else []
+    if held:
+        return _kept_newest(spark, table, entity, held[-1], live_at, th).select(*table.columns.names)
     days = _days(spark, table)[::-1]
     span = len(days) if known is None else 1
     while True:
@@ -277,8 +345,23 @@ def read_newest(
         if known.select(entity).join(met, entity, "left_anti").isEmpty():
             break
         span *= 2
-    order = ["event_time", "version", *[f.name for f in table.order]]
-    return latest_by(log, [entity], order).select(*table.columns.names)
+    return latest_by(log, [entity], _newest_order(table)).select(*table.columns.names)
+
+
+def _kept_newest(spark, table: UpsertTable, entity: str, version: int, live_at, th: Thresholds) -> DataFrame:
+    schema = _newest_schema(table)
+    rows = newest.read(spark, _newest_folder(table), schema)
+    since = rows_above(spark, table, version)
+    rows = latest_by(rows.unionByName(since.select(*schema.names)), [entity], _newest_order(table))
+    if live_at is None:
+        return rows
+    live = expire(rows, live_at, th)
+    past = rows.where(F.col("ingested_at") <= before(live_at, days=th.retention_days)).select(entity)
+    if past.isEmpty():
+        return live
+    # an older row that was written later may still be live
+    log = expire(read_log(spark, table), live_at, th).join(past, entity, "left_semi")
+    return live.unionByName(latest_by(log.select(*schema.names), [entity], _newest_order(table)))
 
 
 def read_newest_day(spark: SparkSession, table: UpsertTable) -> DataFrame:

@@ -1,0 +1,116 @@
+"""Landed API documents as feeds, and what becomes of flawed ones."""
+
+import json
+
+import pytest
+
+from helpers import rows
+from roadpulse import cli
+from roadpulse.sources import documents, reference
+from roadpulse.sources.feeds import FeedSource, decode_feed
+from roadpulse.streaming import files, jobs
+from roadpulse.streaming.documents import DocumentSink, publish
+
+
+def _route(travel=600, free=400, length=9000, **more):
+    given = {"travelTimeInSeconds": travel, "noTrafficTravelTimeInSeconds": free, "lengthInMeters": length}
+    return json.dumps({"routes": [{"summary": {k: v for k, v in given.items() if v is not None}}], **more})
+
+
+ROUTES = [
+    ("july26", _route(), None), ("july26", _route(extra=1), None), ("july26", "{", documents.NOT_JSON),
+    ("july26", None, documents.NOT_JSON), ("july26", "", documents.NOT_JSON), ("july26", "{}", documents.NO_ROUTE),
+    ("july26", '{"routes": []}', documents.NO_ROUTE), ("july26", '{"routes": [{}]}', documents.NO_ROUTE),
+    ("july26", "[1]", documents.NO_ROUTE), ("july26", _route(length=None), documents.NO_VALUE),
+    ("july26", _route(travel="soon"), documents.NO_VALUE), ("july26", _route(travel=0), documents.ZERO_TRAVEL),
+    ("july26", _route(free=0), documents.ZERO_FREE), ("nowhere", _route(), documents.UNKNOWN_KEY),
+    (None, _route(), documents.UNKNOWN_KEY),
+]
+
+
+def _landed(spark, data):
+    moments = [(k, f"2025-02-03 04:05:{i:02d}", d) for i, (k, d, *_) in enumerate(data)]
+    df = spark.createDataFrame(moments, "key string, fetched_at string, document string")
+    return df.withColumn("fetched_at", df["fetched_at"].cast("timestamp"))
+
+
+def test_reasons_of_route_documents(spark):
+    judged = documents.judge_route_documents(_landed(spark, ROUTES), reference.monitored_corridors(spark))
+    plan = judged._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+    assert plan.count("from_json(") == 1
+    got = {r["event_time"]: r["reason"] for r in judged.collect()}
+    assert got == {f"2025-02-03T04:05:{i:02d}Z": reason for i, (_, _, reason) in enumerate(ROUTES)}
+    (row,) = judged.where("event_time = '2025-02-03T04:05:00Z'").collect()
+    assert (row["congestion_index"], row["speed_kmh"], row["distance_km"], row["is_anomaly"]) == (0.5, 54.0, 9.0, False)
+    assert (row["corridor_name"], row["city"]) == ("26th of July Corridor", "Cairo")
+
+
+def test_route_job_writes_feed_and_rejects_once(spark, home, monkeypatch):
+    source = FeedSource(format="parquet", path=f"{home}/landed")
+    sink = DocumentSink(reference.monitored_corridors(spark), f"{home}/rejects", f"{home}/feeds/traffic")
+
+    def run():
+        query = jobs.start_documents(spark, "route", source, sink, f"{home}/checkpoint", {"availableNow": True})
+        query.awaitTermination()
+
+    _landed(spark, ROUTES[:6]).write.parquet(source.path)
+    run()
+    _landed(spark, ROUTES[6:]).write.mode("append").parquet(source.path)
+    # the driver is lost between the two outputs; the batch comes again
+    from roadpulse.streaming import documents as sinks
+
+    original, seen = publish, []
+
+    def failing(rows_, folder, batch_id, format):
+        seen.append(folder)
+        if len(seen) == 2:
+            raise OSError("lost between outputs")
+        return original(rows_, folder, batch_id, format)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(sinks, "publish", failing)
+        with pytest.raises(Exception, match="lost between outputs"):
+            run()
+    run()
+    rejects = spark.read.parquet(sink.rejects_path)
+    want = sorted(((k, r) for k, _, r in ROUTES if r), key=repr)
+    assert rows(rejects, "key", "reason") == want
+    envelopes = spark.read.schema(jobs.schemas.ENVELOPE).json(sink.feed_path)
+    feed = decode_feed(envelopes, "traffic")
+    assert rows(feed, "corridor_id", "travel_time_sec", "speed_kmh") == [("july26", 600, 54.0)] * 2
+    assert not [n for n in files.children(spark, sink.feed_path) if n.startswith("_staged")]
+    with pytest.raises(ValueError, match="checkpoint"):
+        jobs.start_documents(spark, "route", source, sink, f"{home}/other", {"availableNow": True})
+
+
+WEATHER = [
+    ("Cairo", '{"current": {"time": "2025-02-03T04:00", "temperature_2m": 20.5, "weather_code": 3}}', None),
+    ("Cairo", "{}", None), ("Cairo", "oops", documents.NOT_JSON), ("Cairo", None, documents.NOT_JSON),
+    ("Atlantis", "{}", documents.UNKNOWN_KEY),
+]
+
+
+def test_weather_documents(spark):
+    judged = documents.judge_weather_documents(_landed(spark, WEATHER), reference.weather_locations(spark))
+    got = {str(r["fetched_at"])[-2:]: r["reason"] for r in judged.collect()}
+    assert got == {f"{i:02d}": reason for i, (_, _, reason) in enumerate(WEATHER)}
+    good = judged.where("reason IS NULL")
+    assert rows(good, "location", "event_time", "temperature_c", "weather_code") == [
+        ("Cairo", "2025-02-03T04:00", 20.5, 3), ("Cairo", None, None, None),
+    ]
+
+
+def test_document_commands(spark, home, monkeypatch):
+    monkeypatch.setattr(cli, "build_session", lambda *args: spark)
+    for kind, data in (("route", ROUTES), ("weather", WEATHER)):
+        _landed(spark, data).write.json(f"{home}/documents/{kind}")
+    base = ["--tables", f"{home}/tables", "--feeds", f"{home}/feeds", "--documents", f"{home}/documents"]
+    for kind in ("route", "weather-documents", "traffic", "weather"):
+        assert cli.main([*base, "stream", kind, "--once"]) == 0
+    tables = cli.Tables(f"{home}/tables")
+    assert cli.store.read_table(spark, tables.congestion).count() == 1
+    assert rows(cli.store.read_newest(spark, tables.weather, "location"), "location", "temperature_c") == [("Cairo", 20.5)]
+    assert spark.read.parquet(f"{tables.rejects}/weather").count() == 3
+    assert spark.read.parquet(f"{tables.rejects}/route").count() == 13
+    with pytest.raises(SystemExit):
+        cli.main([*base[:4], "stream", "route", "--once"])

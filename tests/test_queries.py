@@ -11,7 +11,8 @@ from roadpulse.plans import catalog, oracle
 
 SF_DIR = os.environ.get("ROADPULSE_SF_DIR", "/root/testdata/sf0.001")
 QUERIES, SQL = catalog.queries(), oracle.oracle_sql()
-BATCH = [n for n in QUERIES if not n.startswith("stream_") and n != "batch_audit"]
+JOBS = ("batch_audit", "alert_delivery", "document_rejects", "document_feed")
+BATCH = [n for n in QUERIES if not n.startswith("stream_") and n not in JOBS]
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
 
