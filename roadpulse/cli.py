@@ -22,7 +22,7 @@ from roadpulse.schemas import ENVELOPE
 from roadpulse.session import STREAM_CONF, build_session
 from roadpulse.settings import DEFAULTS, TOPICS
 from roadpulse.sources import reference
-from roadpulse.sources.feeds import FeedSource, decode_feed, load_feed
+from roadpulse.sources.feeds import FeedSource, decode_feed, load_feed, load_tail
 from roadpulse.streaming import files, jobs, newest, store
 from roadpulse.streaming.documents import FEED_OF, DocumentSink
 from roadpulse.streaming.outbox import AlertChannel, Outbox
@@ -146,9 +146,9 @@ def run_check(spark: SparkSession, args, tables: Tables) -> bool:
 
 
 def _landed(spark: SparkSession, args):
-    """Places and times of the messages of all feeds, and the topics there are.
+    """Places and times of the newest messages of all feeds, and the topics there are.
 
-    A broker is asked for its three topics, and fails for one it does not have.
+    Of each feed only the tail is read. A broker is asked for its three topics, and fails for one it does not have.
     """
     seen, existing = [], []
     for kind, topic in TOPICS.items():
@@ -156,7 +156,8 @@ def _landed(spark: SparkSession, args):
         if source.path and not files.exists(spark, source.path):
             continue
         existing.append(topic)
-        envelopes = load_feed(spark, kind, source)
+        span = timedelta(minutes=DEFAULTS.freshness_minutes)
+        envelopes = load_tail(spark, kind, source, args.as_of, span)
         seen.append(envelopes.select(F.lit(topic).alias("topic"), "partition", "offset", "timestamp"))
     if not seen:
         return spark.createDataFrame([], ENVELOPE), existing

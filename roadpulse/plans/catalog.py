@@ -306,6 +306,16 @@ def _metric_point_lookup_query(spark, sf_dir):
     return serving.lookup_metric(_metrics(spark, sf_dir), slow)
 
 
+@query("stored_point_lookup")
+def _stored_point_lookup_query(spark, sf_dir):
+    """The same from a stored and folded table, whose files skip what is not asked for."""
+    table = store.congestion_table(f"{workspace(spark, 'lookup')}/metrics")
+    store.write_version(_metrics(spark, sf_dir), table, 0, AS_OF)
+    store.fold(spark, table, AS_OF)
+    slow = vehicles.vehicle_windows(_pings(spark, sf_dir)).where("is_anomaly")
+    return store.lookup(spark, table, slow).drop("ingested_at")
+
+
 def _latest(spark, sf_dir) -> DataFrame:
     return serving.latest_per_corridor(
         _metrics(spark, sf_dir), reference.monitored_corridors(spark)

@@ -401,6 +401,7 @@ def oracle_sql() -> dict[str, str]:
         "SELECT * FROM metrics WHERE (corridor_id, event_time) IN"
         " (SELECT (corridor_id, event_time) FROM vehicle_speed WHERE is_anomaly)",
     )
+    sql["stored_point_lookup"] = sql["metric_point_lookup"]
     sql["latest_per_corridor"] = _query(LATEST, "SELECT * FROM latest")
     index = "coalesce(l.congestion_index, 0)"
     sql["corridor_status"] = _query(

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
+from datetime import timedelta
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from roadpulse import schemas, settings
-from roadpulse.functions.times import parse_iso, parse_weather_time
+from roadpulse.functions.times import moment, parse_iso, parse_weather_time
 
 
 @dataclass(frozen=True)
@@ -52,6 +54,42 @@ def load_feed(spark: SparkSession, kind: str, source: FeedSource) -> DataFrame:
     return reader.load(source.path)
 
 
+# How far a tail reaches back at first, as a multiple of the wanted span, and how it grows.
+_WIDER = 8
+_WIDEST = timedelta(days=3660)
+
+
+def load_tail(
+    spark: SparkSession, kind: str, source: FeedSource, as_of=None, span: timedelta = timedelta(minutes=15)
+) -> DataFrame:
+    """The end of a feed, with its newest message: no more of it is read than that takes.
+
+    A broker is asked for messages from a time on, files for those landed since. Messages do
+    not lie ahead of their landing, so once the tail has one from its own span, everything
+    before the tail is older. Otherwise the span grows; a feed silent for ten years is read whole.
+    """
+    now = moment(as_of)
+    while span < _WIDEST:
+        since = now - span
+        tail = _since(spark, kind, source, since)
+        if not tail.where(F.col("timestamp") >= F.lit(since)).isEmpty():
+            return tail
+        span *= _WIDER
+    return load_feed(spark, kind, source)
+
+
+def _since(spark: SparkSession, kind: str, source: FeedSource, since) -> DataFrame:
+    if source.format == "kafka":
+        options = {
+            "startingTimestamp": str(int(since.timestamp() * 1000)),
+            "startingOffsetsByTimestampStrategy": "latest",
+        }
+    else:
+        zone = spark.conf.get("spark.sql.session.timeZone")
+        options = {"modifiedAfter": since.astimezone(ZoneInfo(zone)).strftime("%Y-%m-%dT%H:%M:%S")}
+    return load_feed(spark, kind, replace(source, options={**source.options, **options}))
+
+
 def decode_feed(
     envelopes: DataFrame,
     kind: str,

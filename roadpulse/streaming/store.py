@@ -126,10 +126,21 @@ def write_version(rows: DataFrame, table: UpsertTable, version: int, written_at=
     _record(spark, table, version, found.get("n", 0), found.get("dates") or [], now, now, now)
 
 
-def _overwrite(placed: DataFrame, table: UpsertTable) -> None:
-    placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        "event_date", "version"
-    ).parquet(table.path)
+def _overwrite(placed: DataFrame, table: UpsertTable, options: dict[str, str] | None = None) -> None:
+    placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").options(
+        **(options or {})
+    ).partitionBy("event_date", "version").parquet(table.path)
+
+
+def _lookup_options(table: UpsertTable) -> dict[str, str]:
+    """How folded files are written: rows come sorted by key, in pages that are skipped singly.
+
+    The Bloom filter tells which row groups lack an entity altogether.
+    """
+    return {
+        f"parquet.bloom.filter.enabled#{table.keys[0]}": "true",
+        "parquet.page.row.count.limit": "2000",
+    }
 
 
 def _record(spark, table: UpsertTable, version: int, n: int, dates, first, last, at) -> None:
@@ -300,6 +311,38 @@ def rows_above(spark: SparkSession, table: UpsertTable, version: int) -> DataFra
     return read_log(spark, table, sorted(r["day"] for r in days), above=version)
 
 
+# A lookup of so many keys names them to the file reader; more keys are joined.
+NAMED_KEYS = 1000
+
+
+def lookup(spark: SparkSession, table: UpsertTable, keys: DataFrame, live_at=None) -> DataFrame:
+    """The table's rows whose key is among ``keys``, repeated or not.
+
+    Only the keys' dates are read. Up to ``NAMED_KEYS`` keys become a filter that the Parquet
+    reader tests against Bloom filters and the ranges of row groups and pages, which folding
+    has sorted by key; more are joined by the planner's choice.
+    """
+    wanted = keys.select(*table.keys).dropna().distinct()
+    day = F.to_date("event_time").cast("string").alias("day")
+    days = {r["day"] for r in wanted.select(day).distinct().collect()}
+    held = [d for d in _days(spark, table) if d in days]
+    rows = read_table(spark, table, live_at=live_at, days=held)
+    first = wanted.limit(NAMED_KEYS + 1).collect()
+    if len(first) <= NAMED_KEYS:
+        entity, *rest = table.keys
+        named: dict = {}
+        for r in first:
+            named.setdefault(r[entity], []).append(r)
+        tests = [
+            (F.col(entity) == one) & reduce(
+                lambda a, b: a & b, [F.col(c).isin([r[c] for r in of_one]) for c in rest], F.lit(True)
+            )
+            for one, of_one in named.items()
+        ]
+        rows = rows.where(reduce(lambda a, b: a | b, tests, F.lit(False)))
+    return rows.join(wanted, list(table.keys), "left_semi")
+
+
 def advance_newest(spark: SparkSession, table: UpsertTable, version: int) -> None:
     """Bring the table of newest rows per entity up to a version that was just written.
 
@@ -457,7 +500,8 @@ def fold(spark: SparkSession, table: UpsertTable, closed_before) -> int:
     Returns the number of dates rewritten. A stream may run beside it: whatever it adds later
     has a higher version than the fold. Readers that started before may lose their files and
     must run again. What is to do follows from the folders' names; only dates to be rewritten
-    are read. A log keeps all its rows, in files of even size.
+    are read. Files hold ranges of keys, sorted, so a lookup opens few of them. A log keeps all
+    its rows.
     """
     held = {
         day: _versions(spark, table, day) for day in _days(spark, table, until=closed_before)
@@ -471,7 +515,10 @@ def fold(spark: SparkSession, table: UpsertTable, closed_before) -> int:
         folds = F.create_map(*[F.lit(x) for pair in todo.items() for x in pair])
         rows = log if table.keeps_all else _newest(log, table)
         rows = rows.withColumn("version", folds[F.col("event_date").cast("string")].cast("long"))
-        _overwrite(rows.select(*table.stored.names).hint("rebalance", "event_date"), table)
+        # the writer's own order comes first, or it would sort again
+        place = ["event_date", "version", *table.keys]
+        even = rows.select(*table.stored.names).repartitionByRange(_fold_files(spark, table, todo), *place)
+        _overwrite(even.sortWithinPartitions(*place), table, _lookup_options(table))
         complete_ledger(spark, table, list(todo))
     for day, top in tops.items():
         for version in held[day]:
@@ -480,6 +527,18 @@ def fold(spark: SparkSession, table: UpsertTable, closed_before) -> int:
     return len(todo)
 
 
+# Rows that one file of a fold has at most about.
+FOLD_ROWS = 2_000_000
+
+
+def _fold_files(spark: SparkSession, table: UpsertTable, days) -> int:
+    """Into how many key ranges dates are folded, by the rows the ledger has of their versions."""
+    ledger = read_ledger(spark, table).where("version % 2 = 0")
+    touched = ledger.where(F.arrays_overlap(F.col("dates").cast("array<string>"), F.array(*map(F.lit, days))))
+    rows = touched.agg(F.sum("rows_written")).first()[0] or 0
+    return 1 + rows // FOLD_ROWS
+
+
 def drop_expired(
     spark: SparkSession, table: UpsertTable, as_of, th: Thresholds = DEFAULTS
 ) -> int:
