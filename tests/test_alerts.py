@@ -7,7 +7,7 @@ from roadpulse import schemas
 from roadpulse.operators import alerts as al
 from roadpulse.sources import reference
 
-NOW = "2026-06-26 19:01:00"
+NOW = "2025-11-14 07:21:00"
 
 
 def _metrics(spark, data):
@@ -22,9 +22,9 @@ def test_alert_of_an_anomalous_row(spark):
         _metrics(
             spark,
             [
-                ("ring_road", "2026-06-26 19:00:00", 0.85, 12.3, True),
-                ("july26", "2026-06-26 19:00:00", 0.1, 50.0, False),
-                ("july26", "2026-06-26 19:10:00", 0.1, 50.0, None),
+                ("corniche_cairo", "2025-11-14 07:20:00", 0.93, 11.4, True),
+                ("july26", "2025-11-14 07:20:00", 0.1, 50.0, False),
+                ("july26", "2025-11-14 07:30:00", 0.1, 50.0, None),
             ],
         ),
         NOW,
@@ -32,23 +32,23 @@ def test_alert_of_an_anomalous_row(spark):
     assert got.columns == schemas.CONGESTION_ALERTS.names
     assert rows(with_times(got, "event_time", "created_at"), "*") == [
         (
-            "ring_road", "congestion_spike", "high", 0.85, 12.3,
-            "High congestion on ring_road: index 0.85, speed 12.3 km/h",
-            "2026-06-26 19:00:00", "2026-06-26 19:01:00",
+            "corniche_cairo", "congestion_spike", "high", 0.93, 11.4,
+            "High congestion on corniche_cairo: index 0.93, speed 11.4 km/h",
+            "2025-11-14 07:20:00", "2025-11-14 07:21:00",
         )
     ]
     key, value = al.alert_messages(got).first()
-    assert key == "ring_road"
+    assert key == "corniche_cairo"
     assert json.loads(value) == {
-        "corridor_id": "ring_road", "alert_type": "congestion_spike", "severity": "high",
-        "congestion_index": 0.85, "speed_kmh": 12.3,
-        "message": "High congestion on ring_road: index 0.85, speed 12.3 km/h",
-        "event_time": "2026-06-26T19:00:00Z", "created_at": "2026-06-26T19:01:00Z",
+        "corridor_id": "corniche_cairo", "alert_type": "congestion_spike", "severity": "high",
+        "congestion_index": 0.93, "speed_kmh": 11.4,
+        "message": "High congestion on corniche_cairo: index 0.93, speed 11.4 km/h",
+        "event_time": "2025-11-14T07:20:00Z", "created_at": "2025-11-14T07:21:00Z",
     }
 
 
 def test_missing_speed_does_not_fail_an_alert(spark):
-    got = al.build_alerts(_metrics(spark, [("a", "2026-06-26 19:00:00", 0.9, None, True)]), NOW)
+    got = al.build_alerts(_metrics(spark, [("a", "2025-11-14 07:20:00", 0.9, None, True)]), NOW)
     assert got.first().message == "High congestion on a: index 0.90, speed n/a km/h"
 
 
@@ -64,8 +64,8 @@ def test_cards_levels_colors_and_defaults(spark):
         _alerts(
             spark,
             [
-                ("ring_road", "high", 0.85, 12.25, "2026-06-26 19:00:00", "m"),
-                ("july26", "critical", 0.851, 1.0, "2026-06-26 19:00:00", ""),
+                ("ring_road", "high", 0.85, 12.25, "2025-11-14 07:20:00", "m"),
+                ("july26", "critical", 0.851, 1.0, "2025-11-14 07:20:00", ""),
                 ("elsewhere", "odd", 0.7, 1.0, None, None),
                 (None, None, None, None, None, None),
             ],
@@ -84,7 +84,7 @@ def test_cards_levels_colors_and_defaults(spark):
             {"name": "🛣️ Corridor", "value": "**Ring Road**\n`ring_road`", "inline": True},
             {"name": "📊 Congestion Index", "value": "**0.85**", "inline": True},
             {"name": "🏎️ Speed", "value": "**12.2** km/h", "inline": True},
-            {"name": "⏰ Event Time", "value": "`2026-06-26T19:00:00Z`", "inline": False},
+            {"name": "⏰ Event Time", "value": "`2025-11-14T07:20:00Z`", "inline": False},
         ],
         "footer": {"text": "Congestion Intelligence"},
         "description": "m",
@@ -94,11 +94,11 @@ def test_cards_levels_colors_and_defaults(spark):
     assert {r.corridor_id: tuple(r)[1:] for r in cards.collect()} == {
         "ring_road": (
             "🟠 Congestion Alert — Ring Road", 0xFF4444, "**Ring Road**\n`ring_road`", "**0.85**",
-            "**12.2** km/h", "`2026-06-26T19:00:00Z`", "m",
+            "**12.2** km/h", "`2025-11-14T07:20:00Z`", "m",
         ),
         "july26": (
             "🔴 Congestion Alert — 26th of July Corridor", 0xFF0000, "**26th of July Corridor**\n`july26`",
-            "**0.85**", "**1.0** km/h", "`2026-06-26T19:00:00Z`", None,
+            "**0.85**", "**1.0** km/h", "`2025-11-14T07:20:00Z`", None,
         ),
         "elsewhere": (
             "🟡 Congestion Alert — elsewhere", 0xFF4444, "**elsewhere**\n`elsewhere`", "**0.70**",
@@ -112,8 +112,8 @@ def test_cards_levels_colors_and_defaults(spark):
 
 
 def test_recent_and_latest(spark):
-    base = _metrics(spark, [(f"c{i}", f"2026-06-26 {i % 10:02d}:00:00", 0.9, 1.0, True) for i in range(30)])
-    first, second = al.build_alerts(base, "2026-06-26 20:00"), al.build_alerts(base, "2026-06-26 21:00")
+    base = _metrics(spark, [(f"c{i}", f"2025-11-14 {i % 10:02d}:00:00", 0.9, 1.0, True) for i in range(30)])
+    first, second = al.build_alerts(base, "2025-11-14 08:20"), al.build_alerts(base, "2025-11-14 09:20")
     log = first.unionByName(second)
     newest = al.recent_alerts(log).collect()
     assert len(newest) == 20 and len(al.recent_alerts(log, 7).collect()) == 7

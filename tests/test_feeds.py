@@ -11,8 +11,8 @@ from roadpulse.sources.feeds import FeedSource, decode_feed, encode_feed, read_f
 
 GOOD = {
     "corridor_id": "ring_road", "corridor_name": "Ring Road", "city": "Cairo",
-    "travel_time_sec": 540, "free_flow_sec": 300, "congestion_index": 0.8, "speed_kmh": 23,
-    "distance_km": 18.5, "is_anomaly": False, "event_time": "2026-06-26T19:00:00Z",
+    "travel_time_sec": 672, "free_flow_sec": 420, "congestion_index": 0.6, "speed_kmh": 31,
+    "distance_km": 18.5, "is_anomaly": False, "event_time": "2025-11-14T07:20:00Z",
 }
 
 
@@ -24,7 +24,7 @@ def _decode(spark, kind, *values):
 
 def test_traffic_payload(spark):
     row = with_times(_decode(spark, "traffic", json.dumps(GOOD)), "event_time").first()
-    assert row.asDict() == {"offset": 0, **GOOD, "speed_kmh": 23.0, "event_time": "2026-06-26 19:00:00"}
+    assert row.asDict() == {"offset": 0, **GOOD, "speed_kmh": 31.0, "event_time": "2025-11-14 07:20:00"}
 
 
 @pytest.mark.parametrize("text", ["not json", "{}", "null", "[1, 2]", "", None, '{"corridor_id"'])
@@ -35,13 +35,13 @@ def test_unreadable_payload_is_a_row_of_nulls(spark, text):
 
 def test_bad_fields_become_null_and_others_stay(spark):
     cases = [
-        {**GOOD, "travel_time_sec": 540.0},
+        {**GOOD, "travel_time_sec": 672.0},
         {**GOOD, "travel_time_sec": "7"},
         {**GOOD, "congestion_index": "1.5"},
         {**GOOD, "event_time": "yesterday"},
     ]
     got = _decode(spark, "traffic", *[json.dumps(c) for c in cases]).collect()
-    assert [r.travel_time_sec for r in got] == [None, None, 540, 540]
+    assert [r.travel_time_sec for r in got] == [None, None, 672, 672]
     assert got[2].congestion_index is None and got[3].event_time is None
     assert all(r.corridor_id == "ring_road" for r in got)
 
@@ -49,32 +49,32 @@ def test_bad_fields_become_null_and_others_stay(spark):
 def test_weather_and_vehicle_times(spark):
     reports = _decode(
         spark, "weather",
-        '{"location":"Cairo","event_time":"2026-06-23T14:00","weather_code":3}',
-        '{"location":"Cairo","event_time":"2026-06-23 14:00"}',
-        '{"event_time":"2026-06-23T14:00"}',
+        '{"location":"Cairo","event_time":"2025-11-12T05:40","weather_code":3}',
+        '{"location":"Cairo","event_time":"2025-11-12 05:40"}',
+        '{"event_time":"2025-11-12T05:40"}',
     )
     assert rows(with_times(reports, "event_time"), "offset", "event_time") == [
-        (0, "2026-06-23 14:00:00"), (1, None), (2, "2026-06-23 14:00:00"),
+        (0, "2025-11-12 05:40:00"), (1, None), (2, "2025-11-12 05:40:00"),
     ]
     assert clean_weather(reports).count() == 1
     pings = _decode(
         spark, "vehicle",
-        '{"vehicle_id":"a_v1","event_time":"2026-06-26T19:00:05Z","speed_kmh":12}',
+        '{"vehicle_id":"a_v1","event_time":"2025-11-14T07:20:05Z","speed_kmh":12}',
         '{"vehicle_id":"a_v1","event_time":"soon","speed_kmh":12}',
     )
     assert rows(with_times(pings, "event_time"), "offset", "event_time", "speed_kmh") == [
-        (0, "2026-06-26 19:00:05", 12.0), (1, None, 12.0),
+        (0, "2025-11-14 07:20:05", 12.0), (1, None, 12.0),
     ]
 
 
 def test_encode_keys_and_round_trip(spark):
-    event = spark.createDataFrame([("ring_road", 0.85, None)], "corridor_id string, congestion_index double, city string")
+    event = spark.createDataFrame([("july26", 0.35, None)], "corridor_id string, congestion_index double, city string")
     encoded = encode_feed(event, "corridor_id")
     key, value = encoded.first()
-    assert key == "ring_road"
-    assert json.loads(value) == {"corridor_id": "ring_road", "congestion_index": 0.85}
+    assert key == "july26"
+    assert json.loads(value) == {"corridor_id": "july26", "congestion_index": 0.35}
     back = decode_feed(encoded, "traffic").first()
-    assert (back.corridor_id, back.congestion_index, back.city) == ("ring_road", 0.85, None)
+    assert (back.corridor_id, back.congestion_index, back.city) == ("july26", 0.35, None)
 
 
 def test_file_source_has_the_broker_columns(spark, home):
@@ -94,16 +94,16 @@ def test_route_documents(spark):
     two = json.loads(_route(1, 2, 3))
     two["routes"].append({"summary": {"travelTimeInSeconds": 9}})
     documents = {
-        "good": _route(540, 300, 5200), "first": json.dumps(two), "no_free": _route(540, 0, 1),
-        "no_travel": _route(0, 300, 1), "null_length": _route(540, 300, None),
+        "good": _route(672, 420, 5200), "first": json.dumps(two), "no_free": _route(672, 0, 1),
+        "no_travel": _route(0, 420, 1), "null_length": _route(672, 420, None),
         "empty": '{"routes":[]}', "none": "{}", "broken": "#", "summary": '{"routes":[{}]}',
     }
     df = spark.createDataFrame(list(documents.items()), "corridor_id string, document string")
-    assert rows(flatten_route_documents(df), "*") == [("first", 1, 2, 3), ("good", 540, 300, 5200)]
+    assert rows(flatten_route_documents(df), "*") == [("first", 1, 2, 3), ("good", 672, 420, 5200)]
 
 
 def test_weather_documents(spark):
-    current = {"time": "2026-06-23T14:00", "temperature_2m": 31.5, "relative_humidity_2m": 40,
+    current = {"time": "2025-11-12T05:40", "temperature_2m": 31.5, "relative_humidity_2m": 40,
                "precipitation": 0, "wind_speed_10m": 7.5, "weather_code": 3}
     df = spark.createDataFrame(
         [("Cairo", json.dumps({"current": current})), ("Alexandria", "{}"), ("Giza", "{}")],
@@ -112,7 +112,7 @@ def test_weather_documents(spark):
     got = flatten_weather_documents(df, reference.weather_locations(spark))
     assert rows(got, "location", "event_time", "temperature_c", "humidity_pct", "weather_code", "latitude") == [
         ("Alexandria", None, None, None, None, 31.2001),
-        ("Cairo", "2026-06-23T14:00", 31.5, 40.0, 3, 30.0444),
+        ("Cairo", "2025-11-12T05:40", 31.5, 40.0, 3, 30.0444),
         ("Giza", None, None, None, None, None),
     ]
 
