@@ -14,6 +14,7 @@ from roadpulse.llm.mixing import poisson_mix
 from roadpulse.llm.near_duplicates import keep_one
 from roadpulse.llm.secrets import redact
 from roadpulse.llm.toxicity import toxicity
+from roadpulse.session import mark, release
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,8 +59,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written and read again for the next one."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over ``documents``, each written and read again for the next one.
+
+    Once a stage is written, its working tables and the input it had are removed.
+    """
+    docs, start = table(spark, sf_dir, "documents"), mark()
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name)
+        release(spark, start, but_last=1)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -21,7 +21,7 @@ def baselines(
     """Mean travel-time estimate per corridor, weekday (0 = Monday) and hour.
 
     Takes the last days of metrics of known corridors. Rows without index or speed do not
-    count, although the speed itself is not used.
+    count, although the speed itself is not used. Estimates are summed to nine decimals.
     """
     recent = scan_metrics(metrics, corridors, before(as_of, days=th.baseline_days))
     return (

@@ -54,4 +54,28 @@ def workspace(spark: SparkSession, label: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="roadpulse-")
-    return f"{root.rstrip('/')}/roadpulse/{label}-{uuid.uuid4().hex}"
+    _made.append(f"{root.rstrip('/')}/roadpulse/{label}-{uuid.uuid4().hex}")
+    return _made[-1]
+
+
+# Work folders of this process that nobody has released, oldest first.
+_made: list[str] = []
+
+
+def mark() -> int:
+    """Where the list of work folders stands now, for ``release``."""
+    return len(_made)
+
+
+def release(spark: SparkSession, since: int = 0, but_last: int = 0) -> int:
+    """Delete the work folders made since a mark, all but the last so many; returns how many.
+
+    For results that have been read or written elsewhere: frames over these folders can no
+    longer be computed.
+    """
+    gone = _made[since : len(_made) - but_last]
+    for path in gone:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+        _made.remove(path)
+    return len(gone)

@@ -11,7 +11,7 @@ sys.path.insert(0, os.path.join(ROOT, "tests"))
 
 @pytest.fixture(scope="session")
 def spark():
-    from roadpulse.session import configure
+    from roadpulse.session import configure, release
 
     builder = (
         SparkSession.builder.master("local[8]")
@@ -23,6 +23,7 @@ def spark():
     session = configure(builder.getOrCreate())
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    release(session)
     session.stop()
 
 
