@@ -9,7 +9,9 @@ which adapts as well. The sum over all decisions is the log probability of the t
 
 Texts advance together, one decision a step, each with weights and a refining table of its own
 from its first decision to its last, so a text has the same score wherever and with whatever it is
-scored. Tasks take texts by length, so that those that advance together end together.
+scored. Tasks get texts of like length, so that those that advance together end together, and
+slots are looked up a window of steps at a time: memory goes with the bytes of a block of texts,
+or of one longer text, by some twenty bytes a byte.
 """
 
 from __future__ import annotations
@@ -89,16 +91,6 @@ class Code:
         return cls(weights)
 
 
-@dataclass
-class Decisions:
-    """All decisions of some texts: slots of each predictor, answers, and where symbols begin."""
-
-    slots: list[np.ndarray]
-    bits: np.ndarray
-    begins: np.ndarray  # first decision of each symbol, one more at the end
-    text_begins: np.ndarray  # first symbol of each text, one more at the end
-
-
 def _contexts(symbols: np.ndarray, text_begins: np.ndarray) -> list[np.ndarray]:
     """Hash of each symbol's context in the same text, for each order (up to four bytes)."""
     last = np.zeros(len(symbols), np.uint32)
@@ -124,77 +116,128 @@ _BLANK = np.isin(np.arange(257), [9, 10, 11, 12, 13, 32, END])
 _BASE = 0x9E3779B97F4A7C15
 
 
-class _Powers:
-    up = down = np.ones(1, np.uint64)
+def _powers(base: int) -> np.ndarray:
+    powers = np.full(PIECE, base, np.uint64)
+    powers[0] = 1
+    return np.cumprod(powers)
 
-    @classmethod
-    def of(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(cls.up) < n:
-            both = [np.full(n, base, np.uint64) for base in (_BASE, pow(_BASE, -1, 1 << 64))]
-            for powers in both:
-                powers[0] = 1
-                np.cumprod(powers, out=powers)
-            cls.up, cls.down = both
-        return cls.up[:n], cls.down[:n]
+
+_UP, _DOWN = _powers(_BASE), _powers(pow(_BASE, -1, 1 << 64))
 
 
 def _words_so_far(symbols: np.ndarray, text_begins: np.ndarray) -> np.ndarray:
     """Hash of the lower-case bytes between the last white space and each symbol."""
     n = len(symbols)
-    up, down = _Powers.of(n)
-    sums = np.zeros(n, np.uint64)
-    np.cumsum(_LOWERED[symbols[:-1]] * up[:-1], out=sums[1:])
-    begin = np.zeros(n, np.int64)
-    starts = np.concatenate([text_begins[:-1], np.flatnonzero(_BLANK[symbols[:-1]]) + 1])
-    begin[starts] = starts
-    np.maximum.accumulate(begin, out=begin)
-    raw = sums - sums[begin]
-    raw *= down[begin]
-    raw ^= raw >> np.uint64(29)
-    raw *= np.uint64(0xBF58476D1CE4E5B9)
-    return (raw >> np.uint64(32)).astype(np.uint32)
+    made = np.empty(n, np.uint32)
+    fresh = np.zeros(n, bool)
+    fresh[text_begins[:-1]] = True
+    fresh[1:] |= _BLANK[symbols[:-1]]
+    # of the word that a piece begins within: its hash and, to its length, the base
+    carried, power = np.uint64(0), np.uint64(1)
+    for low in range(0, n, PIECE):
+        piece, new = symbols[low : low + PIECE], fresh[low : low + PIECE]
+        m = len(piece)
+        sums = np.zeros(m + 1, np.uint64)
+        np.cumsum(_LOWERED[piece] * _UP[:m], out=sums[1:])
+        begin = np.maximum.accumulate(np.where(new, np.arange(m), 0))
+        raw = (sums[:-1] - sums[begin]) * _DOWN[begin]
+        whole = int(new.argmax()) if new.any() else m
+        raw[:whole] = carried + raw[:whole] * power
+        with np.errstate(over="ignore"):
+            length = m - 1 - begin[-1]
+            grown = (power if whole == m else np.uint64(1)) * _UP[length]
+            carried = raw[-1] + _LOWERED[piece[-1]] * grown
+            power = grown * np.uint64(_BASE)
+        raw ^= raw >> np.uint64(29)
+        raw *= np.uint64(0xBF58476D1CE4E5B9)
+        made[low : low + m] = raw >> np.uint64(32)
+    return made
+
+
+Stretches = tuple[np.ndarray, Iterable[np.ndarray]]
+
+
+@dataclass
+class Decisions:
+    """All decisions of some texts: slots of each predictor, answers, and where symbols begin."""
+
+    slots: list[np.ndarray]
+    bits: np.ndarray
+    begins: np.ndarray  # first decision of each symbol, one more at the end
+    text_begins: np.ndarray  # first symbol of each text, one more at the end
+
+    def stretches(self, first: np.ndarray, many: np.ndarray) -> Stretches:
+        """Answers, and the slots of each predictor, of stretches of decisions one after the other."""
+        at = _ranges(first, many)
+        return self.bits[at], (slot[at] for slot in self.slots)
+
+
+class TextDecisions:
+    """The decisions of some texts, whose slots are made for a stretch of them at a time."""
+
+    def __init__(self, encoded: list[bytes], code: Code) -> None:
+        sizes = np.array([len(e) + 1 for e in encoded], np.int64)
+        text_begins = np.concatenate([[0], np.cumsum(sizes)])
+        symbols = np.empty(text_begins[-1], np.uint32)
+        symbols[:] = np.frombuffer(b"\0".join(encoded) + b"\0" * bool(encoded), np.uint8)
+        symbols[text_begins[1:] - 1] = END
+        self.code = code
+        self.text_begins = text_begins
+        self.symbols = symbols.astype(np.uint16)
+        self.begins = np.zeros(len(symbols) + 1, np.int64)
+        np.cumsum(code.sizes[self.symbols], out=self.begins[1:])
+        self.contexts = _contexts(symbols, text_begins)
+
+    def stretches(self, first: np.ndarray, many: np.ndarray) -> Stretches:
+        begin = np.searchsorted(self.begins, first, side="right") - 1
+        end = np.searchsorted(self.begins, first + many, side="left")
+        # the symbols of the stretches, each as often as decisions of it are wanted
+        symbol = _ranges(begin, end - begin)
+        wanted = self.code.sizes[self.symbols[symbol]]
+        edges = np.cumsum(end - begin)
+        wanted[edges - (end - begin)] -= first - self.begins[begin]
+        wanted[edges - 1] -= self.begins[end] - (first + many)
+        entry = np.repeat(self.code.starts[self.symbols[symbol]] - self.begins[symbol], wanted)
+        entry += _ranges(first, many)
+        salt = self.code.salts[entry]
+
+        def slots() -> Iterator[np.ndarray]:
+            for context in self.contexts:
+                h = np.repeat(context[symbol], wanted)
+                h ^= salt
+                h *= np.uint32(0xC2B2AE35)
+                h >>= np.uint32(32 - SLOT_BITS)
+                yield h
+
+        return self.code.bits[entry], slots()
+
+    def whole(self) -> Decisions:
+        """All of them at once."""
+        n = self.begins[-1]
+        bits, slots = np.empty(n, np.uint8), [np.empty(n, np.int32) for _ in ORDERS]
+        for low in range(0, len(self.symbols), PIECE):  # pieces that fit into the cache
+            first, last = self.begins[low], self.begins[min(low + PIECE, len(self.symbols))]
+            bits[first:last], made = self.stretches(np.array([first]), np.array([last - first]))
+            for slot, piece in zip(slots, made):
+                slot[first:last] = piece
+        return Decisions(slots, bits, self.begins, self.text_begins)
+
+
+def _ranges(first: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """first[0], first[0] + 1, ..., many[0] numbers of them, then those of the next range."""
+    ends = np.cumsum(many)
+    return np.repeat(first - (ends - many), many) + np.arange(ends[-1] if len(ends) else 0)
 
 
 def decisions(encoded: list[bytes], code: Code) -> Decisions:
-    sizes = np.array([len(e) + 1 for e in encoded], np.int64)
-    text_begins = np.concatenate([[0], np.cumsum(sizes)])
-    symbols = np.zeros(text_begins[-1], np.uint32)
-    inside = np.ones(len(symbols), bool)
-    inside[text_begins[1:] - 1] = False
-    symbols[inside] = np.frombuffer(b"".join(encoded), np.uint8)
-    symbols[~inside] = END
-    many = code.sizes[symbols]
-    begins = np.concatenate([[0], np.cumsum(many)])
-    slots = [np.empty(begins[-1], np.int32) for _ in ORDERS]
-    bits = np.empty(begins[-1], np.uint8)
-    contexts = _contexts(symbols, text_begins)
-    shift = np.uint32(32 - SLOT_BITS)
-    for low in range(0, len(symbols), PIECE):  # pieces that fit into the cache
-        high = min(low + PIECE, len(symbols))
-        first, last = begins[low], begins[high]
-        # the symbol of each decision, and its entry in the code
-        owner = np.zeros(last - first, np.int64)
-        owner[begins[low + 1 : high] - first] = 1
-        np.cumsum(owner, out=owner)
-        entry = (code.starts[symbols[low:high]] - begins[low:high])[owner]
-        entry += np.arange(first, last)
-        owner += low
-        bits[first:last] = code.bits[entry]
-        salt = code.salts[entry]
-        for slot, context in zip(slots, contexts):
-            h = context[owner]
-            h ^= salt
-            h *= np.uint32(0xC2B2AE35)
-            h >>= shift
-            slot[first:last] = h
-    return Decisions(slots, bits, begins, text_begins)
+    return TextDecisions(encoded, code).whole()
 
 
 def count(made: Decisions, counts: np.ndarray) -> None:
     """Adds the answers to counts (order, slot, answer)."""
     for order, slot in enumerate(made.slots):
         both = np.bincount(slot * 2 + made.bits, minlength=2 * SLOTS)
-        counts[order] += both.reshape(SLOTS, 2).astype(np.uint32)
+        counts[order] += both.reshape(SLOTS, 2).astype(counts.dtype)
 
 
 def log_odds(counts: np.ndarray) -> np.ndarray:
@@ -205,9 +248,9 @@ def log_odds(counts: np.ndarray) -> np.ndarray:
     return odds
 
 
-def score(made: Decisions, odds: np.ndarray) -> np.ndarray:
+def score(made: Decisions | TextDecisions, odds: np.ndarray) -> np.ndarray:
     """log10 probability of each text."""
-    orders = len(made.slots)
+    orders = len(ORDERS)
     text_first = made.begins[made.text_begins]
     length = np.diff(text_first)
     rank = np.argsort(-length, kind="stable")
@@ -226,11 +269,16 @@ def score(made: Decisions, odds: np.ndarray) -> np.ndarray:
         n = int(np.searchsorted(-length, -begin, side="left"))
         steps = min(WINDOW, int(length[0]) - begin)
         # step by lane; what lies beyond a text is never used
-        at = np.minimum(first[:n] + np.arange(begin, begin + steps)[:, None], len(made.bits) - 1)
-        bits = made.bits[at].astype(np.float32)
+        many = np.minimum(length[:n] - begin, steps)
+        inside = np.arange(steps) < many[:, None]
+        answers, slots = made.stretches(first[:n] + begin, many)
+        held = np.zeros((n, steps), np.float32)
+        held[inside] = answers
+        bits = held.T.copy()
         inputs = np.empty((steps, 2 * orders, n), np.float32)
-        for o in range(orders):
-            inputs[:, o] = odds[o][made.slots[o][at]]
+        for o, slot in enumerate(slots):
+            held[inside] = odds[o][slot]
+            inputs[:, o] = held.T
         gate = (inputs[:, orders - 1] != 0)[:, None]
         np.multiply(inputs[:, :orders], ~gate, out=inputs[:, orders:])
         inputs[:, :orders] *= gate
@@ -301,7 +349,10 @@ def _pack(counts: np.ndarray, part: int) -> pa.RecordBatch:
         these = flat[chunk * CHUNK : (chunk + 1) * CHUNK]
         seen = np.flatnonzero(these.any(axis=1))
         if len(seen):
-            rows.append((chunk, part, seen.astype("<u2").tobytes(), np.ascontiguousarray(these[seen].T).astype("<u4").tobytes()))
+            # four bytes a count as long as they suffice
+            width = "<u4" if these.max() < 1 << 32 else "<u8"
+            values = np.ascontiguousarray(these[seen].T).astype(width).tobytes()
+            rows.append((chunk, part, seen.astype("<u2").tobytes(), values))
     columns = list(zip(*rows)) if rows else [()] * 4
     kinds = [pa.int32(), pa.int32(), pa.binary(), pa.binary()]
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["chunk", "part", "seen", "counts"])
@@ -309,7 +360,8 @@ def _pack(counts: np.ndarray, part: int) -> pa.RecordBatch:
 
 def _unpack(counts: np.ndarray, seen: bytes, packed: bytes) -> None:
     at = np.frombuffer(seen, "<u2").astype(np.int64)
-    counts[at] += np.frombuffer(packed, "<u4").reshape(2, -1).T
+    width = "<u4" if len(packed) == 8 * len(at) else "<u8"
+    counts[at] += np.frombuffer(packed, width).reshape(2, -1).T
 
 
 _PACKED = "chunk int, part int, seen binary, counts binary"
@@ -324,7 +376,7 @@ def _count_all(training: DataFrame, code: Code) -> np.ndarray:
     sent = training.sparkSession.sparkContext.broadcast(code)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros((len(ORDERS), SLOTS, 2), np.uint32)
+        counts = np.zeros((len(ORDERS), SLOTS, 2), np.uint64)
         part = 0
         for batch in batches:
             part = batch.column(1)[0].as_py() if batch.num_rows else part
@@ -337,7 +389,7 @@ def _count_all(training: DataFrame, code: Code) -> np.ndarray:
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: tuple[int, int] | None = None
-        counts = np.zeros((CHUNK, 2), np.uint32)
+        counts = np.zeros((CHUNK, 2), np.uint64)
 
         def packed(key: tuple[int, int]) -> pa.RecordBatch:
             made = _pack(counts, key[1])
@@ -360,7 +412,7 @@ def _count_all(training: DataFrame, code: Code) -> np.ndarray:
         tables = tables.withColumn("part", F.expr(f"cast(part DIV {FAN_IN} AS int)"))
         tables = tables.repartition("chunk", "part").sortWithinPartitions("chunk", "part")
         tables = stored(tables.mapInArrow(add, _PACKED), "counts")
-    counts = np.zeros((len(ORDERS) * SLOTS, 2), np.uint32)
+    counts = np.zeros((len(ORDERS) * SLOTS, 2), np.uint64)
     for r in tables.collect():
         _unpack(counts[r["chunk"] * CHUNK : (r["chunk"] + 1) * CHUNK], r["seen"], r["counts"])
     return counts.reshape(len(ORDERS), SLOTS, 2)
@@ -399,6 +451,42 @@ def common_tokens(counts: DataFrame) -> list[tuple[bytes, int]]:
     return sorted((r["token"].encode(), r["c"]) for r in counts.filter(step >= least).select("token", "c").collect())
 
 
+# A task scores about so many bytes, and there are about so many tasks at most.
+TASK_BYTES = 2 * SCORE_BLOCK
+TASKS = 20_000
+
+
+def by_length(rows: DataFrame) -> DataFrame:
+    """The rows dealt out so that a task has about TASK_BYTES of texts of like length, longest first.
+
+    Texts advance together, so one long text among short ones would take its steps alone. A
+    histogram of lengths (sixteenths of a doubling) is cut into parts of like bytes; a class
+    of more bytes is spread row by row, so copies of one text do not meet in one task.
+    """
+    size = F.octet_length("text").cast("long") + 1
+    kind = F.floor(F.log2(size.cast("double")) * 16).cast("int")
+    counted = rows.groupBy(kind.alias("kind")).agg(F.sum(size).alias("bytes")).collect()
+    held = {r["kind"]: r["bytes"] for r in counted}
+    if not held:
+        return rows
+    most = max(TASK_BYTES, sum(held.values()) // TASKS)
+    first, parts, total, filled = {}, {}, 0, 0
+    for k in sorted(held, reverse=True):
+        if filled and filled + held[k] > most:
+            total, filled = total + 1, 0
+        first[k], parts[k] = total, -(-held[k] // most)
+        if parts[k] > 1:
+            total += parts[k]
+        else:
+            filled += held[k]
+    total += bool(filled)
+    lookup = lambda known: F.create_map(*[F.lit(x) for pair in known.items() for x in pair])[kind]
+    nth = F.pmod(F.xxhash64(F.monotonically_increasing_id()), lookup(parts).cast("long"))
+    placed = rows.withColumn("_part", (lookup(first) + nth).cast("int"))
+    dealt = placed.repartitionById(total, "_part").sortWithinPartitions(F.octet_length("text").desc())
+    return dealt.drop("_part")
+
+
 def score_texts(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte.
 
@@ -438,7 +526,7 @@ def score_texts(docs: DataFrame) -> DataFrame:
             # blocks of like size, as a narrow one takes as many steps
             held = sum(len(e) + 1 for e in encoded)
             for begin, end in blocks(encoded, -(-held // max(1, -(-held // SCORE_BLOCK)))):
-                scores.append(score(decisions(encoded[begin:end], code), odds))
+                scores.append(score(TextDecisions(encoded[begin:end], code), odds))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0), batch.column(2),
@@ -455,9 +543,7 @@ def score_texts(docs: DataFrame) -> DataFrame:
         "doc_id bigint, held_out boolean, n_bytes bigint, n_tokens bigint, n_common bigint, "
         "common_score double, score double, rare array<string>"
     )
-    # the longest first: what is left over at the end of a task is short
-    by_length = rows.select("doc_id", "text", "held_out").sortWithinPartitions(F.octet_length("text").desc())
-    scored = by_length.mapInArrow(run, schema)
+    scored = by_length(rows.select("doc_id", "text", "held_out")).mapInArrow(run, schema)
     scored = stored(scored.withColumn("row", F.monotonically_increasing_id()), "scores")
     # the tokens that are not among the commonest: each text's are counted, then joined by token
     rest = scored.select("row", F.explode("rare").alias("token")).join(counts, "token")

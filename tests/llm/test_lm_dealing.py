@@ -1,0 +1,107 @@
+"""How the language model deals texts to tasks, and what it holds of them at a time."""
+
+import random
+import tracemalloc
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from roadpulse.llm import mixing_model
+
+
+def _code():
+    return mixing_model.Code.of_tokens([(b"abc", 9), (b"", 3)], 9)
+
+
+def _plain_words(texts):
+    """Hash of the word so far at every symbol, one symbol at a time in 64-bit integers."""
+    made, most = [], 1 << 64
+    for text in texts:
+        value, power = 0, 1
+        for byte in [*text, None]:
+            h = value ^ (value >> 29)
+            made.append(((h * 0xBF58476D1CE4E5B9) % most) >> 32)
+            if byte is None:
+                break
+            low = byte + 32 if 65 <= byte <= 90 else byte
+            if byte in b"\t\n\x0b\x0c\r ":
+                value, power = 0, 1
+            else:
+                value, power = (value + (low + 1) * power) % most, power * mixing_model._BASE % most
+    return made
+
+
+def test_words_are_hashed_across_pieces(monkeypatch):
+    rng = random.Random(2)
+    texts = [bytes(rng.choices(b"abXY \n", k=k)) for k in (0, 1, 50, 7)] + [b"x" * 100, b"", b" y" * 20]
+    want = _plain_words(texts)
+    for piece in (3, 16, mixing_model.PIECE):
+        monkeypatch.setattr(mixing_model, "PIECE", piece)
+        made = mixing_model.TextDecisions(texts, _code())
+        assert made.contexts[mixing_model.ORDERS.index(0)].tolist() == want
+
+
+def test_stretches_are_parts_of_the_whole():
+    rng = random.Random(3)
+    texts = [bytes(rng.choices(b"ab cd\xc3", k=rng.choice([0, 1, 30, 400]))) for _ in range(12)]
+    made = mixing_model.TextDecisions(texts, _code())
+    whole = made.whole()
+    first = made.begins[made.text_begins]
+    for _ in range(50):
+        chosen = sorted(rng.sample(range(12), rng.randint(1, 12)))
+        begin = np.array([rng.randrange(first[t], first[t + 1]) for t in chosen])
+        many = np.array([rng.randint(1, int(first[t + 1] - b)) for t, b in zip(chosen, begin)])
+        at = np.concatenate([np.arange(b, b + m) for b, m in zip(begin, many)])
+        bits, slots = made.stretches(begin, many)
+        assert (bits == whole.bits[at]).all()
+        for got, want in zip(slots, whole.slots):
+            assert (got == want[at]).all()
+
+
+def test_a_text_of_five_megabytes_is_held_in_little_memory():
+    text = b"some words of a very long text, and so on. " * 120_000
+    code = _code()
+    tracemalloc.start()
+    made = mixing_model.TextDecisions([text], code)
+    odds = np.zeros((len(mixing_model.ORDERS), mixing_model.SLOTS), np.float32)
+    for begin in range(0, 4096, 512):
+        bits, slots = made.stretches(np.array([begin]), np.array([512]))
+        assert len(bits) == 512 and all(len(odds[o][s]) == 512 for o, s in enumerate(slots))
+    held, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert held < 25 * len(text) and peak < 60 * len(text)
+
+
+def test_counts_do_not_wrap():
+    counts = np.zeros((1, mixing_model.CHUNK, 2), np.uint64)
+    counts[0, 5] = (1 << 40, 3)
+    counts[0, 9] = (0, 7)
+    for top in (1 << 40, 11):
+        counts[0, 5, 0] = top
+        (row,) = mixing_model._pack(counts, 0).to_pylist()
+        back = np.zeros((mixing_model.CHUNK, 2), np.uint64)
+        for _ in range(2):
+            mixing_model._unpack(back, row["seen"], row["counts"])
+        assert back[5].tolist() == [2 * top, 6] and back[9].tolist() == [0, 14]
+
+
+def test_tasks_get_texts_of_like_length(spark, monkeypatch):
+    monkeypatch.setattr(mixing_model, "TASK_BYTES", 20_000)
+    n = F.col("id")
+    rows = spark.range(4000).select(
+        n.alias("doc_id"),
+        F.when(n % 3 == 0, F.lit("a copy of one text")).otherwise(F.expr("repeat('word ', cast(id % 61 AS int))")).alias("text"),
+        (n % 5 == 1).alias("held_out"),
+    )
+    dealt = mixing_model.by_length(rows).withColumn("part", F.spark_partition_id())
+    got = dealt.groupBy("part").agg(
+        F.count("*").alias("n"), F.sum(F.octet_length("text") + 1).alias("bytes"),
+        F.min(F.octet_length("text")).alias("low"), F.max(F.octet_length("text")).alias("high"),
+    ).orderBy("part").collect()
+    assert sum(r["n"] for r in got) == 4000 and dealt.select("doc_id").distinct().count() == 4000
+    assert all(r["bytes"] < 30_000 for r in got) and len(got) > 10
+    for a, b in zip(got, got[1:]):
+        assert b["high"] + 1 <= (a["low"] + 1) * 2 ** (1 / 16) + 1
+    copies = dealt.where("doc_id % 3 = 0").groupBy("part").count().collect()
+    assert len(copies) > 1 and max(r["count"] for r in copies) < 4000 / 3
+    assert mixing_model.by_length(rows.limit(0)).count() == 0
