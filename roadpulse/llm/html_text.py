@@ -5,11 +5,13 @@ length, the punctuation and the share of link text are added up over its blocks.
 block and punctuation per block are fused into one ratio, which is smoothed along the page and
 compared with a multiple of its spread. Paths above the threshold are content. The page's
 <article> is the article if it holds most of their text, else the innermost element that holds
-all of it. Its remaining blocks (headings, short paragraphs, list items) stay; without an <article>,
-those before the first and after the last block of content stay unless they are mostly links.
+all of it. Its remaining blocks (headings, short paragraphs, list items) stay, but for paths below the
+threshold with several blocks that together are mostly links; without an <article>, those before
+the first and after the last block of content stay unless they are mostly links.
 
 Paths that the page itself marks as navigation, notices, adverts, forms, comments and the like
-have ratio zero. Words in class, id or role do not mark an element that wraps the page's <main>,
+have ratio zero. Marks are whole names in class, id or role, or names made of mark words and words
+of place; those of headings and paragraphs only whole words. They do not mark an element that wraps the page's <main>,
 or its only <article>, or nearly all text that is not marked otherwise.
 """
 
@@ -53,13 +55,21 @@ MARKS = frozenset(
     "recommendations widget widgets toolbar pagination pager copyright legal disclaimer masthead "
     "complementary contentinfo search hidden skip topbar rail teaser".split()
 )
+# Words beside a mark word in a name made of several ("site-footer", "comment-list"); a name with
+# any other word ("overflow-hidden", "no-sidebar", "legal-status") marks nothing.
+PLACES = frozenset(
+    "site page main global primary secondary top bottom left right upper lower inner outer fixed sticky "
+    "box bar block list area section wrapper wrap container content panel unit slot strip row column item "
+    "items group links link buttons button form field input post posts article articles thread js the".split()
+)
 # These mark page furniture only outside the article: an article may have a header of its own.
 TOP_MARKS = frozenset(["header"])
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 LEAF = frozenset("p h1 h2 h3 h4 h5 h6 li td th dt dd pre blockquote figcaption caption summary".split())
 
 _TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>""")
 _LOOSE = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>")
-_ATTR = re.compile(r"""(class|id|role|hidden|style|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?(?=[\s/]|$)""", re.I)
+_ATTR = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>][^\s>]*))?""")
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _PUNCT = re.compile(r"[,.;:!?…、。，！？؟،]")
 
@@ -191,24 +201,46 @@ class _Page:
         self._close_to(depth)
 
 
+def _is_mark(name: str, marks: frozenset[str]) -> bool:
+    """Whether a name of a class, id or role is a mark word, or made of mark words and places only."""
+    if name.lower() in marks:
+        return True
+    words = {w.lower() for w in _WORDS.findall(name) if len(w) > 1}
+    return bool(words & marks) and words <= marks | PLACES
+
+
 def _label(tag: str, attrs: str, in_article: bool) -> tuple[str, bool, bool]:
-    """Step of the path for a start tag, and whether its tag or state, or a word marks it as outside."""
+    """Step of the path for a start tag, and whether its tag or state, or a name marks it as outside.
+
+    Ids of headings are anchors and say nothing; a paragraph or heading is marked by a whole mark
+    word only. Of repeated attributes the first counts.
+    """
     soft = False
     marked = tag in OUTSIDE or (tag == "header" and not in_article)
     label = tag
-    if attrs:
-        for m in _ATTR.finditer(attrs):
-            name, value = m[1].lower(), (m[2] or "").strip("\"'")
-            if name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
-                marked = True
-            elif name == "style":
-                marked |= bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I))
-            else:
-                words = {w.lower() for w in _WORDS.findall(value)}
-                if tag not in ("html", "body") and name != "style":
-                    soft |= bool(words & MARKS) or (not in_article and bool(words & TOP_MARKS))
-                if name == "class":
-                    label = f"{tag}.{value}"
+    if not attrs:
+        return label, marked, soft
+    marks = MARKS if in_article else MARKS | TOP_MARKS
+    seen = set()
+    for m in _ATTR.finditer(attrs):
+        name, value = m[1].lower(), (m[2] or "").strip("\"'")
+        if name in seen:
+            continue
+        seen.add(name)
+        if name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
+            marked = True
+        elif name == "style":
+            marked |= bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I))
+        elif name in ("class", "id", "role"):
+            if name == "class":
+                label = f"{tag}.{value}"
+            if tag in ("html", "body"):
+                continue
+            for token in value.split():
+                if tag == "p" or tag in HEADINGS:
+                    soft |= name != "id" and token.lower() in marks
+                else:
+                    soft |= _is_mark(token, marks)
     return label, marked, soft
 
 
@@ -313,6 +345,23 @@ def _smooth(values: list[float]) -> list[float]:
     ]
 
 
+def _path_totals(blocks: list[_Block]) -> dict[int, list[int]]:
+    """Of each path: code points, punctuation, code points in links, and blocks."""
+    totals: dict[int, list[int]] = {}
+    for b in blocks:
+        t = totals.setdefault(b.path, [0, 0, 0, 0])
+        t[0] += len(b.text)
+        t[1] += len(_PUNCT.findall(b.text))
+        t[2] += min(b.link, len(b.text))
+        t[3] += 1
+    return totals
+
+
+def _ratio(chars: int, puncts: int, link: int, n: int) -> float:
+    """Length a block, fused with punctuation a block and the share of text that is no link."""
+    return chars / n * (1 + puncts / n) * (1 - link / chars) ** 2
+
+
 def main_text(page: str | None, spread: float = 0.5, share: float = 0.6, links: float = 0.5) -> str:
     """The article of one page: blocks in page order, joined by one newline.
 
@@ -329,17 +378,8 @@ def main_text(page: str | None, spread: float = 0.5, share: float = 0.6, links:
     blocks = [b for b in tree.blocks if b.text and not b.outside]
     if not blocks:
         return ""
-    totals: dict[int, list[float]] = {}
-    for b in blocks:
-        t = totals.setdefault(b.path, [0, 0, 0, 0])
-        t[0] += len(b.text)
-        t[1] += len(_PUNCT.findall(b.text))
-        t[2] += min(b.link, len(b.text))
-        t[3] += 1
-    ratio = {
-        path: chars / n * (1 + puncts / n) * (1 - link / chars) ** 2
-        for path, (chars, puncts, link, n) in totals.items()
-    }
+    totals = _path_totals(blocks)
+    ratio = {path: _ratio(*total) for path, total in totals.items()}
     smooth = _smooth([ratio[b.path] for b in blocks])
     mean = sum(smooth) / len(smooth)
     sigma = math.sqrt(sum((x - mean) ** 2 for x in smooth) / len(smooth))
@@ -372,7 +412,13 @@ def main_text(page: str | None, spread: float = 0.5, share: float = 0.6, links:
         inside[i] = inside[elements[i].parent]
     own = [b for b in blocks if inside[b.owner]]
     if elements[root].tag == "article":
-        kept = [b.text for b in own]
+        # lists of links: paths below the threshold whose text, taken together, is mostly links
+        listed = {
+            path
+            for path, (chars, _, link, n) in totals.items()
+            if n > 1 and path not in content and link > links * chars
+        }
+        kept = [b.text for b in own if b.path not in listed or b.tag in HEADINGS]
     else:
         at = [i for i, b in enumerate(own) if b.path in content] or [len(own)]
         kept = [
@@ -390,7 +436,8 @@ def extract(pages: DataFrame, html_column: str = "html") -> DataFrame:
     """``pages`` with columns page_id, url, text, n_chars; one row per input row.
 
     Null and empty pages, and pages without an article, have the empty text. Repeated rows and
-    null ids come out as they are; further columns are left out. Nothing is shuffled.
+    null ids come out as they are; further columns are left out; an empty table gives an empty
+    one. A page is read once from its beginning to its end, however long. Nothing is shuffled.
     """
     rows = pages.select(
         F.struct(pages["page_id"], pages["url"]).alias("page"),
