@@ -79,7 +79,8 @@ def _join(kind: str, parts: Iterable[Query]) -> Query:
 
 
 def _of_string(s: str) -> Query:
-    return _join("and", (s[i : i + 3] for i in range(len(s) - 2)))
+    # postings are of three bytes, so a trigram with a letter beyond ASCII demands nothing
+    return _join("and", (t for t in (s[i : i + 3] for i in range(len(s) - 2)) if t.isascii()))
 
 
 def _of_strings(strings: set[str]) -> Query:
@@ -233,17 +234,20 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "[SECRE
     """``docs`` with every span replaced by ``mark`` and n_chars counted anew.
 
     Overlapping and touching spans become one mark. Rows without secrets stay exactly as they
-    are, null texts included; all columns stay.
+    are, null texts and their n_chars included; all columns stay. Repeated rows stay repeated.
     """
     at = docs.columns.index("text")
+    size = docs.columns.index("n_chars") if "n_chars" in docs.columns else -1
 
     def clean(batches):
         import pyarrow as pa
+        import pyarrow.compute as pc
 
         for batch in batches:
             block = batch.column(at).to_pylist()
             said = []
-            for text, spans in zip(block, scan_block([t or "" for t in block], rules)):
+            found = scan_block([t or "" for t in block], rules)
+            for text, spans in zip(block, found):
                 if not spans:
                     said.append(text)
                     continue
@@ -253,15 +257,14 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "[SECRE
                         parts += [text[last:start], mark]
                     last = max(last, stop)
                 said.append("".join([*parts, text[last:]]))
-            columns = [pa.array(said, batch.schema.field(at).type) if i == at else c for i, c in enumerate(batch.columns)]
+            columns = list(batch.columns)
+            columns[at] = pa.array(said, batch.schema.field(at).type)
+            if size >= 0:
+                counted = pa.array([len(t or "") for t in said], pa.int64()).cast(batch.schema.field(size).type)
+                columns[size] = pc.if_else(pa.array(map(bool, found), pa.bool_()), counted, columns[size])
             yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
-    cleaned = docs.mapInArrow(clean, docs.schema)
-    if "n_chars" not in docs.columns:
-        return cleaned
-    kind = docs.schema["n_chars"].dataType
-    changed = F.col("text").contains(mark)
-    return cleaned.withColumn("n_chars", F.when(changed, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
+    return docs.mapInArrow(clean, docs.schema)
 
 
 def _joined(spans: str) -> str:
