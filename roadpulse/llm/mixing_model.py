@@ -4,13 +4,14 @@ A text is a sequence of bytes and an end, each written as binary decisions by a
 every decision several predictors, one for each kind of context, look up how often either
 answer followed in the training texts, in tables of counts that contexts are hashed into. Their
 log odds are combined by weights that a gate picks, by whether the longest context was ever
-seen; the weights adapt after every decision. The result is refined by a table of its own,
+seen; the weights adapt after every symbol. The result is refined by a table of its own,
 which adapts as well. The sum over all decisions is the log probability of the text.
 
-Texts advance together, one decision a step, each with weights and a refining table of its own
-from its first decision to its last, so a text has the same score wherever and with whatever it is
-scored. Tasks get texts of like length, so that those that advance together end together, and
-slots are looked up a window of steps at a time: memory goes with the bytes of a block of texts,
+Texts advance together, one symbol a step, each with weights and a refining table of its own
+from its first symbol to its last, so a text has the same score wherever and with whatever it is
+scored. All decisions of a symbol are made with what was learnt before it. Tasks get texts of like
+length, so that those that advance together end together, and slots are looked up a window of
+symbols at a time: memory goes with the bytes of a block of texts,
 or of one longer text, by some twenty bytes a byte.
 """
 
@@ -35,11 +36,12 @@ SLOTS = 1 << SLOT_BITS
 # Counts travel in rows of so many slots, and so many tables are added up by one task.
 CHUNK = 1 << 15
 FAN_IN = 64
-# Bytes that are counted and that are scored at a time; symbols and steps that are looked up at a time.
+# Bytes that are counted and that are scored at a time; symbols that are looked up at a time, in
+# counting and in scoring.
 BLOCK = 3 << 19
 SCORE_BLOCK = 1 << 22
 PIECE = 1 << 14
-WINDOW = 512
+WINDOW = 1 << 16
 START_WEIGHT = np.float32(0.4)
 RATE = np.float32(0.015)
 REFINE_BUCKETS = 24
@@ -166,11 +168,6 @@ class Decisions:
     begins: np.ndarray  # first decision of each symbol, one more at the end
     text_begins: np.ndarray  # first symbol of each text, one more at the end
 
-    def stretches(self, first: np.ndarray, many: np.ndarray) -> Stretches:
-        """Answers, and the slots of each predictor, of stretches of decisions one after the other."""
-        at = _ranges(first, many)
-        return self.bits[at], (slot[at] for slot in self.slots)
-
 
 class TextDecisions:
     """The decisions of some texts, whose slots are made for a stretch of them at a time."""
@@ -188,22 +185,16 @@ class TextDecisions:
         np.cumsum(code.sizes[self.symbols], out=self.begins[1:])
         self.contexts = _contexts(symbols, text_begins)
 
-    def stretches(self, first: np.ndarray, many: np.ndarray) -> Stretches:
-        begin = np.searchsorted(self.begins, first, side="right") - 1
-        end = np.searchsorted(self.begins, first + many, side="left")
-        # the symbols of the stretches, each as often as decisions of it are wanted
-        symbol = _ranges(begin, end - begin)
-        wanted = self.code.sizes[self.symbols[symbol]]
-        edges = np.cumsum(end - begin)
-        wanted[edges - (end - begin)] -= first - self.begins[begin]
-        wanted[edges - 1] -= self.begins[end] - (first + many)
-        entry = np.repeat(self.code.starts[self.symbols[symbol]] - self.begins[symbol], wanted)
-        entry += _ranges(first, many)
+    def of_symbols(self, at: np.ndarray, wanted: np.ndarray) -> Stretches:
+        """Answers, and the slots of each predictor, of all decisions (``wanted`` many) of some symbols."""
+        ends = np.cumsum(wanted)
+        entry = np.repeat(self.code.starts[self.symbols[at]] - (ends - wanted), wanted)
+        entry += np.arange(len(entry))
         salt = self.code.salts[entry]
 
         def slots() -> Iterator[np.ndarray]:
             for context in self.contexts:
-                h = np.repeat(context[symbol], wanted)
+                h = np.repeat(context[at], wanted)
                 h ^= salt
                 h *= np.uint32(0xC2B2AE35)
                 h >>= np.uint32(32 - SLOT_BITS)
@@ -216,8 +207,9 @@ class TextDecisions:
         n = self.begins[-1]
         bits, slots = np.empty(n, np.uint8), [np.empty(n, np.int32) for _ in ORDERS]
         for low in range(0, len(self.symbols), PIECE):  # pieces that fit into the cache
-            first, last = self.begins[low], self.begins[min(low + PIECE, len(self.symbols))]
-            bits[first:last], made = self.stretches(np.array([first]), np.array([last - first]))
+            high = min(low + PIECE, len(self.symbols))
+            first, last = self.begins[low], self.begins[high]
+            bits[first:last], made = self.of_symbols(np.arange(low, high), np.diff(self.begins[low : high + 1]))
             for slot, piece in zip(slots, made):
                 slot[first:last] = piece
         return Decisions(slots, bits, self.begins, self.text_begins)
@@ -248,47 +240,49 @@ def log_odds(counts: np.ndarray) -> np.ndarray:
     return odds
 
 
-def score(made: Decisions | TextDecisions, odds: np.ndarray) -> np.ndarray:
+def score(made: TextDecisions, odds: np.ndarray) -> np.ndarray:
     """log10 probability of each text."""
     orders = len(ORDERS)
-    text_first = made.begins[made.text_begins]
-    length = np.diff(text_first)
+    length = np.diff(made.text_begins)
     rank = np.argsort(-length, kind="stable")
-    first, length = text_first[:-1][rank], length[rank]
+    first, length = made.text_begins[:-1][rank], length[rank]
     lanes = len(first)
-    # weights where the gate is open, then those where it is shut; the inputs of the others are zero
-    weights = np.full((2 * orders, lanes), START_WEIGHT)
+    # weights of each text where the gate is shut, then those where it is open
+    weights = np.full((orders, 2 * lanes), START_WEIGHT)
     middle = (np.arange(REFINE_BUCKETS, dtype=np.float32) - REFINE_BUCKETS / 2 + 0.5) / 2
     refined = np.tile(1 / (1 + np.exp(-middle)), lanes)
-    row = np.arange(lanes, dtype=np.int32) * REFINE_BUCKETS
     half, top = np.float32(REFINE_BUCKETS / 2), np.float32(REFINE_BUCKETS - 1)
     low, high, one, none, two = (np.float32(v) for v in (-12, 12, 1, 0, 2))
     three, quarter = np.float32(3), np.float32(0.25)
     total = np.zeros(lanes)
-    for begin in range(0, int(length[0]) if lanes else 0, WINDOW):
+    begin, longest = 0, int(length[0]) if lanes else 0
+    while begin < longest:
+        # symbols of a window, step by step: those of all texts that are not at their end yet
         n = int(np.searchsorted(-length, -begin, side="left"))
-        steps = min(WINDOW, int(length[0]) - begin)
-        # step by lane; what lies beyond a text is never used
-        many = np.minimum(length[:n] - begin, steps)
-        inside = np.arange(steps) < many[:, None]
-        answers, slots = made.stretches(first[:n] + begin, many)
-        held = np.zeros((n, steps), np.float32)
-        held[inside] = answers
-        bits = held.T.copy()
-        inputs = np.empty((steps, 2 * orders, n), np.float32)
+        steps = min(max(WINDOW // n, 1), longest - begin)
+        active = np.searchsorted(-length, -np.arange(begin, begin + steps), side="left")
+        lane = _ranges(np.zeros(steps, np.int64), active)
+        at = first[lane] + np.repeat(np.arange(begin, begin + steps), active)
+        wanted = made.code.sizes[made.symbols[at]]
+        answers, slots = made.of_symbols(at, wanted)
+        bits = answers.astype(np.float32)
+        inputs = np.empty((orders, len(bits)), np.float32)
         for o, slot in enumerate(slots):
-            held[inside] = odds[o][slot]
-            inputs[:, o] = held.T
-        gate = (inputs[:, orders - 1] != 0)[:, None]
-        np.multiply(inputs[:, :orders], ~gate, out=inputs[:, orders:])
-        inputs[:, :orders] *= gate
-        said = np.ones((steps, n), np.float32)
-        active = np.searchsorted(-length, -np.arange(begin, begin + steps), side="left").tolist()
+            odds[o].take(slot, out=inputs[o], mode="clip")
+        starts = np.cumsum(wanted) - wanted
+        # a context's first decision is always the same, so its slot was seen if the context was
+        column = lane + lanes * (inputs[orders - 1][starts] != 0)
+        edges = np.concatenate([[0], np.cumsum(active)])
+        cuts = np.append(starts, len(bits))[edges].tolist()
+        edges = edges.tolist()
+        row = np.repeat(lane, wanted)
+        place, row = row, row * REFINE_BUCKETS
+        said = np.empty(len(bits), np.float32)
         for s in range(steps):
-            if active[s] != n:
-                n = active[s]
-            x, bit, w = inputs[s, :, :n], bits[s, :n], weights[:, :n]
-            dot = np.add.reduce(w * x, 0)
+            a, b, i, j = cuts[s], cuts[s + 1], edges[s], edges[s + 1]
+            x, bit, col = inputs[:, a:b], bits[a:b], column[i:j]
+            w = weights.take(col, axis=1)
+            dot = np.add.reduce(w.take(place[a:b], axis=1) * x, 0)
             np.maximum(dot, low, out=dot)
             np.minimum(dot, high, out=dot)
             p = np.negative(dot)
@@ -297,28 +291,29 @@ def score(made: Decisions | TextDecisions, odds: np.ndarray) -> np.ndarray:
             np.reciprocal(p, out=p)
             error = bit - p
             error *= RATE
-            w += x * error
+            w += np.add.reduceat(x * error, starts[i:j] - a, axis=1)
+            weights[:, col] = w
             dot *= two
             dot += half
             np.maximum(dot, none, out=dot)
             np.minimum(dot, top, out=dot)
-            bucket = dot.astype(np.int32)
-            bucket += row[:n]
+            bucket = dot.astype(np.int64)
+            bucket += row[a:b]
             known = refined.take(bucket)
             p *= three
             p += known
-            np.multiply(p, quarter, out=said[s, :n])
+            np.multiply(p, quarter, out=said[a:b])
             change = bit - known
             change *= REFINE_RATE
-            change += known
-            refined[bucket] = change
-        # the chance of what came: p for one, 1 - p for zero; one beyond a text's end
+            np.add.at(refined, bucket, change)
+        # the chance of what came: p for one, 1 - p for zero
         said -= 1
         said += bits
         np.abs(said, out=said)
         np.maximum(said, np.float32(1e-12), out=said)
-        said[np.arange(begin, begin + steps)[:, None] >= length[: said.shape[1]]] = 1
-        total[: said.shape[1]] += np.log(said).sum(axis=0, dtype=np.float64)
+        gained = np.add.reduceat(np.log(said), starts, dtype=np.float64)
+        total += np.bincount(lane, gained, lanes)
+        begin += steps
     scores = np.empty(lanes)
     scores[rank] = total / np.log(10)
     return scores

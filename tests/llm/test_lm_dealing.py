@@ -41,18 +41,16 @@ def test_words_are_hashed_across_pieces(monkeypatch):
         assert made.contexts[mixing_model.ORDERS.index(0)].tolist() == want
 
 
-def test_stretches_are_parts_of_the_whole():
+def test_decisions_of_symbols_are_parts_of_the_whole():
     rng = random.Random(3)
     texts = [bytes(rng.choices(b"ab cd\xc3", k=rng.choice([0, 1, 30, 400]))) for _ in range(12)]
     made = mixing_model.TextDecisions(texts, _code())
     whole = made.whole()
-    first = made.begins[made.text_begins]
     for _ in range(50):
-        chosen = sorted(rng.sample(range(12), rng.randint(1, 12)))
-        begin = np.array([rng.randrange(first[t], first[t + 1]) for t in chosen])
-        many = np.array([rng.randint(1, int(first[t + 1] - b)) for t, b in zip(chosen, begin)])
-        at = np.concatenate([np.arange(b, b + m) for b, m in zip(begin, many)])
-        bits, slots = made.stretches(begin, many)
+        chosen = np.array(rng.sample(range(len(made.symbols)), rng.randint(1, 60)))
+        many = made.code.sizes[made.symbols[chosen]]
+        at = np.concatenate([np.arange(b, b + m) for b, m in zip(made.begins[chosen], many)])
+        bits, slots = made.of_symbols(chosen, many)
         assert (bits == whole.bits[at]).all()
         for got, want in zip(slots, whole.slots):
             assert (got == want[at]).all()
@@ -65,8 +63,10 @@ def test_a_text_of_five_megabytes_is_held_in_little_memory():
     made = mixing_model.TextDecisions([text], code)
     odds = np.zeros((len(mixing_model.ORDERS), mixing_model.SLOTS), np.float32)
     for begin in range(0, 4096, 512):
-        bits, slots = made.stretches(np.array([begin]), np.array([512]))
-        assert len(bits) == 512 and all(len(odds[o][s]) == 512 for o, s in enumerate(slots))
+        at = np.arange(begin, begin + 512)
+        many = code.sizes[made.symbols[at]]
+        bits, slots = made.of_symbols(at, many)
+        assert len(bits) == many.sum() and all(len(odds[o][s]) == len(bits) for o, s in enumerate(slots))
     held, peak = tracemalloc.get_traced_memory()
     tracemalloc.stop()
     assert held < 25 * len(text) and peak < 60 * len(text)

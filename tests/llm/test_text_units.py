@@ -202,36 +202,44 @@ def test_a_text_scores_the_same_in_any_company():
     counts = np.zeros((len(mixing_model.ORDERS), mixing_model.SLOTS, 2), np.uint32)
     mixing_model.count(mixing_model.decisions(texts[:10], code), counts)
     odds = mixing_model.log_odds(counts)
-    together = mixing_model.score(mixing_model.decisions(texts, code), odds)
-    alone = [mixing_model.score(mixing_model.decisions([t], code), odds)[0] for t in texts]
+    together = mixing_model.score(mixing_model.TextDecisions(texts, code), odds)
+    alone = [mixing_model.score(mixing_model.TextDecisions([t], code), odds)[0] for t in texts]
     assert np.allclose(together, alone, rtol=1e-5) and (together < 0).all()
 
 
-def test_a_text_is_learnt_from_its_first_decision_to_its_last():
+def test_a_text_is_learnt_symbol_by_symbol_from_its_first_to_its_last():
     rng = random.Random(3)
     texts = [bytes(rng.choices(b"ab cd", k=k)) for k in (2500, 0, 7, 900)]
     code = mixing_model.Code.of_tokens([(b"abc", 9), (b"", 3)], 9)
     counts = np.zeros((len(mixing_model.ORDERS), mixing_model.SLOTS, 2), np.uint32)
     mixing_model.count(mixing_model.decisions([b"ab ab cd abcd" * 9], code), counts)
     odds = mixing_model.log_odds(counts)
-    got = mixing_model.score(mixing_model.decisions(texts, code), odds)
+    got = mixing_model.score(mixing_model.TextDecisions(texts, code), odds)
     buckets = mixing_model.REFINE_BUCKETS
     for text, score in zip(texts, got):
         made = mixing_model.decisions([text], code)
         weights = [[0.4] * len(made.slots) for _ in range(2)]
         refined = [1 / (1 + math.exp(-(i - buckets / 2 + 0.5) / 2)) for i in range(buckets)]
         want = 0.0
-        for d, bit in enumerate(made.bits.tolist()):
-            x = [float(odds[o][slot[d]]) for o, slot in enumerate(made.slots)]
-            w = weights[x[-1] != 0]
-            dot = max(-12.0, min(12.0, sum(a * b for a, b in zip(w, x))))
-            p = 1 / (1 + math.exp(-dot))
-            for o in range(len(x)):
-                w[o] += (bit - p) * float(mixing_model.RATE) * x[o]
-            bucket = int(max(0, min(buckets - 1, dot * 2 + buckets / 2)))
-            p = (3 * p + refined[bucket]) / 4
-            refined[bucket] += (bit - refined[bucket]) * float(mixing_model.REFINE_RATE)
-            want += math.log10(max(p if bit else 1 - p, 1e-12))
+        for begin, end in zip(made.begins, made.begins[1:]):
+            # the decisions of a symbol are made with what was learnt before it
+            w = weights[odds[-1][made.slots[-1][begin]] != 0]
+            steps, changes = [0.0] * len(w), []
+            for d in range(begin, end):
+                bit = int(made.bits[d])
+                x = [float(odds[o][slot[d]]) for o, slot in enumerate(made.slots)]
+                dot = max(-12.0, min(12.0, sum(a * b for a, b in zip(w, x))))
+                p = 1 / (1 + math.exp(-dot))
+                for o in range(len(x)):
+                    steps[o] += (bit - p) * float(mixing_model.RATE) * x[o]
+                bucket = int(max(0, min(buckets - 1, dot * 2 + buckets / 2)))
+                p = (3 * p + refined[bucket]) / 4
+                changes.append((bucket, (bit - refined[bucket]) * float(mixing_model.REFINE_RATE)))
+                want += math.log10(max(p if bit else 1 - p, 1e-12))
+            for o, step in enumerate(steps):
+                w[o] += step
+            for bucket, change in changes:
+                refined[bucket] += change
         assert score == pytest.approx(want, rel=1e-4)
 
 
@@ -242,8 +250,8 @@ def test_decisions_give_a_distribution():
     odds += np.random.default_rng(4).normal(0, 1, odds.shape).astype(np.float32)
     first = []
     for symbol in range(256):
-        made = mixing_model.decisions([bytes([symbol])], code)
-        cut = mixing_model.Decisions([s[: made.begins[1]] for s in made.slots], made.bits[: made.begins[1]], made.begins[:2], np.array([0, 1]))
-        first.append(10 ** mixing_model.score(cut, odds)[0])
-    end = 10 ** mixing_model.score(mixing_model.decisions([b""], code), odds)[0]
+        made = mixing_model.TextDecisions([bytes([symbol])], code)
+        made.text_begins = np.array([0, 1])
+        first.append(10 ** mixing_model.score(made, odds)[0])
+    end = 10 ** mixing_model.score(mixing_model.TextDecisions([b""], code), odds)[0]
     assert abs(sum(first) + end - 1) < 1e-3
