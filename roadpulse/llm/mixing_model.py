@@ -3,8 +3,8 @@
 A text is a sequence of bytes and an end, each written as binary decisions by a prefix code. For
 every decision several predictors, one for each kind of context, look up how often either
 answer followed in the training texts, in tables of counts that contexts are hashed into. Their
-log odds are combined by weights that a gate picks, by whether the longest context was ever
-seen; the weights adapt after every symbol. The result is refined by a table of its own,
+log odds are combined by weights that a gate picks, by whether the longest context (the word so
+far) was ever seen, which a table of its own says that grows with the distinct words; the weights adapt after every symbol. The result is refined by a table of its own,
 which adapts as well. The sum over all decisions is the log probability of the text.
 
 Texts advance together, one symbol a step, each with weights and a refining table of its own
@@ -46,6 +46,10 @@ START_WEIGHT = np.float32(0.4)
 RATE = np.float32(0.015)
 REFINE_BUCKETS = 24
 REFINE_RATE = np.float32(0.02)
+# Bits for each beginning of a word that the gate tells from unseen ones, and the least and most
+# bits in all, as powers of two (the most are 32 MB).
+SEEN_SPARE = 16
+SEEN_BITS = (16, 28)
 # Commonest tokens whose counts go to all tasks; the others are joined.
 COMMON_TOKENS = 100_000
 
@@ -240,7 +244,57 @@ def log_odds(counts: np.ndarray) -> np.ndarray:
     return odds
 
 
-def score(made: TextDecisions, odds: np.ndarray) -> np.ndarray:
+class Seen:
+    """The longest contexts, beginnings of words, of the training texts: one bit for each hash value."""
+
+    def __init__(self, power: int, places: np.ndarray, words: np.ndarray) -> None:
+        self.shift = np.uint32(32 - power)
+        self.words = np.zeros((1 << power) // 64, np.uint64)
+        self.words[places] = words
+
+    @classmethod
+    def of_tokens(cls, tokens: Iterable[bytes], power: int = 20) -> Seen:
+        made = np.unique(beginnings(list(tokens)) >> np.uint32(32 - power)).astype(np.uint64)
+        places, first = np.unique(made >> np.uint64(6), return_index=True)
+        bits = np.uint64(1) << (made & np.uint64(63))
+        return cls(power, places.astype(np.int64), np.bitwise_or.reduceat(bits, first) if len(bits) else bits)
+
+    def has(self, hashes: np.ndarray) -> np.ndarray:
+        place = hashes >> self.shift
+        return (self.words[place >> np.uint32(6)] >> (place & np.uint32(63)).astype(np.uint64)) & np.uint64(1) != 0
+
+
+def beginnings(tokens: list[bytes]) -> np.ndarray:
+    """The hash of every beginning of every token, the empty one and the whole token included."""
+    begins = np.concatenate([[0], np.cumsum([len(t) + 1 for t in tokens])]).astype(np.int64)
+    symbols = np.frombuffer(b"".join(t + b" " for t in tokens), np.uint8).astype(np.uint32)
+    return _words_so_far(symbols, begins)
+
+
+def seen_contexts(counts: DataFrame) -> Seen:
+    """The longest contexts of the training texts, from their distinct tokens.
+
+    There are SEEN_SPARE bits for every beginning of a token, so the table grows with the tokens;
+    the bits are set in Spark, 64 of them a row.
+    """
+    n = counts.agg(F.sum(F.octet_length("token").cast("long") + 1).alias("n")).first()["n"] or 0
+    power = min(max((SEEN_SPARE * n).bit_length(), SEEN_BITS[0]), SEEN_BITS[1])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            tokens = [t.encode() for t in batch.column(0).to_pylist()]
+            made = np.unique(beginnings(tokens) >> np.uint32(32 - power)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(made)], ["bit"])
+
+    bits = counts.select("token").mapInArrow(run, "bit bigint")
+    words = bits.groupBy(F.expr("bit DIV 64").alias("place")).agg(
+        F.expr("bit_or(shiftleft(CAST(1 AS BIGINT), CAST(bit % 64 AS INT)))").alias("word")
+    )
+    found = words.toArrow()
+    return Seen(power, found.column("place").to_numpy(), found.column("word").to_numpy().view(np.uint64))
+
+
+def score(made: TextDecisions, odds: np.ndarray, seen: Seen) -> np.ndarray:
     """log10 probability of each text."""
     orders = len(ORDERS)
     length = np.diff(made.text_begins)
@@ -270,8 +324,7 @@ def score(made: TextDecisions, odds: np.ndarray) -> np.ndarray:
         for o, slot in enumerate(slots):
             odds[o].take(slot, out=inputs[o], mode="clip")
         starts = np.cumsum(wanted) - wanted
-        # a context's first decision is always the same, so its slot was seen if the context was
-        column = lane + lanes * (inputs[orders - 1][starts] != 0)
+        column = lane + lanes * seen.has(made.contexts[-1][at])
         edges = np.concatenate([[0], np.cumsum(active)])
         cuts = np.append(starts, len(bits))[edges].tolist()
         edges = edges.tolist()
@@ -501,10 +554,10 @@ def score_texts(docs: DataFrame) -> DataFrame:
     common = common_tokens(counts)
     code = Code.of_tokens(common, total)
     odds = log_odds(_count_all(training, code))
-    known = spark.sparkContext.broadcast((dict(common), code, odds))
+    known = spark.sparkContext.broadcast((dict(common), code, odds, seen_contexts(counts)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent, code, odds = known.value
+        frequent, code, odds, seen = known.value
         logs = {t: float(np.log10(c + 0.5)) for t, c in frequent.items()}
         names = ["doc_id", "held_out", "n_bytes", "n_tokens", "n_common", "common_score", "score", "rare"]
         for batch in batches:
@@ -521,7 +574,7 @@ def score_texts(docs: DataFrame) -> DataFrame:
             # blocks of like size, as a narrow one takes as many steps
             held = sum(len(e) + 1 for e in encoded)
             for begin, end in blocks(encoded, -(-held // max(1, -(-held // SCORE_BLOCK)))):
-                scores.append(score(TextDecisions(encoded[begin:end], code), odds))
+                scores.append(score(TextDecisions(encoded[begin:end], code), odds, seen))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0), batch.column(2),

@@ -105,3 +105,17 @@ def test_tasks_get_texts_of_like_length(spark, monkeypatch):
     copies = dealt.where("doc_id % 3 = 0").groupBy("part").count().collect()
     assert len(copies) > 1 and max(r["count"] for r in copies) < 4000 / 3
     assert mixing_model.by_length(rows.limit(0)).count() == 0
+
+
+def test_seen_contexts_grow_with_the_words(spark):
+    rng = random.Random(5)
+    words = sorted({bytes(rng.choices(b"abcdefghij\xc3\xa9", k=rng.randint(1, 9))).decode(errors="ignore") for _ in range(3000)})
+    words = ["", *filter(None, words)]
+    counts = spark.createDataFrame([(w, 1) for w in words], "token string, c long").repartition(5)
+    got = mixing_model.seen_contexts(counts)
+    power = int(32 - got.shift)
+    assert (1 << power) >= mixing_model.SEEN_SPARE * sum(len(w.encode()) + 1 for w in words) / 2
+    assert (got.words == mixing_model.Seen.of_tokens([w.encode() for w in words], power).words).all()
+    assert got.has(mixing_model.beginnings([w.encode() for w in words])).all()
+    none = mixing_model.seen_contexts(counts.limit(0))
+    assert not none.has(mixing_model.beginnings([b"abc"])).any()

@@ -195,6 +195,21 @@ def test_calibration_never_falls():
     assert values == sorted(values) and 0 <= values[0] and values[-1] <= 1 and made.score(None) == 0.07
 
 
+WORDS = [b"ab", b"cd", b"abcdab"]
+SEEN = mixing_model.Seen.of_tokens(WORDS)
+
+
+def test_the_gate_is_shut_for_unseen_contexts():
+    """However full the slots are: it goes by the words."""
+    begins = {w[:k] for w in WORDS for k in range(len(w) + 1)}
+    rng = random.Random(4)
+    tried = sorted({bytes(rng.choices(b"abcd", k=rng.randint(0, 6))) for _ in range(2000)} | begins)
+    texts = [b"xx " + t for t in tried]
+    made = mixing_model.TextDecisions(texts, mixing_model.Code(np.ones(257)))
+    open_ = SEEN.has(made.contexts[-1][made.text_begins[1:] - 1])
+    assert {t for t, seen in zip(tried, open_) if seen} == begins
+
+
 def test_a_text_scores_the_same_in_any_company():
     rng = random.Random(9)
     texts = [bytes(rng.choices(b"abc \n\xc3", k=rng.choice([0, 1, 3, 40, 900]))) for _ in range(20)]
@@ -202,8 +217,8 @@ def test_a_text_scores_the_same_in_any_company():
     counts = np.zeros((len(mixing_model.ORDERS), mixing_model.SLOTS, 2), np.uint32)
     mixing_model.count(mixing_model.decisions(texts[:10], code), counts)
     odds = mixing_model.log_odds(counts)
-    together = mixing_model.score(mixing_model.TextDecisions(texts, code), odds)
-    alone = [mixing_model.score(mixing_model.TextDecisions([t], code), odds)[0] for t in texts]
+    together = mixing_model.score(mixing_model.TextDecisions(texts, code), odds, SEEN)
+    alone = [mixing_model.score(mixing_model.TextDecisions([t], code), odds, SEEN)[0] for t in texts]
     assert np.allclose(together, alone, rtol=1e-5) and (together < 0).all()
 
 
@@ -214,7 +229,7 @@ def test_a_text_is_learnt_symbol_by_symbol_from_its_first_to_its_last():
     counts = np.zeros((len(mixing_model.ORDERS), mixing_model.SLOTS, 2), np.uint32)
     mixing_model.count(mixing_model.decisions([b"ab ab cd abcd" * 9], code), counts)
     odds = mixing_model.log_odds(counts)
-    got = mixing_model.score(mixing_model.TextDecisions(texts, code), odds)
+    got = mixing_model.score(mixing_model.TextDecisions(texts, code), odds, SEEN)
     buckets = mixing_model.REFINE_BUCKETS
     for text, score in zip(texts, got):
         made = mixing_model.decisions([text], code)
@@ -223,7 +238,8 @@ def test_a_text_is_learnt_symbol_by_symbol_from_its_first_to_its_last():
         want = 0.0
         for begin, end in zip(made.begins, made.begins[1:]):
             # the decisions of a symbol are made with what was learnt before it
-            w = weights[odds[-1][made.slots[-1][begin]] != 0]
+            so_far = text[: made.begins.tolist().index(begin)].split(b" ")[-1]
+            w = weights[int(any(word.startswith(so_far) for word in WORDS))]
             steps, changes = [0.0] * len(w), []
             for d in range(begin, end):
                 bit = int(made.bits[d])
@@ -252,6 +268,6 @@ def test_decisions_give_a_distribution():
     for symbol in range(256):
         made = mixing_model.TextDecisions([bytes([symbol])], code)
         made.text_begins = np.array([0, 1])
-        first.append(10 ** mixing_model.score(made, odds)[0])
-    end = 10 ** mixing_model.score(mixing_model.TextDecisions([b""], code), odds)[0]
+        first.append(10 ** mixing_model.score(made, odds, SEEN)[0])
+    end = 10 ** mixing_model.score(mixing_model.TextDecisions([b""], code), odds, SEEN)[0]
     assert abs(sum(first) + end - 1) < 1e-3
