@@ -24,7 +24,7 @@ from roadpulse.sources.documents import flatten_route_documents, flatten_weather
 from roadpulse.sources.feeds import decode_alerts, decode_feed, encode_feed
 from roadpulse.streaming import jobs, store
 from roadpulse.streaming.documents import DocumentSink
-from roadpulse.streaming.outbox import AlertChannel
+from roadpulse.streaming.outbox import AlertChannel, Outbox
 from roadpulse.streaming.progress import BatchAudit, batches_folder, read_batches
 from roadpulse.streaming.replay import FailingChannel, envelopes
 from roadpulse.streaming.replay import replay as run_replay
@@ -606,8 +606,15 @@ def _stream_alerts_query(spark, sf_dir):
 @query("alert_delivery")
 def _alert_delivery_query(spark, sf_dir):
     """Every logged alert and how often its channel got it, when the channel's first two sends failed."""
-    _, log, home = _run_traffic(spark, sf_dir, channel=lambda h: FailingChannel(path=f"{h}/messages", failures=2))
-    got = decode_alerts(spark.read.schema("version bigint, key string, value string").json(f"{home}/messages"))
+
+    def failing(home):
+        return FailingChannel(path=f"{home}/messages", failures=2)
+
+    _, log, home = _run_traffic(spark, sf_dir, channel=failing)
+    channel = failing(home)
+    # alerts of the last batches may have met the failures only
+    Outbox(log, channel).catch_up(spark, channel.failures + 1)
+    got = decode_alerts(channel.received(spark))
     sent = got.groupBy("version", "corridor_id", "event_time").agg(F.count("*").alias("times_sent"))
     logged = store.read_log(spark, log).select("version", "corridor_id", "event_time", "message")
     both = logged.join(sent, ["version", "corridor_id", "event_time"], "full_outer")

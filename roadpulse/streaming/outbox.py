@@ -8,6 +8,7 @@ version has a folder that a repeated send replaces.
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +19,10 @@ from roadpulse.sources.feeds import write_feed
 from roadpulse.streaming import files
 from roadpulse.streaming.store import UpsertTable, read_ledger, rows_above
 
+logger = logging.getLogger("roadpulse.outbox")
+
 _SENT = "sent-"
+MESSAGES = "version bigint, key string, value string"
 
 
 @dataclass(frozen=True)
@@ -43,6 +47,12 @@ class AlertChannel:
             "version"
         ).format(self.format).options(**self.options).save(self.path)
 
+    def received(self, spark: SparkSession) -> DataFrame:
+        """What a channel of files has taken (version, key, value); none before the first send."""
+        if not files.exists(spark, self.path):
+            return spark.createDataFrame([], MESSAGES)
+        return spark.read.schema(MESSAGES).format(self.format).options(**self.options).load(self.path)
+
 
 @dataclass(frozen=True)
 class Outbox:
@@ -94,3 +104,13 @@ class Outbox:
             self.channel.send(messages, version // 2)
         if version > last:
             self._move(spark, version)
+
+    def catch_up(self, spark: SparkSession, tries: int) -> None:
+        """Send what is pending once no more batches come; the last of so many errors is raised."""
+        for left in reversed(range(tries)):
+            try:
+                return self.deliver(spark)
+            except Exception:
+                if not left:
+                    raise
+                logger.exception("alert channel failed, %s tries left", left)

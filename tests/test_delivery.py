@@ -5,9 +5,11 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+import oracle_check
 from helpers import rows
 from roadpulse import cli
 from roadpulse.operators.alerts import build_alerts, recent_alerts
+from roadpulse.plans import catalog, oracle
 from roadpulse.streaming import files, store
 from roadpulse.streaming.outbox import AlertChannel, Outbox
 from roadpulse.streaming.replay import FailingChannel
@@ -122,3 +124,29 @@ def test_newest_alerts_read_two_dates_of_thirty(spark, home, monkeypatch):
     store.write_version(build_alerts(_batch(spark, 77, "2025-03-02"), "2025-04-01"), log, 60, "2025-04-01")
     assert rows(recent_alerts(store.newest_log_rows(spark, log, 2), 2), "congestion_index") == [(78.0,), (78.0,)]
     assert store.newest_log_rows(spark, store.alert_table(f"{home}/none"), 3).count() == 0
+
+
+@pytest.mark.parametrize("jam_on, raised", [(None, 0), (28, 1), (20, 1)])
+def test_delivery_is_told_when_no_batch_gets_through(spark, home, jam_on, raised):
+    """Without alerts nothing is ever sent; those of the last batches meet the failures only."""
+    data = [(n, f"2024-01-{n + 1:02d} 10:01:00", n % 2, 122.0 if n + 1 == jam_on else 1.0) for n in range(30)]
+    events = spark.createDataFrame(data, "event_id long, ts string, user_id long, value double")
+    events = events.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    events.coalesce(1).write.parquet(f"{home}/events")
+    files.rename(spark, next(f"{home}/events/{n}" for n in files.children(spark, f"{home}/events", "part-")), f"{home}/events.parquet")
+    want = oracle.oracle_sql()["alert_delivery"]
+    got = catalog.queries()["alert_delivery"](spark, home)
+    assert oracle_check.compare(got, oracle_check.connect(home), want) == []
+    assert [r["times_sent"] for r in got.collect()] == [1] * raised
+
+
+def test_catching_up_tries_as_often_as_asked(spark, home):
+    log = store.alert_table(f"{home}/alerts")
+    alert_sink(log, None, "2025-03-05")(_batch(spark, 0), 0)
+    channel = FailingChannel(path=f"{home}/messages", failures=3)
+    box = Outbox(log, channel)
+    with pytest.raises(OSError):
+        box.catch_up(spark, 2)
+    assert channel.received(spark).isEmpty() and box.sent(spark) == -1
+    box.catch_up(spark, 2)
+    assert channel.received(spark).count() == 2 and box.sent(spark) == 0 and box.pending(spark).isEmpty()
