@@ -1,6 +1,7 @@
 """Language-model scoring by online logistic context mixing.
 
-A text is a sequence of bytes and an end, each written as binary decisions by a prefix code. For
+A text is a sequence of bytes and an end, each written as binary decisions by a prefix code that
+the two bytes before pick. For
 every decision several predictors, one for each kind of context, look up how often either
 answer followed in the training texts, in tables of counts that contexts are hashed into. Their
 log odds are combined by weights that a gate picks, by whether the longest context (the word so
@@ -12,14 +13,17 @@ from its first symbol to its last, so a text has the same score wherever and wit
 scored. All decisions of a symbol are made with what was learnt before it. Tasks get texts of like
 length, so that those that advance together end together, and slots are looked up a window of
 symbols at a time: memory goes with the bytes of a block of texts,
-or of one longer text, by some twenty bytes a byte.
+or of one longer text, by some thirty bytes a byte.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -39,9 +43,9 @@ FAN_IN = 64
 # Bytes that are counted and that are scored at a time; symbols that are looked up at a time, in
 # counting and in scoring.
 BLOCK = 3 << 19
-SCORE_BLOCK = 1 << 22
+SCORE_BLOCK = 3 << 21
 PIECE = 1 << 14
-WINDOW = 1 << 16
+WINDOW = 1 << 15
 START_WEIGHT = np.float32(0.4)
 RATE = np.float32(0.015)
 REFINE_BUCKETS = 24
@@ -50,54 +54,115 @@ REFINE_RATE = np.float32(0.02)
 # bits in all, as powers of two (the most are 32 MB).
 SEEN_SPARE = 16
 SEEN_BITS = (16, 28)
+# Prefix codes at most, for the commonest pairs of bytes before a symbol and one for the others.
+CODES = 512
 # Commonest tokens whose counts go to all tasks; the others are joined.
 COMMON_TOKENS = 100_000
 
 
+SYMBOLS = 257
+# Blanks are one class of bytes, and so are a letter of A-Z and its small one: the word so far
+# tells classes, so one context never meets two codes.
+_BLANK = np.isin(np.arange(SYMBOLS), [9, 10, 11, 12, 13, 32, END])
+_CLASS = np.where(_BLANK, 32, np.arange(SYMBOLS)).astype(np.uint16)
+_CLASS[65:91] += 32
+
+
+def _paths(weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Nodes and answers on the way to each symbol, and how many, in the tree with the fewest of them."""
+    heap = [(float(w), s, s) for s, w in enumerate(weights)]
+    heapq.heapify(heap)
+    children: dict[int, tuple[int, int]] = {}
+    name = len(weights)
+    while len(heap) > 1:
+        (a, _, left), (b, _, right) = heapq.heappop(heap), heapq.heappop(heap)
+        children[name] = (left, right)
+        heapq.heappush(heap, (a + b, name, name))
+        name += 1
+    paths: list[list[tuple[int, int]]] = [[] for _ in weights]
+    stack = [(heap[0][2], [])]
+    while stack:
+        node, path = stack.pop()
+        if node < len(weights):
+            paths[node] = path
+            continue
+        for bit, child in enumerate(children[node]):
+            stack.append((child, [*path, (node - len(weights), bit)]))
+    sizes = np.array([len(path) for path in paths])
+    nodes = np.array([n for path in paths for n, _ in path], np.uint32)
+    return nodes, np.array([b for path in paths for _, b in path], np.uint8), sizes
+
+
 class Code:
-    """Prefix code for 256 bytes and the end: the decisions of each symbol, and a salt for each node."""
-
-    def __init__(self, weights: np.ndarray) -> None:
-        heap = [(float(w), s, s) for s, w in enumerate(weights)]
-        heapq.heapify(heap)
-        children: dict[int, tuple[int, int]] = {}
-        name = len(weights)
-        while len(heap) > 1:
-            (a, _, left), (b, _, right) = heapq.heappop(heap), heapq.heappop(heap)
-            children[name] = (left, right)
-            heapq.heappush(heap, (a + b, name, name))
-            name += 1
-        paths: dict[int, list[tuple[int, int]]] = {}
-        stack = [(heap[0][2], [])]
-        while stack:
-            node, path = stack.pop()
-            if node < len(weights):
-                paths[node] = path
-                continue
-            for bit, child in enumerate(children[node]):
-                stack.append((child, [*path, (node - len(weights), bit)]))
-        self.sizes = np.array([len(paths[s]) for s in range(len(weights))])
+    """Prefix codes for 256 bytes and the end: the decisions of each symbol, and a salt for each node.
+
+    There may be several, picked by the classes of the two bytes before (``rows`` says which);
+    symbol s of code r goes by the number r * SYMBOLS + s.
+    """
+
+    def __init__(self, weights: np.ndarray, rows: np.ndarray | None = None) -> None:
+        nodes, self.bits, self.sizes = (np.concatenate(c) for c in zip(*map(_paths, np.atleast_2d(weights))))
+        self.rows = rows
         self.starts = np.concatenate([[0], np.cumsum(self.sizes)[:-1]])
-        nodes = np.array([n for s in range(len(weights)) for n, _ in paths[s]], np.uint32)
-        self.bits = np.array([b for s in range(len(weights)) for _, b in paths[s]], np.uint8)
         self.salts = (nodes + np.uint32(1)) * np.uint32(0x9E3779B1)
 
+    def numbers(self, symbols: np.ndarray) -> np.ndarray:
+        """The numbers of the symbols of texts, each of which ends by END."""
+        if self.rows is None:
+            return symbols.astype(np.uint32)
+        before = np.full(len(symbols) + 2, 32, np.uint16)
+        _CLASS.take(symbols, out=before[2:], mode="clip")
+        pair = before[:-2] << np.uint16(8)
+        pair |= before[1:-1]
+        made = self.rows.take(pair)
+        made *= np.uint32(SYMBOLS)
+        made += symbols
+        return made
+
     @classmethod
     def of_tokens(cls, counts: Iterable[tuple[bytes, int]], total: int) -> Code:
-        """Code for texts of such tokens; it decides the number of decisions, not the model."""
-        weights = np.ones(257)
-        for token, n in counts:
-            if token:
-                np.add.at(weights, np.frombuffer(token, np.uint8), n)
-            else:
-                weights[END] += n
-        weights[32] += total
-        weights[10] += total / 50
-        weights[65:91] += weights[97:123] / 20
-        return cls(weights)
-
-
-def _contexts(symbols: np.ndarray, text_begins: np.ndarray) -> list[np.ndarray]:
+        """Codes for texts of such tokens; they decide the number of decisions, not the model."""
+        counts = list(counts)
+        plain = _with_blanks(_spread(counts), total)
+        # each byte of each token, and the blank behind it, by the two before
+        joined = np.frombuffer(b"".join(b"  " + t + b" " for t, _ in counts if t), np.uint8)
+        times = np.repeat([n for t, n in counts if t], [len(t) + 3 for t, _ in counts if t])
+        blank = joined == 32
+        at = np.flatnonzero(~blank | np.append(False, ~blank[:-1]))
+        pairs = (_CLASS[joined[at - 2]].astype(np.int64) << 8) | _CLASS[joined[at - 1]]
+        pairs[pairs & 255 == 32] = 32 << 8 | 32
+        met = np.bincount(pairs, times[at], 1 << 16)
+        chosen = np.argsort(-met, kind="stable")[: CODES - 1]
+        chosen = chosen[met[chosen] > 0]
+        rows = np.zeros(1 << 16, np.uint32)
+        rows[chosen] = np.arange(1, len(chosen) + 1)
+        rows[np.arange(256) << 8 | 32] = rows[32 << 8 | 32]
+        weights = np.zeros((len(chosen) + 1, SYMBOLS))
+        np.add.at(weights, (rows[pairs], joined[at]), times[at])
+        weights[:, 10] += weights[:, 32] / 50
+        weights[:, 65:91] += weights[:, 97:123] / 20
+        # what a pair was never seen to be followed by goes by what is common at all
+        weights += plain / plain.sum() * (1 + weights.sum(axis=1, keepdims=True) / 1000)
+        weights[0] = plain
+        return cls(weights, rows)
+
+
+def _spread(counts: list[tuple[bytes, int]]) -> np.ndarray:
+    weights = np.ones(SYMBOLS)
+    symbols = np.frombuffer(b"".join(t for t, _ in counts), np.uint8)
+    weights[:256] += np.bincount(symbols, np.repeat([n for _, n in counts], [len(t) for t, _ in counts]), 256)
+    weights[END] += sum(n for t, n in counts if not t)
+    return weights
+
+
+def _with_blanks(weights: np.ndarray, total: int) -> np.ndarray:
+    weights[32] += total
+    weights[10] += total / 50
+    weights[65:91] += weights[97:123] / 20
+    return weights
+
+
+def _contexts(symbols: np.ndarray, text_begins: np.ndarray) -> Iterator[np.ndarray]:
     """Hash of each symbol's context in the same text, for each order (up to four bytes)."""
     last = np.zeros(len(symbols), np.uint32)
     for back in range(1, 5):
@@ -106,19 +171,20 @@ def _contexts(symbols: np.ndarray, text_begins: np.ndarray) -> list[np.ndarray]:
         at = text_begins[:-1] + j
         at = at[at < text_begins[1:]]
         last[at] &= np.uint32((1 << (8 * j)) - 1)
-    made = []
     for order in ORDERS:
         if order:
-            h = (last & np.uint32((1 << (8 * order)) - 1)) * np.uint32(0x85EBCA6B) + np.uint32(order * 7919)
-            made.append((h ^ (h >> np.uint32(15))) * np.uint32(0x9E3779B1))
+            h = last & np.uint32((1 << (8 * order)) - 1)
+            h *= np.uint32(0x85EBCA6B)
+            h += np.uint32(order * 7919)
+            h ^= h >> np.uint32(15)
+            h *= np.uint32(0x9E3779B1)
+            yield h
         else:
-            made.append(_words_so_far(symbols, text_begins))
-    return made
+            yield _words_so_far(symbols, text_begins)
 
 
 _LOWERED = np.arange(1, 258, dtype=np.uint64)
 _LOWERED[65:91] += np.uint64(32)
-_BLANK = np.isin(np.arange(257), [9, 10, 11, 12, 13, 32, END])
 _BASE = 0x9E3779B97F4A7C15
 
 
@@ -163,6 +229,26 @@ def _words_so_far(symbols: np.ndarray, text_begins: np.ndarray) -> np.ndarray:
 Stretches = tuple[np.ndarray, Iterable[np.ndarray]]
 
 
+def owners(wanted: np.ndarray) -> np.ndarray:
+    """The symbol of each decision, where symbols have ``wanted`` many."""
+    return np.repeat(np.arange(len(wanted)), wanted)
+
+
+def entries(code: Code, symbols: np.ndarray, wanted: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """Where the code has each decision of some symbols."""
+    entry = (code.starts.take(symbols) - (np.cumsum(wanted) - wanted)).take(owner)
+    entry += np.arange(len(entry))
+    return entry
+
+
+def _slots(contexts: np.ndarray, owner: np.ndarray, salt: np.ndarray) -> np.ndarray:
+    h = contexts.take(owner)
+    h ^= salt
+    h *= np.uint32(0xC2B2AE35)
+    h >>= np.uint32(32 - SLOT_BITS)
+    return h
+
+
 @dataclass
 class Decisions:
     """All decisions of some texts: slots of each predictor, answers, and where symbols begin."""
@@ -184,27 +270,32 @@ class TextDecisions:
         symbols[text_begins[1:] - 1] = END
         self.code = code
         self.text_begins = text_begins
-        self.symbols = symbols.astype(np.uint16)
-        self.begins = np.zeros(len(symbols) + 1, np.int64)
-        np.cumsum(code.sizes[self.symbols], out=self.begins[1:])
-        self.contexts = _contexts(symbols, text_begins)
+        # number and contexts of a symbol lie together, as they are looked up together
+        self.packed = np.empty((len(symbols), 1 + len(ORDERS)), np.uint32)
+        self.packed[:, 0] = code.numbers(symbols)
+        for order, context in enumerate(_contexts(symbols, text_begins)):
+            self.packed[:, 1 + order] = context
+        self.symbols, *self.contexts = self.packed.T
+
+    @cached_property
+    def begins(self) -> np.ndarray:
+        """The first decision of each symbol, one more at the end; scoring and counting do without."""
+        begins = np.zeros(len(self.symbols) + 1, np.int64)
+        np.cumsum(self.code.sizes[self.symbols], out=begins[1:])
+        return begins
 
     def of_symbols(self, at: np.ndarray, wanted: np.ndarray) -> Stretches:
         """Answers, and the slots of each predictor, of all decisions (``wanted`` many) of some symbols."""
-        ends = np.cumsum(wanted)
-        entry = np.repeat(self.code.starts[self.symbols[at]] - (ends - wanted), wanted)
-        entry += np.arange(len(entry))
-        salt = self.code.salts[entry]
-
-        def slots() -> Iterator[np.ndarray]:
-            for context in self.contexts:
-                h = np.repeat(context[at], wanted)
-                h ^= salt
-                h *= np.uint32(0xC2B2AE35)
-                h >>= np.uint32(32 - SLOT_BITS)
-                yield h
+        owner = owners(wanted)
+        numbers, *contexts = self.packed.take(at, axis=0).T
+        return self.of_contexts(numbers, contexts, wanted, owner)
 
-        return self.code.bits[entry], slots()
+    def of_contexts(
+        self, numbers: np.ndarray, contexts: Iterable[np.ndarray], wanted: np.ndarray, owner: np.ndarray
+    ) -> Stretches:
+        entry = entries(self.code, numbers, wanted, owner)
+        salt = self.code.salts.take(entry)
+        return self.code.bits.take(entry), (_slots(context, owner, salt) for context in contexts)
 
     def whole(self) -> Decisions:
         """All of them at once."""
@@ -236,6 +327,27 @@ def count(made: Decisions, counts: np.ndarray) -> None:
         counts[order] += both.reshape(SLOTS, 2).astype(counts.dtype)
 
 
+def count_symbols(made: TextDecisions, counts: np.ndarray) -> None:
+    """The same for all decisions of the texts: those of equal symbols in equal contexts at once."""
+    symbols = made.symbols.astype(np.uint64)
+    for order, context in enumerate(made.contexts):
+        pairs = context.astype(np.uint64)
+        pairs <<= np.uint64(32)
+        pairs |= symbols
+        pairs.sort()
+        first = np.flatnonzero(np.concatenate([[True], pairs[1:] != pairs[:-1]])) if len(pairs) else np.empty(0, np.int64)
+        times = np.diff(first, append=len(pairs)).astype(counts.dtype)
+        pairs = pairs[first]
+        symbol = pairs.astype(np.uint32).astype(np.int64)
+        wanted = made.code.sizes[symbol]
+        owner = owners(wanted)
+        entry = entries(made.code, symbol, wanted, owner)
+        place = _slots((pairs >> np.uint64(32)).astype(np.uint32), owner, made.code.salts.take(entry)).astype(np.int64)
+        place *= 2
+        place += made.code.bits.take(entry)
+        np.add.at(counts[order].reshape(-1), place, times.take(owner))
+
+
 def log_odds(counts: np.ndarray) -> np.ndarray:
     """Log odds of answer one for each slot; exactly 0 means that the slot was never seen."""
     seen = counts.sum(axis=-1) > 0
@@ -261,7 +373,10 @@ class Seen:
 
     def has(self, hashes: np.ndarray) -> np.ndarray:
         place = hashes >> self.shift
-        return (self.words[place >> np.uint32(6)] >> (place & np.uint32(63)).astype(np.uint64)) & np.uint64(1) != 0
+        words = self.words.take(place >> np.uint32(6))
+        words >>= place & np.uint32(63)
+        words &= np.uint64(1)
+        return words != 0
 
 
 def beginnings(tokens: list[bytes]) -> np.ndarray:
@@ -301,13 +416,16 @@ def score(made: TextDecisions, odds: np.ndarray, seen: Seen) -> np.ndarray:
     rank = np.argsort(-length, kind="stable")
     first, length = made.text_begins[:-1][rank], length[rank]
     lanes = len(first)
+    # Answers are 1 and -1, and so are chances: tanh(dot) is twice the chance of one less one, and
+    # dot half its log odds. With inputs and weights to this scale, an update needs no rate.
+    scale = math.sqrt(float(RATE)) / 2
     # weights of each text where the gate is shut, then those where it is open
-    weights = np.full((orders, 2 * lanes), START_WEIGHT)
+    weights = np.full((orders, 2 * lanes), np.float32(float(START_WEIGHT) / (2 * scale)))
+    flat, shift = weights.reshape(-1), 2 * lanes * np.arange(orders)[:, None]
     middle = (np.arange(REFINE_BUCKETS, dtype=np.float32) - REFINE_BUCKETS / 2 + 0.5) / 2
-    refined = np.tile(1 / (1 + np.exp(-middle)), lanes)
+    refined = np.tile(np.tanh(middle / 2), lanes)
     half, top = np.float32(REFINE_BUCKETS / 2), np.float32(REFINE_BUCKETS - 1)
-    low, high, one, none, two = (np.float32(v) for v in (-12, 12, 1, 0, 2))
-    three, quarter = np.float32(3), np.float32(0.25)
+    none, four = np.float32(0), np.float32(4)
     total = np.zeros(lanes)
     begin, longest = 0, int(length[0]) if lanes else 0
     while begin < longest:
@@ -316,56 +434,49 @@ def score(made: TextDecisions, odds: np.ndarray, seen: Seen) -> np.ndarray:
         steps = min(max(WINDOW // n, 1), longest - begin)
         active = np.searchsorted(-length, -np.arange(begin, begin + steps), side="left")
         lane = _ranges(np.zeros(steps, np.int64), active)
-        at = first[lane] + np.repeat(np.arange(begin, begin + steps), active)
-        wanted = made.code.sizes[made.symbols[at]]
-        answers, slots = made.of_symbols(at, wanted)
-        bits = answers.astype(np.float32)
+        at = first.take(lane)
+        at += np.repeat(np.arange(begin, begin + steps), active)
+        numbers, *contexts = np.ascontiguousarray(made.packed.take(at, axis=0).T)
+        wanted = made.code.sizes.take(numbers)
+        owner = owners(wanted)
+        bits, slots = made.of_contexts(numbers, contexts, wanted, owner)
+        answers = bits.astype(np.float32)
+        answers += answers
+        answers -= np.float32(1)
         inputs = np.empty((orders, len(bits)), np.float32)
         for o, slot in enumerate(slots):
             odds[o].take(slot, out=inputs[o], mode="clip")
-        starts = np.cumsum(wanted) - wanted
-        column = lane + lanes * seen.has(made.contexts[-1][at])
-        edges = np.concatenate([[0], np.cumsum(active)])
-        cuts = np.append(starts, len(bits))[edges].tolist()
-        edges = edges.tolist()
-        row = np.repeat(lane, wanted)
-        place, row = row, row * REFINE_BUCKETS
-        said = np.empty(len(bits), np.float32)
-        for s in range(steps):
-            a, b, i, j = cuts[s], cuts[s + 1], edges[s], edges[s + 1]
-            x, bit, col = inputs[:, a:b], bits[a:b], column[i:j]
+        inputs *= np.float32(scale)
+        column = (lane + lanes * seen.has(contexts[-1])).take(owner)
+        lane = lane.take(owner)
+        row = lane * REFINE_BUCKETS
+        cuts = np.append(0, np.cumsum(wanted))[np.append(0, np.cumsum(active))].tolist()
+        said, known = np.empty((2, len(bits)), np.float32)
+        for a, b in zip(cuts, cuts[1:]):
+            x, answer, col = inputs[:, a:b], answers[a:b], column[a:b]
             w = weights.take(col, axis=1)
-            dot = np.add.reduce(w.take(place[a:b], axis=1) * x, 0)
-            np.maximum(dot, low, out=dot)
-            np.minimum(dot, high, out=dot)
-            p = np.negative(dot)
-            np.exp(p, out=p)
-            p += one
-            np.reciprocal(p, out=p)
-            error = bit - p
-            error *= RATE
-            w += np.add.reduceat(x * error, starts[i:j] - a, axis=1)
-            weights[:, col] = w
-            dot *= two
+            w *= x
+            dot = np.add.reduce(w, 0)
+            error = answer - np.tanh(dot, out=said[a:b])
+            np.multiply(x, error, out=w)
+            np.add.at(flat, (col + shift).reshape(-1), w.reshape(-1))
+            dot *= four
             dot += half
             np.maximum(dot, none, out=dot)
             np.minimum(dot, top, out=dot)
             bucket = dot.astype(np.int64)
             bucket += row[a:b]
-            known = refined.take(bucket)
-            p *= three
-            p += known
-            np.multiply(p, quarter, out=said[a:b])
-            change = bit - known
+            change = answer - refined.take(bucket, out=known[a:b], mode="clip")
             change *= REFINE_RATE
             np.add.at(refined, bucket, change)
-        # the chance of what came: p for one, 1 - p for zero
-        said -= 1
-        said += bits
-        np.abs(said, out=said)
+        # the chance of what came, three parts mixed and one part refined
+        said *= np.float32(3)
+        said += known
+        said *= answers
+        said *= np.float32(0.125)
+        said += np.float32(0.5)
         np.maximum(said, np.float32(1e-12), out=said)
-        gained = np.add.reduceat(np.log(said), starts, dtype=np.float64)
-        total += np.bincount(lane, gained, lanes)
+        total += np.bincount(lane, np.log(said), lanes)
         begin += steps
     scores = np.empty(lanes)
     scores[rank] = total / np.log(10)
@@ -430,7 +541,7 @@ def _count_all(training: DataFrame, code: Code) -> np.ndarray:
             part = batch.column(1)[0].as_py() if batch.num_rows else part
             encoded = [t.encode() for t in batch.column(0).to_pylist()]
             for begin, end in blocks(encoded):
-                count(decisions(encoded[begin:end], sent.value), counts)
+                count_symbols(TextDecisions(encoded[begin:end], sent.value), counts)
         packed = _pack(counts, part)
         for i in range(0, packed.num_rows, 8):
             yield packed.slice(i, 8)
@@ -466,18 +577,33 @@ def _count_all(training: DataFrame, code: Code) -> np.ndarray:
     return counts.reshape(len(ORDERS), SLOTS, 2)
 
 
-_LOWER = (
-    "CASE WHEN octet_length(text) = length(text) THEN lower(text)"
-    " ELSE translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') END"
-)
+# A task's counts are handed on when it holds so many distinct tokens.
+HELD_TOKENS = 1 << 17
 
 
 def token_counts(training: DataFrame) -> DataFrame:
     """token and its count over all texts; the end of a text is the empty token."""
-    words = F.expr(f"split({_LOWER}, '[\\\\x20\\\\x09-\\\\x0D]+')")
-    pieces = training.select(F.explode(words).alias("token")).filter("token <> ''")
-    ends = training.select(F.lit("").alias("token"))
-    return pieces.unionByName(ends).groupBy("token").agg(F.count("*").alias("c"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: Counter[bytes] = Counter()
+
+        def rows() -> Iterator[pa.RecordBatch]:
+            tokens = pa.array(held.keys(), pa.binary()).cast(pa.string())
+            made = pa.RecordBatch.from_arrays([tokens, pa.array(held.values(), pa.int64())], ["token", "c"])
+            for i in range(0, made.num_rows, 1 << 15):
+                yield made.slice(i, 1 << 15)
+            held.clear()
+
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                held.update(tokens_of(text.encode()))
+                if len(held) > HELD_TOKENS:
+                    yield from rows()
+            held[b""] += batch.num_rows
+        yield from rows()
+
+    pieces = training.select("text").mapInArrow(run, "token string, c bigint")
+    return pieces.groupBy("token").agg(F.sum("c").alias("c"))
 
 
 def common_tokens(counts: DataFrame) -> list[tuple[bytes, int]]:
@@ -500,7 +626,7 @@ def common_tokens(counts: DataFrame) -> list[tuple[bytes, int]]:
 
 
 # A task scores about so many bytes, and there are about so many tasks at most.
-TASK_BYTES = 2 * SCORE_BLOCK
+TASK_BYTES = 5 * SCORE_BLOCK // 6
 TASKS = 20_000
 
 
@@ -558,7 +684,7 @@ def score_texts(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent, code, odds, seen = known.value
-        logs = {t: float(np.log10(c + 0.5)) for t, c in frequent.items()}
+        logs = dict(zip(frequent, np.log10(np.array([*frequent.values()], np.float64) + 0.5).tolist()))
         names = ["doc_id", "held_out", "n_bytes", "n_tokens", "n_common", "common_score", "score", "rare"]
         for batch in batches:
             encoded = [t.encode() for t in batch.column(1).to_pylist()]
@@ -566,11 +692,12 @@ def score_texts(docs: DataFrame) -> DataFrame:
             for e in encoded:
                 tokens = tokens_of(e)
                 tokens.append(b"")
-                found = [logs[t] for t in tokens if t in logs]
+                each = list(map(logs.get, tokens))
+                found = [x for x in each if x is not None]
                 n_tokens.append(len(tokens))
                 n_common.append(len(found))
                 said.append(sum(found))
-                rare.append([t.decode() for t in tokens if t not in logs] if len(found) < len(tokens) else [])
+                rare.append([t.decode() for t, x in zip(tokens, each) if x is None] if len(found) < len(tokens) else [])
             # blocks of like size, as a narrow one takes as many steps
             held = sum(len(e) + 1 for e in encoded)
             for begin, end in blocks(encoded, -(-held // max(1, -(-held // SCORE_BLOCK)))):

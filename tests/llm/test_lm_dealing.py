@@ -119,3 +119,43 @@ def test_seen_contexts_grow_with_the_words(spark):
     assert got.has(mixing_model.beginnings([w.encode() for w in words])).all()
     none = mixing_model.seen_contexts(counts.limit(0))
     assert not none.has(mixing_model.beginnings([b"abc"])).any()
+
+
+def test_equal_symbols_counted_at_once_are_counted_alike():
+    rng = random.Random(6)
+    tokens = [(b"abc", 9), (b"ab", 7), (b"Cd\xc3\xa9", 4), (b"", 3)]
+    texts = [bytes(rng.choices(b"abcABCd \n\xc3\xa9", k=rng.choice([0, 1, 2, 40, 900]))) for _ in range(30)]
+    code = mixing_model.Code.of_tokens(tokens, 23)
+    made = [np.zeros((len(mixing_model.ORDERS), mixing_model.SLOTS, 2), np.uint64) for _ in range(2)]
+    mixing_model.count(mixing_model.decisions(texts, code), made[0])
+    mixing_model.count_symbols(mixing_model.TextDecisions(texts, code), made[1])
+    assert made[0].any() and (made[0] == made[1]).all()
+    mixing_model.count_symbols(mixing_model.TextDecisions([], code), made[1])
+    assert (made[0] == made[1]).all()
+
+
+def test_codes_go_by_the_two_bytes_before():
+    """Fewer decisions than one code takes, a whole distribution in every code, one code a context."""
+    words = [b"the", b"then", b"there", b"quick", b"queen", b"Zoo"]
+    code = mixing_model.Code.of_tokens([(w.lower(), 50) for w in words], 300)
+    plain = mixing_model.Code(np.ones(257))
+    text = b" ".join(words * 20)
+    made = [mixing_model.TextDecisions([text], c) for c in (code, plain)]
+    assert 2 * made[0].begins[-1] < made[1].begins[-1]
+    chances = (0.5 ** code.sizes.reshape(-1, mixing_model.SYMBOLS)).sum(axis=1)
+    assert len(chances) > 5 and np.allclose(chances, 1)
+    # the code is the same after the same word so far, whatever blank or case came before
+    other = mixing_model.TextDecisions([text.upper().replace(b" ", b"\n")], code)
+    codes = [m.symbols // mixing_model.SYMBOLS for m in (made[0], other)]
+    assert (made[0].contexts[-1] == other.contexts[-1]).all() and (codes[0] == codes[1]).all()
+    # texts do not reach into each other
+    both = mixing_model.TextDecisions([text, b"", text], code)
+    assert (both.symbols == np.concatenate([made[0].symbols, mixing_model.TextDecisions([b""], code).symbols, made[0].symbols])).all()
+
+
+def test_token_counts_are_handed_on_when_many_are_held(spark, monkeypatch):
+    rows = [("a  B\tb\x0bc é É",), ("",), (" \n",), ("x y z a",)] * 3
+    docs = spark.createDataFrame(rows, "text string").repartition(2)
+    monkeypatch.setattr(mixing_model, "HELD_TOKENS", 2)
+    got = {r["token"]: r["c"] for r in mixing_model.token_counts(docs).collect()}
+    assert got == {"": 12, "a": 6, "b": 6, "c": 3, "é": 3, "É": 3, "x": 3, "y": 3, "z": 3}
