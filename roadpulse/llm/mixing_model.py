@@ -13,13 +13,14 @@ from its first symbol to its last, so a text has the same score wherever and wit
 scored. All decisions of a symbol are made with what was learnt before it. Tasks get texts of like
 length, so that those that advance together end together, and slots are looked up a window of
 symbols at a time: memory goes with the bytes of a block of texts,
-or of one longer text, by some thirty bytes a byte.
+or of one longer text, by some two dozen bytes a byte.
 """
 
 from __future__ import annotations
 
 import heapq
 import math
+import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -43,7 +44,7 @@ FAN_IN = 64
 # Bytes that are counted and that are scored at a time; symbols that are looked up at a time, in
 # counting and in scoring.
 BLOCK = 3 << 19
-SCORE_BLOCK = 3 << 21
+SCORE_BLOCK = 9 << 20
 PIECE = 1 << 14
 WINDOW = 1 << 15
 START_WEIGHT = np.float32(0.4)
@@ -57,7 +58,7 @@ SEEN_BITS = (16, 28)
 # Prefix codes at most, for the commonest pairs of bytes before a symbol and one for the others.
 CODES = 512
 # Commonest tokens whose counts go to all tasks; the others are joined.
-COMMON_TOKENS = 100_000
+COMMON_TOKENS = 200_000
 
 
 SYMBOLS = 257
@@ -68,8 +69,9 @@ _CLASS = np.where(_BLANK, 32, np.arange(SYMBOLS)).astype(np.uint16)
 _CLASS[65:91] += 32
 
 
-def _paths(weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Nodes and answers on the way to each symbol, and how many, in the tree with the fewest of them."""
+def _paths(weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Nodes, from one on, and answers (lowest bit) on the way to each symbol, and how many, in the tree
+    with the fewest of them."""
     heap = [(float(w), s, s) for s, w in enumerate(weights)]
     heapq.heapify(heap)
     children: dict[int, tuple[int, int]] = {}
@@ -89,8 +91,7 @@ def _paths(weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         for bit, child in enumerate(children[node]):
             stack.append((child, [*path, (node - len(weights), bit)]))
     sizes = np.array([len(path) for path in paths])
-    nodes = np.array([n for path in paths for n, _ in path], np.uint32)
-    return nodes, np.array([b for path in paths for _, b in path], np.uint8), sizes
+    return np.array([2 * n + 2 + b for path in paths for n, b in path], np.uint16), sizes
 
 
 class Code:
@@ -101,22 +102,35 @@ class Code:
     """
 
     def __init__(self, weights: np.ndarray, rows: np.ndarray | None = None) -> None:
-        nodes, self.bits, self.sizes = (np.concatenate(c) for c in zip(*map(_paths, np.atleast_2d(weights))))
+        self.decided, self.sizes = (np.concatenate(c) for c in zip(*map(_paths, np.atleast_2d(weights))))
         self.rows = rows
         self.starts = np.concatenate([[0], np.cumsum(self.sizes)[:-1]])
-        self.salts = (nodes + np.uint32(1)) * np.uint32(0x9E3779B1)
+
+    def decisions(self, entry: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Answers of some decisions, and the salts of their nodes."""
+        decided = self.decided.take(entry)
+        salt = (decided >> np.uint16(1)).astype(np.uint32)
+        salt *= np.uint32(0x9E3779B1)
+        decided &= np.uint16(1)
+        return decided.astype(np.uint8), salt
 
     def numbers(self, symbols: np.ndarray) -> np.ndarray:
         """The numbers of the symbols of texts, each of which ends by END."""
         if self.rows is None:
             return symbols.astype(np.uint32)
-        before = np.full(len(symbols) + 2, 32, np.uint16)
-        _CLASS.take(symbols, out=before[2:], mode="clip")
-        pair = before[:-2] << np.uint16(8)
-        pair |= before[1:-1]
-        made = self.rows.take(pair)
-        made *= np.uint32(SYMBOLS)
-        made += symbols
+        made = np.empty(len(symbols), np.uint32)
+        before = np.full(PIECE + 2, 32, np.uint16)
+        for low in range(0, len(symbols), PIECE):
+            piece = symbols[low : low + PIECE]
+            m = len(piece)
+            before[2 : m + 2] = _CLASS.take(piece)
+            pair = before[:m] << np.uint16(8)
+            pair |= before[1 : m + 1]
+            number = self.rows.take(pair)
+            number *= np.uint32(SYMBOLS)
+            number += piece
+            made[low : low + m] = number
+            before[:2] = before[m : m + 2]
         return made
 
     @classmethod
@@ -162,15 +176,22 @@ def _with_blanks(weights: np.ndarray, total: int) -> np.ndarray:
     return weights
 
 
-def _contexts(symbols: np.ndarray, text_begins: np.ndarray) -> Iterator[np.ndarray]:
-    """Hash of each symbol's context in the same text, for each order (up to four bytes)."""
+def _last_bytes(symbols: np.ndarray, text_begins: np.ndarray) -> np.ndarray:
+    """The four bytes before each symbol in the same text, the last one lowest."""
     last = np.zeros(len(symbols), np.uint32)
-    for back in range(1, 5):
-        last[back:] |= (symbols[:-back] & np.uint32(255)) << np.uint32(8 * (back - 1))
+    last[1:] = symbols[:-1]
+    last &= np.uint32(255)
+    for back in (1, 2):  # two bytes from one, four from two
+        last[back:] |= last[:-back] << np.uint32(8 * back)
     for j in range(4):  # near its beginning a text has fewer bytes than that
         at = text_begins[:-1] + j
         at = at[at < text_begins[1:]]
         last[at] &= np.uint32((1 << (8 * j)) - 1)
+    return last
+
+
+def _contexts(last: np.ndarray, words: np.ndarray) -> Iterator[np.ndarray]:
+    """Hash of some symbols' contexts, for each order, from their last bytes and words so far."""
     for order in ORDERS:
         if order:
             h = last & np.uint32((1 << (8 * order)) - 1)
@@ -180,7 +201,7 @@ def _contexts(symbols: np.ndarray, text_begins: np.ndarray) -> Iterator[np.ndarr
             h *= np.uint32(0x9E3779B1)
             yield h
         else:
-            yield _words_so_far(symbols, text_begins)
+            yield words
 
 
 _LOWERED = np.arange(1, 258, dtype=np.uint64)
@@ -203,20 +224,25 @@ def _words_so_far(symbols: np.ndarray, text_begins: np.ndarray) -> np.ndarray:
     made = np.empty(n, np.uint32)
     fresh = np.zeros(n, bool)
     fresh[text_begins[:-1]] = True
-    fresh[1:] |= _BLANK[symbols[:-1]]
     # of the word that a piece begins within: its hash and, to its length, the base
     carried, power = np.uint64(0), np.uint64(1)
     for low in range(0, n, PIECE):
         piece, new = symbols[low : low + PIECE], fresh[low : low + PIECE]
         m = len(piece)
+        before = symbols[max(low - 1, 0) : low + m - 1]
+        new[m - len(before) :] |= _BLANK[before]
         sums = np.zeros(m + 1, np.uint64)
         np.cumsum(_LOWERED[piece] * _UP[:m], out=sums[1:])
-        begin = np.maximum.accumulate(np.where(new, np.arange(m), 0))
-        raw = (sums[:-1] - sums[begin]) * _DOWN[begin]
-        whole = int(new.argmax()) if new.any() else m
+        begins = np.flatnonzero(new)
+        whole = int(begins[0]) if len(begins) else m
+        if whole:
+            begins = np.concatenate([[0], begins])
+        many = np.diff(begins, append=m)
+        raw = sums[:-1] - sums[begins].repeat(many)
+        raw *= _DOWN[begins].repeat(many)
         raw[:whole] = carried + raw[:whole] * power
         with np.errstate(over="ignore"):
-            length = m - 1 - begin[-1]
+            length = many[-1] - 1
             grown = (power if whole == m else np.uint64(1)) * _UP[length]
             carried = raw[-1] + _LOWERED[piece[-1]] * grown
             power = grown * np.uint64(_BASE)
@@ -265,17 +291,26 @@ class TextDecisions:
     def __init__(self, encoded: list[bytes], code: Code) -> None:
         sizes = np.array([len(e) + 1 for e in encoded], np.int64)
         text_begins = np.concatenate([[0], np.cumsum(sizes)])
-        symbols = np.empty(text_begins[-1], np.uint32)
+        symbols = np.empty(text_begins[-1], np.uint16)
         symbols[:] = np.frombuffer(b"\0".join(encoded) + b"\0" * bool(encoded), np.uint8)
         symbols[text_begins[1:] - 1] = END
         self.code = code
         self.text_begins = text_begins
-        # number and contexts of a symbol lie together, as they are looked up together
-        self.packed = np.empty((len(symbols), 1 + len(ORDERS)), np.uint32)
+        # what contexts are made of lies together with a symbol's number, as both are looked up together
+        self.packed = np.empty((len(symbols), 3), np.uint32)
         self.packed[:, 0] = code.numbers(symbols)
-        for order, context in enumerate(_contexts(symbols, text_begins)):
-            self.packed[:, 1 + order] = context
-        self.symbols, *self.contexts = self.packed.T
+        self.packed[:, 1] = _last_bytes(symbols, text_begins)
+        self.packed[:, 2] = _words_so_far(symbols, text_begins)
+        self.symbols = self.packed[:, 0]
+
+    @property
+    def contexts(self) -> list[np.ndarray]:
+        """Hash of each symbol's context, for each order."""
+        return list(self.contexts_of(self.packed))
+
+    @staticmethod
+    def contexts_of(packed: np.ndarray) -> Iterator[np.ndarray]:
+        return _contexts(packed[:, 1], packed[:, 2])
 
     @cached_property
     def begins(self) -> np.ndarray:
@@ -287,15 +322,15 @@ class TextDecisions:
     def of_symbols(self, at: np.ndarray, wanted: np.ndarray) -> Stretches:
         """Answers, and the slots of each predictor, of all decisions (``wanted`` many) of some symbols."""
         owner = owners(wanted)
-        numbers, *contexts = self.packed.take(at, axis=0).T
-        return self.of_contexts(numbers, contexts, wanted, owner)
+        packed = self.packed.take(at, axis=0)
+        return self.of_contexts(packed[:, 0], self.contexts_of(packed), wanted, owner)
 
     def of_contexts(
         self, numbers: np.ndarray, contexts: Iterable[np.ndarray], wanted: np.ndarray, owner: np.ndarray
     ) -> Stretches:
         entry = entries(self.code, numbers, wanted, owner)
-        salt = self.code.salts.take(entry)
-        return self.code.bits.take(entry), (_slots(context, owner, salt) for context in contexts)
+        bits, salt = self.code.decisions(entry)
+        return bits, (_slots(context, owner, salt) for context in contexts)
 
     def whole(self) -> Decisions:
         """All of them at once."""
@@ -330,7 +365,7 @@ def count(made: Decisions, counts: np.ndarray) -> None:
 def count_symbols(made: TextDecisions, counts: np.ndarray) -> None:
     """The same for all decisions of the texts: those of equal symbols in equal contexts at once."""
     symbols = made.symbols.astype(np.uint64)
-    for order, context in enumerate(made.contexts):
+    for order, context in enumerate(made.contexts_of(made.packed)):
         pairs = context.astype(np.uint64)
         pairs <<= np.uint64(32)
         pairs |= symbols
@@ -342,9 +377,10 @@ def count_symbols(made: TextDecisions, counts: np.ndarray) -> None:
         wanted = made.code.sizes[symbol]
         owner = owners(wanted)
         entry = entries(made.code, symbol, wanted, owner)
-        place = _slots((pairs >> np.uint64(32)).astype(np.uint32), owner, made.code.salts.take(entry)).astype(np.int64)
+        bits, salt = made.code.decisions(entry)
+        place = _slots((pairs >> np.uint64(32)).astype(np.uint32), owner, salt).astype(np.int64)
         place *= 2
-        place += made.code.bits.take(entry)
+        place += bits
         np.add.at(counts[order].reshape(-1), place, times.take(owner))
 
 
@@ -371,6 +407,13 @@ class Seen:
         bits = np.uint64(1) << (made & np.uint64(63))
         return cls(power, places.astype(np.int64), np.bitwise_or.reduceat(bits, first) if len(bits) else bits)
 
+    def __getstate__(self) -> tuple[np.uint32, bytes]:
+        return self.shift, zlib.compress(self.words, 1)
+
+    def __setstate__(self, state: tuple[np.uint32, bytes]) -> None:
+        self.shift, words = state
+        self.words = np.frombuffer(zlib.decompress(words), np.uint64)
+
     def has(self, hashes: np.ndarray) -> np.ndarray:
         place = hashes >> self.shift
         words = self.words.take(place >> np.uint32(6))
@@ -436,7 +479,8 @@ def score(made: TextDecisions, odds: np.ndarray, seen: Seen) -> np.ndarray:
         lane = _ranges(np.zeros(steps, np.int64), active)
         at = first.take(lane)
         at += np.repeat(np.arange(begin, begin + steps), active)
-        numbers, *contexts = np.ascontiguousarray(made.packed.take(at, axis=0).T)
+        packed = np.asfortranarray(made.packed.take(at, axis=0))
+        numbers, contexts = packed[:, 0], list(made.contexts_of(packed))
         wanted = made.code.sizes.take(numbers)
         owner = owners(wanted)
         bits, slots = made.of_contexts(numbers, contexts, wanted, owner)
@@ -448,27 +492,28 @@ def score(made: TextDecisions, odds: np.ndarray, seen: Seen) -> np.ndarray:
             odds[o].take(slot, out=inputs[o], mode="clip")
         inputs *= np.float32(scale)
         column = (lane + lanes * seen.has(contexts[-1])).take(owner)
+        places = column + shift
         lane = lane.take(owner)
-        row = lane * REFINE_BUCKETS
         cuts = np.append(0, np.cumsum(wanted))[np.append(0, np.cumsum(active))].tolist()
-        said, known = np.empty((2, len(bits)), np.float32)
+        dots, said, known = np.empty((3, len(bits)), np.float32)
         for a, b in zip(cuts, cuts[1:]):
-            x, answer, col = inputs[:, a:b], answers[a:b], column[a:b]
-            w = weights.take(col, axis=1)
+            x = inputs[:, a:b]
+            w = weights.take(column[a:b], axis=1)
             w *= x
-            dot = np.add.reduce(w, 0)
-            error = answer - np.tanh(dot, out=said[a:b])
+            error = answers[a:b] - np.tanh(np.add.reduce(w, 0, out=dots[a:b]), out=said[a:b])
             np.multiply(x, error, out=w)
-            np.add.at(flat, (col + shift).reshape(-1), w.reshape(-1))
-            dot *= four
-            dot += half
-            np.maximum(dot, none, out=dot)
-            np.minimum(dot, top, out=dot)
-            bucket = dot.astype(np.int64)
-            bucket += row[a:b]
-            change = answer - refined.take(bucket, out=known[a:b], mode="clip")
+            np.add.at(flat, places[:, a:b].reshape(-1), w.reshape(-1))
+        # what is refined does not act on the weights, so it follows, step by step as well
+        dots *= four
+        dots += half
+        np.maximum(dots, none, out=dots)
+        np.minimum(dots, top, out=dots)
+        bucket = dots.astype(np.int64)
+        bucket += lane * REFINE_BUCKETS
+        for a, b in zip(cuts, cuts[1:]):
+            change = answers[a:b] - refined.take(bucket[a:b], out=known[a:b], mode="clip")
             change *= REFINE_RATE
-            np.add.at(refined, bucket, change)
+            np.add.at(refined, bucket[a:b], change)
         # the chance of what came, three parts mixed and one part refined
         said *= np.float32(3)
         said += known
@@ -495,6 +540,23 @@ def blocks(encoded: list[bytes], most: int = BLOCK) -> Iterator[tuple[int, int]]
         yield begin, len(encoded)
 
 
+def texts_of(column: pa.Array) -> list[bytes]:
+    return column.cast(pa.binary()).to_pylist()
+
+
+def gathered(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[list[pa.RecordBatch]]:
+    """Batches with about ``most`` bytes together: many short texts advance together as well."""
+    held, size = [], 0
+    for batch in batches:
+        if held and size + batch.nbytes > most:
+            yield held
+            held, size = [], 0
+        held.append(batch)
+        size += batch.nbytes
+    if held:
+        yield held
+
+
 def tokens_of(text: bytes) -> list[bytes]:
     """A-Z in lower case, cut at ASCII white space."""
     return text.lower().split()
@@ -508,9 +570,9 @@ def _pack(counts: np.ndarray, part: int) -> pa.RecordBatch:
         these = flat[chunk * CHUNK : (chunk + 1) * CHUNK]
         seen = np.flatnonzero(these.any(axis=1))
         if len(seen):
-            # four bytes a count as long as they suffice
-            width = "<u4" if these.max() < 1 << 32 else "<u8"
-            values = np.ascontiguousarray(these[seen].T).astype(width).tobytes()
+            # two or four bytes a count as long as they suffice
+            width = next(w for w in (2, 4, 8) if w == 8 or these.max() < 1 << 8 * w)
+            values = np.ascontiguousarray(these[seen].T).astype(f"<u{width}").tobytes()
             rows.append((chunk, part, seen.astype("<u2").tobytes(), values))
     columns = list(zip(*rows)) if rows else [()] * 4
     kinds = [pa.int32(), pa.int32(), pa.binary(), pa.binary()]
@@ -519,8 +581,8 @@ def _pack(counts: np.ndarray, part: int) -> pa.RecordBatch:
 
 def _unpack(counts: np.ndarray, seen: bytes, packed: bytes) -> None:
     at = np.frombuffer(seen, "<u2").astype(np.int64)
-    width = "<u4" if len(packed) == 8 * len(at) else "<u8"
-    counts[at] += np.frombuffer(packed, width).reshape(2, -1).T
+    width = len(packed) // (2 * len(at))
+    counts[at] += np.frombuffer(packed, f"<u{width}").reshape(2, -1).T
 
 
 _PACKED = "chunk int, part int, seen binary, counts binary"
@@ -539,7 +601,7 @@ def _count_all(training: DataFrame, code: Code) -> np.ndarray:
         part = 0
         for batch in batches:
             part = batch.column(1)[0].as_py() if batch.num_rows else part
-            encoded = [t.encode() for t in batch.column(0).to_pylist()]
+            encoded = texts_of(batch.column(0))
             for begin, end in blocks(encoded):
                 count_symbols(TextDecisions(encoded[begin:end], sent.value), counts)
         packed = _pack(counts, part)
@@ -595,8 +657,8 @@ def token_counts(training: DataFrame) -> DataFrame:
             held.clear()
 
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                held.update(tokens_of(text.encode()))
+            for text in texts_of(batch.column(0)):
+                held.update(tokens_of(text))
                 if len(held) > HELD_TOKENS:
                     yield from rows()
             held[b""] += batch.num_rows
@@ -680,14 +742,15 @@ def score_texts(docs: DataFrame) -> DataFrame:
     common = common_tokens(counts)
     code = Code.of_tokens(common, total)
     odds = log_odds(_count_all(training, code))
-    known = spark.sparkContext.broadcast((dict(common), code, odds, seen_contexts(counts)))
+    logs = np.log10(np.array([n for _, n in common], np.float64) + 0.5).tolist()
+    frequent = dict(zip((t for t, _ in common), logs))
+    known = spark.sparkContext.broadcast((frequent, code, odds, seen_contexts(counts)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent, code, odds, seen = known.value
-        logs = dict(zip(frequent, np.log10(np.array([*frequent.values()], np.float64) + 0.5).tolist()))
+        logs, code, odds, seen = known.value
         names = ["doc_id", "held_out", "n_bytes", "n_tokens", "n_common", "common_score", "score", "rare"]
-        for batch in batches:
-            encoded = [t.encode() for t in batch.column(1).to_pylist()]
+        for held in gathered(batches, SCORE_BLOCK):
+            encoded = [t for batch in held for t in texts_of(batch.column(1))]
             n_tokens, n_common, said, rare, scores = [], [], [], [], []
             for e in encoded:
                 tokens = tokens_of(e)
@@ -697,19 +760,20 @@ def score_texts(docs: DataFrame) -> DataFrame:
                 n_tokens.append(len(tokens))
                 n_common.append(len(found))
                 said.append(sum(found))
-                rare.append([t.decode() for t, x in zip(tokens, each) if x is None] if len(found) < len(tokens) else [])
+                rare.append([t for t, x in zip(tokens, each) if x is None] if len(found) < len(tokens) else [])
             # blocks of like size, as a narrow one takes as many steps
-            held = sum(len(e) + 1 for e in encoded)
-            for begin, end in blocks(encoded, -(-held // max(1, -(-held // SCORE_BLOCK)))):
+            size = sum(len(e) + 1 for e in encoded)
+            for begin, end in blocks(encoded, -(-size // max(1, -(-size // SCORE_BLOCK)))):
                 scores.append(score(TextDecisions(encoded[begin:end], code), odds, seen))
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0), batch.column(2),
+                    pa.concat_arrays([batch.column(0) for batch in held]),
+                    pa.concat_arrays([batch.column(2) for batch in held]),
                     pa.array([len(e) for e in encoded], pa.int64()),
                     pa.array(n_tokens, pa.int64()), pa.array(n_common, pa.int64()),
                     pa.array(said, pa.float64()),
                     pa.array(np.concatenate(scores) if scores else [], pa.float64()),
-                    pa.array(rare, pa.list_(pa.string())),
+                    pa.array(rare, pa.list_(pa.binary())).cast(pa.list_(pa.string())),
                 ],
                 names,
             )

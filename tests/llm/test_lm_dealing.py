@@ -1,9 +1,11 @@
 """How the language model deals texts to tasks, and what it holds of them at a time."""
 
+import pickle
 import random
 import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from roadpulse.llm import mixing_model
@@ -159,3 +161,39 @@ def test_token_counts_are_handed_on_when_many_are_held(spark, monkeypatch):
     monkeypatch.setattr(mixing_model, "HELD_TOKENS", 2)
     got = {r["token"]: r["c"] for r in mixing_model.token_counts(docs).collect()}
     assert got == {"": 12, "a": 6, "b": 6, "c": 3, "é": 3, "É": 3, "x": 3, "y": 3, "z": 3}
+
+
+def test_counts_take_the_fewest_bytes_that_hold_them():
+    for top, width in ((65_535, 2), (65_536, 4), ((1 << 32) - 1, 4), (1 << 32, 8)):
+        counts = np.zeros((1, mixing_model.CHUNK, 2), np.uint64)
+        counts[0, 7] = (top, 1)
+        (row,) = mixing_model._pack(counts, 0).to_pylist()
+        back = np.zeros((mixing_model.CHUNK, 2), np.uint64)
+        mixing_model._unpack(back, row["seen"], row["counts"])
+        assert len(row["counts"]) == 2 * width and (back == counts[0]).all()
+
+
+def test_small_batches_are_scored_together():
+    batches = [pa.RecordBatch.from_arrays([pa.array([i]), pa.array(["x" * size])], ["doc_id", "text"]) for i, size in enumerate([10, 20, 30, 900, 5, 5])]
+    held = list(mixing_model.gathered(iter(batches), 400))
+    assert [[b.column(0)[0].as_py() for b in group] for group in held] == [[0, 1, 2], [3], [4, 5]]
+    assert list(mixing_model.gathered(iter([]), 400)) == []
+
+
+def test_a_text_is_encoded_within_twenty_five_bytes_a_byte():
+    encoded = [b"some words of a text, and so on. " * 100] * 300
+    code = mixing_model.Code.of_tokens([(b"some", 9), (b"words", 9), (b"", 3)], 21)
+    tracemalloc.start()
+    mixing_model.TextDecisions(encoded, code)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 25 * sum(map(len, encoded))
+
+
+def test_seen_contexts_travel_in_few_bytes():
+    words = [b"word%d" % i for i in range(500)]
+    seen = mixing_model.Seen.of_tokens(words, 24)
+    packed = pickle.dumps(seen)
+    back = pickle.loads(packed)
+    assert len(packed) < (1 << 24) // 8 // 10
+    assert (back.words == seen.words).all() and back.has(mixing_model.beginnings(words)).all()
